@@ -15,15 +15,16 @@ EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 NAME_TITLE_PATTERN = r"^(Mr\.|Ms\.|Mrs\.|Dr\.)\s*"
 FAKE_PHONE = "123-456-7890"
 
-# Date pattern and the shape a text must have before that pattern is tried.
-DATE_SHAPES = {
-    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
-    "MM/dd/yyyy": r"^\d{2}/\d{2}/\d{4}$",
-    "dd-MM-yyyy": r"^\d{2}-\d{2}-\d{4}$",
-    "yyyyMMdd": r"^\d{8}$",
-    "MMMM dd, yyyy": r"^[A-Za-z]+ \d{2}, \d{4}$",
-    "yyyy/MM/dd": r"^\d{4}/\d{2}/\d{2}$",
+# Numeric date patterns: the shape of the text, and where year, month and day start.
+DATE_LAYOUTS = {
+    "yyyy-MM-dd": (r"^(?!0000)\d{4}-\d{2}-\d{2}$", (1, 6, 9)),
+    "MM/dd/yyyy": (r"^\d{2}/\d{2}/(?!0000)\d{4}$", (7, 1, 4)),
+    "dd-MM-yyyy": (r"^\d{2}-\d{2}-(?!0000)\d{4}$", (7, 4, 1)),
+    "yyyyMMdd": (r"^(?!0000)\d{8}$", (1, 5, 7)),
+    "yyyy/MM/dd": (r"^(?!0000)\d{4}/\d{2}/\d{2}$", (1, 6, 9)),
 }
+# Patterns with a month name.
+NAMED_DATE_LAYOUTS = {"MMMM dd, yyyy": r"^[A-Za-z]+ \d{2}, \d{4}$"}
 DATE_PATTERNS = ("yyyy-MM-dd", "MM/dd/yyyy", "dd-MM-yyyy", "yyyyMMdd", "MMMM dd, yyyy")
 STREAM_DATE_PATTERNS = ("yyyy-MM-dd", "MM/dd/yyyy", "dd-MM-yyyy", "yyyy/MM/dd")
 
@@ -84,15 +85,23 @@ def clean_email(c: Column) -> Column:
 
 
 def clean_date(c: Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
-    """Date from the first pattern that fits, else null.
+    """Date from the pattern whose shape the text has; null for none or for no real date.
 
-    A cheap shape test picks the pattern, so a text is parsed once at most and
-    parse failures stay rare. Trying every parser on every row would raise and
-    swallow several exceptions per row.
+    Numeric dates are rearranged to ISO text and cast, which needs no formatter and
+    raises nothing on the way for a month 13. Month names go through a formatter.
     """
-    return F.coalesce(
-        *[F.when(c.rlike(DATE_SHAPES[p]), F.try_to_date(c, p)) for p in patterns]
-    )
+    iso = F
+    for pattern in patterns:
+        if pattern in DATE_LAYOUTS:
+            shape, (year, month, day) = DATE_LAYOUTS[pattern]
+            parts = [F.substring(c, year, 4), F.substring(c, month, 2), F.substring(c, day, 2)]
+            iso = iso.when(c.rlike(shape), F.concat_ws("-", *parts))
+    named = [
+        F.when(c.rlike(NAMED_DATE_LAYOUTS[p]), F.try_to_date(c, p))
+        for p in patterns
+        if p in NAMED_DATE_LAYOUTS
+    ]
+    return F.coalesce(iso.otherwise(None).try_cast("date"), *named)
 
 
 def clean_status(c: Column) -> Column:

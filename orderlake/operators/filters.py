@@ -14,7 +14,7 @@ from orderlake.operators.enrich import AsOf, as_of_date
 def bad_dates(df: DataFrame, column: str = "order_date", as_of: AsOf = None) -> DataFrame:
     """Rows whose raw date is missing, unreadable, or later than ``as_of``."""
     day = C.clean_date(F.col(column))
-    return df.filter(day.isNull() | (day > as_of_date(as_of)))
+    return df.filter(F.coalesce(day > as_of_date(as_of), F.lit(True)))
 
 
 def bad_emails(df: DataFrame, column: str = "email") -> DataFrame:

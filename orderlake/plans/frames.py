@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,23 +11,84 @@ from pyspark.sql import types as T
 
 from orderlake.functions.numeric import decimals_to_double
 from orderlake.operators import enrich, metrics, model
-from orderlake.sources import supplied
+from orderlake.session import new_scratch_dir
+from orderlake.sources import supplied, writers
 
 # The supplied orders end on 2001-08-01, the events on 2024-01-30.
 AS_OF = dt.date(2001, 9, 1)
 LIVE_AS_OF = dt.datetime(2024, 1, 30, 23, 0, 0)
 
 
-def orders(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.canonical_orders(enrich.clean_orders(supplied.raw_orders(spark, d)))
+_layers: dict[tuple[str, str, str], str] = {}
 
 
-def valid_orders(spark: SparkSession, d: str) -> DataFrame:
-    return orders(spark, d).filter(F.col("is_valid_order") == 1)
+def stored(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A layer table, written on first use and read from then on.
+
+    Reading and cleaning are paid once for all queries of an application, filters
+    reach the Parquet scan instead of being evaluated on top of the cleaners, and
+    a lost executor costs a re-read, not a re-clean.
+    """
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _layers:
+        path = new_scratch_dir(spark, name)
+        writers.write_parquet(build(), path)
+        _layers[key] = path
+    return spark.read.parquet(_layers[key])
+
+
+# ---- bronze: raw tables as received --------------------------------------------
+def raw_orders(spark: SparkSession, d: str) -> DataFrame:
+    return stored(spark, d, "bronze-orders", lambda: supplied.raw_orders(spark, d))
+
+
+def raw_customers(spark: SparkSession, d: str) -> DataFrame:
+    return stored(spark, d, "bronze-customers", lambda: supplied.raw_customers(spark, d))
+
+
+def raw_items(spark: SparkSession, d: str) -> DataFrame:
+    return stored(spark, d, "bronze-order_items", lambda: supplied.raw_order_items(spark, d))
+
+
+def raw_products(spark: SparkSession, d: str) -> DataFrame:
+    return stored(spark, d, "bronze-products", lambda: supplied.raw_products(spark, d))
+
+
+# ---- silver: raw and cleaned columns side by side --------------------------------
+def clean_orders(spark: SparkSession, d: str) -> DataFrame:
+    return stored(
+        spark, d, "silver-orders", lambda: enrich.clean_orders(raw_orders(spark, d))
+    )
 
 
 def clean_customers(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.clean_customers(supplied.raw_customers(spark, d), AS_OF)
+    return stored(
+        spark,
+        d,
+        "silver-customers",
+        lambda: enrich.clean_customers(raw_customers(spark, d), AS_OF),
+    )
+
+
+def clean_items(spark: SparkSession, d: str) -> DataFrame:
+    return stored(
+        spark, d, "silver-order_items", lambda: enrich.clean_order_items(raw_items(spark, d))
+    )
+
+
+def clean_products(spark: SparkSession, d: str) -> DataFrame:
+    return stored(
+        spark, d, "silver-products", lambda: enrich.clean_products(raw_products(spark, d))
+    )
+
+
+# ---- canonical projections of silver --------------------------------------------
+def orders(spark: SparkSession, d: str) -> DataFrame:
+    return enrich.canonical_orders(clean_orders(spark, d))
+
+
+def valid_orders(spark: SparkSession, d: str) -> DataFrame:
+    return orders(spark, d).filter(F.col("is_valid_order") == 1)
 
 
 def customers(spark: SparkSession, d: str) -> DataFrame:
@@ -34,11 +96,11 @@ def customers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def items(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.canonical_items(enrich.clean_order_items(supplied.raw_order_items(spark, d)))
+    return enrich.canonical_items(clean_items(spark, d))
 
 
 def products(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.canonical_products(enrich.clean_products(supplied.raw_products(spark, d)))
+    return enrich.canonical_products(clean_products(spark, d))
 
 
 def order_facts(spark: SparkSession, d: str) -> DataFrame:

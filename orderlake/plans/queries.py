@@ -215,79 +215,79 @@ def layer_freshness(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- column cleaners ------------------------------------------------------------
 def cln_name(spark: SparkSession, d: str) -> DataFrame:
-    return supplied.raw_customers(spark, d).select(
+    return frames.raw_customers(spark, d).select(
         "customer_id", C.clean_name(F.col("name")).alias("name_cleaned")
     )
 
 
 def cln_email(spark: SparkSession, d: str) -> DataFrame:
-    return supplied.raw_customers(spark, d).select(
+    return frames.raw_customers(spark, d).select(
         "customer_id", C.clean_email(F.col("email")).alias("email_cleaned")
     )
 
 
 def cln_date(spark: SparkSession, d: str) -> DataFrame:
-    return supplied.raw_orders(spark, d).select(
+    return frames.raw_orders(spark, d).select(
         "order_id", C.clean_date(F.col("order_date")).alias("order_date_cleaned")
     )
 
 
 def cln_status(spark: SparkSession, d: str) -> DataFrame:
-    return supplied.raw_orders(spark, d).select(
+    return frames.raw_orders(spark, d).select(
         "order_id", C.clean_status(F.col("status")).alias("status_cleaned")
     )
 
 
 def cln_segment(spark: SparkSession, d: str) -> DataFrame:
-    return supplied.raw_customers(spark, d).select(
+    return frames.raw_customers(spark, d).select(
         "customer_id", C.clean_segment(F.col("segment")).alias("segment_cleaned")
     )
 
 
 def cln_bool(spark: SparkSession, d: str) -> DataFrame:
-    return supplied.raw_customers(spark, d).select(
+    return frames.raw_customers(spark, d).select(
         "customer_id", C.clean_boolean(F.col("marketing_opt_in")).alias("opt_in_cleaned")
     )
 
 
 def cln_num(spark: SparkSession, d: str) -> DataFrame:
-    return supplied.raw_orders(spark, d).select(
+    return frames.raw_orders(spark, d).select(
         "order_id",
         C.clean_number(F.col("total_amount"), *enrich.ORDER_AMOUNT).alias("total_amount_cleaned"),
     )
 
 
 def cln_phone(spark: SparkSession, d: str) -> DataFrame:
-    return supplied.raw_customers(spark, d).select(
+    return frames.raw_customers(spark, d).select(
         "customer_id", C.clean_phone(F.col("phone")).alias("phone_cleaned")
     )
 
 
 def cln_prodname(spark: SparkSession, d: str) -> DataFrame:
-    return supplied.raw_products(spark, d).select(
+    return frames.raw_products(spark, d).select(
         "product_id", C.clean_product_name(F.col("product_name")).alias("product_name_cleaned")
     )
 
 
 def cln_category(spark: SparkSession, d: str) -> DataFrame:
-    return supplied.raw_products(spark, d).select(
+    return frames.raw_products(spark, d).select(
         "product_id", C.clean_category(F.col("category")).alias("category_cleaned")
     )
 
 
 # ---- table enrichment -------------------------------------------------------------
 def enr_orders_raw(spark: SparkSession, d: str) -> DataFrame:
-    enriched = enrich.enrich_orders(supplied.raw_orders(spark, d))
+    enriched = enrich.enrich_orders(frames.raw_orders(spark, d))
     return enriched.select("order_id", "status", "order_year", "order_month", "is_completed")
 
 
 def enr_orders(spark: SparkSession, d: str) -> DataFrame:
-    return report(frames.orders(spark, d))
+    return report(enrich.canonical_orders(enrich.clean_orders(frames.raw_orders(spark, d))))
 
 
 def enr_customers(spark: SparkSession, d: str) -> DataFrame:
     return report(
-        frames.clean_customers(spark, d).select(
+        enrich.clean_customers(frames.raw_customers(spark, d), AS_OF).select(
             "customer_id",
             "name_cleaned",
             "email_cleaned",
@@ -303,7 +303,7 @@ def enr_customers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def enr_items(spark: SparkSession, d: str) -> DataFrame:
-    cleaned = enrich.clean_order_items(supplied.raw_order_items(spark, d))
+    cleaned = enrich.clean_order_items(frames.raw_items(spark, d))
     return report(
         cleaned.select(
             "item_id",
@@ -320,7 +320,7 @@ def enr_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def enr_products(spark: SparkSession, d: str) -> DataFrame:
-    cleaned = enrich.clean_products(supplied.raw_products(spark, d))
+    cleaned = enrich.clean_products(frames.raw_products(spark, d))
     return report(
         cleaned.select(
             "product_id",
@@ -345,17 +345,17 @@ def flt_valid_ratio(spark: SparkSession, d: str) -> DataFrame:
 def flt_bad_date(spark: SparkSession, d: str) -> DataFrame:
     # As of a day within the data, so that later orders count as future ones.
     bad = filters.bad_dates(
-        supplied.raw_orders(spark, d), as_of=F.lit("2001-07-01").cast("date")
+        frames.raw_orders(spark, d), as_of=F.lit("2001-07-01").cast("date")
     )
     return bad.select("order_id", "order_date", "status")
 
 
 def flt_bad_email(spark: SparkSession, d: str) -> DataFrame:
-    return filters.bad_emails(supplied.raw_customers(spark, d)).select("customer_id", "email")
+    return filters.bad_emails(frames.raw_customers(spark, d)).select("customer_id", "email")
 
 
 def flt_neg_amount(spark: SparkSession, d: str) -> DataFrame:
-    return filters.negative_amounts(supplied.raw_orders(spark, d)).select(
+    return filters.negative_amounts(frames.raw_orders(spark, d)).select(
         "order_id", "customer_id", "total_amount"
     )
 
@@ -385,10 +385,10 @@ def flt_review(spark: SparkSession, d: str) -> DataFrame:
 # ---- joins -----------------------------------------------------------------------
 def join_fact_raw(spark: SparkSession, d: str) -> DataFrame:
     return model.fact_orders_raw(
-        enrich.enrich_orders(supplied.raw_orders(spark, d)),
-        supplied.raw_customers(spark, d),
-        supplied.raw_order_items(spark, d),
-        supplied.raw_products(spark, d),
+        enrich.enrich_orders(frames.raw_orders(spark, d)),
+        frames.raw_customers(spark, d),
+        frames.raw_items(spark, d),
+        frames.raw_products(spark, d),
     )
 
 
@@ -410,11 +410,11 @@ def join_fraud_items(spark: SparkSession, d: str) -> DataFrame:
 
 def _parents(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Children with whole tables; parents known only in part, so that orphans exist."""
-    orders = supplied.raw_orders(spark, d)
-    customers = supplied.raw_customers(spark, d).filter(F.col("email").isNotNull())
+    orders = frames.raw_orders(spark, d)
+    customers = frames.raw_customers(spark, d).filter(F.col("email").isNotNull())
     known_orders = orders.filter(F.col("customer_id").isNotNull() & (F.col("total_amount") > 0))
-    products = supplied.raw_products(spark, d).filter(F.col("unit_price").isNotNull())
-    return known_orders, customers, supplied.raw_order_items(spark, d), products
+    products = frames.raw_products(spark, d).filter(F.col("unit_price").isNotNull())
+    return known_orders, customers, frames.raw_items(spark, d), products
 
 
 def anti_refint(spark: SparkSession, d: str) -> DataFrame:
@@ -591,14 +591,14 @@ def win_lag_order(spark: SparkSession, d: str) -> DataFrame:
 
 
 def win_dedup_flag(spark: SparkSession, d: str) -> DataFrame:
-    items = supplied.raw_order_items(spark, d).select(
+    items = frames.raw_items(spark, d).select(
         "item_id", "product_id", "quantity", "price", "discount_percent", "line_total"
     )
     return dedupe.flag_duplicates(items, ["item_id"])
 
 
 def win_dedup_drop(spark: SparkSession, d: str) -> DataFrame:
-    items = supplied.raw_order_items(spark, d).select(
+    items = frames.raw_items(spark, d).select(
         "item_id", "product_id", "quantity", "price", "discount_percent", "line_total"
     )
     return dedupe.drop_duplicates_by_key(items, ["item_id"])
@@ -641,11 +641,11 @@ def set_union(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- data quality ----------------------------------------------------------------
 def dq_nulls(spark: SparkSession, d: str) -> DataFrame:
-    return quality.null_counts(supplied.raw_orders(spark, d))
+    return quality.null_counts(frames.raw_orders(spark, d))
 
 
 def dq_dupkeys(spark: SparkSession, d: str) -> DataFrame:
-    return quality.duplicate_keys(supplied.raw_order_items(spark, d), "item_id")
+    return quality.duplicate_keys(frames.raw_items(spark, d), "item_id")
 
 
 def dq_range(spark: SparkSession, d: str) -> DataFrame:
@@ -654,13 +654,13 @@ def dq_range(spark: SparkSession, d: str) -> DataFrame:
 
 def dq_score(spark: SparkSession, d: str) -> DataFrame:
     return quality.completeness_score(
-        supplied.raw_customers(spark, d), ["customer_id", "email", "join_date", "age"]
+        frames.raw_customers(spark, d), ["customer_id", "email", "join_date", "age"]
     ).select("customer_id", "data_quality_score")
 
 
 def _skewed_amounts(spark: SparkSession, d: str) -> DataFrame:
     """Line totals: a long right tail, with a bounded number of different cents."""
-    return supplied.raw_order_items(spark, d).select(
+    return frames.raw_items(spark, d).select(
         "item_id", "product_id", money(F.col("line_total")).alias("line_total")
     )
 
@@ -674,16 +674,16 @@ def dq_iqr_approx(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, d: str) -> DataFrame:
-    return report(quality.table_report(supplied.raw_order_items(spark, d), "order_items", "item_id"))
+    return report(quality.table_report(frames.raw_items(spark, d), "order_items", "item_id"))
 
 
 def _summary(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality_summary(
         {
-            "orders": (supplied.raw_orders(spark, d), "order_id"),
-            "customers": (supplied.raw_customers(spark, d), "customer_id"),
-            "order_items": (supplied.raw_order_items(spark, d), "item_id"),
-            "products": (supplied.raw_products(spark, d), "product_id"),
+            "orders": (frames.raw_orders(spark, d), "order_id"),
+            "customers": (frames.raw_customers(spark, d), "customer_id"),
+            "order_items": (frames.raw_items(spark, d), "item_id"),
+            "products": (frames.raw_products(spark, d), "product_id"),
         }
     )
 
@@ -699,7 +699,7 @@ def dq_dash(spark: SparkSession, d: str) -> DataFrame:
             "customers": (frames.customers(spark, d), F.col("data_quality_score") < 100),
             "order_items": (frames.items(spark, d), ~F.col("line_calc_valid")),
             "products": (
-                enrich.clean_products(supplied.raw_products(spark, d)),
+                frames.clean_products(spark, d),
                 ~F.coalesce("price_cost_valid", F.lit(False)),
             ),
         }
@@ -710,15 +710,15 @@ def dq_dash(spark: SparkSession, d: str) -> DataFrame:
 def dq_impact(spark: SparkSession, d: str) -> DataFrame:
     return report(
         quality.cleaning_impact(
-            enrich.clean_orders(supplied.raw_orders(spark, d)),
+            frames.clean_orders(spark, d),
             frames.clean_customers(spark, d),
-            enrich.clean_order_items(supplied.raw_order_items(spark, d)),
+            frames.clean_items(spark, d),
         )
     )
 
 
 def dq_quarantine(spark: SparkSession, d: str) -> DataFrame:
-    cleaned = enrich.clean_orders(supplied.raw_orders(spark, d))
+    cleaned = frames.clean_orders(spark, d)
     valid, quarantined = quality.split_valid(cleaned, quality.order_rules())
     return valid.select("order_id", F.lit("").alias("reasons")).unionByName(
         quarantined.select("order_id", F.concat_ws(",", "quarantine_reasons").alias("reasons"))

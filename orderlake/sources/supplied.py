@@ -31,12 +31,11 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN o_totalprice >= 6000 THEN o_custkey END AS customer_id",
         """CASE WHEN day(o_orderdate) = 31 THEN '2024-13-45'
                 WHEN o_totalprice >= 6000 AND o_totalprice < 8000 THEN NULL
-                ELSE date_format(o_orderdate, CASE o_orderpriority
-                     WHEN '1-URGENT' THEN 'yyyy-MM-dd'
-                     WHEN '2-HIGH' THEN 'MM/dd/yyyy'
-                     WHEN '3-MEDIUM' THEN 'dd-MM-yyyy'
-                     WHEN '4-NOT SPECIFIED' THEN 'yyyyMMdd'
-                     ELSE 'MMMM dd, yyyy' END) END AS order_date""",
+                WHEN o_orderpriority = '1-URGENT' THEN date_format(o_orderdate, 'yyyy-MM-dd')
+                WHEN o_orderpriority = '2-HIGH' THEN date_format(o_orderdate, 'MM/dd/yyyy')
+                WHEN o_orderpriority = '3-MEDIUM' THEN date_format(o_orderdate, 'dd-MM-yyyy')
+                WHEN o_orderpriority = '4-NOT SPECIFIED' THEN date_format(o_orderdate, 'yyyyMMdd')
+                ELSE date_format(o_orderdate, 'MMMM dd, yyyy') END AS order_date""",
         """CASE WHEN o_totalprice >= 8000 AND o_totalprice < 9000 THEN ''
                 WHEN o_orderstatus = 'F' THEN CASE o_orderpriority
                      WHEN '1-URGENT' THEN 'completed' WHEN '2-HIGH' THEN 'Completed'
@@ -78,11 +77,13 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                 WHEN c_nationkey = 6 THEN NULL
                 ELSE concat('user', c_custkey, '@shop.com') END AS email""",
         """CASE WHEN c_nationkey = 7 THEN '' WHEN c_nationkey = 8 THEN '1/5/2024'
-                ELSE date_format(date_add(DATE'1990-01-01', CAST(floor(c_acctbal) AS INT)),
-                     CASE c_mktsegment
-                     WHEN 'AUTOMOBILE' THEN 'yyyy-MM-dd' WHEN 'BUILDING' THEN 'MM/dd/yyyy'
-                     WHEN 'FURNITURE' THEN 'dd-MM-yyyy' WHEN 'HOUSEHOLD' THEN 'yyyyMMdd'
-                     ELSE 'MMMM dd, yyyy' END) END AS join_date""",
+                WHEN c_mktsegment = 'AUTOMOBILE' THEN date_format(joined, 'yyyy-MM-dd')
+                WHEN c_mktsegment = 'BUILDING' THEN date_format(joined, 'MM/dd/yyyy')
+                WHEN c_mktsegment = 'FURNITURE' THEN date_format(joined, 'dd-MM-yyyy')
+                WHEN c_mktsegment = 'HOUSEHOLD' THEN date_format(joined, 'yyyyMMdd')
+                ELSE date_format(joined, 'MMMM dd, yyyy') END AS join_date""".replace(
+            "joined", "date_add(DATE'1990-01-01', CAST(floor(c_acctbal) AS INT))"
+        ),
         """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'VIP' WHEN 'BUILDING' THEN 'standard'
                 WHEN 'FURNITURE' THEN ' New ' WHEN 'HOUSEHOLD' THEN 'Churned '
                 ELSE 'TBD' END AS segment""",
