@@ -20,30 +20,56 @@ def approx_quantiles(
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], by: Sequence[str] = ()
+    df: DataFrame,
+    column: str,
+    probabilities: Sequence[float],
+    by: Sequence[str] = (),
+    bucket_width: float = 10,
 ) -> DataFrame:
-    """Exact lower quantiles through the frequency of each value.
+    """Exact lower quantiles: the value at rank ``ceil(p * n)``, per group.
 
-    Equal values collapse on the map side; the running count then sees one row
-    per *distinct* value. Meant for columns with a bounded domain, such as cleaned
-    amounts (at most five million different cents); use the approximate form for
-    arbitrary doubles.
+    Equal values collapse on the map side. Value buckets are then counted, the
+    bucket holding each wanted rank is found among the bucket totals, and only
+    that bucket's different values are ranked. No task sees more than the list of
+    buckets (range / width) or one bucket's different values (for cents, width *
+    100), so the width suits amounts of a bounded range.
     """
+    keys = list(by)
     frequency = (
-        df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
+        df.filter(F.col(column).isNotNull())
+        .groupBy(*keys, F.col(column).alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_bucket", F.floor(F.col("_value") / F.lit(bucket_width)).cast("bigint"))
+    )
+    group = Window.partitionBy(*keys)
+    buckets = (
+        frequency.groupBy(*keys, "_bucket")
+        .agg(F.sum("_n").alias("_size"))
+        .withColumns(
+            {
+                "_upto": F.sum("_size").over(group.orderBy("_bucket")),
+                "_total": F.sum("_size").over(group),
+            }
+        )
     )
-    group = Window.partitionBy(*by)
-    ranked = frequency.withColumns(
-        {
-            "_seen": F.sum("_n").over(group.orderBy(column)),
-            "_total": F.sum("_n").over(group),
-        }
+    wanted = buckets.select(
+        *keys,
+        "_bucket",
+        (F.col("_upto") - F.col("_size")).alias("_before"),
+        "_upto",
+        "_total",
+        F.posexplode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("_which", "_p"),
+    ).withColumn("_rank", F.greatest(F.ceil(F.col("_total") * F.col("_p")), F.lit(1)))
+    wanted = wanted.filter(F.col("_rank").between(F.col("_before") + 1, F.col("_upto")))
+    within = Window.partitionBy(*keys, "_which").orderBy("_value")
+    ranked = frequency.join(wanted, [*keys, "_bucket"]).withColumn(
+        "_seen", F.col("_before") + F.sum("_n").over(within)
     )
     picks = [
-        F.min(F.when(F.col("_seen") >= F.ceil(F.col("_total") * F.lit(p)), F.col(column)))
-        for p in probabilities
+        F.min(F.when((F.col("_which") == i) & (F.col("_seen") >= F.col("_rank")), F.col("_value")))
+        for i in range(len(probabilities))
     ]
-    return ranked.groupBy(*by).agg(F.array(*picks).alias("quantiles"))
+    return ranked.groupBy(*keys).agg(F.array(*picks).alias("quantiles"))
 
 
 def flag_outliers(

@@ -21,12 +21,16 @@ def days_since_last_order(orders: DataFrame) -> DataFrame:
     Days are formed by a pre-aggregated group-by, and a customer has at most one
     row per calendar day in the window. Copies of one order share its gap.
     """
+    number = F.col("order_id")
     days = orders.groupBy("customer_id", "order_date").agg(
-        F.min(F.struct("order_id")).alias("_first")
+        F.min(number).alias("_least"), F.bool_or(number.isNull()).alias("_unnumbered")
     )
     by_customer = Window.partitionBy("customer_id").orderBy("order_date")
     days = days.withColumn("_day_before", F.lag("order_date").over(by_customer))
-    opens_the_day = F.col("order_id").eqNullSafe(F.col("_first.order_id"))
+    # Orders without a number sort before the others.
+    opens_the_day = F.when(F.col("_unnumbered"), number.isNull()).otherwise(
+        number == F.col("_least")
+    )
     return (
         orders.join(days, ["customer_id", "order_date"])
         .withColumn(
@@ -34,7 +38,7 @@ def days_since_last_order(orders: DataFrame) -> DataFrame:
             F.when(opens_the_day, F.col("_day_before")).otherwise(F.col("order_date")),
         )
         .withColumn("days_since_last_order", F.datediff("order_date", "prev_order_date"))
-        .drop("_first", "_day_before")
+        .drop("_least", "_unnumbered", "_day_before")
     )
 
 

@@ -1,6 +1,7 @@
 """Business aggregates.
 
-Order-level figures expect one row per order (``model.order_facts``). Where the
+Order-level figures read one row per order (``model.order_facts``) or, cheaper
+for all of them, one row per customer and month (``customer_months``). Where the
 input is the item-grain fact, ``grain="line"`` sums once per line and
 ``grain="order"`` first goes back to one row per order.
 """
@@ -21,10 +22,49 @@ def completed(df: DataFrame) -> DataFrame:
 
 
 def _order_rows(df: DataFrame, grain: str) -> DataFrame:
-    """``as_is``: already one row per order; ``order``: collapse lines; ``line``: sum per line."""
+    """Rows to sum, with the number of orders each stands for.
+
+    ``as_is``: one row per order or per customer and month; ``order``: collapse
+    lines to orders first; ``line``: sum per line.
+    """
     if grain not in ("as_is", "order", "line"):
         raise ValueError(f"unknown grain {grain!r}")
-    return order_grain(df) if grain == "order" else df
+    rows = order_grain(df) if grain == "order" else df
+    if "orders" not in rows.columns:
+        rows = rows.withColumn("orders", F.col("order_id").isNotNull().cast("bigint"))
+    return rows
+
+
+def customer_months(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Completed sales of known customers, one row per customer and month.
+
+    Orders are summed before anything is joined: a customer sends one row per
+    month and map task, however many orders they placed. Segment, RFM, gold and
+    dashboard figures all follow from this table.
+    """
+    sales = (
+        completed(orders)
+        .filter(F.col("is_valid_order") == 1)
+        .groupBy("customer_id", "order_year", "order_month")
+        .agg(
+            F.sum("total_amount").alias("total_amount"),
+            F.count("order_id").alias("orders"),
+            F.max("order_date").alias("order_date"),
+        )
+    )
+    known = unique_dimension(
+        customers.select("customer_id", "name", "segment"), "customer_id"
+    ).filter(F.col("name").isNotNull())
+    return sales.join(known, "customer_id").select(
+        "customer_id",
+        F.col("segment").alias("customer_segment"),
+        "order_year",
+        "order_month",
+        F.lit("completed").alias("status"),
+        "total_amount",
+        "orders",
+        "order_date",
+    )
 
 
 def _with_average(df: DataFrame, total: str, n: str, name: str = "avg_order_value") -> DataFrame:
@@ -93,7 +133,7 @@ def segment_analysis(fact: DataFrame, grain: str = "as_is") -> DataFrame:
         .groupBy("customer_segment")
         .agg(
             sum_money(F.col("total_amount")).alias("total_revenue"),
-            F.count("order_id").alias("order_count"),
+            F.sum("orders").alias("order_count"),
         )
     )
     return _with_average(totals, "total_revenue", "order_count").orderBy(
@@ -138,7 +178,7 @@ def customer_rfm(
         .groupBy("customer_id")
         .agg(
             F.sum("total_amount").alias("monetary"),
-            F.count("order_id").alias("frequency"),
+            F.sum("orders").alias("frequency"),
             F.max("order_date").alias("last_order_date"),
         )
         .withColumn("recency_days", F.datediff(as_of_date(as_of), F.col("last_order_date")))
@@ -166,7 +206,7 @@ def gold_dashboard(
     per_customer = (
         completed(_order_rows(fact, grain))
         .groupBy("customer_id", *keys[:3])
-        .agg(F.sum("total_amount").alias("amount"), F.count("order_id").alias("orders"))
+        .agg(F.sum("total_amount").alias("amount"), F.sum("orders").alias("orders"))
     )
     customers = F.count("customer_id") if distinct_customers else F.sum("orders")
     measures = [
@@ -192,15 +232,15 @@ def _kpis(df: DataFrame, customers: Column) -> DataFrame:
 
 
 def dashboard_kpis(sales: DataFrame) -> DataFrame:
-    """Headline figures over a slice of completed orders with their value segment.
+    """Headline figures over a slice of completed sales with their value segment.
 
-    Reads orders, not the gold table, because customers must be counted once per
-    slice. Per-customer totals are formed first.
+    Reads orders or customer months, not the gold table, because a customer must
+    be counted once per slice. Per-customer totals are formed first.
     """
     per_customer = (
-        completed(sales)
+        completed(_order_rows(sales, "as_is"))
         .groupBy("customer_id")
-        .agg(F.sum("total_amount").alias("revenue"), F.count("order_id").alias("order_count"))
+        .agg(F.sum("total_amount").alias("revenue"), F.sum("orders").alias("order_count"))
     )
     return _kpis(per_customer, F.count("customer_id"))
 

@@ -111,17 +111,21 @@ def fact(spark: SparkSession, d: str) -> DataFrame:
     return model.line_facts(order_facts(spark, d), items(spark, d), products(spark, d))
 
 
+def customer_months(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.customer_months(orders(spark, d), customers(spark, d))
+
+
 def rfm(spark: SparkSession, d: str) -> DataFrame:
-    return metrics.customer_rfm(order_facts(spark, d), AS_OF)
+    return metrics.customer_rfm(customer_months(spark, d), AS_OF)
 
 
 def sales(spark: SparkSession, d: str) -> DataFrame:
-    """Completed orders with their customer's value segment."""
-    return model.with_value_segment(metrics.completed(order_facts(spark, d)), rfm(spark, d))
+    """Completed sales per customer and month, with the customer's value segment."""
+    return model.with_value_segment(customer_months(spark, d), rfm(spark, d))
 
 
 def gold(spark: SparkSession, d: str) -> DataFrame:
-    return metrics.gold_dashboard(order_facts(spark, d), rfm(spark, d))
+    return metrics.gold_dashboard(customer_months(spark, d), rfm(spark, d))
 
 
 def report(df: DataFrame) -> DataFrame:

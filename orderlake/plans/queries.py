@@ -398,7 +398,9 @@ def join_fact(spark: SparkSession, d: str) -> DataFrame:
 
 def join_rfm(spark: SparkSession, d: str) -> DataFrame:
     return report(
-        frames.sales(spark, d).select("order_id", "customer_id", "total_amount", "value_segment")
+        model.with_value_segment(
+            metrics.completed(frames.order_facts(spark, d)), frames.rfm(spark, d)
+        ).select("order_id", "customer_id", "total_amount", "value_segment")
     )
 
 
@@ -442,7 +444,7 @@ def agg_monthly(spark: SparkSession, d: str) -> DataFrame:
 
 
 def agg_segment(spark: SparkSession, d: str) -> DataFrame:
-    return report(metrics.segment_analysis(frames.order_facts(spark, d)))
+    return report(metrics.segment_analysis(frames.customer_months(spark, d)))
 
 
 def agg_segment_order(spark: SparkSession, d: str) -> DataFrame:
@@ -492,7 +494,7 @@ def agg_dash_kpi(spark: SparkSession, d: str) -> DataFrame:
 
 def agg_dash_kpi_sketch(spark: SparkSession, d: str) -> DataFrame:
     gold = metrics.gold_dashboard(
-        frames.order_facts(spark, d), frames.rfm(spark, d), customer_sketch=True
+        frames.customer_months(spark, d), frames.rfm(spark, d), customer_sketch=True
     )
     chosen = filters.dashboard_slice(gold, [1999, 2000, 2001], ["Premium", "Regular", "Bronze"])
     return report(metrics.dashboard_kpis_from_gold(chosen))

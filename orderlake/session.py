@@ -33,6 +33,9 @@ def build_session(app_name: str = "orderlake", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -42,11 +45,12 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="orderlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="orderlake-")
+    return _local_roots[context.applicationId]
 
 
 def new_scratch_dir(spark: SparkSession, label: str) -> str:
