@@ -799,7 +799,7 @@ def str_layers(spark: SparkSession, d: str) -> DataFrame:
     queries = stack.start_order_stack(
         _order_stream(spark, d), f"{lake}/tables", f"{lake}/checkpoints", run_once=True
     )
-    stack.await_all(spark, queries)
+    stack.await_all(queries)
     layers = {
         "bronze": "bronze/orders_streaming",
         "silver": "silver/orders_enriched_streaming",

@@ -56,12 +56,18 @@ def start_order_stack(
     ]
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Wait until every query has ended; the first failure stops the others and is raised."""
+def await_all(queries: list[StreamingQuery], poll_seconds: int = 1) -> None:
+    """Wait until every query has ended; the first failure stops the others and is raised.
+
+    Looks at these queries only: the session's list of ended queries may hold
+    failures of unrelated ones.
+    """
     try:
-        while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
+        while active := [q for q in queries if q.isActive]:
+            active[0].awaitTermination(poll_seconds)
+            for q in queries:
+                if q.exception() is not None:
+                    raise q.exception()
         for q in queries:
             q.awaitTermination()
     finally:
