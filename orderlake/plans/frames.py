@@ -32,11 +32,21 @@ def stored(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame
     key = (spark.sparkContext.applicationId, d, name)
     if key not in _layers:
         path = new_scratch_dir(spark, name)
-        writers.write_parquet(build(), path)
+        writers.write_parquet(_spread(build()), path)
         _layers[key] = path
     return spark.read.parquet(_layers[key])
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """At least one file per core, so that later scans of a small table run in parallel.
+
+    The layers are plain projections: a table read in as many splits as there are
+    cores, or more, is written as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 # ---- bronze: raw tables as received --------------------------------------------
 def raw_orders(spark: SparkSession, d: str) -> DataFrame:
     return stored(spark, d, "bronze-orders", lambda: supplied.raw_orders(spark, d))
