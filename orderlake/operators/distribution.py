@@ -28,23 +28,23 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact lower quantiles: the value at rank ``ceil(p * n)``, per group.
 
-    Equal values collapse on the map side. Value buckets are then counted, the
-    bucket holding each wanted rank is found among the bucket totals, and only
-    that bucket's different values are ranked. No task sees more than the list of
-    buckets (range / width) or one bucket's different values (for cents, width *
-    100), so the width suits amounts of a bounded range.
+    A first pass counts rows per value bucket and finds the bucket of each wanted
+    rank; a second pass ranks only that bucket's different values. Equal values and
+    buckets collapse on the map side. No task sees more than the list of buckets
+    (range / width) or one bucket's different values (for cents, width * 100), so
+    the width suits amounts of a bounded range.
     """
     keys = list(by)
-    frequency = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(*keys, F.col(column).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.floor(F.col("_value") / F.lit(bucket_width)).cast("bigint"))
+    # Rounding to double keeps the order of values, which is all a bucket needs.
+    rows = df.filter(F.col(column).isNotNull()).select(
+        *keys,
+        F.col(column).alias("_value"),
+        F.floor(F.col(column).cast("double") / bucket_width).alias("_bucket"),
     )
     group = Window.partitionBy(*keys)
     buckets = (
-        frequency.groupBy(*keys, "_bucket")
-        .agg(F.sum("_n").alias("_size"))
+        rows.groupBy(*keys, "_bucket")
+        .agg(F.count(F.lit(1)).alias("_size"))
         .withColumns(
             {
                 "_upto": F.sum("_size").over(group.orderBy("_bucket")),
@@ -60,16 +60,30 @@ def exact_quantiles(
         "_total",
         F.posexplode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("_which", "_p"),
     ).withColumn("_rank", F.greatest(F.ceil(F.col("_total") * F.col("_p")), F.lit(1)))
-    wanted = wanted.filter(F.col("_rank").between(F.col("_before") + 1, F.col("_upto")))
-    within = Window.partitionBy(*keys, "_which").orderBy("_value")
-    ranked = frequency.join(wanted, [*keys, "_bucket"]).withColumn(
-        "_seen", F.col("_before") + F.sum("_n").over(within)
+    wanted = wanted.filter(F.col("_rank").between(F.col("_before") + 1, F.col("_upto"))).select(
+        *keys, "_bucket", "_which", "_rank", "_before"
+    )
+    if keys:
+        rows = rows.groupBy(*keys, "_bucket", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        # One row per probability, so the second pass filters during the scan.
+        rows, wanted = rows.withColumn("_n", F.lit(1)), F.broadcast(wanted)
+    found = (
+        rows.join(wanted, [*keys, "_bucket"])
+        .groupBy(*keys, "_which", "_rank", "_before", "_value")
+        .agg(F.sum("_n").alias("_n"))
     )
+    within = Window.partitionBy(*keys, "_which").orderBy("_value")
+    reached = F.col("_before") + F.sum("_n").over(within) >= F.col("_rank")
     picks = [
-        F.min(F.when((F.col("_which") == i) & (F.col("_seen") >= F.col("_rank")), F.col("_value")))
+        F.min(F.when((F.col("_which") == i) & F.col("_reached"), F.col("_value")))
         for i in range(len(probabilities))
     ]
-    return ranked.groupBy(*keys).agg(F.array(*picks).alias("quantiles"))
+    return (
+        found.withColumn("_reached", reached)
+        .groupBy(*keys)
+        .agg(F.array(*picks).alias("quantiles"))
+    )
 
 
 def flag_outliers(

@@ -197,8 +197,9 @@ def gold_dashboard(
 ) -> DataFrame:
     """One row per year, month, customer segment and value segment.
 
-    Distinct customers do not add up over rows. ``customer_sketch`` adds an HLL
-    sketch, whose union over any slice estimates that slice's customers.
+    ``distinct_customers=False`` counts input rows instead of customers. Distinct
+    customers do not add up over rows: ``customer_sketch`` adds an HLL sketch, whose
+    union over any slice estimates that slice's customers.
     """
     keys = ["order_year", "order_month", "customer_segment", "value_segment"]
     # A customer's month is one row before the join, whatever the number of orders,
@@ -206,9 +207,13 @@ def gold_dashboard(
     per_customer = (
         completed(_order_rows(fact, grain))
         .groupBy("customer_id", *keys[:3])
-        .agg(F.sum("total_amount").alias("amount"), F.sum("orders").alias("orders"))
+        .agg(
+            F.sum("total_amount").alias("amount"),
+            F.sum("orders").alias("orders"),
+            F.count("customer_id").alias("rows"),
+        )
     )
-    customers = F.count("customer_id") if distinct_customers else F.sum("orders")
+    customers = F.count("customer_id") if distinct_customers else F.sum("rows")
     measures = [
         sum_money(F.col("amount")).alias("revenue"),
         F.sum("orders").alias("order_count"),

@@ -58,17 +58,19 @@ def valid_ratio(df: DataFrame, column: str = "is_valid_order") -> DataFrame:
     ).withColumn("valid_percent", percent(F.col("valid_rows"), F.col("total_rows")))
 
 
-def table_report(df: DataFrame, table: str, key: str) -> DataFrame:
+def table_report(df: DataFrame, table: str, key: str, exact_keys: bool = True) -> DataFrame:
     """Column-wise nulls of a table, with its size, duplicates and completeness.
 
-    One row per column, all from a single aggregation; the exact distinct count
-    of ``key`` collapses copies of a key on the map side.
+    One row per column, all from a single aggregation. The exact distinct count of
+    ``key`` collapses copies on the map side but still shuffles each key once;
+    ``exact_keys=False`` estimates it from sketches instead.
     """
+    count_keys = F.count_distinct if exact_keys else F.approx_count_distinct
     n = F.col("total_rows")
     names = df.columns
     measured = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct(F.col(key)).alias("_distinct"),
+        count_keys(F.col(key)).alias("_distinct"),
         count_when(F.col(key).isNull()).alias("_null_keys"),
         *[count_when(is_empty(df, c)).alias(f"_empty_{i}") for i, c in enumerate(names)],
     )

@@ -28,7 +28,8 @@ def pct(part: str, whole: str) -> str:
 
 
 DIRTY_ORD = f"""dirty_ord AS (
-  SELECT o_orderkey AS order_id,
+  SELECT o_orderkey,
+    CASE WHEN o_totalprice >= 12000 AND o_totalprice < 13000 THEN NULL ELSE o_orderkey END AS order_id,
     CASE WHEN o_totalprice >= 6000 THEN o_custkey END AS customer_id,
     CASE WHEN day(o_orderdate) = 31 OR (o_totalprice >= 6000 AND o_totalprice < 8000) THEN NULL
          ELSE CAST(o_orderdate AS DATE) END AS order_date,
@@ -52,7 +53,7 @@ valid AS (SELECT * FROM ord WHERE is_valid_order = 1)"""
 
 # Customers once each; "cus_all" also holds the second copy of nation 5.
 CUS = """cus AS (
-  SELECT c_custkey AS customer_id,
+  SELECT CASE WHEN c_nationkey <> 11 THEN c_custkey END AS customer_id,
     CASE WHEN c_nationkey IN (0, 1) THEN NULL
          WHEN c_mktsegment = 'BUILDING' THEN 'Ann ' || c_name ELSE c_name END AS name,
     CASE WHEN c_nationkey IN (2, 3, 6) THEN NULL
@@ -69,7 +70,8 @@ CUS = """cus AS (
     c_nationkey
   FROM customer),
 cus_scored AS (
-  SELECT *, 25.0::DOUBLE * (1 + CASE WHEN name IS NOT NULL THEN 1 ELSE 0 END
+  SELECT *, 25.0::DOUBLE * (CASE WHEN customer_id IS NOT NULL THEN 1 ELSE 0 END
+    + CASE WHEN name IS NOT NULL THEN 1 ELSE 0 END
     + CASE WHEN email IS NOT NULL THEN 1 ELSE 0 END
     + CASE WHEN join_date IS NOT NULL THEN 1 ELSE 0 END) AS dq
   FROM cus),
@@ -112,7 +114,7 @@ itm AS (
   FROM itm_c)"""
 
 PRD = """prd AS (
-  SELECT p_partkey AS product_id,
+  SELECT CASE WHEN p_size <> 11 THEN p_partkey END AS product_id,
     CASE WHEN p_size IN (1, 2) THEN 'Unknown Product' ELSE p_name END AS product_name,
     CASE WHEN p_size = 50 THEN 'Toys' WHEN p_type IN ('STANDARD', 'MEDIUM') THEN 'Electronics'
          WHEN p_type = 'ECONOMY' THEN 'Home & Kitchen' WHEN p_type = 'PROMO' THEN 'Sports & Outdoors'
@@ -183,7 +185,7 @@ totals AS (
     MAX(quantity) AS max_item_quantity
   FROM itm WHERE quantity IS NOT NULL GROUP BY order_id),
 lagged AS (
-  SELECT v.*, LAG(order_date) OVER (PARTITION BY customer_id ORDER BY order_date, order_id) AS prev_order_date
+  SELECT v.*, LAG(order_date) OVER (PARTITION BY customer_id ORDER BY order_date, order_id NULLS FIRST) AS prev_order_date
   FROM valid v),
 parts AS (
   SELECT l.*, t.total_quantity, t.max_item_quantity,
@@ -272,7 +274,7 @@ JSON_VALUE = """'{"order_id":' || event_id || ',"customer_id":' || user_id || ',
 
 # Null counts of the raw tables, column by column.
 RAW_ORDERS_EMPTY = {
-    "order_id": "0",
+    "order_id": "SUM(CASE WHEN o_totalprice >= 12000 AND o_totalprice < 13000 THEN 1 ELSE 0 END)",
     "customer_id": "SUM(CASE WHEN o_totalprice < 6000 THEN 1 ELSE 0 END)",
     "order_date": "SUM(CASE WHEN day(o_orderdate) <> 31 AND o_totalprice >= 6000 AND o_totalprice < 8000 THEN 1 ELSE 0 END)",
     "status": "SUM(CASE WHEN o_totalprice >= 8000 AND o_totalprice < 9000 THEN 1 ELSE 0 END)",
@@ -291,7 +293,7 @@ RAW_ITEMS_EMPTY = {
     "line_total": "0",
 }
 RAW_CUSTOMERS_EMPTY = {
-    "customer_id": "0",
+    "customer_id": "SUM(CASE WHEN c_nationkey = 11 THEN 1 ELSE 0 END)",
     "name": "0",
     "email": "SUM(CASE WHEN c_nationkey = 6 THEN 1 ELSE 0 END)",
     "join_date": "SUM(CASE WHEN c_nationkey = 7 THEN 1 ELSE 0 END)",
@@ -303,7 +305,7 @@ RAW_CUSTOMERS_EMPTY = {
     "last_login": "COUNT(*)",
 }
 RAW_PRODUCTS_EMPTY = {
-    "product_id": "0",
+    "product_id": "SUM(CASE WHEN p_size = 11 THEN 1 ELSE 0 END)",
     "product_name": "SUM(CASE WHEN p_size = 2 THEN 1 ELSE 0 END)",
     "category": "0",
     "subcategory": "0",
@@ -323,16 +325,16 @@ def table_line(name: str, empties: dict[str, str], source: str, key: str) -> str
     hundredths = [f"(2 * 10000 * {e} + COUNT(*)) // (2 * COUNT(*))" for e in empties.values()]
     kept = " + ".join(f"(10000 - {h})" for h in hundredths)
     return f"""SELECT '{name}' AS table_name, COUNT(*) AS total_rows, {n} AS total_columns,
-      COUNT(*) - COUNT(DISTINCT {key}) AS duplicate_rows,
+      COUNT(*) - COUNT(DISTINCT {key}) - MAX(CASE WHEN {key} IS NULL THEN 1 ELSE 0 END) AS duplicate_rows,
       CAST((2 * ({kept}) + {n}) // (2 * {n}) AS DOUBLE) / 100 AS completeness_score FROM {source}"""
 
 
 SUMMARY = " UNION ALL ".join(
     [
-        table_line("orders", RAW_ORDERS_EMPTY, "orders", "o_orderkey"),
+        table_line("orders", RAW_ORDERS_EMPTY, "orders JOIN dirty_ord USING (o_orderkey)", "order_id"),
         table_line("customers", RAW_CUSTOMERS_EMPTY, "cus_all", "customer_id"),
         table_line("order_items", RAW_ITEMS_EMPTY, "itm_raw", "item_id"),
-        table_line("products", RAW_PRODUCTS_EMPTY, "part", "p_partkey"),
+        table_line("products", RAW_PRODUCTS_EMPTY, "prd", "product_id"),
     ]
 )
 
@@ -429,13 +431,12 @@ def statements() -> dict[str, str]:
         # ---- filters
         "flt_valid_ratio": f"""WITH {ORD} SELECT COUNT(*) AS total_rows, CAST(SUM(is_valid_order) AS BIGINT) AS valid_rows,
             {pct('SUM(is_valid_order)', 'COUNT(*)')} AS valid_percent FROM ord""",
-        "flt_bad_date": f"""SELECT order_id, order_date, status FROM ({_raw_texts()}) JOIN orders ON o_orderkey = order_id
+        "flt_bad_date": f"""SELECT order_id, order_date, status FROM ({_raw_texts()}) JOIN orders USING (o_orderkey)
             WHERE day(o_orderdate) = 31 OR (o_totalprice >= 6000 AND o_totalprice < 8000)
               OR CAST(o_orderdate AS DATE) > DATE '2001-07-01'""",
-        "flt_bad_email": """WITH bad AS (
-              SELECT c_custkey AS customer_id, CASE c_nationkey WHEN 2 THEN 'notanemail' WHEN 3 THEN 'user@domain'
-                WHEN 4 THEN ' User' || c_custkey || '@Shop.COM ' END AS email
-              FROM customer WHERE c_nationkey IN (2, 3, 4, 6)) SELECT * FROM bad""",
+        "flt_bad_email": """SELECT c_custkey AS customer_id, CASE c_nationkey WHEN 2 THEN 'notanemail'
+            WHEN 3 THEN 'user@domain' WHEN 4 THEN ' User' || c_custkey || '@Shop.COM ' END AS email
+            FROM customer WHERE c_nationkey IN (2, 3, 4, 6)""",
         "flt_neg_amount": f"""WITH {ORD} SELECT o_orderkey AS order_id, o_custkey AS customer_id,
             -{eur(CENTS)} AS total_amount FROM orders WHERE o_totalprice >= 9000 AND o_totalprice < 11000""",
         "flt_dash": f"""WITH {GOLD} {GOLD_SELECT} WHERE order_year IN (1999, 2000, 2001)
@@ -455,20 +456,17 @@ def statements() -> dict[str, str]:
             CAST(t.total_quantity AS BIGINT) AS total_quantity, t.item_count,
             CAST(t.max_item_quantity AS INTEGER) AS max_item_quantity
             FROM valid v LEFT JOIN totals t ON t.order_id = v.order_id""",
-        "anti_refint": f"""WITH {ORD}, {ITM}, {PRD},
-            kept AS (SELECT * FROM ord JOIN orders ON o_orderkey = order_id WHERE customer_id IS NOT NULL
-              AND NOT (o_totalprice >= 9000 AND o_totalprice < 12000)),
-            known AS (SELECT c_custkey FROM customer WHERE c_nationkey <> 6),
-            goods AS (SELECT p_partkey FROM part WHERE p_size <> 4)
-            SELECT 'orders_missing_customers' AS issue, COUNT(*) AS orphan_count FROM kept
-              WHERE customer_id NOT IN (SELECT c_custkey FROM known)
-            UNION ALL SELECT 'order_items_missing_orders', COUNT(*) FROM itm_raw
-              WHERE order_id NOT IN (SELECT order_id FROM kept)
-            UNION ALL SELECT 'order_items_missing_products', COUNT(*) FROM itm_raw
-              WHERE product_id IS NOT NULL AND product_id NOT IN (SELECT p_partkey FROM goods)""",
+        "anti_refint": f"""WITH {ORD}, {CUS}, {ITM}, {PRD}
+            SELECT 'orders_missing_customers' AS issue, COUNT(*) AS orphan_count FROM ord o
+              WHERE customer_id IS NOT NULL
+              AND NOT EXISTS (SELECT 1 FROM cus c WHERE c.customer_id = o.customer_id)
+            UNION ALL SELECT 'order_items_missing_orders', COUNT(*) FROM itm_raw i
+              WHERE NOT EXISTS (SELECT 1 FROM ord o WHERE o.order_id = i.order_id)
+            UNION ALL SELECT 'order_items_missing_products', COUNT(*) FROM itm_raw i
+              WHERE product_id IS NOT NULL
+              AND NOT EXISTS (SELECT 1 FROM prd p WHERE p.product_id = i.product_id)""",
         "anti_refint_rows": f"""WITH {ORD}, {ITM} SELECT item_id, order_id, {eur('raw_total')} AS line_total
-            FROM itm_raw WHERE order_id NOT IN (SELECT o_orderkey FROM orders WHERE o_totalprice >= 6000
-              AND NOT (o_totalprice >= 9000 AND o_totalprice < 12000))""",
+            FROM itm_raw i WHERE NOT EXISTS (SELECT 1 FROM ord o WHERE o.order_id = i.order_id)""",
         # ---- aggregates
         "agg_overall": f"""WITH {ORD} SELECT {eur('SUM(cents)')} AS total_revenue, COUNT(order_id) AS completed_orders,
             {mean('SUM(cents)', 'COUNT(order_id)')} AS avg_order_value FROM valid WHERE status = 'completed'""",
@@ -578,7 +576,7 @@ def statements() -> dict[str, str]:
               CAST((2 * 10000 * (p - c) + p) // (2 * p) AS DOUBLE) / 10000 AS revenue_drop_pct
             FROM l WHERE (p - c) * 20 >= p""",
         "win_lag_order": f"""WITH {ORD}, l AS (SELECT order_id, customer_id, order_date,
-              LAG(order_date) OVER (PARTITION BY customer_id ORDER BY order_date, order_id) AS prev_order_date FROM valid)
+              LAG(order_date) OVER (PARTITION BY customer_id ORDER BY order_date, order_id NULLS FIRST) AS prev_order_date FROM valid)
             SELECT *, CAST(order_date - prev_order_date AS INTEGER) AS days_since_last_order FROM l""",
         "win_dedup_flag": f"WITH {ITM}, {numbered_items} SELECT {item_columns}, rn > 1 AS is_duplicate FROM numbered",
         "win_dedup_drop": f"WITH {ITM}, {numbered_items} SELECT {item_columns} FROM numbered WHERE rn = 1",
@@ -587,7 +585,7 @@ def statements() -> dict[str, str]:
               RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS orders_in_last_hour FROM events""",
         "topk_customers": f"""WITH {CUST_METRICS} SELECT customer_id, total_orders, total_revenue, avg_order_value, segment
             FROM cmetrics ORDER BY total_revenue DESC, customer_id LIMIT 5""",
-        "topk_fraud": f"""WITH {FRAUD} SELECT * EXCLUDE (cents) FROM frd ORDER BY fraud_score DESC, order_id LIMIT 10""",
+        "topk_fraud": f"""WITH {FRAUD} SELECT * EXCLUDE (cents) FROM frd ORDER BY fraud_score DESC, order_id NULLS FIRST LIMIT 10""",
         "topk_latest": f"""WITH {LIVE} SELECT order_id, customer_id, event_timestamp, status, {eur('cents')} AS total_amount
             FROM live ORDER BY event_timestamp DESC, order_id DESC LIMIT 1000""",
         "sort_report": f"WITH {ORD} SELECT status, COUNT(order_id) AS count FROM valid GROUP BY status",
@@ -600,8 +598,8 @@ def statements() -> dict[str, str]:
         "dq_dupkeys": """SELECT l_orderkey * 10 + l_linenumber AS item_id, COUNT(*) AS count
             FROM lineitem GROUP BY 1 HAVING COUNT(*) > 1""",
         "dq_range": f"WITH {ORD} SELECT MIN(order_date) AS earliest, MAX(order_date) AS latest FROM ord",
-        "dq_score": f"""WITH {CUS} SELECT customer_id, 25.0::DOUBLE * (2
-            + CASE WHEN c_nationkey = 6 THEN 0 ELSE 1 END + CASE WHEN c_nationkey = 7 THEN 0 ELSE 1 END)
+        "dq_score": f"""WITH {CUS} SELECT customer_id, 25.0::DOUBLE * (1
+            + CASE WHEN c_nationkey = 11 THEN 0 ELSE 1 END + CASE WHEN c_nationkey = 6 THEN 0 ELSE 1 END + CASE WHEN c_nationkey = 7 THEN 0 ELSE 1 END)
             AS data_quality_score FROM cus_all""",
         "dq_iqr": f"""WITH {ITM}, r AS (SELECT raw_total, ROW_NUMBER() OVER (ORDER BY raw_total) AS rn,
               COUNT(*) OVER () AS n FROM itm_raw),
@@ -613,7 +611,7 @@ def statements() -> dict[str, str]:
                 f"SELECT '{c}' AS column_name, CAST({e} AS BIGINT) AS null_count, {pct(e, 'COUNT(*)')} AS null_percent FROM itm_raw"
                 for c, e in RAW_ITEMS_EMPTY.items())})
             SELECT * FROM line, cols""",
-        "dq_summary": f"WITH {CUS}, {ITM} {SUMMARY}",
+        "dq_summary": f"WITH {ORD}, {CUS}, {ITM}, {PRD} {SUMMARY}",
         "dq_dash": f"""WITH {ORD}, {CUS}, {ITM}, {PRD}, summary AS ({SUMMARY}),
             invalid AS (
               SELECT SUM(CASE WHEN is_valid_order = 0 THEN 1 ELSE 0 END) AS bad FROM ord
@@ -626,6 +624,7 @@ def statements() -> dict[str, str]:
               (SELECT CAST(SUM(bad) AS BIGINT) FROM invalid) AS total_invalid FROM summary""",
         "dq_impact": None,
         "dq_quarantine": f"""WITH {ORD} SELECT order_id, concat_ws(',',
+              CASE WHEN order_id IS NULL THEN 'missing_order_id' END,
               CASE WHEN customer_id IS NULL THEN 'missing_customer_id' END,
               CASE WHEN order_date IS NULL THEN 'bad_order_date' END,
               CASE WHEN coalesce(cents, 0) <= 0 THEN 'bad_total_amount' END,
@@ -681,10 +680,11 @@ def statements() -> dict[str, str]:
               CASE WHEN elapsed > 0 THEN round(gained * 60 / elapsed, 4) ELSE 0 END AS messages_per_minute FROM f""",
         "log_lag": f"""WITH {MSG}, committed AS (
               SELECT event_type AS topic, user_id % 3 AS partition, MAX(event_id) + 1 AS c FROM events
-              WHERE ts < TIMESTAMP '2024-01-16' AND user_id % 3 <> 2 GROUP BY 1, 2)
+              WHERE ts < TIMESTAMP '2024-01-16' AND event_type <> 'signup' GROUP BY 1, 2)
             SELECT 'billing' AS group_id, s.topic, s.partition, latest_offset, coalesce(c, 0) AS committed_offset,
               latest_offset + 1 - coalesce(c, 0) AS lag
-            FROM stats s LEFT JOIN committed k ON k.topic = s.topic AND k.partition = s.partition""",
+            FROM stats s LEFT JOIN committed k ON k.topic = s.topic AND k.partition = s.partition
+            WHERE s.topic IN (SELECT topic FROM committed)""",
         "log_read_from": f"""WITH {MSG}, r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY topic, partition ORDER BY "offset") AS rn
               FROM msg WHERE "offset" >= 500)
             SELECT topic, partition, "offset", key, timestamp, {JSON_VALUE} AS value FROM r WHERE rn <= 100""",
@@ -700,13 +700,14 @@ def statements() -> dict[str, str]:
     sql["agg_segment_order"] = sql["agg_segment"]
     sql["flt_review"] = f"""WITH {LIVE}, a AS ({ALERT_SELECT})
         SELECT * REPLACE (string_split(reasons, '; ') AS reasons) FROM a WHERE requires_review"""
-    sql["join_fact_raw"] = f"""WITH o AS ({sql['enr_orders_raw']}), {ORD}, {ITM},
+    flagged = sql["enr_orders_raw"].replace("SELECT order_id, status,", "SELECT o_orderkey, order_id, status,")
+    sql["join_fact_raw"] = f"""WITH o AS ({flagged}), {ORD}, {ITM},
         head AS (
           SELECT o.order_id, d.customer_id, b.order_date, b.status, o.order_year, o.order_month, o.is_completed,
             d2.total_amount
-          FROM o JOIN ord d ON d.order_id = o.order_id
-          JOIN ({_raw_texts()}) b ON b.order_id = o.order_id
-          JOIN ({_raw_amounts()}) d2 ON d2.order_id = o.order_id),
+          FROM o JOIN ord d ON d.o_orderkey = o.o_orderkey
+          JOIN ({_raw_texts()}) b ON b.o_orderkey = o.o_orderkey
+          JOIN ({_raw_amounts()}) d2 ON d2.o_orderkey = o.o_orderkey),
         people AS ({_raw_people()}),
         goods AS ({_raw_goods()})
         SELECT h.order_id, h.customer_id, p.name AS customer_name, p.segment AS customer_segment,
@@ -721,7 +722,8 @@ def statements() -> dict[str, str]:
 
 def _raw_texts() -> str:
     """Raw order date and status texts."""
-    return """SELECT o_orderkey AS order_id,
+    return """SELECT o_orderkey,
+        CASE WHEN o_totalprice >= 12000 AND o_totalprice < 13000 THEN NULL ELSE o_orderkey END AS order_id,
         CASE WHEN day(o_orderdate) = 31 THEN '2024-13-45'
           WHEN o_totalprice >= 6000 AND o_totalprice < 8000 THEN NULL
           ELSE CASE o_orderpriority WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d')
@@ -742,14 +744,14 @@ def _raw_texts() -> str:
 
 
 def _raw_amounts() -> str:
-    return f"""SELECT o_orderkey AS order_id, CASE WHEN o_totalprice >= 497500 THEN {eur(f'10 * {CENTS}')}
+    return f"""SELECT o_orderkey, CASE WHEN o_totalprice >= 497500 THEN {eur(f'10 * {CENTS}')}
         WHEN o_totalprice >= 9000 AND o_totalprice < 11000 THEN -{eur(CENTS)}
         WHEN o_totalprice >= 11000 AND o_totalprice < 12000 THEN 0
         ELSE {eur(CENTS)} END AS total_amount FROM orders"""
 
 
 def _raw_people() -> str:
-    return """SELECT c_custkey AS customer_id,
+    return """SELECT CASE WHEN c_nationkey <> 11 THEN c_custkey END AS customer_id,
         CASE WHEN c_nationkey = 0 THEN 'Test User' WHEN c_nationkey = 1 THEN ' '
           WHEN c_mktsegment = 'AUTOMOBILE' THEN 'Mr. ' || c_name
           WHEN c_mktsegment = 'BUILDING' THEN '  Ann   ' || c_name || ' '
@@ -760,7 +762,7 @@ def _raw_people() -> str:
 
 
 def _raw_goods() -> str:
-    return """SELECT p_partkey AS product_id,
+    return """SELECT CASE WHEN p_size <> 11 THEN p_partkey END AS product_id,
         CASE p_size WHEN 1 THEN 'N/A' WHEN 2 THEN '' WHEN 3 THEN '  ' || p_name || ' ' ELSE p_name END AS product_name,
         CASE WHEN p_size = 50 THEN ' Toys ' WHEN p_type = 'STANDARD' THEN 'ELECTRONICS'
           WHEN p_type = 'MEDIUM' THEN 'Electronic' WHEN p_type = 'ECONOMY' THEN 'HOME_KITCHEN'

@@ -410,22 +410,18 @@ def join_fraud_items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _parents(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Children with whole tables; parents known only in part, so that orphans exist."""
-    orders = frames.raw_orders(spark, d)
-    customers = frames.raw_customers(spark, d).filter(F.col("email").isNotNull())
-    known_orders = orders.filter(F.col("customer_id").isNotNull() & (F.col("total_amount") > 0))
-    products = frames.raw_products(spark, d).filter(F.col("unit_price").isNotNull())
-    return known_orders, customers, frames.raw_items(spark, d), products
-
-
 def anti_refint(spark: SparkSession, d: str) -> DataFrame:
-    return integrity.referential_issues(*_parents(spark, d))
+    return integrity.referential_issues(
+        frames.raw_orders(spark, d),
+        frames.raw_customers(spark, d),
+        frames.raw_items(spark, d),
+        frames.raw_products(spark, d),
+    )
 
 
 def anti_refint_rows(spark: SparkSession, d: str) -> DataFrame:
-    orders, _, items, _ = _parents(spark, d)
-    return integrity.orphans(items, orders, "order_id").select("item_id", "order_id", "line_total")
+    lost = integrity.orphans(frames.raw_items(spark, d), frames.raw_orders(spark, d), "order_id")
+    return lost.select("item_id", "order_id", "line_total")
 
 
 # ---- aggregates --------------------------------------------------------------------

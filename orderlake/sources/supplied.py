@@ -25,9 +25,10 @@ def _conform(df: DataFrame, schema: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders: date format by priority; bad dates on day 31; odd amounts by price band."""
+    """Orders: date format by priority; bad dates on day 31; odd ids and amounts by price band."""
     df = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey AS order_id",
+        """CASE WHEN o_totalprice >= 12000 AND o_totalprice < 13000 THEN NULL
+                ELSE o_orderkey END AS order_id""",
         "CASE WHEN o_totalprice >= 6000 THEN o_custkey END AS customer_id",
         """CASE WHEN day(o_orderdate) = 31 THEN '2024-13-45'
                 WHEN o_totalprice >= 6000 AND o_totalprice < 8000 THEN NULL
@@ -66,7 +67,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers: titles and date format by segment, bad values by nation, copies of nation 5."""
     base = table(spark, sf_dir, "customer").selectExpr(
-        "c_custkey AS customer_id",
+        "CASE WHEN c_nationkey <> 11 THEN c_custkey END AS customer_id",
         """CASE WHEN c_nationkey = 0 THEN 'Test User' WHEN c_nationkey = 1 THEN ' '
                 WHEN c_mktsegment = 'AUTOMOBILE' THEN concat('Mr. ', c_name)
                 WHEN c_mktsegment = 'BUILDING' THEN concat('  Ann   ', c_name, ' ')
@@ -145,7 +146,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products: category spellings by part type, bad names, prices and costs by size."""
     df = table(spark, sf_dir, "part").selectExpr(
-        "p_partkey AS product_id",
+        "CASE WHEN p_size <> 11 THEN p_partkey END AS product_id",
         """CASE p_size WHEN 1 THEN 'N/A' WHEN 2 THEN '' WHEN 3 THEN concat('  ', p_name, ' ')
                 ELSE p_name END AS product_name""",
         """CASE WHEN p_size = 50 THEN ' Toys '
@@ -286,11 +287,13 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def committed_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offsets of a consumer that has read the log's first half and never read partition 2."""
-    events = table(spark, sf_dir, "events")
+    """Offsets of a consumer that has read the month's first half of all topics but one."""
+    read = (F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")) & (
+        F.col("event_type") != "signup"
+    )
     return (
-        events.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
-        .filter(F.col("user_id") % 3 != 2)
+        table(spark, sf_dir, "events")
+        .filter(read)
         .groupBy(
             F.lit("billing").alias("group_id"),
             F.col("event_type").alias("topic"),
