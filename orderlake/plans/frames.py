@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,9 +14,13 @@ from orderlake.operators import enrich, metrics, model
 from orderlake.session import new_scratch_dir
 from orderlake.sources import supplied, writers
 
-# The supplied orders end on 2001-08-01, the events on 2024-01-30.
+# The supplied orders end on 2001-08-01.
 AS_OF = dt.date(2001, 9, 1)
-LIVE_AS_OF = dt.datetime(2024, 1, 30, 23, 0, 0)
+
+
+def live_as_of() -> Column:
+    """A time shortly before the last event, in the session's time zone like the events."""
+    return F.lit("2024-01-30 23:00:00").cast("timestamp")
 
 
 _layers: dict[tuple[str, str, str], str] = {}

@@ -30,8 +30,8 @@ from orderlake.operators import (
     quality,
 )
 from orderlake.plans import frames
-from orderlake.plans.frames import AS_OF, LIVE_AS_OF, report
-from orderlake.session import new_scratch_dir
+from orderlake.plans.frames import AS_OF, report
+from orderlake.session import new_scratch_dir, streaming_session
 from orderlake.sources import readers, supplied, writers
 from orderlake.streaming import sinks, stack
 from orderlake.streaming import transforms as T
@@ -139,7 +139,7 @@ def _staged_events(spark: SparkSession, events: DataFrame) -> str:
 
 def _order_stream(spark: SparkSession, d: str) -> DataFrame:
     path = _staged_events(spark, supplied.order_events(spark, d))
-    return stack.order_source(spark, "file", path)
+    return stack.order_source(streaming_session(spark), "file", path)
 
 
 def _run_to_parquet(spark: SparkSession, stream: DataFrame) -> DataFrame:
@@ -509,11 +509,11 @@ def agg_dash_value(spark: SparkSession, d: str) -> DataFrame:
 
 
 def agg_live(spark: SparkSession, d: str) -> DataFrame:
-    return report(live.live_kpis(supplied.live_orders(spark, d), as_of=LIVE_AS_OF))
+    return report(live.live_kpis(supplied.live_orders(spark, d), as_of=frames.live_as_of()))
 
 
 def agg_5min(spark: SparkSession, d: str) -> DataFrame:
-    return report(live.order_buckets(supplied.live_orders(spark, d), as_of=LIVE_AS_OF))
+    return report(live.order_buckets(supplied.live_orders(spark, d), as_of=frames.live_as_of()))
 
 
 def agg_hist(spark: SparkSession, d: str) -> DataFrame:
@@ -773,7 +773,7 @@ def str_late(spark: SparkSession, d: str) -> DataFrame:
     half = F.lit("2024-01-16").cast("timestamp")
     path = _staged_events(spark, events.filter(at >= half))
     out = new_scratch_dir(spark, "late")
-    stream = stack.order_source(spark, "file", path)
+    stream = stack.order_source(streaming_session(spark), "file", path)
     windows = T.revenue_by_window(T.enrich_order_events(stream), "1 hour").drop("unique_customers")
     for arrivals in (None, events.filter(at < half)):
         if arrivals is not None:
@@ -849,7 +849,7 @@ def log_flatten(spark: SparkSession, d: str) -> DataFrame:
 
 
 def log_retain(spark: SparkSession, d: str) -> DataFrame:
-    kept = msglog.retained(supplied.messages(spark, d), supplied.topics(spark, d), LIVE_AS_OF)
+    kept = msglog.retained(supplied.messages(spark, d), supplied.topics(spark, d), frames.live_as_of())
     path = new_scratch_dir(spark, "log")
     writers.rewrite_retained(kept, path)
     return report(spark.read.schema(kept.schema).parquet(path).drop("value"))

@@ -56,3 +56,18 @@ def scratch_root(spark: SparkSession) -> str:
 def new_scratch_dir(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no earlier run has used."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def streaming_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application for stateful streams.
+
+    State partitions are fixed by the checkpoint and never coalesced, so there are
+    no more of them than cores; batch queries keep the caller's setting.
+    """
+    session = spark.newSession()
+    zone = "spark.sql.session.timeZone"
+    partitions = "spark.sql.shuffle.partitions"
+    session.conf.set(zone, spark.conf.get(zone))
+    cores = spark.sparkContext.defaultParallelism
+    session.conf.set(partitions, str(min(cores, int(spark.conf.get(partitions)))))
+    return session
