@@ -10,7 +10,7 @@ from orderlake.operators.live import At, as_of_time
 
 def topic_partitions(topics: DataFrame) -> DataFrame:
     """(topic, partition) of every declared topic."""
-    return topics.select(
+    return topics.filter("partitions > 0").select(
         "topic", F.explode(F.sequence(F.lit(0), F.col("partitions") - 1)).alias("partition")
     )
 
@@ -84,23 +84,27 @@ def read_from(
     topic: str | None = None,
     partition: int | None = None,
 ) -> DataFrame:
-    """The next ``limit`` messages of each partition from an offset on, in offset order.
+    """The next ``limit`` messages of each partition from an offset on.
 
-    The rank limit is applied on the map side, so a long partition is not gathered.
+    One chosen partition is a plain top-n. Over several, Spark applies the rank limit
+    on the map side (for limits up to its window group limit threshold, 1000 by
+    default), so a long partition is not gathered.
     """
     wanted = messages.filter(F.col("offset") >= from_offset)
     if topic is not None:
         wanted = wanted.filter(F.col("topic") == topic)
     if partition is not None:
         wanted = wanted.filter(F.col("partition") == partition)
+    if topic is not None and partition is not None:
+        return wanted.orderBy("offset").limit(limit)
     return _first_per(wanted, ["topic", "partition"], [F.col("offset")], limit)
 
 
 def latest_messages(messages: DataFrame, n: int = 5, topic: str | None = None) -> DataFrame:
-    """The newest ``n`` messages of each topic."""
-    if topic is not None:
-        messages = messages.filter(F.col("topic") == topic)
+    """The newest ``n`` messages of each topic, or of one topic."""
     newest = [F.col("timestamp").desc(), F.col("offset").desc(), F.col("partition").desc()]
+    if topic is not None:
+        return messages.filter(F.col("topic") == topic).orderBy(*newest).limit(n)
     return _first_per(messages, ["topic"], newest, n)
 
 

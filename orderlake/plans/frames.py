@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,11 +35,17 @@ def stored(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame
     a lost executor costs a re-read, not a re-clean.
     """
     key = (spark.sparkContext.applicationId, d, name)
-    if key not in _layers:
-        path = new_scratch_dir(spark, name)
-        writers.write_parquet(_spread(build()), path)
-        _layers[key] = path
-    return spark.read.parquet(_layers[key])
+    if key in _layers:
+        try:
+            return spark.read.parquet(_layers[key])
+        except AnalysisException as error:
+            # The scratch folder was cleaned up in between: build the table again.
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    path = new_scratch_dir(spark, name)
+    writers.write_parquet(_spread(build()), path)
+    _layers[key] = path
+    return spark.read.parquet(path)
 
 
 def _spread(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlake import schemas
 
@@ -20,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _conform(df: DataFrame, schema: str) -> DataFrame:
     """Columns and types of a declared schema."""
-    fields = df.sparkSession.createDataFrame([], schema).schema.fields
+    fields = T.StructType.fromDDL(schema).fields
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orderlake import schemas
 from orderlake.operators import live, msglog, quality
 from orderlake.plans import medallion
-from orderlake.session import scratch_root
+from orderlake.session import scratch_root, streaming_session
 from orderlake.sources import readers, supplied, writers
 
 
@@ -134,3 +134,22 @@ def test_log_of_a_small_topic(spark):
     read = msglog.read_from(log, 10, 3, "a", 0)
     assert sorted(r.offset for r in read.collect()) == [10, 11, 12]
     assert sorted(r.offset for r in msglog.latest_messages(log, 2, "a").collect()) == [88, 89]
+    assert msglog.topic_partitions(spark.createDataFrame([("c", 0, 1)], schemas.TOPICS)).count() == 0
+    per_topic = msglog.latest_messages(log, 2)
+    assert sorted(r.offset for r in per_topic.collect()) == [88, 89]
+
+
+def test_a_vanished_layer_is_built_again(spark, sf):
+    from orderlake.plans import frames
+
+    key = (spark.sparkContext.applicationId, sf, "bronze-products")
+    n = frames.raw_products(spark, sf).count()
+    frames._layers[key] = frames._layers[key] + "-gone"
+    assert frames.raw_products(spark, sf).count() == n
+
+
+def test_streaming_session_bounds_its_partitions(spark):
+    session = streaming_session(spark)
+    key = "spark.sql.shuffle.partitions"
+    assert int(session.conf.get(key)) <= spark.sparkContext.defaultParallelism
+    assert spark.conf.get(key) == "4"
