@@ -100,6 +100,9 @@ def main() -> None:
             frames.clean_customers,
             frames.clean_items,
             frames.clean_products,
+            frames.fact,
+            frames.customer_months,
+            frames.potential_fraud,
         ):
             build(spark, folder)
 

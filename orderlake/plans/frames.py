@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.functions.numeric import decimals_to_double
-from orderlake.operators import enrich, metrics, model
+from orderlake.operators import enrich, fraud, metrics, model
 from orderlake.session import new_scratch_dir
 from orderlake.sources import supplied, writers
 
@@ -43,7 +43,7 @@ def stored(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
     path = new_scratch_dir(spark, name)
-    writers.write_parquet(_spread(build()), path)
+    writers.write_parquet(build(), path)
     _layers[key] = path
     return spark.read.parquet(path)
 
@@ -51,7 +51,7 @@ def stored(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame
 def _spread(df: DataFrame) -> DataFrame:
     """At least one file per core, so that later scans of a small table run in parallel.
 
-    The layers are plain projections: a table read in as many splits as there are
+    For plain projections of files: a table read in as many splits as there are
     cores, or more, is written as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -60,19 +60,25 @@ def _spread(df: DataFrame) -> DataFrame:
 
 # ---- bronze: raw tables as received --------------------------------------------
 def raw_orders(spark: SparkSession, d: str) -> DataFrame:
-    return stored(spark, d, "bronze-orders", lambda: supplied.raw_orders(spark, d))
+    return stored(spark, d, "bronze-orders", lambda: _spread(supplied.raw_orders(spark, d)))
 
 
 def raw_customers(spark: SparkSession, d: str) -> DataFrame:
-    return stored(spark, d, "bronze-customers", lambda: supplied.raw_customers(spark, d))
+    return stored(
+        spark, d, "bronze-customers", lambda: _spread(supplied.raw_customers(spark, d))
+    )
 
 
 def raw_items(spark: SparkSession, d: str) -> DataFrame:
-    return stored(spark, d, "bronze-order_items", lambda: supplied.raw_order_items(spark, d))
+    return stored(
+        spark, d, "bronze-order_items", lambda: _spread(supplied.raw_order_items(spark, d))
+    )
 
 
 def raw_products(spark: SparkSession, d: str) -> DataFrame:
-    return stored(spark, d, "bronze-products", lambda: supplied.raw_products(spark, d))
+    return stored(
+        spark, d, "bronze-products", lambda: _spread(supplied.raw_products(spark, d))
+    )
 
 
 # ---- silver: raw and cleaned columns side by side --------------------------------
@@ -124,16 +130,35 @@ def products(spark: SparkSession, d: str) -> DataFrame:
     return enrich.canonical_products(clean_products(spark, d))
 
 
+# ---- modelled tables ---------------------------------------------------------------
 def order_facts(spark: SparkSession, d: str) -> DataFrame:
     return model.order_facts(orders(spark, d), customers(spark, d))
 
 
-def fact(spark: SparkSession, d: str) -> DataFrame:
+def build_fact(spark: SparkSession, d: str) -> DataFrame:
     return model.line_facts(order_facts(spark, d), items(spark, d), products(spark, d))
 
 
+def fact(spark: SparkSession, d: str) -> DataFrame:
+    return stored(spark, d, "silver-fact_orders", lambda: build_fact(spark, d))
+
+
 def customer_months(spark: SparkSession, d: str) -> DataFrame:
-    return metrics.customer_months(orders(spark, d), customers(spark, d))
+    return stored(
+        spark,
+        d,
+        "silver-customer_months",
+        lambda: metrics.customer_months(orders(spark, d), customers(spark, d)),
+    )
+
+
+def potential_fraud(spark: SparkSession, d: str) -> DataFrame:
+    return stored(
+        spark,
+        d,
+        "gold-potential_fraud",
+        lambda: fraud.potential_fraud(orders(spark, d), items(spark, d)),
+    )
 
 
 def rfm(spark: SparkSession, d: str) -> DataFrame:

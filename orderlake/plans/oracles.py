@@ -451,6 +451,7 @@ def statements() -> dict[str, str]:
         # ---- joins
         "join_fact_raw": None,
         "join_fact": f"WITH {FACT} {FACT_SELECT}",
+        "join_metrics": f"WITH {CUST_METRICS} SELECT customer_id, total_orders, join_date, segment FROM cmetrics",
         "join_rfm": f"WITH {SALES} SELECT order_id, customer_id, {eur('cents')} AS total_amount, value_segment FROM sales",
         "join_fraud_items": f"""WITH {FRAUD} SELECT v.order_id, v.customer_id,
             CAST(t.total_quantity AS BIGINT) AS total_quantity, t.item_count,
@@ -634,6 +635,12 @@ def statements() -> dict[str, str]:
         "frd_stream": f"""WITH {LIVE} SELECT order_id, customer_id,
             CASE WHEN value < 1 THEN NULL ELSE event_timestamp END AS order_timestamp,
             {eur('cents')} AS total_amount, fraud_score, status FROM live_scored WHERE fraud_score >= 3""",
+        "frd_velocity": f"""WITH {STREAM}, counted AS (
+              SELECT order_id, COUNT(*) OVER (PARTITION BY customer_id ORDER BY t
+                RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n FROM enriched WHERE t IS NOT NULL)
+            SELECT s.order_id, s.customer_id, CASE WHEN value < 1 THEN NULL ELSE event_timestamp END AS order_timestamp,
+              {eur('cents')} AS total_amount, fraud_score, n AS orders_in_last_hour, status
+            FROM live_scored s LEFT JOIN counted c ON c.order_id = s.order_id WHERE fraud_score >= 3""",
         "frd_live": f"""WITH {LIVE} SELECT order_id, customer_id, event_timestamp, status,
             {eur('cents')} AS total_amount, fraud_score FROM live_scored WHERE fraud_score >= 3""",
         "frd_alert": f"WITH {LIVE} {ALERT_SELECT}",

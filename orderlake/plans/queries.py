@@ -100,7 +100,7 @@ def snk_silver(spark: SparkSession, d: str) -> DataFrame:
 
 def snk_fact(spark: SparkSession, d: str) -> DataFrame:
     path = new_scratch_dir(spark, "fact")
-    writers.write_fact_orders(frames.fact(spark, d), path)
+    writers.write_fact_orders(frames.build_fact(spark, d), path)
     return report(spark.read.parquet(path))
 
 
@@ -393,7 +393,13 @@ def join_fact_raw(spark: SparkSession, d: str) -> DataFrame:
 
 
 def join_fact(spark: SparkSession, d: str) -> DataFrame:
-    return report(frames.fact(spark, d))
+    return report(frames.build_fact(spark, d))
+
+
+def join_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.customer_metrics(
+        frames.valid_orders(spark, d), frames.customers(spark, d), AS_OF
+    ).select("customer_id", "total_orders", "join_date", "segment")
 
 
 def join_rfm(spark: SparkSession, d: str) -> DataFrame:
@@ -521,7 +527,7 @@ def agg_hist(spark: SparkSession, d: str) -> DataFrame:
 
 
 def agg_hist_score(spark: SparkSession, d: str) -> DataFrame:
-    scored = fraud.potential_fraud(frames.orders(spark, d), frames.items(spark, d))
+    scored = frames.potential_fraud(spark, d)
     return report(distribution.histogram(scored, "fraud_score", 10))
 
 
@@ -536,7 +542,7 @@ def agg_box_approx(spark: SparkSession, d: str) -> DataFrame:
 
 
 def agg_fraud_kpi(spark: SparkSession, d: str) -> DataFrame:
-    scored = fraud.potential_fraud(frames.orders(spark, d), frames.items(spark, d))
+    scored = frames.potential_fraud(spark, d)
     return report(fraud.fraud_kpis(scored, "total_amount_cleaned"))
 
 
@@ -617,7 +623,7 @@ def topk_customers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topk_fraud(spark: SparkSession, d: str) -> DataFrame:
-    scored = fraud.potential_fraud(frames.orders(spark, d), frames.items(spark, d))
+    scored = frames.potential_fraud(spark, d)
     return report(fraud.top_scores(scored, 10))
 
 
@@ -734,6 +740,23 @@ def frd_stream(spark: SparkSession, d: str) -> DataFrame:
     return report(T.fraud_stream(enriched))
 
 
+def frd_velocity(spark: SparkSession, d: str) -> DataFrame:
+    """Suspicious rows with the customer's orders in the hour before."""
+    enriched = T.enrich_order_events(supplied.order_events(spark, d))
+    counted = fraud.orders_in_window(enriched.filter(F.col("is_valid_order") == 1))
+    return report(
+        fraud.suspicious_rows(counted).select(
+            "order_id",
+            "customer_id",
+            "order_timestamp",
+            "total_amount",
+            "fraud_score",
+            "orders_in_last_hour",
+            "status",
+        )
+    )
+
+
 def _live_fraud(spark: SparkSession, d: str) -> DataFrame:
     return fraud.suspicious_rows(supplied.live_orders(spark, d), only_valid=False)
 
