@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,7 +71,7 @@ def exact_quantiles(
         # One row per probability, so the second pass filters during the scan.
         rows, wanted = rows.withColumn("_n", F.lit(1)), F.broadcast(wanted)
     found = (
-        rows.join(wanted, [*keys, "_bucket"])
+        _join_groups(rows, wanted, [*keys, "_bucket"])
         .groupBy(*keys, "_which", "_rank", "_before", "_value")
         .agg(F.sum("_n").alias("_n"))
     )
@@ -147,11 +149,18 @@ def box_plot(df: DataFrame, column: str, by: str, exact: bool = False) -> DataFr
             F.min(column).alias("minimum"),
             F.max(column).alias("maximum"),
         )
-        summary = extremes.join(exact_quantiles(values, column, quartiles, [by]), by)
+        summary = _join_groups(extremes, exact_quantiles(values, column, quartiles, [by]), [by])
     return summary.select(
         by, "n", "minimum", *_named("quantiles", ("q1", "median", "q3")), "maximum"
     )
 
 
+def _join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on grouping keys, where null is a group like any other."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same).drop(*[f"_right_{k}" for k in keys])
+
+
 def _named(array: str, names: Sequence[str]) -> list[Column]:
     return [F.col(array)[i].alias(name) for i, name in enumerate(names)]

@@ -141,6 +141,7 @@ def test_exact_quantiles(spark):
     rng = random.Random(2)
     rows = [("a", 5.0)] * 400 + [("a", rng.uniform(-50, 900)) for _ in range(333)]
     rows += [("b", rng.lognormvariate(3, 2)) for _ in range(101)] + [("c", 1.5), ("b", None)]
+    rows += [(None, v) for v in (7.0, 3.0, 9.5)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(4)
     probabilities = [0.0, 0.25, 0.5, 0.75, 1.0]
 
@@ -152,7 +153,7 @@ def test_exact_quantiles(spark):
         r.g: r.quantiles
         for r in distribution.exact_quantiles(df, "v", probabilities, ["g"]).collect()
     }
-    for g in "abc":
+    for g in ("a", "b", "c", None):
         values = [v for k, v in rows if k == g and v is not None]
         assert got[g] == [lower(values, p) for p in probabilities]
     everything = [v for _, v in rows if v is not None]
@@ -177,6 +178,15 @@ def test_approximate_quartiles_are_close(spark):
         assert abs(got - want) <= 100
 
 
+def test_box_plot_keeps_a_group_without_a_name(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("x", 5.0)], "g string, v double")
+    exact = distribution.box_plot(df, "v", "g", exact=True)
+    assert {r.g: (r.n, r.q1, r.median, r.maximum) for r in exact.collect()} == {
+        None: (2, 1.0, 1.0, 2.0),
+        "x": (1, 5.0, 5.0, 5.0),
+    }
+
+
 def test_histogram_of_one_value(spark):
     df = spark.createDataFrame([(3.0,), (3.0,), (None,)], "v double")
     assert [(r.bin, r["count"]) for r in distribution.histogram(df, "v", 10).collect()] == [(0, 2)]
