@@ -48,37 +48,36 @@ def stored(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame
     return spark.read.parquet(path)
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """At least one file per core, so that later scans of a small table run in parallel.
+def _spread_table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A supplied table in at least one split per core.
 
-    For plain projections of files: a table read in as many splits as there are
-    cores, or more, is written as it is, without a shuffle.
+    A small file may be a single split, which would leave the other cores idle here
+    and in every later scan. A table that already has as many splits is not shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    df = supplied.table(spark, d, name)
+    cores = spark.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 # ---- bronze: raw tables as received --------------------------------------------
+def _bronze(spark: SparkSession, d: str, name: str, adapt: Callable) -> DataFrame:
+    return stored(spark, d, f"bronze-{name}", lambda: adapt(spark, d, _spread_table))
+
+
 def raw_orders(spark: SparkSession, d: str) -> DataFrame:
-    return stored(spark, d, "bronze-orders", lambda: _spread(supplied.raw_orders(spark, d)))
+    return _bronze(spark, d, "orders", supplied.raw_orders)
 
 
 def raw_customers(spark: SparkSession, d: str) -> DataFrame:
-    return stored(
-        spark, d, "bronze-customers", lambda: _spread(supplied.raw_customers(spark, d))
-    )
+    return _bronze(spark, d, "customers", supplied.raw_customers)
 
 
 def raw_items(spark: SparkSession, d: str) -> DataFrame:
-    return stored(
-        spark, d, "bronze-order_items", lambda: _spread(supplied.raw_order_items(spark, d))
-    )
+    return _bronze(spark, d, "order_items", supplied.raw_order_items)
 
 
 def raw_products(spark: SparkSession, d: str) -> DataFrame:
-    return stored(
-        spark, d, "bronze-products", lambda: _spread(supplied.raw_products(spark, d))
-    )
+    return _bronze(spark, d, "products", supplied.raw_products)
 
 
 # ---- silver: raw and cleaned columns side by side --------------------------------

@@ -8,6 +8,8 @@ size and so on), so the expected clean value of each row is known exactly.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,9 @@ from pyspark.sql import types as T
 from orderlake import schemas
 
 
+Reader = Callable[[SparkSession, str, str], DataFrame]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,9 +30,9 @@ def _conform(df: DataFrame, schema: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, read: Reader = table) -> DataFrame:
     """Orders: date format by priority; bad dates on day 31; odd ids and amounts by price band."""
-    df = table(spark, sf_dir, "orders").selectExpr(
+    df = read(spark, sf_dir, "orders").selectExpr(
         """CASE WHEN o_totalprice >= 12000 AND o_totalprice < 13000 THEN NULL
                 ELSE o_orderkey END AS order_id""",
         "CASE WHEN o_totalprice >= 6000 THEN o_custkey END AS customer_id",
@@ -65,9 +70,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conform(df, schemas.ORDERS)
 
 
-def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_customers(spark: SparkSession, sf_dir: str, read: Reader = table) -> DataFrame:
     """Customers: titles and date format by segment, bad values by nation, copies of nation 5."""
-    base = table(spark, sf_dir, "customer").selectExpr(
+    base = read(spark, sf_dir, "customer").selectExpr(
         "CASE WHEN c_nationkey <> 11 THEN c_custkey END AS customer_id",
         """CASE WHEN c_nationkey = 0 THEN 'Test User' WHEN c_nationkey = 1 THEN ' '
                 WHEN c_mktsegment = 'AUTOMOBILE' THEN concat('Mr. ', c_name)
@@ -109,10 +114,10 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conform(base.unionByName(copies), schemas.CUSTOMERS)
 
 
-def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_order_items(spark: SparkSession, sf_dir: str, read: Reader = table) -> DataFrame:
     """Order items: line items, some with unusable quantity, price, discount, product or total."""
     df = (
-        table(spark, sf_dir, "lineitem")
+        read(spark, sf_dir, "lineitem")
         .selectExpr(
             "l_orderkey * 10 + l_linenumber AS item_id",
             "l_orderkey AS order_id",
@@ -144,9 +149,9 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conform(df, schemas.ORDER_ITEMS)
 
 
-def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_products(spark: SparkSession, sf_dir: str, read: Reader = table) -> DataFrame:
     """Products: category spellings by part type, bad names, prices and costs by size."""
-    df = table(spark, sf_dir, "part").selectExpr(
+    df = read(spark, sf_dir, "part").selectExpr(
         "CASE WHEN p_size <> 11 THEN p_partkey END AS product_id",
         """CASE p_size WHEN 1 THEN 'N/A' WHEN 2 THEN '' WHEN 3 THEN concat('  ', p_name, ' ')
                 ELSE p_name END AS product_name""",
