@@ -705,8 +705,7 @@ def statements() -> dict[str, str]:
             WHERE timestamp >= TIMESTAMP '2024-01-30 23:00:00' - INTERVAL 336 HOUR""",
     }
     sql["agg_segment_order"] = sql["agg_segment"]
-    sql["flt_review"] = f"""WITH {LIVE}, a AS ({ALERT_SELECT})
-        SELECT * REPLACE (string_split(reasons, '; ') AS reasons) FROM a WHERE requires_review"""
+    sql["flt_review"] = f"WITH {LIVE}, a AS ({ALERT_SELECT}) SELECT * FROM a WHERE requires_review"
     flagged = sql["enr_orders_raw"].replace("SELECT order_id, status,", "SELECT o_orderkey, order_id, status,")
     sql["join_fact_raw"] = f"""WITH o AS ({flagged}), {ORD}, {ITM},
         head AS (

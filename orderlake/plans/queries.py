@@ -138,8 +138,9 @@ def _staged_events(spark: SparkSession, events: DataFrame) -> str:
 
 
 def _order_stream(spark: SparkSession, d: str) -> DataFrame:
+    """A month of order events as a stream: a backfill, taken as one batch."""
     path = _staged_events(spark, supplied.order_events(spark, d))
-    return stack.order_source(streaming_session(spark), "file", path)
+    return stack.order_source(streaming_session(spark), "file", path, files_per_trigger=None)
 
 
 def _run_to_parquet(spark: SparkSession, stream: DataFrame) -> DataFrame:
@@ -379,7 +380,8 @@ def flt_high_value(spark: SparkSession, d: str) -> DataFrame:
 
 
 def flt_review(spark: SparkSession, d: str) -> DataFrame:
-    return report(filters.alerts_to_review(_alerts(spark, d)))
+    review = filters.alerts_to_review(_alerts(spark, d))
+    return report(review.withColumn("reasons", F.concat_ws("; ", "reasons")))
 
 
 # ---- joins -----------------------------------------------------------------------
@@ -796,7 +798,7 @@ def str_late(spark: SparkSession, d: str) -> DataFrame:
     half = F.lit("2024-01-16").cast("timestamp")
     path = _staged_events(spark, events.filter(at >= half))
     out = new_scratch_dir(spark, "late")
-    stream = stack.order_source(streaming_session(spark), "file", path)
+    stream = stack.order_source(streaming_session(spark), "file", path, files_per_trigger=None)
     windows = T.revenue_by_window(T.enrich_order_events(stream), "1 hour").drop("unique_customers")
     for arrivals in (None, events.filter(at < half)):
         if arrivals is not None:

@@ -60,16 +60,23 @@ def read_or_empty(read, spark: SparkSession, path: str, schema: str) -> DataFram
 
 
 def stream_json(
-    spark: SparkSession, path: str, schema: str = schemas.ORDER_EVENT, files_per_trigger: int = 50
+    spark: SparkSession,
+    path: str,
+    schema: str = schemas.ORDER_EVENT,
+    files_per_trigger: int | None = 50,
 ) -> DataFrame:
-    """JSON files as they arrive, oldest first; sources are kept for other readers."""
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .option("latestFirst", False)
-        .option("cleanSource", "off")
-        .json(path)
+    """JSON files as they arrive, oldest first; sources are kept for other readers.
+
+    ``files_per_trigger=None`` takes all that is there at once. Backfills want this:
+    files written in parallel carry no order in time, and in small batches an early
+    slice of the past could count as late.
+    """
+    reader = (
+        spark.readStream.schema(schema).option("latestFirst", False).option("cleanSource", "off")
     )
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.json(path)
 
 
 def stream_kafka(

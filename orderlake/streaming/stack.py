@@ -82,6 +82,7 @@ def order_source(
     path: str | None = None,
     kafka_servers: str | None = None,
     kafka_topic: str | None = None,
+    files_per_trigger: int | None = 50,
 ) -> DataFrame:
     """Raw order events from JSON files or a Kafka topic."""
     if mode == "kafka":
@@ -91,5 +92,5 @@ def order_source(
     if mode == "file":
         if not path:
             raise ValueError("file mode needs a path")
-        return readers.stream_json(spark, path)
+        return readers.stream_json(spark, path, files_per_trigger=files_per_trigger)
     raise ValueError(f"unknown mode {mode!r}")
