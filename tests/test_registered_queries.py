@@ -5,8 +5,9 @@ from compare import compare
 
 import __spark_entry__ as contract
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+# The optional subpackage's queries have their own tests.
+QUERIES = contract.registry.registered()
+ORACLES = contract.oracles.statements()
 # Estimates have no exact SQL; they are bounded in test_distribution and test_metrics.
 ESTIMATES = {"agg_box_approx", "agg_dash_kpi_sketch", "dq_iqr_approx"}
 
@@ -28,5 +29,10 @@ def test_query(name, spark, sf, duckdb_con):
         assert df.count() > 0
 
 
+def test_contract_has_every_query():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
