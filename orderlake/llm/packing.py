@@ -236,7 +236,7 @@ def pack(pieces: DataFrame, *, length_col: str = "length", capacity: int = CAPAC
         "left",
     ).withColumn("_rank", F.col("_at") + F.col("_before"))
     out_schema = with_fields(pieces.schema, sequence_id=T.LongType(), offset=T.LongType())
-    columns = [F.col(f"`{c}`") for c in pieces.columns]
+    columns, width = [F.col(f"`{c}`") for c in pieces.columns], len(pieces.columns)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stride = int(counts.max()) + 1
@@ -250,7 +250,7 @@ def pack(pieces: DataFrame, *, length_col: str = "length", capacity: int = CAPAC
             empty = np.zeros(len(lengths), np.int64)
             sequence = slots["sequence"][run] + ranks - slots["rank"][run] if len(keys) else empty
             offset = slots["offset"][run] if len(keys) else empty
-            kept = [batch.column(i) for i in range(len(columns))]
+            kept = [batch.column(i) for i in range(width)]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(sequence, mask=~known), pa.array(offset, mask=~known)],
                 out_schema.names,

@@ -159,7 +159,7 @@ def _url_filter_sql() -> str:
 WITH hosts AS (SELECT DISTINCT {host} AS host FROM pages WHERE {host} <> ''),
 urls AS (SELECT DISTINCT regexp_replace(url, '#.*$', '') AS page FROM pages WHERE url IS NOT NULL),
 changes AS (
-  SELECT 'spam' AS list_name, 'block' AS policy, 'domain:' || host AS key, 1 AS turn, {day(f"{digit(4)} * 12")} AS at FROM {spam}
+  SELECT 'spam' AS list_name, 'block' AS policy, 'domain:' || host AS key, 1 AS turn, {day(f"{digit(4)} * 12")} AS day FROM {spam}
   UNION ALL SELECT 'spam', 'block', 'domain:' || host, 0, {day(f"{digit(4)} * 12 + {digit(5)} * 10 + 20")} FROM {spam}
   UNION ALL SELECT 'spam', 'block', 'domain:' || host, 1, {day(f"{digit(4)} * 12 + {digit(5)} * 10 + 60")} FROM {spam} AND {digit(6)} < 8
   UNION ALL SELECT 'adult', 'block', 'domain:' || regexp_extract(host, '([^.]+\\.[^.]+\\.[^.]+)$', 1), 1, {day(f"{digit(7)} * 20")}
@@ -168,7 +168,7 @@ changes AS (
   UNION ALL SELECT 'trusted', 'allow', 'domain:' || host, 0, {day("250")} FROM hosts WHERE {digit(3)} < 2
   UNION ALL SELECT 'takedown', 'block', 'url:' || page, 1, {day(f"{digit(2, 'page')} * 22")} FROM urls WHERE {digit(1, 'page')} < 1
 ),
-dated AS (SELECT list_name, policy, key, at, max(turn) AS turn FROM changes GROUP BY ALL),
+dated AS (SELECT list_name, policy, key, day, max(turn) AS turn FROM changes GROUP BY ALL),
 fetched AS (
   SELECT row_number() OVER () AS r, page_id, url, {day("page_id % 360")} AS fetched_at, string_split({host}, '.') AS labels, {host} AS host
   FROM pages
@@ -179,8 +179,8 @@ keyed AS (
     FROM (SELECT *, unnest(range(1, len(labels) + 1)) AS i FROM fetched WHERE host <> '')
 ),
 latest AS (
-  SELECT k.r, c.list_name, c.policy, c.key, arg_max(c.turn, c.at) AS turn
-  FROM keyed k JOIN dated c ON k.key = c.key AND c.at <= k.fetched_at GROUP BY ALL
+  SELECT k.r, c.list_name, c.policy, c.key, arg_max(c.turn, c.day) AS turn
+  FROM keyed k JOIN dated c ON k.key = c.key AND c.day <= k.fetched_at GROUP BY ALL
 ),
 valid AS (
   SELECT r, count(*) FILTER (policy = 'block') AS n_block, count(*) FILTER (policy = 'allow') AS n_allow,

@@ -1,12 +1,13 @@
 """Toxic passages by maximum-scoring segments of token log-odds.
 
-A token's score is its log-odds of toxic against clean texts under an informative Dirichlet
-prior (the corpus' own word shares), where the log-odds is significant, less a drift. All
-maximal-scoring segments of a text come from one linear scan. The score of a text's best
-segment follows an extreme-value law in clean texts, P(M > x) = 1 - exp(-K n exp(-lambda x));
-lambda comes from the token scores of clean texts and K from their best segments. What the
-best segment exceeds its expectation by, and how many significant segments there are, give a
-probability by a logistic fit on labelled texts that the token scores have not seen.
+A token's score is the log-odds that toxic and not clean texts hold it, under an informative
+Dirichlet prior (its share of all texts), less a drift. A token without a significant score
+of its own has that of its longest beginning that has one, so inflected and compound forms
+count. All maximal-scoring segments of a text come from one linear scan. The score of a
+text's best segment follows an extreme-value law in clean texts, P(M > x) = 1 - exp(-K n
+exp(-lambda x)); K and lambda are fitted to the best segments of clean texts. The best
+segment's surprise, -ln P, and the number of significant segments give a probability by a
+logistic fit on labelled texts that the token scores have not seen.
 """
 
 from __future__ import annotations
@@ -26,7 +27,10 @@ from orderlake.llm.common import column, crc_mod, prepare, texts_of
 WORD = re.compile(r"\w+")
 # Labelled texts that the model is fitted on at most: those with the smallest hashes of ids.
 MOST_LABELLED = 20_000
-PRIOR, SIGNIFICANT, DRIFT = 500.0, 3.0, 0.1
+# Weight of the prior in texts, least z-score of a token that counts, loss for each token.
+PRIOR, SIGNIFICANT, DRIFT = 100.0, 3.0, 0.1
+BEGINNINGS = (8, 7, 6, 5, 4)
+REMEMBERED = 400_000
 
 
 @dataclass
@@ -35,15 +39,30 @@ class Model:
     decay: float = 1.0
     scale: float = 1.0
     fit: tuple[float, float, float] | None = None
+    known: dict[str, float] = field(default_factory=dict)
 
-    def __post_init__(self):
-        self.raising = {w for w, s in self.weights.items() if s > DRIFT}
+    def __getstate__(self):
+        return {**self.__dict__, "known": {}}
+
+    def scores(self, tokens: list[str]) -> list[float]:
+        """The log-odds of each token; 0 for one that is not significant."""
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        for token in set(tokens).difference(known):
+            known[token] = next((self.weights[p] for p in pieces(token) if p in self.weights), 0.0)
+        return list(map(known.__getitem__, tokens))
 
 
 def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def pieces(word: str) -> list[str]:
+    """A word and its beginnings, the longest first; ``~`` marks a beginning."""
+    return [word, *(word[:n] + "~" for n in BEGINNINGS if len(word) > n)]
+
+
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (start, end, score) of a sequence, left to right.
 
@@ -75,43 +94,40 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 def segments(text: str, model: Model) -> tuple[int, list[tuple[int, int, float]]]:
     """Number of tokens, and the maximal segments in tokens."""
     tokens = words(text)
-    if model.raising.isdisjoint(tokens):
+    if not tokens or not model.weights:
         return len(tokens), []
-    get = model.weights.get
-    scores = np.fromiter((get(t, 0.0) for t in tokens), float, len(tokens)) - DRIFT
-    return len(tokens), maximal_segments(scores)
+    scores = np.array(model.scores(tokens))
+    return len(tokens), maximal_segments(scores - DRIFT) if scores.max() > DRIFT else []
+
+
+def evidence(n: int, scores: list[float], model: Model) -> tuple[float, float, list[float]]:
+    """-ln P of the best segment in clean texts of n tokens, ln(1 + significant segments),
+    and each segment's excess over what such texts are expected to hold."""
+    if not scores:
+        return 0.0, 0.0, []
+    excess = [model.decay * s - float(np.log(max(model.scale * n, 1e-9))) for s in scores]
+    chance = -np.expm1(-np.exp(-np.clip(max(excess), -30, 30)))
+    return float(-np.log(max(chance, 1e-13))), float(np.log1p(sum(e > 0 for e in excess))), excess
 
 
 def features(text: str, model: Model) -> tuple[float, float]:
-    """The best segment's excess over clean texts, and the significant segments' number."""
     n, found = segments(text, model)
-    floor = np.log(max(model.scale * n, 1e-9)) if n else 0.0
-    excess = [model.decay * s - floor for _, _, s in found]
-    best = max(excess, default=-floor if n else 0.0)
-    return float(np.clip(best, -30, 30)), float(np.log1p(sum(e > 0 for e in excess)))
-
-
-def log_odds(toxic: np.ndarray, clean: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-odds with a Dirichlet prior in proportion to all words' shares, and its z-score."""
-    both = toxic + clean
-    prior = PRIOR * both / max(both.sum(), 1)
-    y1, y0 = toxic + prior, clean + prior
-    n1, n0 = y1.sum(), y0.sum()
-    ratio = np.log(y1 / np.maximum(n1 - y1, 1e-9)) - np.log(y0 / np.maximum(n0 - y0, 1e-9))
-    return ratio, ratio / np.sqrt(1 / y1 + 1 / y0)
-
-
-def decay_of(scores: np.ndarray, shares: np.ndarray) -> float:
-    """lambda with sum(share * exp(lambda * score)) = 1, at most the 1 of exact log-odds."""
-    if not (scores > 0).any() or (scores * shares).sum() >= 0:
-        return 1.0
-    lo, hi = 1e-6, 1.0
-    if (shares * np.exp(hi * scores)).sum() <= 1:
-        return 1.0
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if (shares * np.exp(mid * scores)).sum() < 1 else (lo, mid)
-    return max(lo, 1e-3)
+    return evidence(n, [s for _, _, s in found], model)[:2]
+
+
+def extreme_value_fit(lengths: np.ndarray, best: np.ndarray) -> tuple[float, float]:
+    """(lambda, K) of the most likely law for clean texts' best segments; a best segment of
+    0 says only that there was none."""
+    some = best > 0
+    if not some.any():
+        return 1.0, 1.0 / max(lengths.sum(), 1)
+    found = []
+    for decay in np.geomspace(0.02, 5, 200):
+        scale = some.sum() / (lengths * np.exp(-decay * best)).sum()
+        value = some.sum() * np.log(scale * decay) - decay * best[some].sum() - some.sum()
+        found.append((value, decay, scale))
+    _, decay, scale = max(found)
+    return float(decay), float(scale)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
@@ -152,7 +168,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, most: int, id_col: str, t
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"))
     # At most ``most`` pairs of numbers.
     return source.join(F.broadcast(known), "_id").select(
-        F.col("_label").alias("label"), F.pmod(F.xxhash64("_id") / 2, F.lit(2)).cast("int").alias("half"), "text"
+        F.col("_label").alias("label"), F.shiftrightunsigned(F.xxhash64("_id"), 5).bitwiseAND(F.lit(1)).cast("int").alias("half"), "text"
     )
 
 
@@ -168,12 +184,17 @@ def train(
     prepare(docs.sparkSession)
     sample = labelled_texts(docs, labels, most, id_col, text_col)
 
+    texts = dict(sample.where("half = 0").groupBy((F.col("label") > 0).alias("toxic")).count().collect())
+    n1, n0 = texts.get(True, 0), texts.get(False, 0)
+    if not n1 or not n0:
+        return Model()
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for label, half, text in zip(column(batch, "label"), column(batch, "half"), texts_of(batch)):
                 if half == 0:
-                    counts[int(label > 0)].update(words(text))
+                    counts[int(label > 0)].update({p for w in set(words(text)) for p in pieces(w)})
         for label, seen in enumerate(counts):
             yield pa.RecordBatch.from_arrays(
                 [
@@ -181,33 +202,23 @@ def train(
                     pa.array(np.full(len(seen), label, np.int32)),
                     pa.array(list(seen.values()), pa.int64()),
                 ],
-                ["word", "label", "n"],
+                ["piece", "label", "n"],
             )
 
-    counted = (
-        sample.mapInArrow(count, "word string, label int, n long")
-        .groupBy("word")
-        .agg(
-            F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"),
-            F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("clean"),
-        )
-        .where("toxic + clean > 0")
-    )
-    # Words of the bounded sample; the rare ones only matter as a sum.
-    rare = F.col("toxic") + F.col("clean") < 3
+    of = lambda label: F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(0))
+    prior = PRIOR * (F.col("toxic") + F.col("clean")) / (n1 + n0)
+    y1, y0 = F.col("toxic") + prior, F.col("clean") + prior
+    ratio = F.log(y1 / (n1 + PRIOR - y1 + 0.5)) - F.log(y0 / (n0 + PRIOR - y0 + 0.5))
+    # The significant pieces of a bounded sample.
     rows = (
-        counted.groupBy(F.when(rare, F.lit(None)).otherwise(F.col("word")).alias("word"))
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .toArrow()
+        sample.mapInArrow(count, "piece string, label int, n long")
+        .groupBy("piece").agg(of(1).alias("toxic"), of(0).alias("clean"))
+        .select("piece", ratio.alias("ratio"), (ratio / F.sqrt(1 / y1 + 1 / y0)).alias("z"))
+        .where(F.abs("z") >= SIGNIFICANT)
+        .select("piece", "ratio")
+        .collect()
     )
-    names, toxic, clean = (rows.column(i).to_pylist() for i in range(3))
-    toxic, clean = np.array(toxic, float), np.array(clean, float)
-    if not toxic.sum() or not clean.sum():
-        return Model()
-    ratio, z = log_odds(toxic, clean)
-    ratio = np.where((np.abs(z) >= SIGNIFICANT) & [w is not None for w in names], ratio, 0.0)
-    weights = {w: float(r) for w, r in zip(names, ratio) if r}
-    model = Model(weights, decay_of(ratio - DRIFT, clean / clean.sum()))
+    model = Model({r["piece"]: r["ratio"] for r in rows})
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,8 +226,7 @@ def train(
             for label, half, text in zip(column(batch, "label"), column(batch, "half"), texts_of(batch)):
                 if half == 1:
                     n, found = segments(text, model)
-                    scores = [s for _, _, s in found]
-                    rows.append((label, n, scores))
+                    rows.append((label, n, [s for _, _, s in found]))
             cols = list(zip(*rows)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.float64()))],
@@ -227,14 +237,8 @@ def train(
     calm = [(r["n"], max(r["scores"], default=0.0)) for r in seen if r["label"] == 0 and r["n"]]
     if not calm:
         return model
-    model.scale = len(calm) / max(sum(n * np.exp(-model.decay * m) for n, m in calm), 1e-9)
-    rows = []
-    for r in seen:
-        floor = np.log(max(model.scale * r["n"], 1e-9)) if r["n"] else 0.0
-        excess = [model.decay * s - floor for s in r["scores"]]
-        best = max(excess, default=-floor if r["n"] else 0.0)
-        rows.append((np.clip(best, -30, 30), np.log1p(sum(e > 0 for e in excess)), r["label"] > 0))
-    table = np.array(rows, float)
+    model.decay, model.scale = extreme_value_fit(*np.array(calm, float).T)
+    table = np.array([(*evidence(r["n"], r["scores"], model)[:2], r["label"] > 0) for r in seen], float)
     if 0 < table[:, 2].sum() < len(table):
         model.fit = logistic(table[:, :2], table[:, 2])
     return model
@@ -255,12 +259,11 @@ def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
             scores, passages = [], []
             for text in texts_of(batch):
                 n, found = segments(text, model)
-                floor = np.log(max(model.scale * n, 1e-9)) if n else 0.0
-                held = [(a, b, model.decay * s - floor) for a, b, s in found]
-                best = max((e for _, _, e in held), default=-floor if n else 0.0)
-                x = float(np.clip(best, -30, 30)), float(np.log1p(sum(e > 0 for _, _, e in held)))
+                *x, excess = evidence(n, [s for _, _, s in found], model)
                 scores.append(probability(x, model))
-                passages.append([{"start": a, "end": b, "score": e} for a, b, e in held if e > 0])
+                passages.append(
+                    [{"start": a, "end": b, "score": e} for (a, b, _), e in zip(found, excess) if e > 0]
+                )
             ids = pa.array(column(batch, "id"), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(scores, pa.float64()), pa.array(passages, kind)], ["doc_id", "score", "passages"]
