@@ -19,12 +19,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import WordHashes, column, prepare, shingle_hashes, texts_of, words_of
+from orderlake.llm.common import (
+    WordHashes,
+    column,
+    offsets_of,
+    prepare,
+    shingle_hashes,
+    slices,
+    texts_of,
+    words_of,
+)
 
 WORDS, THRESHOLD, HASHES = 5, 0.8, 64
 # Shingles of the items that a pass over the documents searches for at most.
 BLOCK_SHINGLES = 2_000_000
 SMALLEST = 16
+# Characters of documents that are searched together.
+CHUNK = 500_000
 
 
 def multipliers(n: int) -> np.ndarray:
@@ -32,33 +43,58 @@ def multipliers(n: int) -> np.ndarray:
     return np.random.default_rng(20240229).integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def block_minima(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """Minima of each hash over each block of SMALLEST shingles: (hashes, blocks)."""
-    starts = np.arange(0, len(shingles), SMALLEST)
-    out = np.empty((len(factors), len(starts)), np.uint64)
-    # Pieces that stay in the processor's cache; their borders are block borders.
-    step = SMALLEST * 1024
-    for lo in range(0, len(shingles), step):
-        part = shingles[lo : lo + step]
-        at = np.arange(0, len(part), SMALLEST)
-        for i, factor in enumerate(factors):
-            np.minimum.reduceat(part * factor, at, out=out[i, lo // SMALLEST : lo // SMALLEST + len(at)])
-    return out
+class Blocks:
+    """Minima of each hash over blocks of many documents' shingles.
 
+    ``minima`` is (hashes, blocks); a block never holds shingles of two documents, which
+    have ``counts`` blocks each.
+    """
 
-def halved(minima: np.ndarray) -> np.ndarray:
-    """Minima over blocks of twice the size."""
-    if minima.shape[1] % 2:
-        minima = np.concatenate([minima, minima[:, -1:]], axis=1)
-    return np.minimum(minima[:, ::2], minima[:, 1::2])
+    def __init__(self, minima: np.ndarray, counts: np.ndarray):
+        self.minima, self.counts = minima, counts
+
+    @classmethod
+    def of(cls, shingles: list[np.ndarray], factors: np.ndarray) -> Blocks:
+        """Blocks of SMALLEST shingles."""
+        sizes = np.array([len(s) for s in shingles])
+        flat, counts = np.concatenate(shingles), -(-sizes // SMALLEST)
+        first = np.repeat(offsets_of(sizes)[:-1], counts)
+        starts = first + SMALLEST * run_places(counts)
+        out = np.empty((len(factors), len(starts)), np.uint64)
+        # Pieces that stay in the processor's cache.
+        for lo in range(0, len(starts), 1024):
+            hi = min(lo + 1024, len(starts))
+            base, end = starts[lo], starts[hi] if hi < len(starts) else len(flat)
+            part, at = flat[base:end], starts[lo:hi] - base
+            for i, factor in enumerate(factors):
+                np.minimum.reduceat(part * factor, at, out=out[i, lo:hi])
+        return cls(out, counts)
+
+    def halved(self) -> Blocks:
+        """Blocks of twice the size."""
+        counts = -(-self.counts // 2)
+        starts = np.repeat(offsets_of(self.counts)[:-1], counts) + 2 * run_places(counts)
+        return Blocks(np.minimum.reduceat(self.minima, starts, axis=1), counts)
+
+    def windows(self) -> np.ndarray:
+        """Minima over each block and the one after it in its document."""
+        after = np.arange(1, self.minima.shape[1] + 1)
+        after[np.cumsum(self.counts) - 1] -= 1
+        return np.minimum(self.minima, self.minima[:, after])
+
+
+def run_places(counts: np.ndarray) -> np.ndarray:
+    """0, 1, 2, ... within each of consecutive runs."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
 class Items:
     """Minima and shingles of a block of benchmark items, by size class."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], factors: np.ndarray):
-        self.items = items
-        self.classes: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.items, self.factors = items, factors
+        self.classes: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         by_class: dict[int, list[int]] = {}
         for i, (_, shingles) in enumerate(items):
             size = SMALLEST
@@ -67,26 +103,34 @@ class Items:
             by_class.setdefault(size, []).append(i)
         for size, members in by_class.items():
             found = []
+            bits = np.uint64((1 << max(10, min(22, (16 * len(members)).bit_length()))) - 1)
             for factor in factors:
                 minima = np.array([(items[i][1] * factor).min() for i in members], np.uint64)
                 order = np.argsort(minima, kind="stable")
-                found.append((minima[order], np.array(members)[order]))
+                some = np.zeros(int(bits) + 1, bool)
+                some[self.place(minima, bits)] = True
+                found.append((minima[order], np.array(members)[order], some))
             self.classes[size] = found
 
-    def candidates(self, shingles: np.ndarray, factors: np.ndarray) -> set[int]:
-        out: set[int] = set()
-        minima, size = block_minima(shingles, factors), SMALLEST
+    @staticmethod
+    def place(minima: np.ndarray, bits: np.uint64) -> np.ndarray:
+        return ((minima >> np.uint64(20)) & bits).astype(np.int64)
+
+    def candidates(self, shingles: list[np.ndarray]) -> set[tuple[int, int]]:
+        """(document, item) places that share a minimum; no document may be empty."""
+        out: set[tuple[int, int]] = set()
+        blocks, size = Blocks.of(shingles, self.factors), SMALLEST
         for wanted in sorted(self.classes):
             while size < wanted:
-                minima, size = halved(minima), 2 * size
-            windows = np.minimum(minima[:, :-1], minima[:, 1:]) if minima.shape[1] > 1 else minima
-            for row, (known, members) in zip(windows, self.classes[wanted]):
-                lo = np.searchsorted(known, row)
-                hit = np.flatnonzero(known[np.minimum(lo, len(known) - 1)] == row)
-                if len(hit):
-                    hi = np.searchsorted(known, row[hit], side="right")
-                    for a, b in {(int(a), int(b)) for a, b in zip(lo[hit], hi)}:
-                        out.update(members[a:b].tolist())
+                blocks, size = blocks.halved(), 2 * size
+            windows = blocks.windows()
+            document = np.repeat(np.arange(len(shingles)), blocks.counts)
+            for row, (known, members, some) in zip(windows, self.classes[wanted]):
+                # A small table of bits leaves few windows to look up.
+                at = np.flatnonzero(some[self.place(row, np.uint64(len(some) - 1))])
+                lo, hi = (np.searchsorted(known, row[at], side) for side in ("left", "right"))
+                for w, a, b in zip(at[hi > lo], lo[hi > lo], hi[hi > lo]):
+                    out.update((int(document[w]), int(i)) for i in members[a:b])
         return out
 
 
@@ -140,18 +184,19 @@ def contained_items(
             index, hashes = Items(block, factors), WordHashes()
             for batch in batches:
                 rows = []
-                for doc, text in zip(column(batch, "id"), texts_of(batch)):
-                    shingles = shingle_hashes(hashes(words_of(text)), words)
-                    if not len(shingles):
-                        continue
-                    found = sorted(index.candidates(shingles, factors))
-                    own = np.unique(shingles) if found else shingles
-                    for i in found:
+                ids, texts = column(batch, "id"), texts_of(batch)
+                for lo, hi in slices([len(t) for t in texts], CHUNK):
+                    sets = [(i, shingle_hashes(hashes(words_of(t)), words)) for i, t in zip(ids[lo:hi], texts[lo:hi])]
+                    sets = [(i, s) for i, s in sets if len(s)]
+                    own: dict[int, np.ndarray] = {}
+                    for d, i in sorted(index.candidates([s for _, s in sets])) if sets else ():
+                        if d not in own:
+                            own = {d: np.unique(sets[d][1])}
                         item, wanted = index.items[i]
-                        at = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
-                        n = int((own[at] == wanted).sum())
+                        at = np.minimum(np.searchsorted(own[d], wanted), len(own[d]) - 1)
+                        n = int((own[d][at] == wanted).sum())
                         if n >= threshold * len(wanted):
-                            rows.append((doc, item, n, len(wanted), n / len(wanted)))
+                            rows.append((sets[d][0], item, n, len(wanted), n / len(wanted)))
                 cols = list(zip(*rows)) or [()] * 5
                 kinds = [pa.int64()] * 4 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays(
