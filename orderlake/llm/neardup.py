@@ -12,9 +12,11 @@ maximum and are equal in two sets with about their Jaccard similarity.
 3. A candidate whose joint likelihood is highest far below the threshold is dropped.
 4. The rest is verified on full sets, and components are formed.
 5. Members of a bucket that are in different components by then may still be linked with
-   each other: such pairs are compared in tiles of bounded size, with no pair between
-   members of one component, and what the likelihood leaves is verified in the same way.
-   So no candidate that shares a band goes untested, however large its bucket.
+   each other. Their sketches are compared in tiles of bounded size, never those of one
+   component. First each member outside the bucket's largest component has only its
+   likeliest partner there verified, which joins what belongs together at a pair for each
+   member and tile; then all likely pairs that are still between components. So no
+   candidate that shares a band goes untested, however large its bucket.
 """
 
 from __future__ import annotations
@@ -45,7 +47,8 @@ REGISTERS = BANDS * ROWS
 # to some millions fit a byte.
 BASE, SHIFT = 1.12, 26
 # A pair is dropped unverified only if its most likely similarity is this far below.
-MARGIN = 0.2
+# Estimates have a standard deviation of at most 0.03 there.
+MARGIN = 0.12
 TILE = 512
 CACHED = 1 << 16
 
@@ -233,71 +236,64 @@ def verified(
     return stored(joined.mapInArrow(compare, "a long, b long"), "verified")
 
 
-def remaining_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of one bucket and different components that are likely similar and that no
-    bucket's centre has tested.
+def remaining_pairs(
+    members: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, likeliest: bool
+) -> DataFrame:
+    """(a, b) of one bucket and different components that are likely similar.
 
-    In a bucket only members outside its centre's component are compared with all others,
-    in tiles of about TILE x TILE sketches that tasks share.
+    In a bucket only members outside its largest component are compared with others, in
+    tiles of about TILE x TILE sketches that tasks share: with the largest component only,
+    each giving its likeliest partner of a tile (``likeliest``), or with all components.
+    A bucket's centre has been tested with all of its members already.
     """
-    label = lambda node, name: labels.select(F.col("node").alias(node), F.col("component").alias(name))
-    larger = members.where("n > 2")
     named = (
-        larger.join(label("node", "_c"), "node", "left")
-        .join(label("center", "_cc"), "center", "left")
-        .select(
-            "key", "node", "center", "n",
-            F.coalesce("_c", "node").alias("component"),
-            F.coalesce("_cc", "center").alias("center_component"),
-        )
+        members.where("n > 2")
+        .join(labels.select("node", F.col("component").alias("_c")), "node", "left")
+        .select("key", "node", "center", F.coalesce("_c", "node").alias("component"))
     )
-    others = (
-        named.where("component <> center_component").groupBy("key").agg(F.count(F.lit(1)).alias("n_others"))
-        # With one such member, the centre's component may still hold its partner; a bucket
-        # of the centre and members that it alone was tested with is done.
+    parts = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n_part"))
+    main = (
+        parts.groupBy("key")
+        .agg(
+            F.max(F.struct("n_part", "component")).alias("main"),
+            F.sum("n_part").alias("n"),
+        )
+        .select("key", F.col("main.component").alias("main"), "n", (F.col("n") - F.col("main.n_part")).alias("n_others"))
         .where("n_others > 0")
     )
-    open_rows = named.join(others, "key").join(
+    open_rows = named.join(main, "key").where("node <> center").join(
         classes.select("node", "n_shingles", "registers"), "node"
-    ).where("node <> center")
+    )
+    partners = open_rows.where("component = main") if likeliest else open_rows
     spread = lambda n: F.ceil(F.col(n) / TILE).cast("int")
     tile = lambda n: F.pmod(F.xxhash64("node"), spread(n)).cast("int")
     rows = [F.col("node"), F.col("component"), F.col("n_shingles"), F.col("registers")]
-    left = open_rows.where("component <> center_component").select(
+    left = open_rows.where("component <> main").select(
         "key", tile("n_others").alias("i"),
         F.explode(F.sequence(F.lit(0), spread("n") - 1)).alias("j"), F.lit(0).alias("side"), *rows,
     )
-    right = open_rows.select(
+    right = partners.select(
         "key", F.explode(F.sequence(F.lit(0), spread("n_others") - 1)).alias("i"),
         tile("n").alias("j"), F.lit(1).alias("side"), *rows,
     )
     floor = percent / 100 - MARGIN
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile_now, held = None, []
+        tile_now, tile = None, Tile(floor, likeliest)
         for batch in batches:
             found: list[tuple[int, int]] = []
-            at = list(zip(*(column(batch, c) for c in ("key", "i", "j"))))
-            values = list(zip(*(column(batch, c) for c in ("side", "node", "component", "n_shingles", "registers"))))
-            for place, (side, node, component, n, raw) in zip(at, values):
+            at = zip(*(column(batch, c) for c in ("key", "i", "j")))
+            values = zip(*(column(batch, c) for c in ("side", "node", "component", "n_shingles", "registers")))
+            for place, (side, *row) in zip(at, values):
                 if place != tile_now:
-                    tile_now, held, table = place, [], None
+                    found += tile.pairs()
+                    tile_now, tile = place, Tile(floor, likeliest)
                 if side == 0:
-                    held.append((node, component, n, raw))
-                    continue
-                if not held:
-                    continue
-                if table is None:
-                    ids, comps, sizes, raws = zip(*held)
-                    table = np.array(ids), np.array(comps), np.array(sizes, float), sketch_rows(raws)
-                ids, comps, sizes, sketches = table
-                near = np.flatnonzero(comps != component)
-                if len(near):
-                    own = np.broadcast_to(np.frombuffer(raw, np.uint8), (len(near), REGISTERS))
-                    like = likely_similarity(sketches[near], own, sizes[near], np.full(len(near), float(n)))
-                    found += [tuple(sorted((int(x), node))) for x in ids[near[like >= floor]]]
-            cols = list(zip(*set(found))) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
+                    tile.held.append(row)
+                else:
+                    found += tile.compare(*row)
+            yield pair_rows(found)
+        yield pair_rows(tile.pairs())
 
     spark = members.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -306,6 +302,49 @@ def remaining_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, p
     return pairs.distinct()
 
 
+def pair_rows(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    cols = list(zip(*{(min(p), max(p)) for p in pairs})) or [(), ()]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
+
+
+class Tile:
+    """Members of a bucket that the members of another part of it are compared with."""
+
+    def __init__(self, floor: float, likeliest: bool):
+        self.floor, self.likeliest = floor, likeliest
+        self.held: list[list] = []
+        self.table: tuple | None = None
+        self.best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def compare(self, node: int, component: int, n: int, raw: bytes) -> list[tuple[int, int]]:
+        """Likely pairs of a member with the held ones, unless only the likeliest count."""
+        if not self.held:
+            return []
+        if self.table is None:
+            ids, components, sizes, raws = zip(*self.held)
+            self.table = np.array(ids), np.array(components), np.array(sizes, float), sketch_rows(list(raws))
+        ids, components, sizes, sketches = self.table
+        near = np.flatnonzero(components != component)
+        if not len(near):
+            return []
+        own = np.broadcast_to(np.frombuffer(raw, np.uint8), (len(near), REGISTERS))
+        like = likely_similarity(sketches[near], own, sizes[near], np.full(len(near), float(n)))
+        if not self.likeliest:
+            return [(int(x), node) for x in ids[near[like >= self.floor]]]
+        values, partners = self.best.setdefault(component, (np.zeros(len(ids)), np.full(len(ids), -1)))
+        better = (like >= self.floor) & (like > values[near])
+        values[near[better]], partners[near[better]] = like[better], node
+        return []
+
+    def pairs(self) -> list[tuple[int, int]]:
+        """The likeliest pairs."""
+        if not self.best:
+            return []
+        ids = self.table[0]
+        some = ((values > 0, partners) for values, partners in self.best.values())
+        return [(int(x), int(y)) for is_, partners in some for x, y in zip(ids[is_], partners[is_])]
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -339,10 +378,15 @@ def near_duplicates(
     exact = (words, percent, id_col, text_col)
     starred = members.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     edges = verified(likely_pairs(starred, classes, percent), classes, docs, *exact)
-    labels = components(edges)
-    rest = stored(remaining_pairs(members, classes, labels, percent), "remaining")
-    if not rest.isEmpty():
-        labels = components(edges.union(verified(rest, classes, docs, *exact)))
+    labels, tested = components(edges), starred
+    for likeliest in (True, False):
+        found = remaining_pairs(members, classes, labels, percent, likeliest)
+        rest = stored(found.join(tested, ["a", "b"], "left_anti"), "remaining")
+        if rest.isEmpty():
+            # Pairs that are tested already were no links.
+            continue
+        edges = edges.union(verified(rest, classes, docs, *exact))
+        labels, tested = components(edges), tested.union(rest)
 
     component = classes.join(labels, "node", "left").select(
         "set_key", F.coalesce("component", "node").alias("_component")
