@@ -276,8 +276,9 @@ def train(docs: DataFrame, folder: str | None = None, *, text_col: str = "text")
     spark = docs.sparkSession
     prepare(spark)
     folder = local_folder(folder or new_scratch_dir(spark, "bigrams"))
-    # Several shards for each partition even out what a task merges.
-    shards = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # More shards than partitions even out what a task merges.
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = 2 * partitions
     texts = docs.select(F.col(text_col).alias("text"))
     block = "shard int, hashes binary, counts binary"
 
@@ -322,7 +323,7 @@ def train(docs: DataFrame, folder: str | None = None, *, text_col: str = "text")
 
     pairs, few = merged(texts.mapInArrow(count_pairs, block), f"{folder}/pairs", shards)
     total = int(words.sizes.sum()) + FIRST_WORD
-    contexts, seconds, second_few = context_arrays(docs, pairs, f"{folder}/contexts", total, shards)
+    contexts, seconds, second_few = context_arrays(docs, pairs, f"{folder}/contexts", total, partitions)
     return Model(
         words, pairs, contexts, documents, words_total(docs, words) + documents, discounts(few),
         discounts(second_few), int(pairs.sizes.sum()), seconds,
@@ -358,24 +359,26 @@ def context_arrays(
     names = spark.createDataFrame([(s, *p) for s, p in pairs.paths.items()], "shard int, hashes string, counts string")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task's shards are summed before they are dealt out: a row for each range.
+        entry, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             for a, b in zip(column(batch, "hashes"), column(batch, "counts")):
                 keys, counts = unmix64(np.fromfile(a, "<u8")), np.minimum(np.fromfile(b, "<u4"), 3)
-                first, second = (keys >> np.uint64(32)).astype(np.int64), (keys & UNKNOWN).astype(np.int64)
-                ids = np.concatenate([first, second])
-                kind = np.concatenate([counts.astype(np.int64) - 1, np.full(len(second), 3)])
-                entry, n = np.unique(ids * 4 + kind, return_counts=True)
-                ends = np.searchsorted(entry // 4 // step, np.arange(ranges + 1))
-                rows = [
-                    (r, entry[x:y].astype("<u8").tobytes(), n[x:y].astype("<u4").tobytes())
-                    for r, (x, y) in enumerate(zip(ends[:-1], ends[1:]))
-                    if y > x
-                ]
-                cols = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())],
-                    ["shard", "hashes", "counts"],
-                )
+                first = (keys >> np.uint64(32)) * np.uint64(4) + counts.astype(np.uint64) - np.uint64(1)
+                second = (keys & UNKNOWN) * np.uint64(4) + np.uint64(3)
+                new, times = counted(np.concatenate([first, second]))
+                entry, n = counted(np.concatenate([entry, new]), np.concatenate([n, times]))
+        ends = np.searchsorted(entry // np.uint64(4 * step), np.arange(ranges + 1))
+        for r in np.flatnonzero(np.diff(ends)).tolist():
+            x, y = ends[r], ends[r + 1]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([r], pa.int32()),
+                    pa.array([entry[x:y].tobytes()], pa.binary()),
+                    pa.array([n[x:y].astype("<u4").tobytes()], pa.binary()),
+                ],
+                ["shard", "hashes", "counts"],
+            )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r, parts in runs(batches, "shard"):
