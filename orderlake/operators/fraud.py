@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderlake.functions import scores as S
 from orderlake.functions.numeric import avg_money, count_when, sum_money
+from orderlake.operators.dedupe import flag_duplicates
 from orderlake.operators.model import with_item_totals
 
 
@@ -18,27 +19,39 @@ def days_since_last_order(orders: DataFrame) -> DataFrame:
     Equivalent to a lag over (order_date, order_id) per customer, without
     gathering a customer's orders in one task: every order but a day's first
     follows one of the same day, so only (customer, day) pairs need the window.
-    Days are formed by a pre-aggregated group-by, and a customer has at most one
-    row per calendar day in the window. Copies of one order share its gap.
+    Days are formed by pre-aggregated group-bys, and a customer has at most one row per
+    calendar day in the window. Only one order opens a day: of copies, and of orders
+    without a number, which sort before the others, the first in the order of all
+    columns. That choice is made per input split first, among such rows alone.
     """
-    number = F.col("order_id")
-    days = orders.groupBy("customer_id", "order_date").agg(
-        F.min(number).alias("_least"), F.bool_or(number.isNull()).alias("_unnumbered")
+    by_number = orders.groupBy("customer_id", "order_date", "order_id").agg(
+        F.count(F.lit(1)).alias("_copies")
+    )
+    days = by_number.groupBy("customer_id", "order_date").agg(
+        F.min(F.struct("order_id", "_copies")).alias("_first")
     )
     by_customer = Window.partitionBy("customer_id").orderBy("order_date")
     days = days.withColumn("_day_before", F.lag("order_date").over(by_customer))
-    # Orders without a number sort before the others.
-    opens_the_day = F.when(F.col("_unnumbered"), number.isNull()).otherwise(
-        number == F.col("_least")
-    )
+    columns = orders.columns
+    dated = orders.join(days, ["customer_id", "order_date"]).select(
+        *columns,
+        "_day_before",
+        F.col("order_id").eqNullSafe(F.col("_first.order_id")).alias("_opens"),
+        F.col("_first._copies").alias("_copies"),
+    )
+    contested = F.col("_opens") & (F.col("_copies") > 1)
+    chosen = flag_duplicates(
+        dated.filter(contested), ["customer_id", "order_date"], "_again"
+    ).withColumn("_opens", ~F.col("_again"))
     return (
-        orders.join(days, ["customer_id", "order_date"])
+        dated.filter(~contested)
+        .unionByName(chosen.drop("_again"))
         .withColumn(
             "prev_order_date",
-            F.when(opens_the_day, F.col("_day_before")).otherwise(F.col("order_date")),
+            F.when(F.col("_opens"), F.col("_day_before")).otherwise(F.col("order_date")),
         )
         .withColumn("days_since_last_order", F.datediff("order_date", "prev_order_date"))
-        .drop("_least", "_unnumbered", "_day_before")
+        .select(*columns, "prev_order_date", "days_since_last_order")
     )
 
 

@@ -553,7 +553,7 @@ def agg_fraud_kpi_live(spark: SparkSession, d: str) -> DataFrame:
 
 
 def agg_cust_events(spark: SparkSession, d: str) -> DataFrame:
-    return live.customer_event_kpis(supplied.customer_events(spark, d))
+    return live.customer_event_kpis(supplied.customer_event_rows(spark, d))
 
 
 def agg_cust_events_segment(spark: SparkSession, d: str) -> DataFrame:

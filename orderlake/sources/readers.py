@@ -63,13 +63,14 @@ def stream_json(
     spark: SparkSession,
     path: str,
     schema: str = schemas.ORDER_EVENT,
-    files_per_trigger: int | None = 50,
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
     """JSON files as they arrive, oldest first; sources are kept for other readers.
 
-    ``files_per_trigger=None`` takes all that is there at once. Backfills want this:
-    files written in parallel carry no order in time, and in small batches an early
-    slice of the past could count as late.
+    All that is there is one batch, so a backlog's result does not depend on how its
+    files are cut: files written in parallel carry no order in time, and in small batches
+    an early slice of the past would count as late. ``files_per_trigger`` is for inputs
+    whose files arrive in the order of their events.
     """
     reader = (
         spark.readStream.schema(schema).option("latestFirst", False).option("cleanSource", "off")
@@ -85,14 +86,18 @@ def stream_kafka(
     topic: str,
     schema: str = schemas.ORDER_EVENT,
     starting_offsets: str = "latest",
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
-    """Events of a Kafka topic (needs Spark's Kafka connector on the classpath)."""
+    """Events of a Kafka topic (needs Spark's Kafka connector on the classpath).
+
+    Offsets that expired unread stop the query, unless ``fail_on_data_loss`` is off.
+    """
     messages = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .option("failOnDataLoss", False)
+        .option("failOnDataLoss", fail_on_data_loss)
         .load()
     )
     return decode_kafka(messages, schema)

@@ -231,18 +231,23 @@ def live_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer events: sign-ups create a customer, anything else updates one."""
-    events = table(spark, sf_dir, "events")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    joined = events.join(customers, events.user_id == customers.c_custkey, "left")
-    return joined.select(
+def customer_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer events without the customer's segment, which needs a join."""
+    return table(spark, sf_dir, "events").select(
         F.when(F.col("event_type") == "signup", "customer_create")
         .otherwise("customer_update")
         .alias("event_type"),
         F.col("ts").cast("timestamp").alias("event_timestamp"),
         F.col("user_id").alias("customer_id"),
-        F.col("c_mktsegment").alias("customer_segment"),
+    )
+
+
+def customer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer events: sign-ups create a customer, anything else updates one."""
+    events = customer_event_rows(spark, sf_dir)
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return events.join(customers, events.customer_id == customers.c_custkey, "left").select(
+        *events.columns, F.col("c_mktsegment").alias("customer_segment")
     )
 
 

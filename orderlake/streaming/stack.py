@@ -14,7 +14,9 @@ from orderlake.streaming import transforms as T
 def start_order_stack(
     orders: DataFrame, lake: str, checkpoints: str, run_once: bool = False
 ) -> list[StreamingQuery]:
-    """Start bronze, silver, revenue, fraud and velocity queries over raw order events.
+    """Start bronze, silver, revenue, fraud and velocity queries over raw events.
+
+    Bronze holds every row that arrived; the other layers hold order events.
 
     ``run_once`` processes what is available and stops, for backfills and tests;
     otherwise each query runs at its own interval.
@@ -23,11 +25,10 @@ def start_order_stack(
     def every(interval: str) -> str | None:
         return None if run_once else interval
 
-    raw = readers.only_events(orders, "order")
-    enriched = T.enrich_order_events(raw)
+    enriched = T.enrich_order_events(readers.only_events(orders, "order"))
     return [
         sinks.to_parquet(
-            raw, f"{lake}/bronze/orders_streaming", f"{checkpoints}/bronze", every("30 seconds")
+            orders, f"{lake}/bronze/orders_streaming", f"{checkpoints}/bronze", every("30 seconds")
         ),
         sinks.to_silver(
             enriched,
@@ -82,7 +83,7 @@ def order_source(
     path: str | None = None,
     kafka_servers: str | None = None,
     kafka_topic: str | None = None,
-    files_per_trigger: int | None = 50,
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Raw order events from JSON files or a Kafka topic."""
     if mode == "kafka":

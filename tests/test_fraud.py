@@ -104,3 +104,24 @@ def test_row_rule_and_alerts(spark):
     assert (kpis.total_alerts, kpis.high_risk, float(kpis.avg_fraud_score)) == (2, 1, 4.0)
     reasons = {r.reason: r.frequency for r in fraud.reason_frequency(fraud.fraud_alerts(df)).collect()}
     assert reasons["Suspicious order status"] == 2
+
+
+def test_copies_and_unnumbered_orders_follow_one_another(spark):
+    from orderlake.operators.fraud import days_since_last_order
+
+    rows = [
+        (1, 7, "2024-01-01"), (2, 7, "2024-01-10"), (2, 7, "2024-01-10"), (3, 7, "2024-01-10"),
+        (1, 8, "2024-01-01"), (None, 8, "2024-01-05"), (None, 8, "2024-01-05"), (4, 8, "2024-01-05"),
+        (5, 9, "2024-01-03"),
+    ]
+    orders = spark.createDataFrame(rows, "order_id long, customer_id long, order_date string")
+    orders = orders.withColumn("order_date", orders.order_date.cast("date")).repartition(3)
+    found = days_since_last_order(orders).collect()
+    gaps = {}
+    for r in found:
+        gaps.setdefault((r.customer_id, r.order_id), []).append(r.days_since_last_order)
+    assert len(found) == len(rows)
+    assert {k: sorted(v, key=lambda x: x or 0) for k, v in gaps.items()} == {
+        (7, 1): [None], (7, 2): [0, 9], (7, 3): [0],
+        (8, 1): [None], (8, None): [0, 4], (8, 4): [0], (9, 5): [None],
+    }
