@@ -12,11 +12,11 @@ maximum and are equal in two sets with about their Jaccard similarity.
 3. A candidate whose joint likelihood is highest far below the threshold is dropped.
 4. The rest is verified on full sets, and components are formed.
 5. Members of a bucket that are in different components by then may still be linked with
-   each other. Their sketches are compared in tiles of bounded size, never those of one
-   component. First each member outside the bucket's largest component has only its
-   likeliest partner there verified, which joins what belongs together at a pair for each
-   member and tile; then all likely pairs that are still between components. So no
-   candidate that shares a band goes untested, however large its bucket.
+   each other. They meet in tiles of bounded size, a pair only in the first band that it
+   shares. A tile compares sketches, verifies likely pairs on the full sets it holds, and
+   skips pairs whose components it has joined already: it gives at most one link less than
+   it has components, so many similar but unlinked members make no rows. No candidate that
+   shares a band goes untested, however large its bucket.
 """
 
 from __future__ import annotations
@@ -49,7 +49,8 @@ BASE, SHIFT = 1.12, 26
 # A pair is dropped unverified only if its most likely similarity is this far below.
 # Estimates have a standard deviation of at most 0.03 there.
 MARGIN = 0.12
-TILE = 512
+# Members of a tile's side, and shingles of them together, on average.
+TILE, TILE_SHINGLES = 512, 1 << 21
 CACHED = 1 << 16
 
 
@@ -190,18 +191,22 @@ def sketch_rows(values: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.uint8).reshape(-1, REGISTERS)
 
 
-def verified(
-    pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, id_col: str, text_col: str
-) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union on full sets, stored.
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union of two non-empty sorted sets."""
+    few, many = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(few) < percent * len(many):
+        return False
+    at = np.minimum(np.searchsorted(many, few), len(many) - 1)
+    both = int(np.count_nonzero(many[at] == few))
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
-    Only the texts that a pair names are read into sets.
-    """
-    pairs = stored(pairs, "candidates")
-    named = (
-        pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        .join(classes.select("node", "set_key"), "node")
-        .select("node", F.col("set_key").alias("wanted"))
+
+def sets_of(
+    nodes: DataFrame, classes: DataFrame, docs: DataFrame, words: int, id_col: str, text_col: str
+) -> DataFrame:
+    """(node, members) of distinct nodes, stored: only their texts are read into sets."""
+    named = nodes.join(classes.select("node", "set_key"), "node").select(
+        "node", F.col("set_key").alias("wanted")
     )
     source = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
 
@@ -220,15 +225,20 @@ def verified(
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())], ["node", "members"]
             )
 
-    sets = stored(source.join(named, "node").mapInArrow(collect_sets, "node long, members binary"), "sets")
+    sets = source.join(named, "node").mapInArrow(collect_sets, "node long, members binary")
+    # Repeated rows of a document give its set again.
+    return stored(sets.dropDuplicates(["node"]), "sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with 100 * intersection >= percent * union on full sets, stored."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(column(batch, "members_a"), column(batch, "members_b")):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep = [
+                linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                for x, y in zip(column(batch, "members_a"), column(batch, "members_b"))
+            ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     side = lambda x: sets.select(F.col("node").alias(x), F.col("members").alias(f"members_{x}"))
@@ -236,113 +246,142 @@ def verified(
     return stored(joined.mapInArrow(compare, "a long, b long"), "verified")
 
 
-def remaining_pairs(
-    members: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, likeliest: bool
-) -> DataFrame:
-    """(a, b) of one bucket and different components that are likely similar.
+def open_members(members: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component, stored: (key, band, node,
+    component, main, tiles, other_tiles), with the bucket's largest component and the
+    numbers of tiles of all its members and of those outside it.
 
-    In a bucket only members outside its largest component are compared with others, in
-    tiles of about TILE x TILE sketches that tasks share: with the largest component only,
-    each giving its likeliest partner of a tile (``likeliest``), or with all components.
-    A bucket's centre has been tested with all of its members already.
+    A bucket's centre is left out: it has been tested with all of its members already.
     """
     named = (
         members.where("n > 2")
         .join(labels.select("node", F.col("component").alias("_c")), "node", "left")
-        .select("key", "node", "center", F.coalesce("_c", "node").alias("component"))
+        .join(classes.select("node", "n_shingles"), "node")
+        .select("key", "band", "node", "center", "n_shingles", F.coalesce("_c", "node").alias("component"))
     )
-    parts = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n_part"))
+    parts = named.groupBy("key", "component").agg(
+        F.count(F.lit(1)).alias("n_part"), F.sum("n_shingles").alias("s_part")
+    )
+    tiles = lambda n, s: F.greatest(F.ceil(n / TILE), F.ceil(s / TILE_SHINGLES)).cast("int")
     main = (
         parts.groupBy("key")
         .agg(
-            F.max(F.struct("n_part", "component")).alias("main"),
+            F.max(F.struct("n_part", "component", "s_part")).alias("main"),
             F.sum("n_part").alias("n"),
+            F.sum("s_part").alias("s"),
+        )
+        .where("n > main.n_part")
+        .select(
+            "key",
+            F.col("main.component").alias("main"),
+            tiles(F.col("n"), F.col("s")).alias("tiles"),
+            tiles(F.col("n") - F.col("main.n_part"), F.col("s") - F.col("main.s_part")).alias("other_tiles"),
         )
-        .select("key", F.col("main.component").alias("main"), "n", (F.col("n") - F.col("main.n_part")).alias("n_others"))
-        .where("n_others > 0")
     )
-    open_rows = named.join(main, "key").where("node <> center").join(
-        classes.select("node", "n_shingles", "registers"), "node"
+    return stored(
+        named.join(main, "key").where("node <> center").drop("center", "n_shingles"), "open"
     )
-    partners = open_rows.where("component = main") if likeliest else open_rows
-    spread = lambda n: F.ceil(F.col(n) / TILE).cast("int")
-    tile = lambda n: F.pmod(F.xxhash64("node"), spread(n)).cast("int")
-    rows = [F.col("node"), F.col("component"), F.col("n_shingles"), F.col("registers")]
-    left = open_rows.where("component <> main").select(
-        "key", tile("n_others").alias("i"),
-        F.explode(F.sequence(F.lit(0), spread("n") - 1)).alias("j"), F.lit(0).alias("side"), *rows,
+
+
+def remaining_links(opened: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): components that a link between members of one bucket joins, stored.
+
+    Members outside a bucket's largest component are held in tiles, which all members are
+    compared with; tasks share the tiles.
+    """
+    full = opened.join(classes.select("node", "n_shingles", "registers"), "node").join(sets, "node")
+    tile = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = ["band", "node", "component", "main", "n_shingles", "registers", "members"]
+    left = full.where("component <> main").select(
+        "key", tile("other_tiles").alias("i"), every("tiles").alias("j"), F.lit(0).alias("side"), *rows
     )
-    right = partners.select(
-        "key", F.explode(F.sequence(F.lit(0), spread("n_others") - 1)).alias("i"),
-        tile("n").alias("j"), F.lit(1).alias("side"), *rows,
+    right = full.select(
+        "key", every("other_tiles").alias("i"), tile("tiles").alias("j"), F.lit(1).alias("side"), *rows
     )
     floor = percent / 100 - MARGIN
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile_now, tile = None, Tile(floor, likeliest)
+        tile_now, tile = None, Tile(floor, percent)
         for batch in batches:
             found: list[tuple[int, int]] = []
             at = zip(*(column(batch, c) for c in ("key", "i", "j")))
-            values = zip(*(column(batch, c) for c in ("side", "node", "component", "n_shingles", "registers")))
+            values = zip(*(column(batch, c) for c in ("side", *rows)))
             for place, (side, *row) in zip(at, values):
                 if place != tile_now:
-                    found += tile.pairs()
-                    tile_now, tile = place, Tile(floor, likeliest)
+                    tile_now, tile = place, Tile(floor, percent)
                 if side == 0:
                     tile.held.append(row)
                 else:
-                    found += tile.compare(*row)
-            yield pair_rows(found)
-        yield pair_rows(tile.pairs())
+                    found += tile.links(*row)
+            cols = list(zip(*found)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
 
-    spark = members.sparkSession
+    spark = opened.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tiles = left.unionByName(right).repartition(partitions, "key", "i", "j")
-    pairs = tiles.sortWithinPartitions("key", "i", "j", "side").mapInArrow(compare, "a long, b long")
-    return pairs.distinct()
-
-
-def pair_rows(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-    cols = list(zip(*{(min(p), max(p)) for p in pairs})) or [(), ()]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
+    return stored(tiles.sortWithinPartitions("key", "i", "j", "side").mapInArrow(compare, "a long, b long"), "joined")
 
 
 class Tile:
-    """Members of a bucket that the members of another part of it are compared with."""
+    """Members of a bucket that other members of it are compared with."""
 
-    def __init__(self, floor: float, likeliest: bool):
-        self.floor, self.likeliest = floor, likeliest
+    def __init__(self, floor: float, percent: int):
+        self.floor, self.percent = floor, percent
         self.held: list[list] = []
         self.table: tuple | None = None
-        self.best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.joined: dict[int, int] = {}
+
+    def root(self, component: int) -> int:
+        while component in self.joined:
+            component = self.joined[component]
+        return component
 
-    def compare(self, node: int, component: int, n: int, raw: bytes) -> list[tuple[int, int]]:
-        """Likely pairs of a member with the held ones, unless only the likeliest count."""
+    def links(
+        self, band: int, node: int, component: int, main: int, n: int, raw: bytes, members: bytes
+    ) -> list[tuple[int, int]]:
+        """Pairs of components that links of a member with the held ones join newly."""
         if not self.held:
             return []
         if self.table is None:
-            ids, components, sizes, raws = zip(*self.held)
-            self.table = np.array(ids), np.array(components), np.array(sizes, float), sketch_rows(list(raws))
-        ids, components, sizes, sketches = self.table
-        near = np.flatnonzero(components != component)
+            _, ids, own, _, sizes, raws, sets = zip(*self.held)
+            sketches = sketch_rows(list(raws))
+            self.table = np.array(ids), np.array(own), np.array(sizes, float), sketches, band_values(sketches)
+            self.sets = [np.frombuffer(x, np.uint64) for x in sets]
+        ids, components, sizes, sketches, bands = self.table
+        one = np.frombuffer(raw, np.uint8)[None, :]
+        same = bands[:, : band + 1] == band_values(one)[:, : band + 1]
+        # A pair is dealt with in the first band it shares; of two held ones, once.
+        near = np.flatnonzero(same[:, band] & ~same[:, :band].any(axis=1) & (components != component))
+        if component != main:
+            near = near[ids[near] < node]
+        found: list[tuple[int, int]] = []
+        root = self.root(component)
+        roots = {int(c): self.root(int(c)) for c in set(components[near].tolist())}
+        near = near[[roots[int(c)] != root for c in components[near]]] if len(near) else near
         if not len(near):
-            return []
-        own = np.broadcast_to(np.frombuffer(raw, np.uint8), (len(near), REGISTERS))
-        like = likely_similarity(sketches[near], own, sizes[near], np.full(len(near), float(n)))
-        if not self.likeliest:
-            return [(int(x), node) for x in ids[near[like >= self.floor]]]
-        values, partners = self.best.setdefault(component, (np.zeros(len(ids)), np.full(len(ids), -1)))
-        better = (like >= self.floor) & (like > values[near])
-        values[near[better]], partners[near[better]] = like[better], node
-        return []
-
-    def pairs(self) -> list[tuple[int, int]]:
-        """The likeliest pairs."""
-        if not self.best:
-            return []
-        ids = self.table[0]
-        some = ((values > 0, partners) for values, partners in self.best.values())
-        return [(int(x), int(y)) for is_, partners in some for x, y in zip(ids[is_], partners[is_])]
+            return found
+        like = likely_similarity(
+            sketches[near], np.broadcast_to(one, (len(near), REGISTERS)), sizes[near], np.full(len(near), float(n))
+        )
+        own_set = np.frombuffer(members, np.uint64)
+        for k in np.argsort(-like, kind="stable"):
+            if like[k] < self.floor:
+                break
+            other = int(components[near[k]])
+            root, far = self.root(component), self.root(other)
+            if root != far and linked(self.sets[near[k]], own_set, self.percent):
+                self.joined[max(root, far)] = min(root, far)
+                found.append((component, other))
+        return found
+
+
+def band_values(sketches: np.ndarray) -> np.ndarray:
+    """Each band's registers as one number: (sets, BANDS)."""
+    out = np.zeros((len(sketches), BANDS), np.uint64)
+    for row in sketches.reshape(len(sketches), BANDS, ROWS).transpose(2, 0, 1):
+        out = (out << np.uint64(8)) | row
+    return out
 
 
 def near_duplicates(
@@ -369,27 +408,26 @@ def near_duplicates(
         "classes",
     )
     keys = F.expr(
-        f"explode(transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(registers, i * {ROWS} + 1, {ROWS}))))"
+        f"posexplode(transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(registers, i * {ROWS} + 1, {ROWS}))))"
     )
-    bands = classes.select(keys.alias("key"), "node")
+    bands = classes.select(keys.alias("band", "key"), "node")
     buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("center")).where("n > 1")
     members = stored(bands.join(buckets, "key"), "members")
 
-    exact = (words, percent, id_col, text_col)
+    exact = (classes, docs, words, id_col, text_col)
     starred = members.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    edges = verified(likely_pairs(starred, classes, percent), classes, docs, *exact)
-    labels, tested = components(edges), starred
-    for likeliest in (True, False):
-        found = remaining_pairs(members, classes, labels, percent, likeliest)
-        rest = stored(found.join(tested, ["a", "b"], "left_anti"), "remaining")
-        if rest.isEmpty():
-            # Pairs that are tested already were no links.
-            continue
-        edges = edges.union(verified(rest, classes, docs, *exact))
-        labels, tested = components(edges), tested.union(rest)
-
-    component = classes.join(labels, "node", "left").select(
-        "set_key", F.coalesce("component", "node").alias("_component")
+    likely = stored(likely_pairs(starred, classes, percent), "candidates")
+    named = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    labels = components(verified(likely, sets_of(named, *exact), percent))
+    opened = open_members(members, classes, labels)
+    sets = sets_of(opened.select("node").distinct(), *exact)
+    joined = components(remaining_links(opened, classes, sets, percent))
+
+    component = (
+        classes.join(labels, "node", "left")
+        .select("set_key", F.coalesce("component", "node").alias("_component"))
+        .join(joined.select(F.col("node").alias("_component"), "component"), "_component", "left")
+        .select("set_key", F.coalesce("component", "_component").alias("_component"))
     )
     # Rows of one id but different sets reach each other's components through the id.
     return signed.join(component, "set_key", "left").select(
