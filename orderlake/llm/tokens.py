@@ -9,11 +9,13 @@ bounded. A text with unusual white space goes through the library as a whole.
 from __future__ import annotations
 
 import os
+import string
 from array import array
 
 import numpy as np
 
-SIMPLE_MARKS = ".,;:!?"
+# ASCII marks, but for the apostrophe, which may go with the letters after it.
+SIMPLE_MARKS = string.punctuation.replace("'", "")
 # Unknown words that go through the library together.
 TOGETHER = 500
 
