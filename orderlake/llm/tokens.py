@@ -44,6 +44,10 @@ class Encoder:
         # Strings of special tokens in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
         self.lead, self.most = " " if spaced else "", most
+        # Ids that begin a word after a space (spaced), or end a word (not spaced).
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.edge[[i for t, i in vocabulary.items() if (t[:1] == "Ġ" if spaced else t.endswith("</w>"))]] = True
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.starts: dict[str, bytes] = {}
@@ -61,19 +65,34 @@ class Encoder:
                 self.marks[text] = ids
         return ids
 
-    def letters(self, words: list[str], known: dict[str, bytes], between: str, step: int) -> None:
-        """Learn words of letters only; the library never cuts nor joins those.
-        ``between`` stands before each word but the first and makes every ``step``-th
-        of the library's own words one of these."""
-        lead = self.lead if between == " " else ""
+    def letters(self, words: list[str], known: dict[str, bytes]) -> None:
+        """Learn words of letters only that follow a space; the library never cuts nor joins
+        those, and the ids tell where each begins or ends."""
         for lo in range(0, len(words), TOGETHER):
             part = words[lo : lo + TOGETHER]
-            found = self.tokenizer.encode(lead + between.join(part), add_special_tokens=False)
+            ids = self.tokenizer.encode_batch_fast([self.lead + " ".join(part)], add_special_tokens=False)[0].ids
+            edges = np.flatnonzero(self.edge[np.array(ids, np.int64)])
+            if len(edges) != len(part):
+                known.update((w, self.whole(self.lead + w)) for w in part)
+                continue
+            raw = array("I", ids).tobytes()
+            if self.lead:
+                cuts = [*(4 * edges).tolist(), len(raw)]
+            else:
+                cuts = [0, *(4 * edges + 4).tolist()]
+            known.update((w, raw[i:j]) for w, i, j in zip(part, cuts, cuts[1:]))
+
+    def line_starts(self, words: list[str], known: dict[str, bytes]) -> None:
+        """Learn words of letters only that begin a line. A line break between them is a word
+        of the library's own."""
+        for lo in range(0, len(words), TOGETHER):
+            part = words[lo : lo + TOGETHER]
+            found = self.tokenizer.encode("\n".join(part), add_special_tokens=False)
             of = np.array(found.word_ids)
-            if len(of) == 0 or of[-1] != step * (len(part) - 1):
-                known.update((w, self.whole(lead + w)) for w in part)
+            if len(of) == 0 or of[-1] != 2 * (len(part) - 1):
+                known.update((w, self.whole(w)) for w in part)
                 continue
-            places = step * np.arange(len(part))
+            places = 2 * np.arange(len(part))
             lows = np.searchsorted(of, places).tolist()
             highs = np.searchsorted(of, places, side="right").tolist()
             raw = array("I", found.ids).tobytes()
@@ -98,13 +117,16 @@ class Encoder:
                     joined.append((word, lines))
                 else:
                     known[word] = self.whole(self.lead + word)
-        self.letters(list(cores), known, " ", 1)
-        at_start = known
         if self.lead:
+            self.letters(list(cores), known)
             at_start = self.starts
             if len(at_start) > self.most:
                 at_start.clear()
-        self.letters(list(starts.difference(at_start)), at_start, "\n" if self.lead else " ", 2 if self.lead else 1)
+            self.line_starts(list(starts.difference(at_start)), at_start)
+        else:
+            # White space is dropped, so the start of a line is no other place.
+            at_start = known
+            self.letters(list(cores.union(starts.difference(known))), known)
         for word, lines in joined:
             line, core = lines[0]
             out = [known[core], self.short(line[len(core) :])]
