@@ -27,11 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """The frame written to the shared scratch folder and read back: lineage ends there."""
     spark = df.sparkSession
     path = new_scratch_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

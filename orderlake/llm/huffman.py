@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import column, id_ranges, offsets_of, prepare, ranges_of, runs, slices, texts_of
+from orderlake.llm.common import column, id_ranges, offsets_of, prepare, ranges_of, runs, slices, stored, texts_of
 from orderlake.llm.tokens import encoder, vocabulary
 from orderlake.session import new_scratch_dir
 
@@ -169,8 +169,8 @@ def document_ids(
     return source.mapInArrow(encode, "range long, doc_id long, ids binary")
 
 
-def id_counts(docs: DataFrame, vocabulary_path: str | None, **options) -> np.ndarray:
-    """How often each id occurs in all documents; 2^16 numbers, whatever the input."""
+def id_counts(encoded: DataFrame) -> np.ndarray:
+    """How often each id occurs in all documents' ``ids``; 2^16 numbers, whatever the input."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << 16, np.int64)
@@ -181,7 +181,7 @@ def id_counts(docs: DataFrame, vocabulary_path: str | None, **options) -> np.nda
         ids = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts[ids])], ["id", "n"])
 
-    found = document_ids(docs, vocabulary_path, [], **options).mapInArrow(count, "id long, n long")
+    found = encoded.select("ids").mapInArrow(count, "id long, n long")
     counts = np.zeros(1 << 16, np.int64)
     for row in found.groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[row["id"]] = row["n"]
@@ -193,19 +193,20 @@ def write_documents(docs: DataFrame, path: str, vocabulary_path: str | None = No
     order from shard to shard and block to block.
 
     A null or empty text is the end id alone. Null ids come first; rows of equal id are
-    all written, ordered by their ids. Texts are encoded twice, to count and to write:
-    keeping the ids between would cost more disk than the files themselves. Writing is
-    one Spark job with Spark's own commit, so a lost executor costs its tasks and leaves
-    no half-written block. No documents: no blocks.
+    all written, ordered by their ids. Texts are encoded once, into the shared scratch
+    folder, from which ids are counted and written. Writing is one Spark job with Spark's
+    own commit, so a lost executor costs its tasks and leaves no half-written block. No
+    documents: no blocks.
     """
     spark = docs.sparkSession
     prepare(spark)
-    lengths = code_lengths(id_counts(docs, vocabulary_path, **options))
+    bounds = id_ranges(docs, options.get("id_col", "doc_id"))
+    encoded = stored(document_ids(docs, vocabulary_path, bounds, **options), "ids", "zstd")
+    lengths = code_lengths(id_counts(encoded))
     spark.createDataFrame([(MAX_BITS, bytearray(lengths.tobytes()))], "max_bits int, lengths binary").coalesce(
         1
     ).write.parquet(f"{path}/code")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = id_ranges(docs, options.get("id_col", "doc_id"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = canonical_codes(lengths)
@@ -224,11 +225,8 @@ def write_documents(docs: DataFrame, path: str, vocabulary_path: str | None = No
                     size += n
             yield block_row(shard, block, start, doc_ids, held, lengths, codes)
 
-    document_ids(docs, vocabulary_path, bounds, **options).repartition(
-        partitions, "range"
-    ).sortWithinPartitions("range", "doc_id", "ids").mapInArrow(write, BLOCKS).write.parquet(
-        f"{path}/blocks"
-    )
+    ordered = encoded.repartition(partitions, "range").sortWithinPartitions("range", "doc_id", "ids")
+    ordered.mapInArrow(write, BLOCKS).write.parquet(f"{path}/blocks")
 
 
 BLOCKS = (
