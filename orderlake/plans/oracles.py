@@ -665,7 +665,7 @@ def statements() -> dict[str, str]:
             recent AS (SELECT customer_id, tick + INTERVAL 5 MINUTE AS as_of, CAST(SUM(n) OVER (
               PARTITION BY customer_id ORDER BY tick RANGE BETWEEN INTERVAL 55 MINUTE PRECEDING AND CURRENT ROW)
               AS BIGINT) AS orders_in_window FROM ticks)
-            SELECT * FROM recent WHERE orders_in_window >= 2
+            SELECT * FROM recent WHERE orders_in_window >= 1
               AND as_of <= (SELECT MAX(t) FROM enriched) - INTERVAL 10 MINUTE""",
         "str_layers": f"""WITH {STREAM} SELECT 'bronze' AS layer, COUNT(*) AS rows FROM live
             UNION ALL SELECT 'silver', COUNT(*) FROM enriched WHERE order_year IS NOT NULL

@@ -83,7 +83,7 @@ def customer_velocity(
     orders: DataFrame,
     window: str = "1 hour",
     step: str = "5 minutes",
-    min_orders: int = 2,
+    min_orders: int = 1,
     watermark: str = WATERMARK,
 ) -> DataFrame:
     """Orders per customer in the trailing window, at each step in which they ordered.
