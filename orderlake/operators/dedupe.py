@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,11 +32,18 @@ def flag_duplicates(
     )
 
 
-def drop_duplicates_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def drop_duplicates_by_key(
+    df: DataFrame, keys: Sequence[str], keep_unkeyed: bool = False
+) -> DataFrame:
     """Keep the row ``flag_duplicates`` leaves unmarked.
 
-    The least row per key is an aggregate: each map task sends one row per key.
+    The least row per key is an aggregate: each map task sends one row per key. A null
+    in the key is a value like any other, so all rows without a key become one;
+    ``keep_unkeyed`` keeps each row that has a null in its key, without a shuffle.
     """
+    if keep_unkeyed:
+        keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
+        return drop_duplicates_by_key(df.filter(keyed), keys).unionByName(df.filter(~keyed))
     rest = [c for c in df.columns if c not in keys]
     return (
         df.groupBy(*keys)

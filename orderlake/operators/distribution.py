@@ -88,6 +88,45 @@ def exact_quantiles(
     )
 
 
+def rank_errors(
+    df: DataFrame,
+    column: str,
+    estimates: DataFrame,
+    probabilities: Sequence[float],
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """How far estimated quantiles are off: (by, probability, n, rank_error).
+
+    ``estimates`` has the array ``quantiles`` per group, or one row without groups.
+    ``rank_error`` is the share of rows between the wanted rank ``ceil(p * n)`` and the
+    nearest rank that the estimate's value has. Counted on the map side; groups without
+    values give no row.
+    """
+    keys = list(by)
+    rows = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).alias("_value"))
+    if keys:
+        rows = _join_groups(rows, estimates.select(*keys, "quantiles"), keys)
+    else:
+        rows = rows.withColumn("quantiles", estimates.select("quantiles").scalar())
+    places = [
+        F.struct(
+            F.lit(float(p)).alias("probability"),
+            F.count_if(F.col("_value") < F.col("quantiles")[i]).alias("_below"),
+            F.count_if(F.col("_value") <= F.col("quantiles")[i]).alias("_upto"),
+        )
+        for i, p in enumerate(probabilities)
+    ]
+    rank = F.greatest(F.ceil(F.col("n") * F.col("probability")), F.lit(1))
+    off = F.greatest(F.col("_below") + 1 - rank, rank - F.col("_upto"), F.lit(0))
+    return (
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"), F.array(*places).alias("_places"))
+        .filter("n > 0")
+        .select(*keys, "n", F.inline("_places"))
+        .select(*keys, "probability", "n", (off / F.col("n")).alias("rank_error"))
+    )
+
+
 def flag_outliers(
     df: DataFrame,
     column: str,

@@ -87,10 +87,7 @@ def run_batch(
 
     orders = raw["orders"]
     if dedupe_orders:
-        numbered = F.col("order_id").isNotNull()
-        orders = dedupe.drop_duplicates_by_key(orders.filter(numbered), ["order_id"]).unionByName(
-            orders.filter(~numbered)
-        )
+        orders = dedupe.drop_duplicates_by_key(orders, ["order_id"], keep_unkeyed=True)
     cleaned = {
         "orders": enrich.clean_orders(orders),
         "customers": enrich.clean_customers(raw["customers"], as_of),

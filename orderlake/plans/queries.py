@@ -500,8 +500,16 @@ def agg_dash_kpi_sketch(spark: SparkSession, d: str) -> DataFrame:
     gold = metrics.gold_dashboard(
         frames.customer_months(spark, d), frames.rfm(spark, d), customer_sketch=True
     )
-    chosen = filters.dashboard_slice(gold, [1999, 2000, 2001], ["Premium", "Regular", "Bronze"])
-    return report(metrics.dashboard_kpis_from_gold(chosen))
+    years, segments = [1999, 2000, 2001], ["Premium", "Regular", "Bronze"]
+    estimated = metrics.dashboard_kpis_from_gold(filters.dashboard_slice(gold, years, segments))
+    exact = metrics.dashboard_kpis(filters.dashboard_slice(frames.sales(spark, d), years, segments))
+    customers = exact.select("unique_customers").scalar()
+    off = F.abs(F.col("unique_customers") - customers)
+    return report(
+        estimated.withColumn("customers_within_5_percent", off <= customers * 0.05 + 1).drop(
+            "unique_customers"
+        )
+    )
 
 
 def agg_dash_trend(spark: SparkSession, d: str) -> DataFrame:
@@ -540,7 +548,20 @@ def agg_box(spark: SparkSession, d: str) -> DataFrame:
 
 
 def agg_box_approx(spark: SparkSession, d: str) -> DataFrame:
-    return report(distribution.box_plot(frames.valid_orders(spark, d), "total_amount", "status"))
+    """Per quartile: is the estimate's rank within the sketch's error of 1/1000?"""
+    orders, quartiles = frames.valid_orders(spark, d), [0.25, 0.5, 0.75]
+    box = distribution.box_plot(orders, "total_amount", "status").withColumn(
+        "quantiles", F.array("q1", "median", "q3")
+    )
+    errors = distribution.rank_errors(orders, "total_amount", box, quartiles, ["status"])
+    extremes = box.select("status", "minimum", "maximum")
+    return report(_within(errors, 0.001).join(extremes, "status"))
+
+
+def _within(errors: DataFrame, share: float) -> DataFrame:
+    """Is an estimate's rank off by at most that share of the rows, or by one rank?"""
+    allowed = F.greatest(F.lit(share), 1 / F.col("n"))
+    return errors.withColumn("within_error", F.col("rank_error") <= allowed).drop("rank_error")
 
 
 def agg_fraud_kpi(spark: SparkSession, d: str) -> DataFrame:
@@ -676,7 +697,12 @@ def dq_iqr(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dq_iqr_approx(spark: SparkSession, d: str) -> DataFrame:
-    return report(distribution.flag_outliers(_skewed_amounts(spark, d), "line_total"))
+    """Per quartile of the fences: is the estimate's rank within the error of 1/100?"""
+    amounts, quartiles = _skewed_amounts(spark, d), [0.25, 0.75]
+    estimates = distribution.approx_quantiles(amounts, "line_total", quartiles)
+    return report(
+        _within(distribution.rank_errors(amounts, "line_total", estimates, quartiles), 0.01)
+    )
 
 
 def dq_report(spark: SparkSession, d: str) -> DataFrame:

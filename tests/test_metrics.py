@@ -3,7 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from orderlake.operators import metrics, model
+from orderlake.operators import filters, metrics, model
+from orderlake.plans import frames
 
 
 def cents(df, *columns):
@@ -111,7 +112,11 @@ def test_kpis_of_an_empty_slice(spark):
 
 
 def test_sketched_customers_are_close(spark, sf, duckdb_con):
-    estimate = contract.queries()["agg_dash_kpi_sketch"](spark, sf).collect()[0]
+    gold = metrics.gold_dashboard(
+        frames.customer_months(spark, sf), frames.rfm(spark, sf), customer_sketch=True
+    )
+    chosen = filters.dashboard_slice(gold, [1999, 2000, 2001], ["Premium", "Regular", "Bronze"])
+    estimate = frames.report(metrics.dashboard_kpis_from_gold(chosen)).collect()[0]
     exact = contract.queries()["agg_dash_kpi"](spark, sf).collect()[0]
     assert estimate.total_revenue == exact.total_revenue
     assert abs(estimate.unique_customers - exact.unique_customers) <= 0.05 * exact.unique_customers + 1

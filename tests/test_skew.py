@@ -95,6 +95,8 @@ def test_duplicates_of_a_hot_key(spark, partitions):
     assert Counter(flagged) == Counter(expected)
     kept = [tuple(r) for r in dedupe.drop_duplicates_by_key(df, ["k"]).collect()]
     assert Counter(kept) == Counter(r[:3] for r in expected if not r[3])
+    whole = [tuple(r) for r in dedupe.drop_duplicates_by_key(df, ["k"], keep_unkeyed=True).collect()]
+    assert Counter(whole) == Counter(r[:3] for r in expected if r[0] is None or not r[3])
 
 
 def test_fact_keeps_every_line_of_a_hot_order(spark):
@@ -178,6 +180,19 @@ def test_approximate_quartiles_are_close(spark):
         assert abs(got - want) <= 100
 
 
+def test_rank_errors_of_estimates(spark):
+    rows = [("x", float(i)) for i in range(100)] + [(None, 7.0)] * 10 + [("x", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    guesses = spark.createDataFrame([("x", [24.0, 59.0]), (None, [7.0, 7.0])], "g string, quantiles array<double>")
+    got = distribution.rank_errors(df, "v", guesses, [0.25, 0.5], ["g"]).collect()
+    assert {(r.g, r.probability, r.n, r.rank_error) for r in got} == {
+        ("x", 0.25, 100, 0.0), ("x", 0.5, 100, 0.1), (None, 0.25, 10, 0.0), (None, 0.5, 10, 0.0)
+    }
+    alone = guesses.filter("g = 'x'")
+    assert [r.n for r in distribution.rank_errors(df, "v", alone, [0.25]).collect()] == [110]
+    assert distribution.rank_errors(df.limit(0), "v", alone, [0.25]).collect() == []
+
+
 def test_box_plot_keeps_a_group_without_a_name(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("x", 5.0)], "g string, v double")
     exact = distribution.box_plot(df, "v", "g", exact=True)
