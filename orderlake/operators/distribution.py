@@ -88,19 +88,19 @@ def exact_quantiles(
     )
 
 
-def rank_errors(
+def quantile_ranks(
     df: DataFrame,
     column: str,
     estimates: DataFrame,
     probabilities: Sequence[float],
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """How far estimated quantiles are off: (by, probability, n, rank_error).
+    """Where estimated quantiles stand: (by, probability, n, lowest_rank, highest_rank).
 
-    ``estimates`` has the array ``quantiles`` per group, or one row without groups.
-    ``rank_error`` is the share of rows between the wanted rank ``ceil(p * n)`` and the
-    nearest rank that the estimate's value has. Counted on the map side; groups without
-    values give no row.
+    ``estimates`` has the array ``quantiles`` per group, or one row without groups. The
+    ranks from lowest to highest hold the estimate's value; a value that no row has gives
+    a highest rank below the lowest. Counted on the map side; groups without values give
+    no row.
     """
     keys = list(by)
     rows = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).alias("_value"))
@@ -116,14 +116,27 @@ def rank_errors(
         )
         for i, p in enumerate(probabilities)
     ]
-    rank = F.greatest(F.ceil(F.col("n") * F.col("probability")), F.lit(1))
-    off = F.greatest(F.col("_below") + 1 - rank, rank - F.col("_upto"), F.lit(0))
     return (
         rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"), F.array(*places).alias("_places"))
         .filter("n > 0")
         .select(*keys, "n", F.inline("_places"))
-        .select(*keys, "probability", "n", (off / F.col("n")).alias("rank_error"))
+        .select(
+            *keys,
+            "probability",
+            "n",
+            (F.col("_below") + 1).alias("lowest_rank"),
+            F.col("_upto").alias("highest_rank"),
+        )
+    )
+
+
+def within_error(relative_error: float) -> Column:
+    """Is a row of ``quantile_ranks`` within Spark's documented bound for its sketches,
+    ``floor((p - error) * n) <= rank <= ceil((p + error) * n)``?"""
+    p, n = F.col("probability"), F.col("n")
+    return (F.col("highest_rank") >= F.floor((p - relative_error) * n)) & (
+        F.col("lowest_rank") <= F.ceil((p + relative_error) * n)
     )
 
 

@@ -65,6 +65,11 @@ def table_report(df: DataFrame, table: str, key: str, exact_keys: bool = True) -
     ``key`` collapses copies on the map side but still shuffles each key once;
     ``exact_keys=False`` estimates it from sketches instead.
     """
+    return _measured(df, table, key, exact_keys).select(*TABLE_COLUMNS, F.inline("_details"))
+
+
+def _measured(df: DataFrame, table: str, key: str, exact_keys: bool) -> DataFrame:
+    """The table's line, with an array of its columns' figures."""
     count_keys = F.count_distinct if exact_keys else F.approx_count_distinct
     n = F.col("total_rows")
     names = df.columns
@@ -96,7 +101,7 @@ def table_report(df: DataFrame, table: str, key: str, exact_keys: bool = True) -
         F.lit(len(names)).alias("total_columns"),
         (n - distinct_keys).alias("duplicate_rows"),
         F.round(complete, 2).alias("completeness_score"),
-        F.inline(details),
+        details.alias("_details"),
     )
 
 
@@ -109,16 +114,18 @@ TABLE_COLUMNS = (
 )
 
 
-def table_summary(df: DataFrame, table: str, key: str) -> DataFrame:
+def table_summary(df: DataFrame, table: str, key: str, exact_keys: bool = True) -> DataFrame:
     """The table's line of the quality report, without the column details."""
-    # The report repeats the table's line once per column: at most a few dozen rows.
-    return table_report(df, table, key).select(*TABLE_COLUMNS).distinct()
+    return _measured(df, table, key, exact_keys).select(*TABLE_COLUMNS)
 
 
-def quality_summary(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+def quality_summary(
+    tables: Mapping[str, tuple[DataFrame, str]], exact_keys: bool = True
+) -> DataFrame:
     """One line per table; ``tables`` maps a name to (frame, key column)."""
     return reduce(
-        DataFrame.unionByName, [table_summary(df, name, key) for name, (df, key) in tables.items()]
+        DataFrame.unionByName,
+        [table_summary(df, name, key, exact_keys) for name, (df, key) in tables.items()],
     )
 
 

@@ -553,15 +553,13 @@ def agg_box_approx(spark: SparkSession, d: str) -> DataFrame:
     box = distribution.box_plot(orders, "total_amount", "status").withColumn(
         "quantiles", F.array("q1", "median", "q3")
     )
-    errors = distribution.rank_errors(orders, "total_amount", box, quartiles, ["status"])
+    ranks = distribution.quantile_ranks(orders, "total_amount", box, quartiles, ["status"])
     extremes = box.select("status", "minimum", "maximum")
-    return report(_within(errors, 0.001).join(extremes, "status"))
-
-
-def _within(errors: DataFrame, share: float) -> DataFrame:
-    """Is an estimate's rank off by at most that share of the rows, or by one rank?"""
-    allowed = F.greatest(F.lit(share), 1 / F.col("n"))
-    return errors.withColumn("within_error", F.col("rank_error") <= allowed).drop("rank_error")
+    return report(
+        ranks.select(
+            "status", "probability", "n", distribution.within_error(0.001).alias("within_error")
+        ).join(extremes, "status")
+    )
 
 
 def agg_fraud_kpi(spark: SparkSession, d: str) -> DataFrame:
@@ -700,8 +698,9 @@ def dq_iqr_approx(spark: SparkSession, d: str) -> DataFrame:
     """Per quartile of the fences: is the estimate's rank within the error of 1/100?"""
     amounts, quartiles = _skewed_amounts(spark, d), [0.25, 0.75]
     estimates = distribution.approx_quantiles(amounts, "line_total", quartiles)
+    ranks = distribution.quantile_ranks(amounts, "line_total", estimates, quartiles)
     return report(
-        _within(distribution.rank_errors(amounts, "line_total", estimates, quartiles), 0.01)
+        ranks.select("probability", "n", distribution.within_error(0.01).alias("within_error"))
     )
 
 

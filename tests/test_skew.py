@@ -180,17 +180,21 @@ def test_approximate_quartiles_are_close(spark):
         assert abs(got - want) <= 100
 
 
-def test_rank_errors_of_estimates(spark):
+def test_ranks_of_estimates(spark):
     rows = [("x", float(i)) for i in range(100)] + [(None, 7.0)] * 10 + [("x", None)]
     df = spark.createDataFrame(rows, "g string, v double")
-    guesses = spark.createDataFrame([("x", [24.0, 59.0]), (None, [7.0, 7.0])], "g string, quantiles array<double>")
-    got = distribution.rank_errors(df, "v", guesses, [0.25, 0.5], ["g"]).collect()
-    assert {(r.g, r.probability, r.n, r.rank_error) for r in got} == {
-        ("x", 0.25, 100, 0.0), ("x", 0.5, 100, 0.1), (None, 0.25, 10, 0.0), (None, 0.5, 10, 0.0)
+    guesses = spark.createDataFrame([("x", [24.0, 59.0]), (None, [7.0, 7.5])], "g string, quantiles array<double>")
+    got = distribution.quantile_ranks(df, "v", guesses, [0.25, 0.5], ["g"])
+    got = got.withColumn("close", distribution.within_error(0.05)).collect()
+    assert {tuple(r) for r in got} == {
+        ("x", 0.25, 100, 25, 25, True),
+        ("x", 0.5, 100, 60, 60, False),
+        (None, 0.25, 10, 1, 10, True),
+        (None, 0.5, 10, 11, 10, False),
     }
     alone = guesses.filter("g = 'x'")
-    assert [r.n for r in distribution.rank_errors(df, "v", alone, [0.25]).collect()] == [110]
-    assert distribution.rank_errors(df.limit(0), "v", alone, [0.25]).collect() == []
+    assert [r.n for r in distribution.quantile_ranks(df, "v", alone, [0.25]).collect()] == [110]
+    assert distribution.quantile_ranks(df.limit(0), "v", alone, [0.25]).collect() == []
 
 
 def test_box_plot_keeps_a_group_without_a_name(spark):
