@@ -114,10 +114,11 @@ DIGIT_WORDS = {
 AT_WORDS, DOT_WORDS, PLUS_WORDS = "at|arroba|ät|chez", "dot|punkt|point|punto", "plus|más"
 
 _digit = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
-_link = rf"(?:[\s,-]+|\s+(?:{DOT_WORDS})\s+)"
+_gap = r"[\s,-]+"
+_link = rf"{_gap}(?:(?:{DOT_WORDS}){_gap})?"
 # Three spelled digits at least; what is between them is kept only if it is a dot.
-SPELLED = re.compile(rf"(?<!\w)(?:(?:{PLUS_WORDS})[\s-]+)?{_digit}(?:{_link}{_digit}){{2,}}(?!\w)", re.I)
-SPELLED_PART = re.compile(rf"(?P<digit>{_digit}(?!\w))|(?P<dot>\s+(?:{DOT_WORDS})\s+)|(?P<plus>(?:{PLUS_WORDS})[\s-]+)|(?P<gap>[\s,-]+)", re.I)
+SPELLED = re.compile(rf"(?<!\w)(?:(?:{PLUS_WORDS}){_gap})?{_digit}(?:{_link}{_digit}){{2,}}(?!\w)", re.I)
+SPELLED_PART = re.compile(rf"(?P<digit>{_digit}(?!\w))|(?P<dot>{_gap}(?:{DOT_WORDS}){_gap})|(?P<plus>(?:{PLUS_WORDS}){_gap})|(?P<gap>{_gap})", re.I)
 AT_SIGN = re.compile(
     rf"\s*[\[({{<]\s*(?:{AT_WORDS}|@)\s*[\])}}>]\s*"
     rf"|\s+(?:{AT_WORDS})\s+(?=[A-Za-z0-9-]+(?:\s+(?:{DOT_WORDS})\s+|\s*[\[({{<]\s*(?:{DOT_WORDS}|\.)\s*[\])}}>]\s*)[A-Za-z0-9])"
@@ -129,7 +130,8 @@ DOT_SIGN = re.compile(
 )
 STRANGE = re.compile("[" + "".join(map(re.escape, LOOK_ALIKES)) + "]")
 BRACKETED = re.compile(rf"[\[({{<]\s*(?:{AT_WORDS}|{DOT_WORDS}|@|\.)\s*[\])}}>]", re.I)
-SIGNS = [f" {w} " for w in DOT_WORDS.split("|")] + [" @", "@ "]
+# AT_SIGN and DOT_SIGN match nothing without one of these or a bracketed sign.
+SIGNS = re.compile(rf"\s(?:(?:{DOT_WORDS})\s|@)|@\s", re.I)
 
 
 class Rewritten:
@@ -177,16 +179,12 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
 def disguised(text: str) -> Rewritten | None:
     """The text after all transducers; None if it has no sign of a disguise."""
     strange = not text.isascii() and STRANGE.search(text)
-    lower = text.lower()
-    digits = any(f" {w} " in lower for w in DIGIT_WORDS)
-    signs = BRACKETED.search(text) or any(s in lower for s in SIGNS)
-    if not (strange or digits or signs):
+    if not (strange or SPELLED.search(text) or BRACKETED.search(text) or SIGNS.search(text)):
         return None
     out = Rewritten(text)
     if strange:
         out.replace([(m.start(), m.end(), LOOK_ALIKES[m.group()]) for m in STRANGE.finditer(out.text)])
-    if digits or strange:
-        out.replace(spelled_digits(out.text))
+    out.replace(spelled_digits(out.text))
     out.replace([(m.start(), m.end(), "@") for m in AT_SIGN.finditer(out.text)])
     out.replace([(m.start(), m.end(), ".") for m in DOT_SIGN.finditer(out.text)])
     return out if out.new.any() or len(out.text) != len(text) else None

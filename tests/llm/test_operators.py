@@ -679,6 +679,39 @@ def test_clean_texts_stay_clean(text):
     assert pii.spans_of(text) == []
 
 
+@pytest.mark.parametrize("gap", ["-", ",", ", ", "\t", "\n", "\r\n", "\u00a0"])
+def test_disguises_with_any_separator(gap):
+    phone = "plus four nine one seven zero one two three four five six".replace(" ", gap)
+    card = "four one one one one one one one one one one one one one one one".replace(" ", gap)
+    ip = "one nine two dot one six eight dot one dot two".replace(" ", gap)
+    for text, kind in ((phone, "phone"), (card, "card"), (ip, "ip")):
+        whole = f"call {text}."
+        assert pii.spans_of(whole) == [(kind, 5, 5 + len(text), False)]
+        assert pii.spans_of(text) == [(kind, 0, len(text), False)]
+        assert pii.redacted_text(whole) == f"call [{kind.upper()}]."
+
+
+@pytest.mark.parametrize(
+    "hidden", ["jane at example dot\ncom", "jane\tat\texample\tdot\tcom", "jane\n@\nexample.com", "jane@\nexample (dot) com"]
+)
+def test_signs_between_any_white_space(hidden):
+    assert pii.spans_of(f"ask {hidden}") == [("email", 4, 4 + len(hidden), False)]
+
+
+def test_a_text_without_a_sign_is_not_changed_by_any_transducer():
+    """The check before rewriting is implied by each of the patterns that rewrite."""
+    rng = np.random.default_rng(5)
+    parts = ["dot", "AT", "@", "point", "(", "]", "[", ")", ".", "one", "Two", "drei", "x", "com", "más", " ", "\n", "\t", ",", "-"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts, rng.integers(3, 14)))
+        if pii.disguised(text) is None:
+            out = pii.Rewritten(text)
+            out.replace(pii.spelled_digits(out.text))
+            for sign, to in ((pii.AT_SIGN, "@"), (pii.DOT_SIGN, ".")):
+                out.replace([(*m.span(), to) for m in sign.finditer(out.text)])
+            assert not out.new.any() and out.text == text
+
+
 def test_personal_data_of_untidy_rows(untidy, nothing):
     rows = pii.personal_data(untidy).collect()
     assert len(rows) == untidy.count()
