@@ -8,10 +8,16 @@ window has a Jaccard similarity of at least about 0.19 with it. Item and window
 of ``HASHES`` minima with that probability; one shared minimum makes a candidate, so an
 item at the threshold is missed with probability (1 - 0.19)^64, about 1e-6. Candidates are
 verified by the exact share of the item's shingles that the whole document has.
+
+These bounds hold for items of more than half the smallest class. Items of at most that many
+shingles are looked up exactly: of an item's s shingles, of which a match has n at least, any
+s - n + 1 include one that the document has. An item of fewer words than a shingle is one
+shingle of its own length.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +40,8 @@ WORDS, THRESHOLD, HASHES = 5, 0.8, 64
 # Shingles of the items that a pass over the documents searches for at most.
 BLOCK_SHINGLES = 2_000_000
 SMALLEST = 16
+# Items of at most so many shingles are looked up exactly.
+EXACT = SMALLEST // 2
 # Characters of documents that are searched together.
 CHUNK = 500_000
 
@@ -89,36 +97,91 @@ def run_places(counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
+# An item's id, its distinct shingles and how many words each has.
+Item = tuple[int, np.ndarray, int]
+
+
+def places(hashes: np.ndarray, bits: np.uint64) -> np.ndarray:
+    """The place of each hash in a small table of bits."""
+    return ((hashes >> np.uint64(20)) & bits).astype(np.int64)
+
+
+def table_bits(n: int) -> np.uint64:
+    return np.uint64((1 << max(10, min(22, (16 * n).bit_length()))) - 1)
+
+
+class Exact:
+    """Items by some of their shingles, which all have one length in words."""
+
+    def __init__(self, entries: list[tuple[int, int]]):
+        keys = np.array([k for k, _ in entries], np.uint64)
+        order = np.argsort(keys, kind="stable")
+        self.members = np.array([i for _, i in entries])[order]
+        self.keys, first = np.unique(keys[order], return_index=True)
+        self.starts = np.append(first, len(keys))
+        self.bits = table_bits(len(keys))
+        self.some = np.zeros(int(self.bits) + 1, bool)
+        self.some[places(self.keys, self.bits)] = True
+
+    def candidates(self, shingles: list[np.ndarray]) -> set[tuple[int, int]]:
+        """(document, item) places that share a shingle."""
+        flat = np.concatenate(shingles)
+        at = np.flatnonzero(self.some[places(flat, self.bits)])
+        key = np.minimum(np.searchsorted(self.keys, flat[at]), len(self.keys) - 1)
+        hit = self.keys[key] == flat[at]
+        document = np.searchsorted(offsets_of([len(s) for s in shingles]), at[hit], side="right") - 1
+        out: set[tuple[int, int]] = set()
+        for d, k in np.unique(np.stack([document, key[hit]]), axis=1).T.tolist():
+            out.update((d, i) for i in self.members[self.starts[k] : self.starts[k + 1]].tolist())
+        return out
+
+
 class Items:
-    """Minima and shingles of a block of benchmark items, by size class."""
+    """A block of benchmark items: minima by size class, and shingles of short ones."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], factors: np.ndarray):
-        self.items, self.factors = items, factors
+    def __init__(self, items: list[Item], factors: np.ndarray, words: int, threshold: float):
+        self.items, self.factors, self.words = items, factors, words
         self.classes: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         by_class: dict[int, list[int]] = {}
-        for i, (_, shingles) in enumerate(items):
+        by_length: dict[int, list[tuple[int, int]]] = {}
+        for i, (_, shingles, length) in enumerate(items):
+            if len(shingles) <= EXACT:
+                wanted = max(1, math.ceil(threshold * len(shingles)))
+                some = shingles[: max(0, len(shingles) - wanted + 1)].tolist()
+                by_length.setdefault(length, []).extend((s, i) for s in some)
+                continue
             size = SMALLEST
             while size < len(shingles):
                 size *= 2
             by_class.setdefault(size, []).append(i)
+        self.exact = {length: Exact(entries) for length, entries in by_length.items() if entries}
         for size, members in by_class.items():
             found = []
-            bits = np.uint64((1 << max(10, min(22, (16 * len(members)).bit_length()))) - 1)
+            bits = table_bits(len(members))
             for factor in factors:
                 minima = np.array([(items[i][1] * factor).min() for i in members], np.uint64)
                 order = np.argsort(minima, kind="stable")
                 some = np.zeros(int(bits) + 1, bool)
-                some[self.place(minima, bits)] = True
+                some[places(minima, bits)] = True
                 found.append((minima[order], np.array(members)[order], some))
             self.classes[size] = found
 
-    @staticmethod
-    def place(minima: np.ndarray, bits: np.uint64) -> np.ndarray:
-        return ((minima >> np.uint64(20)) & bits).astype(np.int64)
+    def candidates(self, documents: list[np.ndarray]) -> set[tuple[int, int]]:
+        """(document, item) places that may match, for the word hashes of documents."""
+        out: set[tuple[int, int]] = set()
+        for length, exact in self.exact.items():
+            out |= exact.candidates([shingle_hashes(h, length) for h in documents])
+        if self.classes:
+            long = [d for d, h in enumerate(documents) if len(h) >= self.words]
+            shingles = [shingle_hashes(documents[d], self.words) for d in long]
+            out.update((long[d], i) for d, i in self.alike(shingles))
+        return out
 
-    def candidates(self, shingles: list[np.ndarray]) -> set[tuple[int, int]]:
+    def alike(self, shingles: list[np.ndarray]) -> set[tuple[int, int]]:
         """(document, item) places that share a minimum; no document may be empty."""
         out: set[tuple[int, int]] = set()
+        if not shingles:
+            return out
         blocks, size = Blocks.of(shingles, self.factors), SMALLEST
         for wanted in sorted(self.classes):
             while size < wanted:
@@ -127,26 +190,28 @@ class Items:
             document = np.repeat(np.arange(len(shingles)), blocks.counts)
             for row, (known, members, some) in zip(windows, self.classes[wanted]):
                 # A small table of bits leaves few windows to look up.
-                at = np.flatnonzero(some[self.place(row, np.uint64(len(some) - 1))])
+                at = np.flatnonzero(some[places(row, np.uint64(len(some) - 1))])
                 lo, hi = (np.searchsorted(known, row[at], side) for side in ("left", "right"))
                 for w, a, b in zip(at[hi > lo], lo[hi > lo], hi[hi > lo]):
                     out.update((int(document[w]), int(i)) for i in members[a:b])
         return out
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, words: int) -> Iterator[list[tuple[int, np.ndarray]]]:
+def item_blocks(items: DataFrame, id_col: str, text_col: str, words: int) -> Iterator[list[Item]]:
     """Benchmark items with their distinct shingles, in blocks of a bounded number of them."""
     hashes, block, size = WordHashes(), [], 0
     for row in items.select(id_col, text_col).orderBy(id_col, text_col).toLocalIterator():
         if row[0] is None or row[1] is None:
             continue
-        shingles = np.unique(shingle_hashes(hashes(words_of(row[1])), words))
-        if not len(shingles):
+        own = hashes(words_of(row[1]))
+        if not len(own):
             continue
+        length = min(words, len(own))
+        shingles = np.unique(shingle_hashes(own, length))
         if block and size + len(shingles) > BLOCK_SHINGLES:
             yield block
             block, size = [], 0
-        block.append((row[0], shingles))
+        block.append((row[0], shingles, length))
         size += len(shingles)
     if block:
         yield block
@@ -164,13 +229,14 @@ def contained_items(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """(doc_id, item_id, matched, item_shingles, containment): a row for each document and
-    item of which the document has at least ``threshold`` of the distinct shingles.
+    item of which the document has at least ``threshold`` of the distinct shingles. An item
+    of fewer than ``words`` words is a single shingle: its words one after the other.
 
     The items are the stated query set: they go to the workers in blocks of at most
     ``BLOCK_SHINGLES`` shingles, each a pass over the documents, and nothing is shuffled.
     Words are split at white space, A-Z lower-cased. Documents or items that are null or
-    have fewer words than a shingle match nothing; so do items without an id. Repeated
-    documents and items are searched row by row. No items or documents: an empty frame.
+    have no words match nothing; so do items without an id. Repeated documents and items are
+    searched row by row. No items or documents: an empty frame.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -181,22 +247,23 @@ def contained_items(
     for block in item_blocks(items, item_id_col, item_text_col, words):
 
         def search(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            index, hashes = Items(block, factors), WordHashes()
+            index, hashes = Items(block, factors, words, threshold), WordHashes()
             for batch in batches:
                 rows = []
                 ids, texts = column(batch, "id"), texts_of(batch)
                 for lo, hi in slices([len(t) for t in texts], CHUNK):
-                    sets = [(i, shingle_hashes(hashes(words_of(t)), words)) for i, t in zip(ids[lo:hi], texts[lo:hi])]
-                    sets = [(i, s) for i, s in sets if len(s)]
-                    own: dict[int, np.ndarray] = {}
-                    for d, i in sorted(index.candidates([s for _, s in sets])) if sets else ():
-                        if d not in own:
-                            own = {d: np.unique(sets[d][1])}
-                        item, wanted = index.items[i]
-                        at = np.minimum(np.searchsorted(own[d], wanted), len(own[d]) - 1)
-                        n = int((own[d][at] == wanted).sum())
+                    hashed = [hashes(words_of(t)) for t in texts[lo:hi]]
+                    own, of = {}, -1
+                    for d, i in sorted(index.candidates(hashed)):
+                        item, wanted, length = index.items[i]
+                        if d != of:
+                            own, of = {}, d
+                        if length not in own:
+                            own[length] = np.unique(shingle_hashes(hashed[d], length))
+                        at = np.minimum(np.searchsorted(own[length], wanted), len(own[length]) - 1)
+                        n = int((own[length][at] == wanted).sum())
                         if n >= threshold * len(wanted):
-                            rows.append((sets[d][0], item, n, len(wanted), n / len(wanted)))
+                            rows.append((ids[lo + d], item, n, len(wanted), n / len(wanted)))
                 cols = list(zip(*rows)) or [()] * 5
                 kinds = [pa.int64()] * 4 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays(

@@ -308,6 +308,37 @@ def test_toxicity_of_untidy_rows(spark, untidy, nothing):
     assert toxicity.train(nothing, labels).fit is None
 
 
+def test_every_short_item_is_found(spark):
+    rng = np.random.default_rng(7)
+    document = [f"w{x}" for x in rng.integers(0, 5000, 6000)]
+    docs = spark.createDataFrame([(1, " ".join(document)), (2, "alone here"), (3, " ".join(document[:3000]))], "doc_id long, text string")
+    items = []
+    for i in range(2400):
+        n = 5 + i % 8
+        lo = int(rng.integers(0, len(document) - n))
+        passage = document[lo : lo + n]
+        if n >= 9 and i % 16 > 7:
+            passage = [*passage[:-1], "changed"]
+        items.append((i, " ".join(passage)))
+    found = decontam.contained_items(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    assert Counter((r.doc_id, r.item_id, r.matched, r.item_shingles) for r in found) == brute_contained(texts, items)
+    assert {r.item_id for r in found if r.doc_id == 1} >= {i for i, t in items if "changed" not in t}
+
+
+def test_items_of_fewer_words_than_a_shingle(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b c d e f g"), (2, "alone Here"), (3, "c"), (4, ""), (5, None), (6, "c x d")], "doc_id long, text string"
+    )
+    items = spark.createDataFrame(
+        [(1, "C"), (2, "c d"), (3, "d  e f"), (4, "b c d e"), (5, "alone here"), (6, "e d"), (7, " "), (8, "c"), (None, "c")],
+        "item_id long, text string",
+    )
+    found = [tuple(r) for r in decontam.contained_items(docs, items).collect()]
+    hits = [(1, 1), (1, 8), (3, 1), (3, 8), (6, 1), (6, 8), (1, 2), (1, 3), (1, 4), (2, 5)]
+    assert sorted(found) == sorted((d, i, 1, 1, 1.0) for d, i in hits)
+
+
 # ---- 5 language model ----------------------------------------------------------
 def slow_model(train):
     """A dictionary-based modified Kneser-Ney bigram model, written from its formulas."""
