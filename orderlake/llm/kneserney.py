@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney bigram model in sorted hash arrays.
+"""Interpolated modified Kneser-Ney model of any order in sorted hash arrays.
 
 Counting is a Spark job: tasks count words and word pairs of many documents at a time, deal
 their sorted counts to shards by hash, and a task merges a shard into two flat files, sorted
@@ -12,7 +12,16 @@ invertible mix of its two ids, so pairs never collide.
 
 b(w): in how many different pairs w is second, B: their sum, V: the distinct tokens. The
 discounts D for counts of 1, 2 and 3 or more come from the counts of counts; unknown words
-share the last term. Every text starts from a start mark and ends with an end token.
+share the last term.
+
+Orders above two repeat this on n-grams. An n-gram's hash mixes the place of its first n - 1
+words among the (n-1)-grams with the id of its last word, so it is undone in the same way.
+The highest order uses counts c; each lower one uses a(g), in how many different (n+1)-grams
+g is the end, or its count if it starts with the start mark, which nothing precedes:
+
+    p(w | h) = max(a(hw) - D(a(hw)), 0) / a(h .) + gamma(h) p(w | h without its first word)
+
+Every text starts from a start mark and ends with an end token.
 
 The folder must be a file system that workers mount, since files are mapped where they lie.
 """
@@ -22,7 +31,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -137,6 +146,16 @@ class SortedCounts:
             self.maps[shard] = np.memmap(a, "<u8", "r"), np.memmap(b, "<u4", "r")
         return self.maps[shard]
 
+    def key_at(self, places: np.ndarray) -> np.ndarray:
+        """The hash at each place."""
+        order = np.argsort(places)
+        ordered, out = places[order], np.zeros(len(places), np.uint64)
+        ends = np.searchsorted(ordered, self.starts)
+        for shard in np.flatnonzero(np.diff(ends)).tolist():
+            a, b = ends[shard], ends[shard + 1]
+            out[order[a:b]] = self.opened(shard)[0][ordered[a:b] - self.starts[shard]]
+        return out
+
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place or -1, count) of each hash."""
         order = np.argsort(hashes)
@@ -199,10 +218,10 @@ def discounts(few: np.ndarray) -> np.ndarray:
 
 
 class RangeArrays:
-    """Numbers by word id, in ranges of ids that are files mapped into memory."""
+    """Numbers by id, in ranges of ids that are files mapped into memory."""
 
-    def __init__(self, size: int, ranges: int, rows: list[tuple[int, str]]):
-        self.size, self.ranges, self.paths = size, ranges, dict(rows)
+    def __init__(self, size: int, ranges: int, rows: list[tuple[int, str]], width: int = 4):
+        self.size, self.ranges, self.paths, self.width = size, ranges, dict(rows), width
         self.step = -(-size // ranges) if size else 1
         self.maps: dict[int, np.ndarray] = {}
 
@@ -210,20 +229,38 @@ class RangeArrays:
         return {**self.__dict__, "maps": {}}
 
     def get(self, ids: np.ndarray) -> np.ndarray:
-        """The row (n1, n2, n3, firsts) of each id; zeros for ids that have none."""
-        out = np.zeros((len(ids), 4), np.int64)
+        """The row of each id, (n1, n2, n3, firsts) of a word; zeros for ids that have none."""
+        out = np.zeros((len(ids), self.width), np.int64)
         of = ids // self.step
         order = np.argsort(of, kind="stable")
         ends = np.searchsorted(of[order], np.arange(self.ranges + 1))
         for r in np.flatnonzero(np.diff(ends)).tolist():
             if r in self.paths:
                 if r not in self.maps:
-                    self.maps[r] = np.memmap(self.paths[r], "<u4", "r").reshape(-1, 4)
+                    self.maps[r] = np.memmap(self.paths[r], "<u4", "r").reshape(-1, self.width)
                 at = order[ends[r] : ends[r + 1]]
                 out[at] = self.maps[r][ids[at] - r * self.step]
         return out
 
 
+@dataclass
+class Step:
+    """The n-grams of one order of a model above two.
+
+    ``before`` has in how many longer n-grams each is the end, None for the highest order;
+    ``contexts`` by the n-gram without its last word: how many words follow with a count of
+    1, 2 and 3 or more, and the sum of their counts.
+    """
+
+    grams: SortedCounts
+    before: RangeArrays | None
+    contexts: RangeArrays
+    discounts: np.ndarray
+
+    def adjusted(self, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return adjusted(self.before, places, counts)
+
+
 @dataclass
 class Model:
     """A trained model; pickled into tasks as file names and a few numbers."""
@@ -238,6 +275,8 @@ class Model:
     # Distinct pairs, and words that are second in 1, 2 and more pairs.
     distinct_pairs: int
     seconds: np.ndarray
+    # Orders 2 to the highest, for a model of more than two.
+    steps: list[Step] = field(default_factory=list)
 
     @property
     def distinct(self) -> int:
@@ -271,8 +310,158 @@ def sequences(hashes: list[np.ndarray], find) -> tuple[np.ndarray, np.ndarray, n
     return contexts, tokens, token_counts, at
 
 
-def train(docs: DataFrame, folder: str | None = None, *, text_col: str = "text") -> Model:
+def walked(
+    grams: list[SortedCounts], contexts: np.ndarray, tokens: np.ndarray, at: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each order from 2 and each token (the n-gram before it, place, count) of the n-gram
+    that ends there; -1 for what a text or training does not have. After the last order, the
+    n-grams before each token alone."""
+    prefix = np.where(contexts == UNKNOWN, -1, contexts.astype(np.int64))
+    for known in grams:
+        place, count = np.full(len(tokens), -1, np.int64), np.zeros(len(tokens), np.int64)
+        ask = np.flatnonzero((prefix >= 0) & (tokens != UNKNOWN))
+        place[ask], count[ask] = known.find(pair_keys(prefix[ask].astype(np.uint64), tokens[ask]))
+        yield prefix, place, count
+        prefix = np.roll(place, 1)
+        prefix[at[:-1]] = -1
+    yield prefix, np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
+def ends_of(grams: list[SortedCounts], keys: np.ndarray) -> np.ndarray:
+    """The n-gram without its first word, for hashes of the order after those of ``grams``."""
+    packed = unmix64(keys)
+    last = packed & UNKNOWN
+    if not grams:
+        return last.astype(np.int64)
+    shorter = ends_of(grams[:-1], grams[-1].key_at((packed >> np.uint64(32)).astype(np.int64)))
+    return grams[-1].find(pair_keys(shorter.astype(np.uint64), last))[0]
+
+
+def adjusted(before: RangeArrays | None, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    if before is None:
+        return counts
+    n = before.get(places)[:, 0]
+    return np.where(n > 0, n, counts)
+
+
+def summed(spark, grams: SortedCounts, emit, folder: str, size: int, width: int) -> RangeArrays:
+    """Sums of what ``emit`` gives for each shard: (entries id x width + column, amounts)."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    arrays = RangeArrays(size, partitions, [], width)
+    if not grams.paths:
+        return arrays
+    step = arrays.step
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entry, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for batch in batches:
+            for shard in column(batch, "shard"):
+                new, amounts = emit(shard)
+                entry, n = counted(np.concatenate([entry, new]), np.concatenate([n, amounts]))
+        if len(n) and n.max() >= 1 << 32:
+            raise ValueError("a count exceeds 32 bits")
+        ends = np.searchsorted(entry // np.uint64(width * step), np.arange(partitions + 1))
+        for r in np.flatnonzero(np.diff(ends)).tolist():
+            x, y = ends[r], ends[r + 1]
+            values = [r, entry[x:y].tobytes(), n[x:y].astype("<u4").tobytes()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], k) for v, k in zip(values, (pa.int32(), pa.binary(), pa.binary()))],
+                ["shard", "hashes", "counts"],
+            )
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r, parts in runs(batches, "shard"):
+            table = np.zeros(width * (min(size, (r + 1) * step) - r * step), np.int64)
+            for part in parts:
+                for x, n in zip(column(part, "hashes"), column(part, "counts")):
+                    table[np.frombuffer(x, "<u8").astype(np.int64) - width * r * step] += np.frombuffer(n, "<u4")
+            if table.max() >= 1 << 32:
+                raise ValueError("a count exceeds 32 bits")
+            path = write_array(folder, table.astype("<u4"))
+            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([path], pa.string())], ["range", "path"])
+
+    names = spark.createDataFrame([(s,) for s in grams.paths], "shard int")
+    told = stored(
+        names.repartition(partitions).mapInArrow(split, "shard int, hashes binary, counts binary")
+        .repartition(partitions, "shard").sortWithinPartitions("shard")
+        .mapInArrow(write, "range int, path string"),
+        "sums",
+    ).collect()
+    arrays.paths = {r["range"]: r["path"] for r in told}
+    return arrays
+
+
+def longer_grams(texts: DataFrame, words: SortedCounts, grams: list[SortedCounts], folder: str, shards: int) -> SortedCounts:
+    """Counts of the n-grams of the order after those of ``grams``."""
+
+    def find(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place, count = words.find(x)
+        return (place + FIRST_WORD).astype(np.uint64), count
+
+    def keys(held: list[np.ndarray]) -> np.ndarray:
+        contexts, tokens, _, at = sequences(held, find)
+        *_, (prefix, _, _) = walked(grams, contexts, tokens, at)
+        own = np.flatnonzero(prefix >= 0)
+        return pair_keys(prefix[own].astype(np.uint64), tokens[own])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, held, size, seen = WordHashes(), [], 0, []
+        for batch in batches:
+            for text in texts_of(batch):
+                held.append(hashes(words_of(text)))
+                size += len(held[-1]) + 1
+                if size >= BUFFER // 8:
+                    seen.append(keys(held))
+                    held, size = [], 0
+                    if sum(map(len, seen)) >= BUFFER:
+                        yield from dealt(*counted(np.concatenate(seen)), shards)
+                        seen = []
+        if held:
+            seen.append(keys(held))
+        if seen:
+            yield from dealt(*counted(np.concatenate(seen)), shards)
+
+    if int(grams[-1].sizes.sum()) >= 1 << 32:
+        raise ValueError("more than 2^32 n-grams of an order")
+    return merged(texts.mapInArrow(count, "shard int, hashes binary, counts binary"), folder, shards)[0]
+
+
+def steps_of(texts: DataFrame, words: SortedCounts, pairs: SortedCounts, folder: str, shards: int, order: int) -> list[Step]:
+    """The orders from 2 to ``order``."""
+    spark, grams, out = texts.sparkSession, [pairs], []
+    while len(grams) < order - 1:
+        grams.append(longer_grams(texts, words, grams, f"{folder}/grams{len(grams) + 2}", shards))
+    size = int(words.sizes.sum()) + FIRST_WORD
+    for k, own in enumerate(grams):
+        before = None
+        if k + 1 < len(grams):
+            shorter, longer = grams[: k + 1], grams[k + 1]
+
+            def count_before(shard: int, shorter=shorter, longer=longer) -> tuple[np.ndarray, np.ndarray]:
+                return counted(ends_of(shorter, np.array(longer.opened(shard)[0])).astype(np.uint64))
+
+            before = summed(spark, longer, count_before, f"{folder}/before{k + 2}", int(own.sizes.sum()), 1)
+
+        def follow(shard: int, own=own, before=before, size=size) -> tuple[np.ndarray, np.ndarray]:
+            keys, counts = (np.array(x) for x in own.opened(shard))
+            n = adjusted(before, own.starts[shard] + np.arange(len(keys)), counts.astype(np.int64))
+            first = (unmix64(keys) >> np.uint64(32)) * np.uint64(4)
+            # The counts of counts 1 to 4 go to a row after those of all contexts.
+            few = np.uint64(4 * size) + n[n < 5].astype(np.uint64) - np.uint64(1)
+            entries = [first + np.minimum(n, 3).astype(np.uint64) - np.uint64(1), first + np.uint64(3), few]
+            amounts = [np.ones(len(n), np.int64), n, np.ones(len(few), np.int64)]
+            return counted(np.concatenate(entries), np.concatenate(amounts))
+
+        contexts = summed(spark, own, follow, f"{folder}/follow{k + 2}", size + 1, 4)
+        out.append(Step(own, before, contexts, discounts(contexts.get(np.array([size]))[0])))
+        size = int(own.sizes.sum())
+    return out
+
+
+def train(docs: DataFrame, folder: str | None = None, *, text_col: str = "text", order: int = 2) -> Model:
     """A model of all rows of ``docs``. Null texts count as empty: an end token alone."""
+    if order < 2:
+        raise ValueError("the order is 2 or more")
     spark = docs.sparkSession
     prepare(spark)
     folder = local_folder(folder or new_scratch_dir(spark, "bigrams"))
@@ -327,6 +516,7 @@ def train(docs: DataFrame, folder: str | None = None, *, text_col: str = "text")
     return Model(
         words, pairs, contexts, documents, words_total(docs, words) + documents, discounts(few),
         discounts(second_few), int(pairs.sizes.sum()), seconds,
+        steps_of(texts, words, pairs, folder, shards, order) if order > 2 else [],
     )
 
 
@@ -434,18 +624,47 @@ def log_probabilities(model: Model, contexts: np.ndarray, tokens: np.ndarray, co
     return np.log10(higher + gamma * lower)
 
 
+def order_log_probabilities(
+    model: Model, contexts: np.ndarray, tokens: np.ndarray, at: np.ndarray
+) -> np.ndarray:
+    """log10 p(token | as many words before it as the model's order takes)."""
+    classes = model.distinct + 1
+    if not model.documents:
+        return np.full(len(tokens), -np.log10(classes))
+    e = model.word_discounts
+    ids, back = np.unique(tokens, return_inverse=True)
+    known = ids != UNKNOWN
+    firsts = np.zeros(len(ids), np.int64)
+    firsts[known] = model.contexts.get(ids[known].astype(np.int64))[:, 3]
+    b = firsts[back]
+    rest = (e[1:] * model.seconds).sum() / model.distinct_pairs
+    p = np.maximum(b - e[np.minimum(b, 3)], 0) / model.distinct_pairs + rest / classes
+    for step, (prefix, place, count) in zip(model.steps, walked([s.grams for s in model.steps], contexts, tokens, at)):
+        has = np.flatnonzero(prefix >= 0)
+        ids, back = np.unique(prefix[has], return_inverse=True)
+        follow = step.contexts.get(ids)[back]
+        has, follow = has[follow[:, 3] > 0], follow[follow[:, 3] > 0]
+        n, d = np.zeros(len(has), np.int64), step.discounts
+        found = np.flatnonzero(place[has] >= 0)
+        n[found] = step.adjusted(place[has[found]], count[has[found]])
+        p[has] = (n - d[np.minimum(n, 3)] + follow[:, :3] @ d[1:] * p[has]) / follow[:, 3]
+    return np.log10(p)
+
+
 SCORED = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of each row: tokens with
     the end, those that training has seen, the log10 probability under single counts (0.1
-    added to each) and under the model. Perplexity is 10^(-score / n_tokens).
+    added to each) and under the model of order 2. A model of a higher order adds its own
+    log10 probability as ``order_score``. Perplexity is 10^(-score / n_tokens).
 
     A null or empty text is an end token alone. Null ids stay null, repeated rows are scored
     one by one. A model of no documents gives every token the same probability.
     """
     prepare(docs.sparkSession)
+    schema = SCORED + ", order_score double" * bool(model.steps)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -459,16 +678,16 @@ def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
                 value = np.add.reduceat(log_probabilities(model, contexts, tokens, counts), at[:-1])
                 known = np.add.reduceat((counts > 0).astype(np.int64), at[:-1])
                 total = np.full(hi - lo, model.tokens, np.int64)
+                values = [np.diff(at), known, total, base, value]
+                if model.steps:
+                    values.append(np.add.reduceat(order_log_probabilities(model, contexts, tokens, at), at[:-1]))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids[lo:hi], pa.int64()),
-                        *(pa.array(x) for x in (np.diff(at), known, total, base, value)),
-                    ],
-                    [c.split()[0] for c in SCORED.split(", ")],
+                    [pa.array(ids[lo:hi], pa.int64()), *map(pa.array, values)],
+                    [c.split()[0] for c in schema.split(", ")],
                 )
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(score, SCORED)
+    return source.mapInArrow(score, schema)
 
 
 def held_out(id_col: str = "doc_id"):

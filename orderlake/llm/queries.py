@@ -50,7 +50,7 @@ def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 def op5_kneser_ney(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    model = kneserney.train(docs.where(~kneserney.held_out()))
+    model = kneserney.train(docs.where(~kneserney.held_out()), order=3)
     scores = kneserney.scored(docs, model)
     return scores.select("doc_id", kneserney.held_out().alias("held_out"), *scores.columns[1:])
 

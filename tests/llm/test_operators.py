@@ -414,6 +414,81 @@ def test_language_model_of_untidy_rows(untidy, nothing):
     assert kneserney.scored(nothing, model).count() == 0
 
 
+def slow_order(train, order):
+    """p(word | history) of any order: counts on top, numbers of words before an n-gram below."""
+    grams = [Counter() for _ in range(order + 1)]
+    for own in train:
+        line = ["<s>", *own]
+        for k in range(1, order + 1):
+            grams[k].update(tuple(line[i : i + k]) for i in range(len(line) - k + 1))
+    used = {order: grams[order]}
+    for k in range(1, order):
+        before = Counter(g[1:] for g in grams[k + 1])
+        used[k] = Counter({g: before[g] or n for g, n in grams[k].items() if k > 1 or g != ("<s>",)})
+    cuts, follow = {}, {}
+    for k, counts in used.items():
+        few = Counter(counts.values())
+        cuts[k] = kneserney.discounts(np.array([few[i] for i in (1, 2, 3, 4)]))
+        follow[k] = defaultdict(list)
+        for g, n in counts.items():
+            follow[k][g[:-1]].append(n)
+    rests = {
+        k: {h: (sum(ns), sum(cuts[k][min(n, 3)] for n in ns)) for h, ns in by_history.items()}
+        for k, by_history in follow.items()
+    }
+    classes = len({w for own in train for w in own}) + 1
+
+    def p(history, w):
+        k = min(len(history), order - 1) + 1
+        history = tuple(history[len(history) - k + 1 :])
+        low = p(history[1:], w) if k > 1 else 1 / classes
+        if history not in rests[k]:
+            return low
+        total, rest = rests[k][history]
+        n = used[k][(*history, w)]
+        return (max(n - cuts[k][min(n, 3)], 0) + rest * low) / total
+
+    return p
+
+
+@pytest.mark.parametrize("order", [3, 4])
+def test_models_of_higher_order(spark, texts, order):
+    some = sorted(texts.items())[:150]
+    train, asked = some[:120], [*some[100:], (-1, ""), (-2, None), (-3, "never seen before words"), (-4, "the")]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    model = kneserney.train(frame([*train, (0, ""), (0, None)]), order=order)
+    p = slow_order([tokens_of(t) for t in [*dict(train).values(), "", ""]], order)
+    rows = {r.doc_id: r for r in kneserney.scored(frame(asked), model).collect()}
+    for doc, text in asked:
+        line = ["<s>", *tokens_of(text)]
+        want = sum(math.log10(p(line[max(0, i - order + 1) : i], line[i])) for i in range(1, len(line)))
+        assert rows[doc].order_score == pytest.approx(want), doc
+
+
+def test_models_of_higher_order_add_up():
+    train = [[*t.split(), "</s>"] for t in ("a b a b c", "a b c", "b a a c", "", "c a b")]
+    for order in (2, 3, 4):
+        p = slow_order(train, order)
+        for history in (["<s>"], ["<s>", "a"], ["a", "b"], ["b", "a", "b"], ["c", "c"], ["x"], ["<s>", "a", "b"]):
+            assert sum(p(history, w) for w in ["a", "b", "c", "</s>", "unknown"]) == pytest.approx(1)
+
+
+def test_language_model_query_takes_two_words_of_context(spark, sf, texts):
+    rows = {r.doc_id: r for r in queries.op5_kneser_ney(spark, sf).collect()}
+    p = slow_order([tokens_of(t) for d, t in texts.items() if crc(d, 10)], 3)
+    for doc, text in texts.items():
+        line = ["<s>", *tokens_of(text)]
+        want = sum(math.log10(p(line[max(0, i - 2) : i], line[i])) for i in range(1, len(line)))
+        assert rows[doc].order_score == pytest.approx(want)
+
+
+def test_higher_order_of_untidy_rows(untidy, nothing):
+    model = kneserney.train(untidy, order=3)
+    assert kneserney.scored(untidy, model).count() == untidy.count()
+    blank = kneserney.train(nothing, order=3)
+    assert all(math.isfinite(r.order_score) for r in kneserney.scored(untidy, blank).collect())
+
+
 def test_mix_is_undone():
     x = np.random.default_rng(0).integers(0, 1 << 63, 1000, dtype=np.uint64)
     assert (kneserney.unmix64(kneserney.mix64(x)) == x).all()
