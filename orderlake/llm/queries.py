@@ -14,9 +14,12 @@ from orderlake.llm import (
     fingerprint,
     huffman,
     kneserney,
+    merkle,
     neardup,
     packing,
     pii,
+    simhash,
+    spelling,
     toxicity,
     urlfilter,
     wacz,
@@ -133,6 +136,20 @@ def op10_personal_data(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op11_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, d, "documents"), words=3)
+
+
+def op12_spelling(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, d, "documents"), slips=199)
+
+
+def op13_merkle(spark: SparkSession, d: str) -> DataFrame:
+    tampered = F.when(crc_mod(F.col("doc_id"), 2) == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    docs = table(spark, d, "documents")
+    return merkle.checked(merkle.build(docs, found={"text": tampered.otherwise(F.col("text"))}))
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline
 
@@ -192,6 +209,58 @@ SELECT page_id, url, fetched_at, coalesce(n_block, 0) AS n_block, coalesce(n_all
 FROM fetched LEFT JOIN valid USING (r)"""
 
 
+def _merkle_sql() -> str:
+    field = lambda c: f"coalesce(octet_length(encode({c})) || ':' || {c}, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(
+        field(c) for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+    ) + ")"
+    # crc32 bit by bit: each byte of the decimal id comes before seven zeros.
+    feed = "xor(c, b)"
+    crc = f"""xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+        range(1, length(doc_id::VARCHAR) + 1),
+        lambda i: [unicode(substr(doc_id::VARCHAR, i, 1))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+        lambda c, b: xor({feed} >> 1, ({feed} & 1) * 3988292384)), 4294967295)"""
+    levels = lambda name, nodes: f"""{name}(key, level, place, h, size) AS (  -- all nodes of the trees of all keys
+  {nodes}
+  UNION ALL
+  SELECT key, level + 1, place // 3, sha256(string_agg(h, '' ORDER BY place)), (any_value(size) + 2) // 3
+  FROM {name} WHERE size > 1 GROUP BY key, level, place // 3
+)"""
+    # A path's siblings by level, and the digest that the claimed leaf gives up to that level.
+    climb = lambda name, nodes, start: f"""{name}(doc_id, key, level, place, h, path) AS (
+  {start}
+  UNION ALL
+  SELECT w.doc_id, w.key, w.level + 1, w.place // 3,
+    sha256(string_agg(CASE WHEN n.place = w.place THEN w.h ELSE n.h END, '' ORDER BY n.place)),
+    w.path || coalesce(string_agg(n.h, '' ORDER BY n.place) FILTER (n.place <> w.place), '')
+  FROM {name} w JOIN {nodes} n ON n.key = w.key AND n.level = w.level AND n.place // 3 = w.place // 3 AND n.size > 1
+  GROUP BY w.doc_id, w.key, w.level, w.place, w.h, w.path
+)"""
+    return f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('+' || source, '') AS key, {leaf("text")} AS leaf,
+    {leaf("CASE WHEN " + crc + " % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS claimed,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY source) AS size
+  FROM documents
+),
+{levels("nodes", "SELECT key, 0, place, leaf, size FROM leaves")},
+subroots AS (
+  SELECT key, h AS subroot, row_number() OVER (ORDER BY encode(key)) - 1 AS place, count(*) OVER () AS size
+  FROM nodes WHERE size = 1
+),
+{levels("tops", "SELECT '', 0, place, subroot, size FROM subroots")},
+{climb("climbed", "nodes", "SELECT doc_id, key, 0, place, claimed, '' FROM leaves")},
+at_subroot AS (
+  SELECT c.doc_id, s.place, c.h, c.path, s.subroot FROM subroots s JOIN
+  (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY level DESC) AS r FROM climbed) c ON c.key = s.key WHERE r = 1
+),
+{climb("crossed", "tops", "SELECT doc_id, '', 0, place, h, path FROM at_subroot")},
+at_root AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY level DESC) AS r FROM crossed)
+SELECT doc_id, leaf, subroot, t.h AS root, sha256(a.path) AS proof_sha256, a.h AS folded_root, a.h = t.h AS verified
+FROM leaves JOIN at_subroot USING (doc_id) JOIN at_root a USING (doc_id), (SELECT h FROM tops WHERE size = 1) t
+WHERE a.r = 1"""
+
+
 def statements() -> dict[str, str]:
     """DuckDB SQL of the operators that it can express."""
-    return {"op7_url_filters": _url_filter_sql()}
+    return {"op7_url_filters": _url_filter_sql(), "op13_merkle": _merkle_sql()}
