@@ -215,14 +215,25 @@ def orders_in_window(
     in the following bucket. Running sums within (key, bucket) then give the
     count, in linear time. Rows of equal key and time collapse before the shuffle.
     """
-    # Buckets as long as the window: only the bucket before can still count.
-    span = seconds * 1_000_000
     at = F.unix_micros(F.col(time).cast("timestamp"))
     instants = (
         df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
         .groupBy(F.col(key).alias("_key"), at.alias("_at"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    counts = counts_in_window(instants, seconds, name).withColumnRenamed("_key", key)
+    return (
+        df.withColumn("_at", at).join(counts, [key, "_at"], "left").drop("_at")
+    )
+
+
+def counts_in_window(instants: DataFrame, seconds: int, name: str) -> DataFrame:
+    """(_key, _at, name): rows of the key in the ``seconds`` up to and including each instant.
+
+    ``instants`` has the number of rows ``_n`` of each key and time in microseconds.
+    """
+    # Buckets as long as the window: only the bucket before can still count.
+    span = seconds * 1_000_000
     bucket = F.floor(F.col("_at") / span)
     arrival = F.struct(
         bucket.alias("_bucket"), F.col("_at").alias("_tick"),
@@ -236,11 +247,8 @@ def orders_in_window(
     group = Window.partitionBy("_key", "_bucket")
     so_far = group.orderBy("_tick")
     carried = F.sum("_out").over(group) - F.sum("_out").over(so_far)
-    counts = (
+    return (
         ticks.withColumn(name, F.sum("_in").over(so_far) + carried)
         .filter(F.col("_in") > 0)
-        .select(F.col("_key").alias(key), "_at", name)
-    )
-    return (
-        df.withColumn("_at", at).join(counts, [key, "_at"], "left").drop("_at")
+        .select("_key", "_at", name)
     )

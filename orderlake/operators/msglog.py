@@ -28,6 +28,40 @@ def partition_stats(messages: DataFrame, topics: DataFrame) -> DataFrame:
     )
 
 
+def offset_gaps(messages: DataFrame) -> DataFrame:
+    """(topic, partition, gap_start, gap_end, missing): offsets that a log lacks in between.
+
+    Blocks of 32,768 offsets are summed up as bitmaps, which are combined before the shuffle
+    and count a repeated message once. Only blocks with holes are looked at offset by offset, a
+    block at a time, so a partition that holds most of the log is not one task.
+    """
+    place = F.col("offset") + 1
+    block = F.bitmap_bucket_number(place)
+    keys = ["topic", "partition"]
+    blocks = messages.groupBy(*keys, block.alias("_block")).agg(
+        F.min("offset").alias("_first"),
+        F.max("offset").alias("_last"),
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(place))).alias("_n"),
+    )
+    # One row a block: the gap between a block and the one before it.
+    by_block = Window.partitionBy(*keys).orderBy("_block")
+    between = blocks.select(
+        *keys, (F.lag("_last").over(by_block) + 1).alias("gap_start"), (F.col("_first") - 1).alias("gap_end")
+    )
+    holed = blocks.filter(F.col("_last") - F.col("_first") + 1 > F.col("_n")).select(*keys, "_block")
+    by_offset = Window.partitionBy(*keys, "_block").orderBy("offset")
+    within = (
+        messages.select(*keys, "offset", block.alias("_block"))
+        .join(holed, [*keys, "_block"], "left_semi")
+        .select(*keys, (F.lag("offset").over(by_offset) + 1).alias("gap_start"), (F.col("offset") - 1).alias("gap_end"))
+    )
+    return (
+        between.unionByName(within)
+        .filter("gap_start <= gap_end")
+        .withColumn("missing", F.col("gap_end") - F.col("gap_start") + 1)
+    )
+
+
 def topic_stats(stats: DataFrame) -> DataFrame:
     """Per-topic totals over ``partition_stats``."""
     return (

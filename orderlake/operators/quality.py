@@ -214,6 +214,49 @@ def cleaning_impact(
     )
 
 
+def split_malformed(df: DataFrame, corrupt: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that were read whole, the texts of lines that were not).
+
+    A frame without the corrupt-record column has no malformed lines.
+    """
+    if corrupt not in df.columns:
+        return df, df.select(F.lit(None).cast("string").alias("line")).filter(F.lit(False))
+    return (
+        df.filter(F.col(corrupt).isNull()).drop(corrupt),
+        df.filter(F.col(corrupt).isNotNull()).select(F.col(corrupt).alias("line")),
+    )
+
+
+def line_reconciliation(
+    tables: Mapping[str, tuple[DataFrame, DataFrame]], corrupt: str
+) -> DataFrame:
+    """One line per table: records in the source, rows in bronze, and how many were malformed.
+
+    ``tables`` maps a name to (one row with ``lines`` of the source, the bronze table).
+    """
+
+    def line(name: str, lines: DataFrame, bronze: DataFrame) -> DataFrame:
+        bad = F.col(corrupt).isNotNull() if corrupt in bronze.columns else F.lit(False)
+        return bronze.agg(
+            F.count(F.lit(1)).alias("bronze_rows"), count_when(bad).alias("malformed_rows")
+        ).select(
+            F.lit(name).alias("table_name"),
+            lines.select("lines").scalar().alias("source_lines"),
+            "bronze_rows",
+            "malformed_rows",
+        )
+
+    counted = reduce(
+        DataFrame.unionByName, [line(n, lines, bronze) for n, (lines, bronze) in tables.items()]
+    )
+    return counted.withColumns(
+        {
+            "loaded_rows": F.col("bronze_rows") - F.col("malformed_rows"),
+            "is_complete": F.col("source_lines") == F.col("bronze_rows"),
+        }
+    )
+
+
 def split_valid(
     df: DataFrame, rules: Mapping[str, Column], reasons: str = "quarantine_reasons"
 ) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,7 @@ runs once, a lost executor re-reads files, and nothing is cached in memory.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,11 +44,15 @@ class RawPaths:
 
 
 def read_raw(spark: SparkSession, paths: RawPaths, allow_missing: bool = False) -> dict[str, DataFrame]:
-    """The raw tables. A missing one is an error, or empty with ``allow_missing``."""
+    """The raw tables. A missing one is an error, or empty with ``allow_missing``.
+
+    Malformed lines of the text sources keep their text in a column beside the fields.
+    """
+    kept = {"keep_corrupt": True}
     sources = {
-        "orders": (readers.read_orders, paths.orders, schemas.ORDERS),
-        "customers": (readers.read_customers, paths.customers, schemas.CUSTOMERS),
-        "order_items": (readers.read_order_items, paths.order_items, schemas.ORDER_ITEMS),
+        "orders": (partial(readers.read_orders, **kept), paths.orders, schemas.ORDERS),
+        "customers": (partial(readers.read_customers, **kept), paths.customers, schemas.CUSTOMERS),
+        "order_items": (partial(readers.read_order_items, **kept), paths.order_items, schemas.ORDER_ITEMS),
         "products": (readers.read_products, paths.products, schemas.PRODUCTS),
     }
     if allow_missing:
@@ -55,6 +60,18 @@ def read_raw(spark: SparkSession, paths: RawPaths, allow_missing: bool = False)
     return {n: read(spark, path) for n, (read, path, _) in sources.items()}
 
 
+def reconciled(spark: SparkSession, paths: RawPaths, lake: str) -> DataFrame:
+    """Lines of the text sources against the rows that bronze holds of them."""
+    text = {"orders": (paths.orders, True), "customers": (paths.customers, False), "order_items": (paths.order_items, True)}
+    return quality.line_reconciliation(
+        {
+            name: (readers.line_counts(spark, path, header), spark.read.parquet(f"{lake}/bronze/{name}"))
+            for name, (path, header) in text.items()
+        },
+        readers.CORRUPT,
+    )
+
+
 def quality_reports(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Measures of the raw tables."""
     return {
@@ -79,11 +96,16 @@ def run_batch(
 ) -> dict[str, DataFrame]:
     """Write all layers and return the reports, which read the written tables.
 
-    ``dedupe_orders=False`` keeps repeated order records, which then count twice.
+    ``dedupe_orders=False`` keeps repeated order records, which then count twice. Bronze holds
+    every line; malformed ones go on to ``silver/quarantine/malformed`` as text.
     """
     bronze, silver = f"{lake}/bronze", f"{lake}/silver"
     writers.write_bronze(raw, bronze)
     raw = {name: spark.read.parquet(f"{bronze}/{name}") for name in KEYS}
+    for name in KEYS:
+        if readers.CORRUPT in raw[name].columns:
+            raw[name], malformed = quality.split_malformed(raw[name], readers.CORRUPT)
+            writers.write_parquet(malformed, f"{silver}/quarantine/malformed/{name}")
 
     orders = raw["orders"]
     if dedupe_orders:

@@ -257,6 +257,21 @@ ENRICHED_SELECT = f"""SELECT {RAW_EVENT}, {{extra}} order_year, order_month,
 WINDOW_SELECT = f"""status, COUNT(order_id) AS order_count, {eur('SUM(cents)')} AS total_revenue,
   {mean('SUM(cents)', 'COUNT(order_id)')} AS avg_order_value"""
 
+
+
+def arrivals(days: int, turn: str, kept: str) -> str:
+    """Events by the part in which they arrive, and the mark before each part: the latest time
+    of the parts before it less ten minutes."""
+    return f"""a AS (SELECT *, xor(CAST((coalesce(day(t), 1) - 1) // {days} + CASE WHEN order_id % 5 = 0 THEN 1 ELSE 0 END
+    AS INTEGER), {turn}) AS arrival FROM enriched WHERE {kept}),
+marks AS (SELECT arrival, MAX(MAX(t)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    - INTERVAL 10 MINUTE AS mark FROM a GROUP BY arrival)"""
+
+
+LATE_WINDOWS = f"""WITH {STREAM}, {arrivals(8, '1', "status = 'completed'")},
+judged AS (SELECT a.*, date_trunc('hour', t) AS ws,
+    t IS NULL OR coalesce(date_trunc('hour', t) + INTERVAL 1 HOUR <= mark, false) AS late FROM a JOIN marks USING (arrival))"""
+
 MSG = """msg AS (
   SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS partition, event_id AS "offset",
     CAST(user_id AS VARCHAR) AS key, ts AS timestamp, event_id, user_id, value, props
@@ -272,6 +287,18 @@ stats AS (
 JSON_VALUE = """'{"order_id":' || event_id || ',"customer_id":' || user_id || ',"total_amount":'
   || value || ',"quantity":' || json_extract_string(props, '$.k') || '}'"""
 
+BROKEN = f"""broken AS (
+  SELECT topic, partition, "offset", timestamp, key,
+    CASE "offset" % 97 WHEN 0 THEN substr(whole, 1, length(whole) // 2) WHEN 1 THEN NULL WHEN 2 THEN ' '
+      WHEN 3 THEN '{{"order_id":"none"}}' ELSE whole END AS value,
+    CASE "offset" % 97 WHEN 0 THEN 'malformed' WHEN 1 THEN 'no_value' WHEN 2 THEN 'no_value'
+      WHEN 3 THEN 'malformed' END AS decode_error
+  FROM (SELECT *, {JSON_VALUE} AS whole FROM msg))"""
+OFFSET_GAPS = """gaps AS (
+  SELECT topic, partition, before + 1 AS gap_start, "offset" - 1 AS gap_end, "offset" - before - 1 AS missing FROM (
+    SELECT *, LAG("offset") OVER (PARTITION BY topic, partition ORDER BY "offset") AS before FROM msg)
+  WHERE "offset" - before > 1)"""
+
 # Null counts of the raw tables, column by column.
 RAW_ORDERS_EMPTY = {
     "order_id": "SUM(CASE WHEN o_totalprice >= 12000 AND o_totalprice < 13000 THEN 1 ELSE 0 END)",
@@ -382,7 +409,7 @@ def statements() -> dict[str, str]:
             CASE WHEN order_year IS NULL THEN 'invalid_dates' ELSE 'silver' END AS layer,
             order_year, order_month, COUNT(*) AS rows FROM enriched GROUP BY 1, 2, 3""",
         "snk_stream_snapshot": f"""WITH {STREAM} SELECT date_trunc('hour', t) AS window_start,
-            date_trunc('hour', t) + INTERVAL 1 HOUR AS window_end, {WINDOW_SELECT}
+            date_trunc('hour', t) + INTERVAL 1 HOUR AS window_end, {WINDOW_SELECT}, true AS customers_within_bound
             FROM done GROUP BY 1, 2, status""",
         "layer_freshness": f"""WITH {ORD} SELECT 'bronze' AS layer, COUNT(*) AS rows, true AS has_files,
             true AS was_written, MAX(ts) AS last_event FROM events
@@ -657,16 +684,16 @@ def statements() -> dict[str, str]:
         "str_enrich": f"""WITH {STREAM} {ENRICHED_SELECT.format(
             extra='t AS order_timestamp, d AS order_date_parsed,')}""",
         "str_window": f"""WITH {STREAM}, w AS (SELECT *, date_trunc('minute', t) AS ws FROM done)
-            SELECT ws AS window_start, ws + INTERVAL 1 MINUTE AS window_end, {WINDOW_SELECT} FROM w
+            SELECT ws AS window_start, ws + INTERVAL 1 MINUTE AS window_end, {WINDOW_SELECT}, true AS customers_within_bound FROM w
             WHERE ws + INTERVAL 1 MINUTE <= (SELECT MAX(t) FROM done) - INTERVAL 10 MINUTE GROUP BY ws, status""",
         "str_window_sliding": f"""WITH {STREAM}, w AS (
               SELECT *, time_bucket(INTERVAL 15 MINUTE, t) - k * INTERVAL 15 MINUTE AS ws
               FROM done, (VALUES (0), (1), (2), (3)) AS s(k))
-            SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, {WINDOW_SELECT} FROM w
+            SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, {WINDOW_SELECT}, true AS customers_within_bound FROM w
             WHERE ws + INTERVAL 1 HOUR <= (SELECT MAX(t) FROM done) - INTERVAL 10 MINUTE GROUP BY ws, status""",
         "str_late": f"""WITH {STREAM}, w AS (SELECT *, date_trunc('hour', t) AS ws FROM done
               WHERE t >= TIMESTAMP '2024-01-16')
-            SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, {WINDOW_SELECT} FROM w
+            SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, {WINDOW_SELECT}, true AS customers_within_bound FROM w
             WHERE ws + INTERVAL 1 HOUR <= (SELECT MAX(t) FROM done) - INTERVAL 10 MINUTE GROUP BY ws, status""",
         "str_velocity": f"""WITH {STREAM},
             v AS (SELECT customer_id, time_bucket(INTERVAL 5 MINUTE, t) AS tick FROM enriched WHERE t IS NOT NULL),
@@ -679,7 +706,66 @@ def statements() -> dict[str, str]:
         "str_layers": f"""WITH {STREAM} SELECT 'bronze' AS layer, COUNT(*) AS rows FROM live
             UNION ALL SELECT 'silver', COUNT(*) FROM enriched WHERE order_year IS NOT NULL
             UNION ALL SELECT 'invalid_dates', COUNT(*) FROM enriched WHERE order_year IS NULL
-            UNION ALL SELECT 'fraud_alerts', COUNT(*) FROM live_scored WHERE fraud_score >= 3""",
+            UNION ALL SELECT 'fraud_alerts', COUNT(*) FROM live_scored WHERE fraud_score >= 3
+            UNION ALL SELECT 'revenue_closed', COUNT(DISTINCT date_trunc('minute', t)) FROM done
+              WHERE date_trunc('minute', t) + INTERVAL 1 MINUTE <= (SELECT MAX(t) FROM done) - INTERVAL 10 MINUTE
+            UNION ALL SELECT 'revenue_open', COUNT(DISTINCT date_trunc('minute', t)) FROM done
+              WHERE date_trunc('minute', t) + INTERVAL 1 MINUTE > (SELECT MAX(t) FROM done) - INTERVAL 10 MINUTE
+            UNION ALL SELECT 'revenue_late', COUNT(*) FROM enriched WHERE status = 'completed' AND t IS NULL
+            UNION ALL SELECT 'velocity_told', COUNT(*) FROM enriched
+              WHERE date_trunc('second', t) <= (SELECT date_trunc('second', MAX(t)) FROM enriched) - INTERVAL 10 MINUTE
+            UNION ALL SELECT 'velocity_waiting', COUNT(*) FROM enriched
+              WHERE date_trunc('second', t) > (SELECT date_trunc('second', MAX(t)) FROM enriched) - INTERVAL 10 MINUTE
+            UNION ALL SELECT 'velocity_late', COUNT(*) FROM enriched WHERE t IS NULL
+            UNION ALL SELECT 'customer_velocity', COUNT(DISTINCT (customer_id, time_bucket(INTERVAL 5 MINUTE, t)))
+              FROM enriched WHERE time_bucket(INTERVAL 5 MINUTE, t) + INTERVAL 5 MINUTE
+                <= (SELECT MAX(t) FROM enriched) - INTERVAL 10 MINUTE""",
+        "str_window_late": f"""{LATE_WINDOWS} SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, {WINDOW_SELECT},
+              ws + INTERVAL 1 HOUR <= (SELECT MAX(t) FROM done) - INTERVAL 10 MINUTE AS is_closed,
+              true AS customers_within_bound
+            FROM judged WHERE NOT late GROUP BY ws, status""",
+        "str_late_rows": f"""{LATE_WINDOWS} SELECT order_id, customer_id, t AS order_timestamp,
+              CASE WHEN t IS NOT NULL THEN ws + INTERVAL 1 HOUR END AS window_end, {eur('cents')} AS total_amount,
+              CASE WHEN t IS NULL THEN 'no_time' ELSE 'too_late' END AS late_reason FROM judged WHERE late""",
+        "str_reconciled": f"""WITH {STREAM} SELECT date_trunc('hour', t) AS window_start, COUNT(*) AS orders,
+              {eur('SUM(cents)')} AS revenue FROM enriched WHERE status = 'completed' GROUP BY 1""",
+        "str_window_rollup": f"""WITH {STREAM} SELECT date_trunc('hour', t) AS window_start,
+            date_trunc('hour', t) + INTERVAL 1 HOUR AS window_end, {WINDOW_SELECT}, true AS customers_within_bound
+            FROM done GROUP BY 1, 2, status""",
+        "str_velocity_orders": f"""WITH {STREAM}, {arrivals(7, '0', 'true')},
+            judged AS (SELECT a.*, date_trunc('second', t) AS sec,
+                t IS NULL OR coalesce(date_trunc('second', t) <= date_trunc('second', mark), false) AS late
+              FROM a JOIN marks USING (arrival)),
+            counted AS (SELECT *, COUNT(*) OVER (PARTITION BY customer_id ORDER BY sec
+              RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n,
+              sec <= (SELECT date_trunc('second', MAX(t)) FROM a) - INTERVAL 10 MINUTE AS told FROM judged WHERE NOT late)
+            SELECT order_id, customer_id, t AS order_timestamp, {eur('cents')} AS total_amount, status,
+              CASE WHEN told THEN n END AS orders_in_last_hour, CASE WHEN told THEN 'told' ELSE 'waits' END AS fate FROM counted
+            UNION ALL SELECT order_id, customer_id, t, {eur('cents')}, status, NULL,
+              CASE WHEN t IS NULL THEN 'no_time' ELSE 'too_late' END FROM judged WHERE late""",
+        "str_fraud_velocity": f"""WITH {STREAM}, counted AS (SELECT e.*, s.fraud_score, date_trunc('second', t) AS sec,
+              COUNT(*) OVER (PARTITION BY e.customer_id ORDER BY date_trunc('second', t)
+                RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n
+              FROM enriched e JOIN live_scored s ON s.order_id = e.order_id WHERE t IS NOT NULL)
+            SELECT order_id, customer_id, t AS order_timestamp, {eur('cents')} AS total_amount, status, fraud_score,
+              n AS orders_in_last_hour FROM counted WHERE fraud_score >= 3
+              AND sec <= (SELECT MAX(sec) FROM counted) - INTERVAL 10 MINUTE""",
+        "str_kafka_log": f"""WITH {MSG}, {BROKEN}, {OFFSET_GAPS},
+            rows AS (SELECT topic, partition, CASE WHEN decode_error IS NULL THEN 1 ELSE 0 END AS e, 0 AS g, 0 AS m FROM broken
+              UNION ALL SELECT topic, partition, NULL, 1, missing FROM gaps)
+            SELECT topic, partition, CAST(SUM(e) AS BIGINT) AS events, COUNT(CASE WHEN e = 0 THEN 1 END) AS undecodable,
+              CAST(SUM(g) AS BIGINT) AS gaps, CAST(SUM(m) AS BIGINT) AS missing FROM rows GROUP BY topic, partition""",
+        "src_kafka_quarantine": f"""WITH {MSG}, {BROKEN} SELECT topic, partition, "offset", timestamp, key, value, decode_error
+            FROM broken WHERE decode_error IS NOT NULL""",
+        "src_kafka_gaps": f"WITH {MSG}, {OFFSET_GAPS} SELECT * FROM gaps",
+        "src_csv_malformed": """SELECT l_orderkey * 10 + l_linenumber AS item_id,
+            CASE WHEN l_linenumber IN (6, 7) THEN 'malformed' ELSE 'loaded' END AS fate FROM lineitem""",
+        "src_json_malformed": """SELECT c_custkey AS customer_id,
+            CASE WHEN c_nationkey IN (13, 14) THEN 'malformed' ELSE 'loaded' END AS fate FROM customer""",
+        "dq_lines": """SELECT table_name, n AS source_lines, n AS bronze_rows, bad AS malformed_rows, n - bad AS loaded_rows,
+              true AS is_complete FROM (
+            SELECT 'order_items' AS table_name, COUNT(*) AS n, COUNT(CASE WHEN l_linenumber IN (6, 7) THEN 1 END) AS bad FROM lineitem
+            UNION ALL SELECT 'customers', COUNT(*), COUNT(CASE WHEN c_nationkey IN (13, 14) THEN 1 END) FROM customer)""",
         # ---- message log
         "log_topic_stats": f"WITH {MSG} SELECT * FROM stats",
         "log_topic_totals": f"""WITH {MSG} SELECT topic, COUNT(*) AS partition_count,

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import inspect
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import schemas
@@ -33,7 +34,7 @@ from orderlake.plans import frames
 from orderlake.plans.frames import AS_OF, report
 from orderlake.session import new_scratch_dir, streaming_session
 from orderlake.sources import readers, supplied, writers
-from orderlake.streaming import sinks, stack
+from orderlake.streaming import kafka, marked, sinks, stack
 from orderlake.streaming import transforms as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +55,61 @@ def src_json(spark: SparkSession, d: str) -> DataFrame:
     ))
 
 
+def _malformed(df: DataFrame, key: str, found: str) -> DataFrame:
+    """(key, fate): rows that were read whole, and keys that a pattern finds in bad lines.
+
+    Bronze is stored first: a text source must be parsed whole to tell its bad lines.
+    """
+    path = new_scratch_dir(df.sparkSession, "bronze")
+    writers.write_parquet(df, path)
+    whole, bad = quality.split_malformed(readers.read_parquet(df.sparkSession, path), readers.CORRUPT)
+    named = F.regexp_extract("line", found, 1).cast("bigint").alias(key)
+    return whole.select(key, F.lit("loaded").alias("fate")).unionByName(
+        bad.select(named, F.lit("malformed").alias("fate"))
+    )
+
+
+def _item_file(spark: SparkSession, d: str) -> str:
+    path = new_scratch_dir(spark, "csv")
+    supplied.item_lines(spark, d).write.option("header", True).option("quote", "\0").csv(path)
+    return path
+
+
+def _customer_file(spark: SparkSession, d: str) -> str:
+    path = new_scratch_dir(spark, "json")
+    supplied.customer_lines(spark, d).write.text(path)
+    return path
+
+
+def src_csv_malformed(spark: SparkSession, d: str) -> DataFrame:
+    """Lines with a field too many or an unreadable number keep their text."""
+    return _malformed(readers.read_order_items(spark, _item_file(spark, d), keep_corrupt=True), "item_id", "^([0-9]+),")
+
+
+def src_json_malformed(spark: SparkSession, d: str) -> DataFrame:
+    """Cut-off lines and fields of a wrong type keep their text."""
+    read = readers.read_customers(spark, _customer_file(spark, d), keep_corrupt=True)
+    return _malformed(read, "customer_id", '"customer_id":([0-9]+)')
+
+
+def dq_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of the text sources against rows of bronze."""
+    base = new_scratch_dir(spark, "bronze")
+    items, customers = _item_file(spark, d), _customer_file(spark, d)
+    raw = {
+        "order_items": (readers.read_order_items(spark, items, keep_corrupt=True), items, True),
+        "customers": (readers.read_customers(spark, customers, keep_corrupt=True), customers, False),
+    }
+    writers.write_bronze({name: df for name, (df, _, _) in raw.items()}, base)
+    return quality.line_reconciliation(
+        {
+            name: (readers.line_counts(spark, path, header), spark.read.parquet(f"{base}/{name}"))
+            for name, (_, path, header) in raw.items()
+        },
+        readers.CORRUPT,
+    )
+
+
 def src_parquet(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_products(spark, f"{d}/part.parquet")
 
@@ -74,6 +130,20 @@ def src_stream_kafka(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+MESSAGE_FIELDS = "order_id BIGINT, customer_id BIGINT, total_amount DOUBLE, quantity INT"
+
+
+def src_kafka_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Messages that could not be decoded, with their place in the log and their text."""
+    decoded = readers.decode_kafka_kept(supplied.broken_messages(spark, d), MESSAGE_FIELDS)
+    return report(readers.undecodable(decoded))
+
+
+def src_kafka_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """Ranges of offsets that the log lacks."""
+    return msglog.offset_gaps(supplied.messages(spark, d))
+
+
 def snk_bronze(spark: SparkSession, d: str) -> DataFrame:
     base = new_scratch_dir(spark, "bronze")
     raw = {
@@ -155,7 +225,7 @@ def src_stream_file(spark: SparkSession, d: str) -> DataFrame:
 
 
 def snk_stream_bronze(spark: SparkSession, d: str) -> DataFrame:
-    bronze = _run_to_parquet(spark, readers.only_events(_order_stream(spark, d), "order"))
+    bronze = _run_to_parquet(spark, _order_stream(spark, d))
     return bronze.groupBy("status").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(money(F.col("total_amount"))).cast("double").alias("amount"),
@@ -186,13 +256,12 @@ def snk_stream_silver(spark: SparkSession, d: str) -> DataFrame:
 def snk_stream_snapshot(spark: SparkSession, d: str) -> DataFrame:
     """Revenue windows kept current in a small table (complete mode)."""
     out = new_scratch_dir(spark, "snapshot")
-    windows = T.revenue_by_window(T.enrich_order_events(_order_stream(spark, d)), "1 hour").drop(
-        "unique_customers"
-    )
+    windows = T.revenue_by_window(T.enrich_order_events(_order_stream(spark, d)), "1 hour")
     sinks.to_table_snapshot(
         windows, f"{out}/table", f"{out}/checkpoint", every=None
     ).awaitTermination()
-    return report(spark.read.schema(windows.schema).parquet(f"{out}/table"))
+    current = spark.read.schema(windows.schema).parquet(f"{out}/table")
+    return report(_checked_customers(current, _sales(spark, d), 0.15, "1 hour"))
 
 
 def layer_freshness(spark: SparkSession, d: str) -> DataFrame:
@@ -804,16 +873,17 @@ def str_enrich(spark: SparkSession, d: str) -> DataFrame:
 
 
 def str_window(spark: SparkSession, d: str) -> DataFrame:
-    """Closed one-minute windows; ``unique_customers`` is an estimate and left out here."""
+    """Closed one-minute windows."""
     windows = T.revenue_by_window(T.enrich_order_events(_order_stream(spark, d)))
-    return report(_run_to_parquet(spark, windows.drop("unique_customers")))
+    return report(_checked_customers(_run_to_parquet(spark, windows), _sales(spark, d), 0.15, "1 minute"))
 
 
 def str_window_sliding(spark: SparkSession, d: str) -> DataFrame:
     windows = T.revenue_by_window(
         T.enrich_order_events(_order_stream(spark, d)), "1 hour", "15 minutes"
     )
-    return report(_run_to_parquet(spark, windows.drop("unique_customers")))
+    closed = _run_to_parquet(spark, windows)
+    return report(_checked_customers(closed, _sales(spark, d), 0.15, "1 hour", "15 minutes"))
 
 
 def str_late(spark: SparkSession, d: str) -> DataFrame:
@@ -824,14 +894,16 @@ def str_late(spark: SparkSession, d: str) -> DataFrame:
     path = _staged_events(spark, events.filter(at >= half))
     out = new_scratch_dir(spark, "late")
     stream = stack.order_source(streaming_session(spark), "file", path, files_per_trigger=None)
-    windows = T.revenue_by_window(T.enrich_order_events(stream), "1 hour").drop("unique_customers")
+    windows = T.revenue_by_window(T.enrich_order_events(stream), "1 hour")
     for arrivals in (None, events.filter(at < half)):
         if arrivals is not None:
             arrivals.write.mode("append").json(path)
         sinks.to_parquet(
             windows, f"{out}/data", f"{out}/checkpoint", every=None
         ).awaitTermination()
-    return report(spark.read.schema(windows.schema).parquet(f"{out}/data"))
+    closed = spark.read.schema(windows.schema).parquet(f"{out}/data")
+    in_time = _sales(spark, d).filter(F.col("order_timestamp") >= half)
+    return report(_checked_customers(closed, in_time, 0.15, "1 hour"))
 
 
 def str_velocity(spark: SparkSession, d: str) -> DataFrame:
@@ -839,6 +911,161 @@ def str_velocity(spark: SparkSession, d: str) -> DataFrame:
     return report(_run_to_parquet(spark, velocity))
 
 
+def _arrivals(events: DataFrame, part: Column) -> Iterator[DataFrame]:
+    """The events in the parts that arrive one after the other."""
+    parts = events.withColumn("_part", part)
+    for n in range(6):
+        yield parts.filter(F.col("_part") == n).drop("_part")
+
+
+def _run_arrivals(spark: SparkSession, arrivals: Iterable[DataFrame], start) -> None:
+    """Write each arrival into one folder and run the query over what is new, as one batch."""
+    path = new_scratch_dir(spark, "arrivals")
+    session = streaming_session(spark)
+    for arrival in arrivals:
+        arrival.write.mode("append").json(path)
+        stream = stack.order_source(session, "file", path)
+        start(T.enrich_order_events(stream)).awaitTermination()
+
+
+def _day_block(days: int) -> Column:
+    """The block of days of an event's time, and one more for each fifth order."""
+    day = F.coalesce(F.day(F.try_to_timestamp("event_timestamp")), F.lit(1))
+    return F.floor((day - 1) / days).cast("int") + (F.col("order_id") % 5 == 0).cast("int")
+
+
+def _late_windows(spark: SparkSession, d: str) -> str:
+    """Hourly revenue of a month whose blocks of eight days come in the order 2, 1, 4, 3."""
+    out = new_scratch_dir(spark, "late")
+    arrivals = _arrivals(supplied.order_events(spark, d), _day_block(8).bitwiseXOR(F.lit(1)))
+    _run_arrivals(
+        spark, arrivals,
+        lambda orders: marked.to_windows(orders, f"{out}/gold", f"{out}/checkpoint", "1 hour", every=None),
+    )
+    return f"{out}/gold"
+
+
+def _sales(spark: SparkSession, d: str) -> DataFrame:
+    return T.enrich_order_events(supplied.order_events(spark, d)).filter(
+        (F.col("is_valid_order") == 1) & (F.col("status") == "completed")
+    )
+
+
+def _checked_customers(
+    windows: DataFrame, sales: DataFrame, bound: float, duration: str, slide: str | None = None
+) -> DataFrame:
+    """Whether each window's estimate of its customers is within the bound of their number."""
+    exact = sales.groupBy(F.window("order_timestamp", duration, slide or duration).alias("w")).agg(
+        F.count_distinct("customer_id").alias("_exact")
+    )
+    off = F.abs(F.col("unique_customers") - F.col("_exact"))
+    return (
+        windows.join(exact.select(F.col("w.start").alias("window_start"), "_exact"), "window_start")
+        .withColumn("customers_within_bound", off <= F.col("_exact") * bound + 1)
+        .drop("unique_customers", "_exact")
+    )
+
+
+def str_window_late(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly windows, closed and open, of orders that came in time."""
+    base = _late_windows(spark, d)
+    late = marked.revenue_tables(spark, base).table("revenue_late").select("order_id")
+    in_time = _sales(spark, d).join(late, "order_id", "left_anti")
+    return report(_checked_customers(marked.windows_now(spark, base), in_time, 0.05, "1 hour"))
+
+
+def str_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Orders that came after their window had closed, and those without a time."""
+    late = marked.revenue_tables(spark, _late_windows(spark, d)).table("revenue_late")
+    return report(
+        late.select("order_id", "customer_id", "order_timestamp", "window_end", "total_amount", "late_reason")
+    )
+
+
+def str_reconciled(spark: SparkSession, d: str) -> DataFrame:
+    """A backlog of one file a trigger: whatever is late for it, windows and late rows are all."""
+    out = new_scratch_dir(spark, "shuffled")
+    path = new_scratch_dir(spark, "events")
+    supplied.order_events(spark, d).repartition(6, "order_id").write.json(path)
+    stream = stack.order_source(streaming_session(spark), "file", path, files_per_trigger=1)
+    marked.to_windows(
+        T.enrich_order_events(stream), f"{out}/gold", f"{out}/checkpoint", "1 hour", every=None
+    ).awaitTermination()
+    late = marked.revenue_tables(spark, f"{out}/gold").table("revenue_late").select(
+        (F.col("window_end") - F.expr("INTERVAL 1 HOUR")).alias("window_start"),
+        F.lit(1).cast("bigint").alias("order_count"),
+        money(F.col("total_amount")).alias("total_revenue"),
+    )
+    windows = marked.window_parts_now(spark, f"{out}/gold").select("window_start", "order_count", "total_revenue")
+    return report(
+        windows.unionByName(late).groupBy("window_start").agg(
+            F.sum("order_count").alias("orders"), F.sum("total_revenue").alias("revenue")
+        )
+    )
+
+
+def str_window_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """Minutes rolled up to hours, distinct customers merged from sketches."""
+    out = new_scratch_dir(spark, "minutes")
+    orders = T.enrich_order_events(_order_stream(spark, d))
+    marked.to_windows(orders, f"{out}/gold", f"{out}/checkpoint", every=None).awaitTermination()
+    hours = marked.window_figures(marked.rolled_up(marked.window_parts_now(spark, f"{out}/gold"), "1 hour"))
+    return report(_checked_customers(hours, _sales(spark, d), 0.05, "1 hour"))
+
+
+def str_velocity_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Each valid order with the customer's orders in the hour up to it; what waits; what is late."""
+    out = new_scratch_dir(spark, "velocity")
+    _run_arrivals(
+        spark, _arrivals(supplied.order_events(spark, d), _day_block(7)),
+        lambda orders: marked.to_order_velocity(orders, f"{out}/gold", f"{out}/checkpoint", every=None),
+    )
+    told, waiting, late = marked.velocity_now(spark, f"{out}/gold")
+    unknown = F.lit(None).cast("bigint").alias("orders_in_last_hour")
+    return report(
+        told.withColumn("fate", F.lit("told"))
+        .unionByName(waiting.select("*", unknown, F.lit("waits").alias("fate")))
+        .unionByName(late.select(*marked.VELOCITY, unknown, F.col("late_reason").alias("fate")))
+    )
+
+
+def str_fraud_velocity(spark: SparkSession, d: str) -> DataFrame:
+    """Suspicious orders of a stream with the customer's orders in the hour before."""
+    out = new_scratch_dir(spark, "velocity")
+    orders = T.enrich_order_events(_order_stream(spark, d))
+    marked.to_order_velocity(orders, f"{out}/gold", f"{out}/checkpoint", every=None).awaitTermination()
+    told, _, _ = marked.velocity_now(spark, f"{out}/gold")
+    return report(fraud.suspicious_rows(told, only_valid=False))
+
+
+def str_kafka_log(spark: SparkSession, d: str) -> DataFrame:
+    """A log read in batches of offsets: messages decoded and not, and offsets that never came."""
+    out, path = new_scratch_dir(spark, "log"), new_scratch_dir(spark, "messages")
+    log = supplied.broken_messages(spark, d).withColumn("value", F.col("value").cast("binary"))
+    session = streaming_session(spark)
+    step = log.agg(F.ceil((F.max("offset") + 1) / 3)).scalar()
+    for n in range(3):
+        log.filter(F.floor(F.col("offset") / step) == n).write.mode("append").parquet(path)
+        stream = session.readStream.schema(log.schema).parquet(path)
+        kafka.to_log_tables(
+            stream, f"{out}/log", f"{out}/checkpoint", MESSAGE_FIELDS, every=None
+        ).awaitTermination()
+    tables = kafka.log_tables(spark, f"{out}/log")
+    now = tables.newest()
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    place = lambda c: F.col(f"_kafka_{c}").alias(c)
+    rows = (
+        tables.table("events", now).select(
+            place("topic"), place("partition"), one.alias("events"), zero.alias("undecodable"),
+            zero.alias("gaps"), zero.alias("missing"))
+        .union(tables.table("undecodable", now).select("topic", "partition", zero, one, zero, zero))
+        .union(tables.table("gaps", now).select("topic", "partition", zero, zero, one, "missing"))
+    )
+    return rows.groupBy("topic", "partition").agg(
+        *[F.sum(c).alias(c) for c in ("events", "undecodable", "gaps", "missing")]
+    )
+
+
 def str_layers(spark: SparkSession, d: str) -> DataFrame:
     """All queries of the streaming job run to the end; rows per layer."""
     lake = new_scratch_dir(spark, "lake")
@@ -846,18 +1073,27 @@ def str_layers(spark: SparkSession, d: str) -> DataFrame:
         _order_stream(spark, d), f"{lake}/tables", f"{lake}/checkpoints", run_once=True
     )
     stack.await_all(queries)
+    read = lambda folder: spark.read.schema("order_id BIGINT").parquet(f"{lake}/tables/{folder}")
+    gold = f"{lake}/tables/gold"
+    windows = marked.window_parts_now(spark, gold)
+    told, waiting, untold = marked.velocity_now(spark, gold)
     layers = {
-        "bronze": "bronze/orders_streaming",
-        "silver": "silver/orders_enriched_streaming",
-        "invalid_dates": "silver/orders_enriched_streaming_invalid_dates",
-        "fraud_alerts": "gold/fraud_alerts",
+        "bronze": read("bronze/orders_streaming"),
+        "silver": read("silver/orders_enriched_streaming"),
+        "invalid_dates": read("silver/orders_enriched_streaming_invalid_dates"),
+        "fraud_alerts": read("gold/fraud_alerts"),
+        "customer_velocity": spark.read.schema("customer_id BIGINT").parquet(f"{gold}/customer_velocity"),
+        "revenue_closed": windows.filter("is_closed"),
+        "revenue_open": windows.filter("not is_closed"),
+        "revenue_late": marked.revenue_tables(spark, gold).table("revenue_late"),
+        "velocity_told": told,
+        "velocity_waiting": waiting,
+        "velocity_late": untold,
     }
-    counts = None
-    for layer, folder in layers.items():
-        rows = spark.read.schema("order_id BIGINT").parquet(f"{lake}/tables/{folder}")
-        one = rows.agg(F.lit(layer).alias("layer"), F.count(F.lit(1)).alias("rows"))
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
+    return reduce(
+        DataFrame.unionByName,
+        [rows.agg(F.lit(layer).alias("layer"), F.count(F.lit(1)).alias("rows")) for layer, rows in layers.items()],
+    )
 
 
 # ---- message log -----------------------------------------------------------------

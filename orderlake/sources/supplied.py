@@ -286,6 +286,51 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message log with some values cut off, missing or no object, by offset."""
+    spoilt = (
+        F.when(F.col("offset") % 97 == 0, F.expr("substring(value, 1, cast(length(value) / 2 as int))"))
+        .when(F.col("offset") % 97 == 1, F.lit(None))
+        .when(F.col("offset") % 97 == 2, F.lit(" "))
+        .when(F.col("offset") % 97 == 3, F.lit('{"order_id":"none"}'))
+        .otherwise(F.col("value"))
+    )
+    return messages(spark, sf_dir).withColumn("value", spoilt)
+
+
+def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order items as columns of CSV text: quantities of line 6 unreadable, line 7 has a field
+    too many (the writer must not quote)."""
+    items = raw_order_items(spark, sf_dir)
+    text = items.select(*[F.col(c).cast("string").alias(c) for c in items.columns])
+    line = F.col("item_id").cast("long") % 10
+    return text.withColumns(
+        {
+            "quantity": F.when(line == 6, F.concat(F.coalesce("quantity", F.lit("?")), F.lit("x"))).otherwise(
+                F.col("quantity")
+            ),
+            "line_total": F.when(line == 7, F.concat("line_total", F.lit(",extra"))).otherwise(F.col("line_total")),
+        }
+    )
+
+
+def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as JSON text (``value``): those of nation 13 cut off, of nation 14 with a text
+    for an age."""
+    customers = table(spark, sf_dir, "customer")
+    text = F.to_json(
+        F.struct(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("c_name").alias("name"),
+            F.when(F.col("c_nationkey") == 14, "old").otherwise("41").alias("age"),
+        )
+    )
+    # Ages are numbers but for the text.
+    text = F.regexp_replace(text, '"41"', "41")
+    cut = text.substr(F.lit(1), F.length(text) - 3)
+    return customers.select(F.when(F.col("c_nationkey") == 13, cut).otherwise(text).alias("value"))
+
+
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topics seen in the log (3 partitions, 2 weeks retention), with one partition to spare.
 

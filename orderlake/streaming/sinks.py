@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,6 +19,21 @@ def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
+def start_batches(
+    stream: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    every: str | None,
+) -> StreamingQuery:
+    """Start a query that hands each micro-batch and its number to ``write``."""
+    writer = (
+        stream.writeStream.outputMode("append")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _trigger(writer, every).start()
+
+
 def to_parquet(
     stream: DataFrame, path: str, checkpoint: str, every: str | None = "30 seconds"
 ) -> StreamingQuery:

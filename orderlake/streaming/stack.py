@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderlake import schemas
 from orderlake.sources import readers
-from orderlake.streaming import sinks
+from orderlake.streaming import marked, sinks
 from orderlake.streaming import transforms as T
 
 
@@ -16,7 +17,10 @@ def start_order_stack(
 ) -> list[StreamingQuery]:
     """Start bronze, silver, revenue, fraud and velocity queries over raw events.
 
-    Bronze holds every row that arrived; the other layers hold order events.
+    Bronze holds every row that arrived; the other layers hold order events. Revenue windows
+    and the orders in the last hour on each order keep what comes too late in tables of their
+    own (``marked``). Where the source keeps malformed lines, those go to
+    ``silver/orders_malformed`` as well.
 
     ``run_once`` processes what is available and stops, for backfills and tests;
     otherwise each query runs at its own interval.
@@ -26,7 +30,17 @@ def start_order_stack(
         return None if run_once else interval
 
     enriched = T.enrich_order_events(readers.only_events(orders, "order"))
-    return [
+    malformed = []
+    if readers.CORRUPT in orders.columns:
+        enriched = enriched.filter(F.col(readers.CORRUPT).isNull()).drop(readers.CORRUPT)
+        # With the fields that could be read: a source cannot give the texts of bad lines alone.
+        bad = orders.filter(F.col(readers.CORRUPT).isNotNull())
+        malformed = [
+            sinks.to_parquet(
+                bad, f"{lake}/silver/orders_malformed", f"{checkpoints}/malformed", every("1 minute")
+            )
+        ]
+    return malformed + [
         sinks.to_parquet(
             orders, f"{lake}/bronze/orders_streaming", f"{checkpoints}/bronze", every("30 seconds")
         ),
@@ -36,11 +50,8 @@ def start_order_stack(
             f"{checkpoints}/silver",
             every("1 minute"),
         ),
-        sinks.to_parquet(
-            T.revenue_by_window(enriched),
-            f"{lake}/gold/revenue_by_window",
-            f"{checkpoints}/revenue",
-            every("10 seconds"),
+        marked.to_windows(
+            enriched, f"{lake}/gold", f"{checkpoints}/revenue", every=every("10 seconds")
         ),
         sinks.to_parquet(
             T.fraud_stream(enriched),
@@ -54,6 +65,9 @@ def start_order_stack(
             f"{checkpoints}/velocity",
             every("1 minute"),
         ),
+        marked.to_order_velocity(
+            enriched, f"{lake}/gold", f"{checkpoints}/order_velocity", every=every("1 minute")
+        ),
     ]
 
 
@@ -84,8 +98,13 @@ def order_source(
     kafka_servers: str | None = None,
     kafka_topic: str | None = None,
     files_per_trigger: int | None = None,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
-    """Raw order events from JSON files or a Kafka topic."""
+    """Raw order events from JSON files or a Kafka topic.
+
+    ``keep_corrupt`` keeps the text of malformed lines of files; a topic's bad messages are
+    kept by ``kafka.to_log_tables``.
+    """
     if mode == "kafka":
         if not (kafka_servers and kafka_topic):
             raise ValueError("kafka mode needs servers and a topic")
@@ -93,5 +112,7 @@ def order_source(
     if mode == "file":
         if not path:
             raise ValueError("file mode needs a path")
-        return readers.stream_json(spark, path, files_per_trigger=files_per_trigger)
+        return readers.stream_json(
+            spark, path, files_per_trigger=files_per_trigger, keep_corrupt=keep_corrupt
+        )
     raise ValueError(f"unknown mode {mode!r}")
