@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def approx_quantiles(
@@ -21,59 +22,87 @@ def approx_quantiles(
     )
 
 
+DIGIT_BITS, DIGITS = 16, 4
+
+
+def ordered_bits(df: DataFrame, column: str) -> Column:
+    """A 64-bit integer that rises with the column's value: the bits of its double, negated for
+    a negative one. Whole numbers and decimals of up to 18 digits are their own integer."""
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.IntegralType):
+        return value.cast("bigint")
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return (value * F.lit(10**kind.scale).cast("decimal(20,0)")).cast("bigint")
+    # Longer decimals round to doubles, which keeps their order.
+    value = value.cast("double")
+    size = F.abs(value)
+    # The exponent, mended where the logarithm is off by one; powers of two are exact.
+    near = F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022))
+    scaled = size / F.pow(F.lit(2.0), near)
+    exponent = F.when(scaled >= 2, near + 1).when((scaled < 1) & (near > -1022), near - 1).otherwise(near)
+    mantissa = size / F.pow(F.lit(2.0), exponent)
+    normal = F.shiftleft((exponent + 1023).cast("bigint"), 52) + ((mantissa - 1) * float(1 << 52)).cast("bigint")
+    subnormal = (size * float(2.0**537) * float(2.0**537)).cast("bigint")
+    infinite, undefined = F.lit(0x7FF0000000000000), F.lit(0x7FF8000000000000)
+    bits = (
+        F.when(F.isnan(value), undefined)
+        .when(size == float("inf"), infinite)
+        .when(size < 2.0**-1022, subnormal)
+        .otherwise(normal)
+    )
+    return F.when(value < 0, -bits).otherwise(bits)
+
+
 def exact_quantiles(
-    df: DataFrame,
-    column: str,
-    probabilities: Sequence[float],
-    by: Sequence[str] = (),
-    bucket_width: float = 10,
+    df: DataFrame, column: str, probabilities: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact lower quantiles: the value at rank ``ceil(p * n)``, per group.
+    """Exact lower quantiles: the value at rank ``ceil(p * n)``, per group. NaN is the largest.
 
-    A first pass counts rows per value bucket and finds the bucket of each wanted
-    rank; a second pass ranks only that bucket's different values. Equal values and
-    buckets collapse on the map side. No task sees more than the list of buckets
-    (range / width) or one bucket's different values (for cents, width * 100), so
-    the width suits amounts of a bounded range.
+    A radix selection over the order-preserving bits of the values, sixteen at a time. A pass
+    counts the next digit of the rows that share the digits found so far; the running sums
+    over at most 65,536 counts tell the digit that holds the wanted rank. So no task sees more
+    than that, whatever the values' range and number. Counts and equal values of a group are
+    combined before the shuffle.
     """
     keys = list(by)
-    # Rounding to double keeps the order of values, which is all a bucket needs.
-    rows = df.filter(F.col(column).isNotNull()).select(
-        *keys,
-        F.col(column).alias("_value"),
-        F.floor(F.col(column).cast("double") / bucket_width).alias("_bucket"),
-    )
-    group = Window.partitionBy(*keys)
-    buckets = (
-        rows.groupBy(*keys, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumns(
-            {
-                "_upto": F.sum("_size").over(group.orderBy("_bucket")),
-                "_total": F.sum("_size").over(group),
-            }
-        )
-    )
-    wanted = buckets.select(
-        *keys,
-        "_bucket",
-        (F.col("_upto") - F.col("_size")).alias("_before"),
-        "_upto",
-        "_total",
-        F.posexplode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("_which", "_p"),
-    ).withColumn("_rank", F.greatest(F.ceil(F.col("_total") * F.col("_p")), F.lit(1)))
-    wanted = wanted.filter(F.col("_rank").between(F.col("_before") + 1, F.col("_upto"))).select(
-        *keys, "_bucket", "_which", "_rank", "_before"
-    )
+    rows = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).alias("_value"))
     if keys:
-        rows = rows.groupBy(*keys, "_bucket", "_value").agg(F.count(F.lit(1)).alias("_n"))
+        rows = rows.groupBy(*keys, "_value").agg(F.count(F.lit(1)).alias("_n"))
     else:
-        # One row per probability, so the second pass filters during the scan.
-        rows, wanted = rows.withColumn("_n", F.lit(1)), F.broadcast(wanted)
-    found = (
-        _join_groups(rows, wanted, [*keys, "_bucket"])
-        .groupBy(*keys, "_which", "_rank", "_before", "_value")
-        .agg(F.sum("_n").alias("_n"))
+        rows = rows.withColumn("_n", F.lit(1).cast("bigint"))
+    rows = rows.withColumn("_bits", ordered_bits(rows, "_value"))
+    found, asked = None, ["_which", "_rank", "_before"]
+    for digit in reversed(range(DIGITS)):
+        prefix = F.shiftright("_bits", digit * DIGIT_BITS)
+        if found is None:
+            counts = rows.groupBy(*keys, prefix.alias("_prefix")).agg(F.sum("_n").alias("_size"))
+            counts = counts.withColumn("_total", F.sum("_size").over(Window.partitionBy(*keys)))
+            each = F.posexplode(F.array(*[F.lit(float(p)) for p in probabilities]))
+            counts = counts.select(*keys, "_prefix", "_size", "_total", each.alias("_which", "_p")).select(
+                *keys,
+                "_which",
+                F.greatest(F.ceil(F.col("_total") * F.col("_p")), F.lit(1)).alias("_rank"),
+                F.lit(0).cast("bigint").alias("_before"),
+                "_prefix",
+                "_size",
+            )
+        else:
+            above = F.shiftright("_bits", (digit + 1) * DIGIT_BITS)
+            counts = (
+                _with_found(rows.withColumn("_above", above), found.withColumnRenamed("_prefix", "_above"), keys, "_above")
+                .groupBy(*keys, *asked, prefix.alias("_prefix"))
+                .agg(F.sum("_n").alias("_size"))
+            )
+        upto = F.col("_before") + F.sum("_size").over(Window.partitionBy(*keys, "_which").orderBy("_prefix"))
+        found = (
+            counts.withColumn("_upto", upto)
+            .filter(F.col("_rank").between(F.col("_upto") - F.col("_size") + 1, F.col("_upto")))
+            .select(*keys, "_which", "_rank", (F.col("_upto") - F.col("_size")).alias("_before"), "_prefix")
+        )
+    # Values of equal bits: one, unless decimals were rounded to doubles.
+    last = (
+        _with_found(rows, found.withColumnRenamed("_prefix", "_bits"), keys, "_bits")
+        .groupBy(*keys, *asked, "_value").agg(F.sum("_n").alias("_n"))
     )
     within = Window.partitionBy(*keys, "_which").orderBy("_value")
     reached = F.col("_before") + F.sum("_n").over(within) >= F.col("_rank")
@@ -82,12 +111,18 @@ def exact_quantiles(
         for i in range(len(probabilities))
     ]
     return (
-        found.withColumn("_reached", reached)
+        last.withColumn("_reached", reached)
         .groupBy(*keys)
         .agg(F.array(*picks).alias("quantiles"))
     )
 
 
+def _with_found(rows: DataFrame, found: DataFrame, keys: list[str], digits: str) -> DataFrame:
+    """Rows that share the digits found so far, once for each probability that has them."""
+    # Without groups there is one row per probability, so the filter is part of the scan.
+    return _join_groups(rows, found if keys else F.broadcast(found), [*keys, digits])
+
+
 def quantile_ranks(
     df: DataFrame,
     column: str,

@@ -227,10 +227,15 @@ def orders_in_window(
     )
 
 
-def counts_in_window(instants: DataFrame, seconds: int, name: str) -> DataFrame:
+def counts_in_window(
+    instants: DataFrame, seconds: int, name: str, blocks: int = 64
+) -> DataFrame:
     """(_key, _at, name): rows of the key in the ``seconds`` up to and including each instant.
 
-    ``instants`` has the number of rows ``_n`` of each key and time in microseconds.
+    ``instants`` has the number of rows ``_n`` of each key and time in microseconds. Running
+    sums are formed in two steps, so a key that has most of its rows in one window is not one
+    task: sums of ``blocks`` parts of a bucket, combined before the shuffle, tell what came
+    before a part, and only a part's own rows are put in order.
     """
     # Buckets as long as the window: only the bucket before can still count.
     span = seconds * 1_000_000
@@ -243,12 +248,25 @@ def counts_in_window(instants: DataFrame, seconds: int, name: str) -> DataFrame:
         (bucket + 1).alias("_bucket"), (F.col("_at") + span + 1).alias("_tick"),
         F.lit(0).cast("bigint").alias("_in"), F.col("_n").alias("_out"),
     )
-    ticks = instants.select("_key", "_at", F.inline(F.array(arrival, expiry)))
+    place = ["_key", "_bucket", "_block"]
+    block = F.floor((F.col("_tick") - F.col("_bucket") * span) / max(1, span // blocks))
+    ticks = instants.select("_key", "_at", F.inline(F.array(arrival, expiry))).withColumn("_block", block)
     group = Window.partitionBy("_key", "_bucket")
-    so_far = group.orderBy("_tick")
-    carried = F.sum("_out").over(group) - F.sum("_out").over(so_far)
+    by_block = group.orderBy("_block")
+    parts = (
+        ticks.groupBy(*place).agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
+        .select(
+            *place,
+            (F.sum("_in").over(by_block) - F.col("_in")).alias("_came"),
+            # Arrivals of the bucket before that the window still held when the block began.
+            (F.sum("_out").over(group) - F.sum("_out").over(by_block) + F.col("_out")).alias("_held"),
+        )
+    )
+    so_far = Window.partitionBy(*place).orderBy("_tick")
+    inside = F.sum("_in").over(so_far) - F.sum("_out").over(so_far)
     return (
-        ticks.withColumn(name, F.sum("_in").over(so_far) + carried)
+        ticks.join(parts, place)
+        .withColumn(name, F.col("_came") + F.col("_held") + inside)
         .filter(F.col("_in") > 0)
         .select("_key", "_at", name)
     )

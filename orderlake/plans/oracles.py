@@ -624,7 +624,7 @@ def statements() -> dict[str, str]:
         "topk_latest": f"""WITH {LIVE} SELECT order_id, customer_id, event_timestamp, status, {eur('cents')} AS total_amount
             FROM live ORDER BY event_timestamp DESC, order_id DESC LIMIT 1000""",
         "sort_report": f"WITH {ORD} SELECT status, COUNT(order_id) AS count FROM valid GROUP BY status",
-        "set_union": f"WITH {STREAM} {ENRICHED_SELECT.format(extra='d AS order_date_parsed,')}",
+        "set_union": f"WITH {STREAM} {ENRICHED_SELECT.format(extra='t AS order_timestamp, d AS order_date_parsed,')}",
         # ---- data quality
         "dq_nulls": " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, CAST(0 * COUNT(*) + {e if c != 'status' else 0} AS BIGINT) AS null_count FROM orders"
@@ -796,7 +796,7 @@ def statements() -> dict[str, str]:
         "log_flatten": f"""WITH {MSG} SELECT event_id AS order_id, user_id AS customer_id, value AS total_amount,
             CAST(json_extract_string(props, '$.k') AS INTEGER) AS quantity, timestamp AS _kafka_timestamp,
             "offset" AS _kafka_offset, partition AS _kafka_partition FROM msg""",
-        "log_retain": f"""WITH {MSG} SELECT topic, partition, "offset", key, timestamp FROM msg
+        "log_retain": f"""WITH {MSG} SELECT topic, partition, "offset", key, timestamp, {JSON_VALUE} AS value FROM msg
             WHERE timestamp >= TIMESTAMP '2024-01-30 23:00:00' - INTERVAL 336 HOUR""",
     }
     sql["agg_segment_order"] = sql["agg_segment"]

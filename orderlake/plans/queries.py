@@ -235,12 +235,8 @@ def snk_stream_bronze(spark: SparkSession, d: str) -> DataFrame:
 def _silver_layers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     out = new_scratch_dir(spark, "silver")
     stream = T.enrich_order_events(_order_stream(spark, d))
-    sinks.to_silver(stream, f"{out}/orders", f"{out}/checkpoint", every=None).awaitTermination()
-    schema = stream.schema
-    return (
-        spark.read.schema(schema).parquet(f"{out}/orders").drop(sinks.BATCH),
-        spark.read.schema(schema).parquet(f"{out}/orders_invalid_dates").drop(sinks.BATCH),
-    )
+    marked.to_silver_table(stream, out, f"{out}/checkpoint", every=None).awaitTermination()
+    return marked.silver_now(spark, out)
 
 
 def snk_stream_silver(spark: SparkSession, d: str) -> DataFrame:
@@ -254,14 +250,12 @@ def snk_stream_silver(spark: SparkSession, d: str) -> DataFrame:
 
 
 def snk_stream_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    """Revenue windows kept current in a small table (complete mode)."""
+    """Revenue windows kept current: closed ones and those still open, of one version."""
     out = new_scratch_dir(spark, "snapshot")
-    windows = T.revenue_by_window(T.enrich_order_events(_order_stream(spark, d)), "1 hour")
-    sinks.to_table_snapshot(
-        windows, f"{out}/table", f"{out}/checkpoint", every=None
-    ).awaitTermination()
-    current = spark.read.schema(windows.schema).parquet(f"{out}/table")
-    return report(_checked_customers(current, _sales(spark, d), 0.15, "1 hour"))
+    orders = T.enrich_order_events(_order_stream(spark, d))
+    marked.to_windows(orders, f"{out}/gold", f"{out}/checkpoint", "1 hour", every=None).awaitTermination()
+    current = marked.windows_now(spark, f"{out}/gold").drop("is_closed")
+    return report(_checked_customers(current, _sales(spark, d), 0.05, "1 hour"))
 
 
 def layer_freshness(spark: SparkSession, d: str) -> DataFrame:
@@ -727,9 +721,12 @@ def sort_report(spark: SparkSession, d: str) -> DataFrame:
 
 def set_union(spark: SparkSession, d: str) -> DataFrame:
     valid, quarantined = _silver_layers(spark, d)
-    return live.union_layers(
-        valid.drop("processing_timestamp", "order_timestamp"),
-        quarantined.drop("processing_timestamp", "order_timestamp", "order_date_parsed"),
+    # The time of processing differs from run to run.
+    return report(
+        live.union_layers(
+            valid.drop("processing_timestamp"),
+            quarantined.drop("processing_timestamp", "order_date_parsed"),
+        )
     )
 
 
@@ -1075,12 +1072,13 @@ def str_layers(spark: SparkSession, d: str) -> DataFrame:
     stack.await_all(queries)
     read = lambda folder: spark.read.schema("order_id BIGINT").parquet(f"{lake}/tables/{folder}")
     gold = f"{lake}/tables/gold"
+    dated, undated = marked.silver_now(spark, f"{lake}/tables/silver")
     windows = marked.window_parts_now(spark, gold)
     told, waiting, untold = marked.velocity_now(spark, gold)
     layers = {
         "bronze": read("bronze/orders_streaming"),
-        "silver": read("silver/orders_enriched_streaming"),
-        "invalid_dates": read("silver/orders_enriched_streaming_invalid_dates"),
+        "silver": dated,
+        "invalid_dates": undated,
         "fraud_alerts": read("gold/fraud_alerts"),
         "customer_velocity": spark.read.schema("customer_id BIGINT").parquet(f"{gold}/customer_velocity"),
         "revenue_closed": windows.filter("is_closed"),
@@ -1138,7 +1136,7 @@ def log_retain(spark: SparkSession, d: str) -> DataFrame:
     kept = msglog.retained(supplied.messages(spark, d), supplied.topics(spark, d), frames.live_as_of())
     path = new_scratch_dir(spark, "log")
     writers.rewrite_retained(kept, path)
-    return report(spark.read.schema(kept.schema).parquet(path).drop("value"))
+    return report(spark.read.schema(kept.schema).parquet(path))
 
 
 def registered() -> dict[str, Query]:

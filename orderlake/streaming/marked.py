@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderlake.functions.numeric import avg_money, money, sum_money
 from orderlake.operators.fraud import counts_in_window
+from orderlake.sources.writers import MONTH
 from orderlake.streaming.batches import BatchTables, Version
 from orderlake.streaming.sinks import start_batches
 
@@ -245,3 +246,38 @@ def velocity_now(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame,
         waiting.filter(_after("second", now.mark)).drop("second"),
         tables.table("order_velocity_late", now),
     )
+
+
+# ---- silver orders ---------------------------------------------------------------------------
+SILVER = "orders_enriched_streaming"
+
+
+def silver_tables(spark: SparkSession, base: str) -> BatchTables:
+    return BatchTables(spark, base, SILVER, partition_by={SILVER: ("dated", *MONTH)})
+
+
+def to_silver_table(
+    orders: DataFrame, base: str, checkpoint: str, every: str | None = "1 minute"
+) -> StreamingQuery:
+    """Enriched orders in one write a batch, split by whether they have a month, and by month.
+
+    Nothing is held in memory; small folders are merged, so files stay few however many
+    batches there are.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tables = silver_tables(batch.sparkSession, base)
+        last = tables.newest(before=batch_id)
+        dated = F.col(MONTH[0]).isNotNull() & F.col(MONTH[1]).isNotNull()
+        rows = batch.withColumn("dated", dated).hint("rebalance", "dated", *MONTH)
+        tables.commit(last, batch_id, None, append={SILVER: tables.write(SILVER, rows, batch_id)})
+
+    return start_batches(orders, write, checkpoint, every)
+
+
+def silver_now(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """(orders with a month, orders in quarantine), both of the newest version."""
+    rows = silver_tables(spark, base).table(SILVER)
+    if rows is None:
+        raise ValueError(f"no batch has been written below {base}")
+    return rows.filter("dated").drop("dated"), rows.filter("not dated").drop("dated")

@@ -44,12 +44,7 @@ def start_order_stack(
         sinks.to_parquet(
             orders, f"{lake}/bronze/orders_streaming", f"{checkpoints}/bronze", every("30 seconds")
         ),
-        sinks.to_silver(
-            enriched,
-            f"{lake}/silver/orders_enriched_streaming",
-            f"{checkpoints}/silver",
-            every("1 minute"),
-        ),
+        marked.to_silver_table(enriched, f"{lake}/silver", f"{checkpoints}/silver", every("1 minute")),
         marked.to_windows(
             enriched, f"{lake}/gold", f"{checkpoints}/revenue", every=every("10 seconds")
         ),

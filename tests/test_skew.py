@@ -1,7 +1,9 @@
 """Operators that must not gather a hot key, against brute force on skewed fixtures."""
 
 import datetime as dt
+import math
 import random
+import struct
 from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 
@@ -163,6 +165,44 @@ def test_exact_quantiles(spark):
     assert overall == [lower(everything, p) for p in probabilities]
 
 
+def test_exact_quantiles_of_any_range(spark):
+    rng = random.Random(5)
+    values = [rng.choice((-1, 1)) * 10.0 ** rng.uniform(-320, 308) for _ in range(500)]
+    values += [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 1.7976931348623157e308, float("inf"), float("-inf"), 1.0, 2.0]
+    values += [math.nextafter(2.0**e, d) for e in (-1000, -3, 0, 1, 10, 1000) for d in (0.0, math.inf)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    bits = df.select("v", distribution.ordered_bits(df, "v").alias("b")).collect()
+    assert all(r.b == (struct.unpack("<q", struct.pack("<d", abs(r.v)))[0] * (-1 if r.v < 0 else 1)) for r in bits)
+    probabilities = [i / 20 for i in range(21)]
+    ordered = sorted(values)
+    want = [ordered[max(1, math.ceil(len(ordered) * p)) - 1] for p in probabilities]
+    assert distribution.exact_quantiles(df, "v", probabilities).first().quantiles == want
+    for kind in ("decimal(18,2)", "decimal(30,4)", "bigint", "int"):
+        numbers = [rng.randrange(-(10**6), 10**6) for _ in range(300)]
+        frame = spark.createDataFrame([(n,) for n in numbers], "n bigint").selectExpr(f"cast(n as {kind}) AS v")
+        got = distribution.exact_quantiles(frame, "v", [0.5, 0.9]).first().quantiles
+        assert [int(q) for q in got] == [sorted(numbers)[149], sorted(numbers)[269]]
+
+
+def test_one_key_with_most_rows_of_an_hour_is_split(spark):
+    # All rows of one key in one hour: no task may put more than a part of them in order.
+    n = 20_000
+    df = spark.range(n).selectExpr(
+        "1L AS customer_id", "timestamp_micros(3600000000 * 5 + cast(id * 3600000000 / {n} as long)) AS order_timestamp".format(n=n)
+    )
+    counted = fraud.orders_in_window(df)
+    assert counted.agg(F.sum("orders_in_last_hour"), F.max("orders_in_last_hour")).first()[:] == (n * (n + 1) // 2, n)
+    instants = df.groupBy(F.col("customer_id").alias("_key"), F.unix_micros("order_timestamp").alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    spread = fraud.counts_in_window(instants, 3600, "c").withColumn("task", F.spark_partition_id())
+    # Four partitions here, if Spark does not join them; the key's hour is dealt over them.
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        assert spread.groupBy("task").count().agg(F.max("count")).first()[0] < 0.6 * n
+    finally:
+        spark.conf.unset(coalesce)
+
+
 def test_outliers(spark):
     values = [float(v) for v in range(1, 101)] + [1000.0, -900.0, None]
     df = spark.createDataFrame([(v,) for v in values], "v double")
