@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,9 +123,8 @@ def read_from(
 ) -> DataFrame:
     """The next ``limit`` messages of each partition from an offset on.
 
-    One chosen partition is a plain top-n. Over several, Spark applies the rank limit
-    on the map side (for limits up to its window group limit threshold, 1000 by
-    default), so a long partition is not gathered.
+    One chosen partition is a plain top-n. Over several, a histogram of offsets tells where
+    each partition's last wanted message lies, whatever the limit.
     """
     wanted = messages.filter(F.col("offset") >= from_offset)
     if topic is not None:
@@ -131,7 +133,8 @@ def read_from(
         wanted = wanted.filter(F.col("partition") == partition)
     if topic is not None and partition is not None:
         return wanted.orderBy("offset").limit(limit)
-    return _first_per(wanted, ["topic", "partition"], [F.col("offset")], limit)
+    offset = F.col("offset")
+    return _first_per(wanted, ["topic", "partition"], offset, [offset], limit, OFFSET_WIDTHS)
 
 
 def latest_messages(messages: DataFrame, n: int = 5, topic: str | None = None) -> DataFrame:
@@ -139,12 +142,49 @@ def latest_messages(messages: DataFrame, n: int = 5, topic: str | None = None) -
     newest = [F.col("timestamp").desc(), F.col("offset").desc(), F.col("partition").desc()]
     if topic is not None:
         return messages.filter(F.col("topic") == topic).orderBy(*newest).limit(n)
-    return _first_per(messages, ["topic"], newest, n)
+    age = -F.unix_micros(F.col("timestamp").cast("timestamp"))
+    return _first_per(messages, ["topic"], age, newest, n, TIME_WIDTHS)
+
+
+# Widths of histogram bins, coarse to fine: offsets; hours and seconds in microseconds.
+OFFSET_WIDTHS = (1 << 24, 1 << 12)
+TIME_WIDTHS = (3_600_000_000, 1_000_000)
 
 
-def _first_per(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
+def _first_per(
+    df: DataFrame, keys: list[str], value: Column, order: list[Column], n: int, widths: tuple[int, ...]
+) -> DataFrame:
+    """The first ``n`` rows of each group by ``order``, whose first term rises with ``value``.
+
+    Counts by bin, combined before the shuffle, find the bin that holds a group's n-th row;
+    finer bins inside it narrow it down. Rows of earlier bins are taken by a plain filter and
+    only the last bin's rows are put in order. Rows without a value come last of all.
+    """
+    # Whatever ``order`` does with nulls, a missing value is beyond every bin.
+    rows = df.withColumn("_value", F.coalesce(value, F.lit((1 << 62) - 1)))
+    cut, inside = None, rows.withColumn("_before", F.lit(0).cast("bigint"))
+    for width in widths:
+        bin_of = F.floor(F.col("_value") / width)
+        counts = inside.groupBy(*keys, "_before", bin_of.alias("_bin")).agg(F.count(F.lit(1)).alias("_size"))
+        upto = F.col("_before") + F.sum("_size").over(Window.partitionBy(*keys).orderBy("_bin"))
+        cut = (
+            counts.withColumn("_upto", upto)
+            .filter((F.col("_upto") >= n) & (F.col("_upto") - F.col("_size") < n))
+            .select(*keys, F.col("_bin").alias("_cut"), (F.col("_upto") - F.col("_size")).alias("_before"))
+        )
+        inside = _with_keys(rows, cut, keys, "inner").filter(bin_of == F.col("_cut"))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+    last = inside.withColumn("_rank", rank).filter(F.col("_before") + F.col("_rank") <= n)
+    # Groups of fewer rows have no cut.
+    early = _with_keys(rows, cut, keys, "left").filter(F.col("_cut").isNull() | (bin_of < F.col("_cut")))
+    return early.select(*df.columns).unionByName(last.select(*df.columns))
+
+
+def _with_keys(rows: DataFrame, cut: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Rows beside their group's cut; null is a group like any other."""
+    renamed = cut.withColumnsRenamed({k: f"_cut_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_cut_{k}")) for k in keys])
+    return rows.join(renamed, same, how).drop(*[f"_cut_{k}" for k in keys])
 
 
 def flatten_messages(messages: DataFrame, schema: str) -> DataFrame:

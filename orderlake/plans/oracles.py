@@ -800,6 +800,9 @@ def statements() -> dict[str, str]:
             WHERE timestamp >= TIMESTAMP '2024-01-30 23:00:00' - INTERVAL 336 HOUR""",
     }
     sql["agg_segment_order"] = sql["agg_segment"]
+    sql["log_retain_days"] = sql["log_retain"]
+    sql["log_read_from_far"] = sql["log_read_from"].replace("rn <= 100", "rn <= 1001")
+    sql["log_latest_far"] = sql["log_latest"].replace("rn <= 5", "rn <= 1001")
     sql["flt_review"] = f"WITH {LIVE}, a AS ({ALERT_SELECT}) SELECT * FROM a WHERE requires_review"
     flagged = sql["enr_orders_raw"].replace("SELECT order_id, status,", "SELECT o_orderkey, order_id, status,")
     sql["join_fact_raw"] = f"""WITH o AS ({flagged}), {ORD}, {ITM},

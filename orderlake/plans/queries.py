@@ -6,6 +6,7 @@ table take part; only top-k reports are limited, because that is what they are.
 
 from __future__ import annotations
 
+import datetime as dt
 import inspect
 import sys
 from collections.abc import Callable, Iterable, Iterator
@@ -1139,6 +1140,23 @@ def log_retain(spark: SparkSession, d: str) -> DataFrame:
     return report(spark.read.schema(kept.schema).parquet(path))
 
 
+def log_retain_days(spark: SparkSession, d: str) -> DataFrame:
+    """Retention in place: whole days dropped, the cutoff's day written again."""
+    path, scratch = new_scratch_dir(spark, "log"), new_scratch_dir(spark, "border")
+    writers.write_log(supplied.messages(spark, d), path)
+    writers.retain_log(spark, path, schemas.MESSAGES, supplied.topics(spark, d), dt.datetime(2024, 1, 30, 23), scratch)
+    return report(writers.read_log(spark, path, schemas.MESSAGES))
+
+
+def log_read_from_far(spark: SparkSession, d: str) -> DataFrame:
+    """A limit above what Spark ranks on the map side."""
+    return report(msglog.read_from(supplied.messages(spark, d), from_offset=500, limit=1001))
+
+
+def log_latest_far(spark: SparkSession, d: str) -> DataFrame:
+    return report(msglog.latest_messages(supplied.messages(spark, d), 1001))
+
+
 def registered() -> dict[str, Query]:
     """Public functions of this module, in order of definition."""
     module = sys.modules[__name__]

@@ -7,12 +7,15 @@ table, so no single task writes a hot partition.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.functions.numeric import decimals_to_double
+from orderlake.sources.files import Files
 
 MONTH = ("order_year", "order_month")
 
@@ -78,3 +81,64 @@ def rewrite_retained(kept: DataFrame, path: str) -> None:
         .partitionBy("topic")
         .parquet(path)
     )
+
+
+LOG_DAY = "day"
+
+
+def write_log(messages: DataFrame, path: str, mode: str = "append") -> None:
+    """A message log partitioned by topic and day; messages without a time have no day."""
+    (
+        messages.withColumn(LOG_DAY, F.to_date("timestamp"))
+        .hint("rebalance", "topic", LOG_DAY)
+        .sortWithinPartitions("topic", LOG_DAY, "partition", F.col("offset"))
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("topic", LOG_DAY)
+        .parquet(path)
+    )
+
+
+def retain_log(
+    spark: SparkSession, path: str, schema: str, topics: DataFrame, as_of: dt.datetime, scratch: str
+) -> dict[str, int]:
+    """Apply each topic's retention to a log from ``write_log`` in place.
+
+    Whole days before the cutoff go by their folders; of each topic only the cutoff's own day
+    is written again, through ``scratch``, and files of other days stay as they are. Topics
+    without a retention keep everything, as do messages without a time. Safe to run again.
+    Returns how many days were dropped and how many rewritten.
+    """
+    files = Files(spark, path)
+    hours = {r.topic: r.retention_hours for r in topics.select("topic", "retention_hours").distinct().collect()}
+    border, dropped = [], 0
+    # Folders only: as many names as topics and days.
+    for folder in files.names(path):
+        topic = unquote(folder.partition("=")[2])
+        if not folder.startswith("topic=") or hours.get(topic) is None:
+            continue
+        cutoff = as_of - dt.timedelta(hours=hours[topic])
+        for name in files.names(f"{path}/{folder}"):
+            day = name.partition("=")[2]
+            if not name.startswith(f"{LOG_DAY}=") or day.startswith("__HIVE"):
+                continue
+            if day < cutoff.date().isoformat():
+                files.delete(f"{path}/{folder}/{name}")
+                dropped += 1
+            elif day == cutoff.date().isoformat():
+                border.append((f"{path}/{folder}/{name}", topic, cutoff))
+    for n, (folder, topic, cutoff) in enumerate(border):
+        rows = spark.read.schema(schema).parquet(folder).drop("topic")
+        kept = rows.filter(F.col("timestamp") >= F.lit(cutoff.isoformat(sep=" ")).cast("timestamp"))
+        kept.write.mode("overwrite").parquet(f"{scratch}/{n}")
+        kept = spark.read.schema(kept.schema).parquet(f"{scratch}/{n}")
+        if kept.isEmpty():
+            files.delete(folder)
+        else:
+            kept.sortWithinPartitions("partition", F.col("offset")).write.mode("overwrite").parquet(folder)
+    return {"dropped": dropped, "rewritten": len(border)}
+
+
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A log from ``write_log``, without the day."""
+    return spark.read.schema(f"{schema}, {LOG_DAY} DATE").parquet(path).drop(LOG_DAY)

@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 import random
+import re
 import struct
 from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
@@ -254,6 +255,21 @@ def test_histogram_of_one_value(spark):
 def test_long_topic_is_limited_before_the_shuffle(spark, sf):
     from orderlake.sources import supplied
 
-    top = msglog.latest_messages(supplied.messages(spark, sf), 5)
-    plan = top._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    def nodes(n):
+        top = msglog.latest_messages(supplied.messages(spark, sf), n)
+        plan = top._jdf.queryExecution().executedPlan().toString()
+        return re.findall(r"[A-Z][A-Za-z]+(?= |\()", re.sub(r"\[.*?\]|\(.*?\)|Filter.*|Project.*", " ", plan))
+
+    # One plan whatever the limit: the window sees rows of a topic's last bin only.
+    assert nodes(5) == nodes(1000) == nodes(1001) and "WindowGroupLimit" not in nodes(5)
+    log = spark.createDataFrame(
+        [("a", i % 3, i, dt.datetime(2024, 1, 1 + i // 500)) for i in range(3000)]
+        + [(None, 0, 1, dt.datetime(2024, 1, 1)), ("b", 0, 1, None)],
+        "topic string, partition int, offset long, timestamp timestamp",
+    )
+    for n in (1, 499, 500, 501, 1499, 5000):
+        got = msglog.latest_messages(log, n).collect()
+        assert sorted(r.offset for r in got if r.topic == "a") == list(range(max(0, 3000 - n), 3000))
+        assert len([r for r in got if r.topic != "a"]) == 2
+        got = msglog.read_from(log, 700, n).filter("topic = 'a' and partition = 1").collect()
+        assert sorted(r.offset for r in got) == [i for i in range(700, 3000) if i % 3 == 1][:n]
