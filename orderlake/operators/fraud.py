@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from orderlake.functions import scores as S
 from orderlake.functions.numeric import avg_money, count_when, sum_money
-from orderlake.operators.dedupe import flag_duplicates
 from orderlake.operators.model import with_item_totals
 
 
@@ -20,36 +19,28 @@ def days_since_last_order(orders: DataFrame) -> DataFrame:
     gathering a customer's orders in one task: every order but a day's first
     follows one of the same day, so only (customer, day) pairs need the window.
     Days are formed by pre-aggregated group-bys, and a customer has at most one row per
-    calendar day in the window. Only one order opens a day: of copies, and of orders
-    without a number, which sort before the others, the first in the order of all
-    columns. That choice is made per input split first, among such rows alone.
+    calendar day in the window. Only one order opens a day: the first in the order of
+    number and all other columns. Copies of a row are interchangeable, so they are counted,
+    per input split before the shuffle, and the first of the count opens.
     """
-    by_number = orders.groupBy("customer_id", "order_date", "order_id").agg(
-        F.count(F.lit(1)).alias("_copies")
-    )
-    days = by_number.groupBy("customer_id", "order_date").agg(
-        F.min(F.struct("order_id", "_copies")).alias("_first")
+    columns, day = orders.columns, ["customer_id", "order_date"]
+    rest = ["order_id", *[c for c in columns if c not in (*day, "order_id")]]
+    # Copies of one split stay a row of their own: none stands for an unbounded number.
+    rows = (
+        orders.withColumn("_split", F.spark_partition_id())
+        .groupBy(*columns, "_split").agg(F.count(F.lit(1)).alias("_copies"))
     )
     by_customer = Window.partitionBy("customer_id").orderBy("order_date")
-    days = days.withColumn("_day_before", F.lag("order_date").over(by_customer))
-    columns = orders.columns
-    dated = orders.join(days, ["customer_id", "order_date"]).select(
-        *columns,
-        "_day_before",
-        F.col("order_id").eqNullSafe(F.col("_first.order_id")).alias("_opens"),
-        F.col("_first._copies").alias("_copies"),
+    days = (
+        rows.groupBy(*day)
+        .agg(F.min(F.struct(*rest, "_split")).alias("_first"))
+        .withColumn("_day_before", F.lag("order_date").over(by_customer))
     )
-    contested = F.col("_opens") & (F.col("_copies") > 1)
-    chosen = flag_duplicates(
-        dated.filter(contested), ["customer_id", "order_date"], "_again"
-    ).withColumn("_opens", ~F.col("_again"))
+    opens = F.struct(*rest, "_split").eqNullSafe(F.col("_first")) & (F.col("_copy") == 1)
     return (
-        dated.filter(~contested)
-        .unionByName(chosen.drop("_again"))
-        .withColumn(
-            "prev_order_date",
-            F.when(F.col("_opens"), F.col("_day_before")).otherwise(F.col("order_date")),
-        )
+        rows.join(days, day)
+        .select(*columns, "_split", "_first", "_day_before", F.explode(F.expr("sequence(1L, _copies)")).alias("_copy"))
+        .withColumn("prev_order_date", F.when(opens, F.col("_day_before")).otherwise(F.col("order_date")))
         .withColumn("days_since_last_order", F.datediff("order_date", "prev_order_date"))
         .select(*columns, "prev_order_date", "days_since_last_order")
     )

@@ -79,6 +79,7 @@ def order_facts(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def line_facts(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """Order facts at item grain; an order without usable items keeps one row.
 
+    ``orders`` is read twice, so it should be a stored table, or its join runs twice.
     The outer join is spelled as matched lines plus orders without lines: unlike a
     left join, the inner join lets a hot order be split on the item side.
     """
@@ -108,14 +109,23 @@ def fact_orders_raw(
 
     ``orders`` comes from ``enrich_orders``; the other frames are raw.
     """
+    return raw_line_facts(raw_order_heads(orders, customers), items, products)
+
+
+def raw_order_heads(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orders with the customer they match, if any."""
     people = unique_dimension(customers.select("customer_id", "name", "segment"), "customer_id")
-    catalogue = unique_dimension(
-        products.select("product_id", "product_name", "category"), "product_id"
-    )
-    head = (
+    return (
         orders.join(people, "customer_id", "left")
         .withColumnsRenamed({"name": "customer_name", "segment": "customer_segment"})
     )
+
+
+def raw_line_facts(head: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
+    """Orders with their customers, at item grain. ``head`` is read twice: store it first."""
+    catalogue = unique_dimension(
+        products.select("product_id", "product_name", "category"), "product_id"
+    )
     item_columns = items.select("order_id", "product_id", "quantity")
     with_items = items.select("order_id").filter(F.col("order_id").isNotNull()).distinct()
     columns = (

@@ -131,7 +131,12 @@ def products(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- modelled tables ---------------------------------------------------------------
 def order_facts(spark: SparkSession, d: str) -> DataFrame:
-    return model.order_facts(orders(spark, d), customers(spark, d))
+    return stored(
+        spark,
+        d,
+        "silver-order_facts",
+        lambda: model.order_facts(orders(spark, d), customers(spark, d)),
+    )
 
 
 def build_fact(spark: SparkSession, d: str) -> DataFrame:

@@ -129,9 +129,12 @@ def run_batch(
     products = enrich.canonical_products(cleaned["products"])
     valid = orders.filter(F.col("is_valid_order") == 1)
 
+    # Both halves of the fact table read the orders with their customers.
+    writers.write_parquet(model.order_facts(orders, customers), f"{silver}/order_facts")
+    order_facts = spark.read.parquet(f"{silver}/order_facts")
     writers.write_silver(
         cleaned["orders"].filter(F.col("is_valid_order") == 1),
-        model.fact_orders(orders, customers, items, products),
+        model.line_facts(order_facts, items, products),
         metrics.customer_metrics(valid, customers, as_of),
         silver,
     )

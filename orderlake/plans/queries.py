@@ -450,12 +450,15 @@ def flt_review(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- joins -----------------------------------------------------------------------
 def join_fact_raw(spark: SparkSession, d: str) -> DataFrame:
-    return model.fact_orders_raw(
-        enrich.enrich_orders(frames.raw_orders(spark, d)),
-        frames.raw_customers(spark, d),
-        frames.raw_items(spark, d),
-        frames.raw_products(spark, d),
+    heads = frames.stored(
+        spark,
+        d,
+        "raw-order_heads",
+        lambda: model.raw_order_heads(
+            enrich.enrich_orders(frames.raw_orders(spark, d)), frames.raw_customers(spark, d)
+        ),
     )
+    return model.raw_line_facts(heads, frames.raw_items(spark, d), frames.raw_products(spark, d))
 
 
 def join_fact(spark: SparkSession, d: str) -> DataFrame:
