@@ -800,6 +800,7 @@ def statements() -> dict[str, str]:
             WHERE timestamp >= TIMESTAMP '2024-01-30 23:00:00' - INTERVAL 336 HOUR""",
     }
     sql["agg_segment_order"] = sql["agg_segment"]
+    sql["agg_gold_refresh"], sql["snk_fact_refresh"] = sql["agg_gold"], sql["snk_fact"]
     sql["log_retain_days"] = sql["log_retain"]
     sql["log_read_from_far"] = sql["log_read_from"].replace("rn <= 100", "rn <= 1001")
     sql["log_latest_far"] = sql["log_latest"].replace("rn <= 5", "rn <= 1001")
