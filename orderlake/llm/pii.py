@@ -28,7 +28,8 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DIGIT = re.compile(r"[0-9]")
-CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+# A run of digits is tried from its beginning only: what follows it does not depend on the start.
+CHAIN = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -119,14 +120,16 @@ _link = rf"{_gap}(?:(?:{DOT_WORDS}){_gap})?"
 # Three spelled digits at least; what is between them is kept only if it is a dot.
 SPELLED = re.compile(rf"(?<!\w)(?:(?:{PLUS_WORDS}){_gap})?{_digit}(?:{_link}{_digit}){{2,}}(?!\w)", re.I)
 SPELLED_PART = re.compile(rf"(?P<digit>{_digit}(?!\w))|(?P<dot>{_gap}(?:{DOT_WORDS}){_gap})|(?P<plus>(?:{PLUS_WORDS}){_gap})|(?P<gap>{_gap})", re.I)
+# White space before a sign is looked at from its beginning only, so a long run is read once.
+_blank = r"(?:(?<!\s)\s+|)"
 AT_SIGN = re.compile(
-    rf"\s*[\[({{<]\s*(?:{AT_WORDS}|@)\s*[\])}}>]\s*"
-    rf"|\s+(?:{AT_WORDS})\s+(?=[A-Za-z0-9-]+(?:\s+(?:{DOT_WORDS})\s+|\s*[\[({{<]\s*(?:{DOT_WORDS}|\.)\s*[\])}}>]\s*)[A-Za-z0-9])"
+    rf"{_blank}[\[({{<]\s*(?:{AT_WORDS}|@)\s*[\])}}>]\s*"
+    rf"|(?<!\s)\s+(?:{AT_WORDS})\s+(?=[A-Za-z0-9-]+(?:\s+(?:{DOT_WORDS})\s+|\s*[\[({{<]\s*(?:{DOT_WORDS}|\.)\s*[\])}}>]\s*)[A-Za-z0-9])"
     r"|(?<=\w)\s+@\s*(?=\w)|(?<=\w)@\s+(?=[A-Za-z0-9-]+\s*[.\[({<])",
     re.I,
 )
 DOT_SIGN = re.compile(
-    rf"\s*[\[({{<]\s*(?:{DOT_WORDS}|\.)\s*[\])}}>]\s*|(?<=\w)\s+(?:{DOT_WORDS})\s+(?=\w)", re.I
+    rf"{_blank}[\[({{<]\s*(?:{DOT_WORDS}|\.)\s*[\])}}>]\s*|(?<=\w)\s+(?:{DOT_WORDS})\s+(?=\w)", re.I
 )
 STRANGE = re.compile("[" + "".join(map(re.escape, LOOK_ALIKES)) + "]")
 BRACKETED = re.compile(rf"[\[({{<]\s*(?:{AT_WORDS}|{DOT_WORDS}|@|\.)\s*[\])}}>]", re.I)
