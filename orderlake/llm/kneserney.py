@@ -60,6 +60,8 @@ BUFFER = 4_000_000
 # Characters whose tokens are looked up together.
 CHUNK = 4_000_000
 HELD_OUT = 10
+# Spark's setting that removes a query's shuffle files when the query ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _INVERSE_A = np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
 _INVERSE_B = np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
@@ -464,6 +466,17 @@ def train(docs: DataFrame, folder: str | None = None, *, text_col: str = "text",
         raise ValueError("the order is 2 or more")
     spark = docs.sparkSession
     prepare(spark)
+    # A pass leaves files behind and nothing reads its shuffle again: drop that at its end.
+    kept = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        return _train(docs, folder, text_col, order)
+    finally:
+        spark.conf.unset(CLEAN_UP) if kept is None else spark.conf.set(CLEAN_UP, kept)
+
+
+def _train(docs: DataFrame, folder: str | None, text_col: str, order: int) -> Model:
+    spark = docs.sparkSession
     folder = local_folder(folder or new_scratch_dir(spark, "bigrams"))
     # More shards than partitions even out what a task merges.
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -657,14 +670,13 @@ SCORED = "doc_id long, n_tokens long, n_known long, train_tokens long, base_scor
 def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of each row: tokens with
     the end, those that training has seen, the log10 probability under single counts (0.1
-    added to each) and under the model of order 2. A model of a higher order adds its own
-    log10 probability as ``order_score``. Perplexity is 10^(-score / n_tokens).
+    added to each) and under the model, whatever its order. Perplexity is
+    10^(-score / n_tokens).
 
     A null or empty text is an end token alone. Null ids stay null, repeated rows are scored
     one by one. A model of no documents gives every token the same probability.
     """
     prepare(docs.sparkSession)
-    schema = SCORED + ", order_score double" * bool(model.steps)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -675,19 +687,21 @@ def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
                 contexts, tokens, counts, at = sequences([hashes(words_of(t)) for t in texts[lo:hi]], model.ids)
                 counts[counts < 0] = model.documents
                 base = np.add.reduceat(np.log10((counts + 0.1) / floor), at[:-1])
-                value = np.add.reduceat(log_probabilities(model, contexts, tokens, counts), at[:-1])
+                if model.steps:
+                    each = order_log_probabilities(model, contexts, tokens, at)
+                else:
+                    each = log_probabilities(model, contexts, tokens, counts)
+                value = np.add.reduceat(each, at[:-1])
                 known = np.add.reduceat((counts > 0).astype(np.int64), at[:-1])
                 total = np.full(hi - lo, model.tokens, np.int64)
                 values = [np.diff(at), known, total, base, value]
-                if model.steps:
-                    values.append(np.add.reduceat(order_log_probabilities(model, contexts, tokens, at), at[:-1]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[lo:hi], pa.int64()), *map(pa.array, values)],
-                    [c.split()[0] for c in schema.split(", ")],
+                    [c.split()[0] for c in SCORED.split(", ")],
                 )
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(score, schema)
+    return source.mapInArrow(score, SCORED)
 
 
 def held_out(id_col: str = "doc_id"):
