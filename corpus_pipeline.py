@@ -48,6 +48,9 @@ STAGES = [
     ("packing", pack),
 ]
 
+# Bytes of whole documents that a writer holds at a time, beside the Python worker's share.
+ROW_GROUP = 16 << 20
+
 # SQL can express neither the fitted model nor the packing plan.
 ORACLE_SQL = None
 
@@ -57,5 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), name, row_group=ROW_GROUP)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -27,11 +27,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
-    """The frame written to the shared scratch folder and read back: lineage ends there."""
+def stored(
+    df: DataFrame, label: str, compression: str = "snappy", row_group: int | None = None
+) -> DataFrame:
+    """The frame written to the shared scratch folder and read back: lineage ends there.
+
+    A writer holds a group of rows, ``row_group`` bytes (Parquet's default is 128 MB), in memory.
+    """
     spark = df.sparkSession
     path = new_scratch_dir(spark, label)
-    df.write.option("compression", compression).parquet(path)
+    writer = df.write.option("compression", compression)
+    if row_group:
+        writer = writer.option("parquet.block.size", row_group)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
