@@ -90,13 +90,20 @@ def item_event_kpis(events: DataFrame) -> DataFrame:
     )
 
 
-def item_events_by_category(events: DataFrame) -> DataFrame:
+def item_events_by_category(events: DataFrame, categories: DataFrame) -> DataFrame:
+    """Sums by the product's category; one row a product is joined, not one an event."""
+    by_product = events.groupBy("product_id").agg(
+        F.sum("quantity").alias("quantity"),
+        sum_money(money(F.col("total_price"))).alias("revenue"),
+        F.count("item_id").alias("items"),
+    )
     return (
-        events.groupBy("category")
+        by_product.join(categories.select("product_id", "category"), "product_id", "left")
+        .groupBy("category")
         .agg(
             F.sum("quantity").alias("total_quantity"),
-            sum_money(money(F.col("total_price"))).alias("total_revenue"),
-            F.count("item_id").alias("item_count"),
+            sum_money(F.col("revenue")).alias("total_revenue"),
+            F.sum("items").alias("item_count"),
         )
         .orderBy(F.col("total_revenue").desc(), "category")
     )

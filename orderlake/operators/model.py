@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from orderlake.operators.dedupe import drop_duplicates_by_key
 
+# ---- fixed values: the columns of the fact table and of its order part, in this order ----
 ORDER_COLUMNS = (
     "order_id",
     "customer_id",
@@ -47,6 +48,7 @@ FACT_COLUMNS = (
     "line_calc_valid",
     "product_active",
 )
+# --------------------------------------------------------------------------------------------
 
 
 def unique_dimension(dim: DataFrame, key: str) -> DataFrame:

@@ -669,11 +669,12 @@ def agg_cust_events_segment(spark: SparkSession, d: str) -> DataFrame:
 
 
 def agg_item_events(spark: SparkSession, d: str) -> DataFrame:
-    return report(live.item_event_kpis(supplied.item_events(spark, d)))
+    return report(live.item_event_kpis(supplied.item_event_rows(spark, d)))
 
 
 def agg_item_events_category(spark: SparkSession, d: str) -> DataFrame:
-    return report(live.item_events_by_category(supplied.item_events(spark, d)))
+    events, categories = supplied.item_event_rows(spark, d), supplied.product_categories(spark, d)
+    return report(live.item_events_by_category(events, categories))
 
 
 def _alerts(spark: SparkSession, d: str) -> DataFrame:

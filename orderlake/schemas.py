@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+# Column names, order and types must be those of the feeds.
+
 ORDERS = (
     "order_id BIGINT, customer_id BIGINT, order_date STRING, status STRING, "
     "total_amount DOUBLE, source_system STRING, last_updated STRING"

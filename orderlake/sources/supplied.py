@@ -251,21 +251,24 @@ def customer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def item_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item events: one per line item, with its part's type as category."""
-    items = table(spark, sf_dir, "lineitem")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    return items.join(parts, items.l_partkey == parts.p_partkey, "left").select(
+def item_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item events, one per line item, without what the product's own table says."""
+    return table(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("total_price"),
     )
 
 
+def product_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each product with its part type as category."""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("product_id"), F.col("p_type").alias("category")
+    )
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A message log: event type as topic, user as key, event id as offset, fields as JSON."""
     events = table(spark, sf_dir, "events")
