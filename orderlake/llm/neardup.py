@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlake.llm.common import (
     WordHashes,
@@ -205,10 +206,10 @@ def sets_of(
     nodes: DataFrame, classes: DataFrame, docs: DataFrame, words: int, id_col: str, text_col: str
 ) -> DataFrame:
     """(node, members) of distinct nodes, stored: only their texts are read into sets."""
-    named = nodes.join(classes.select("node", "set_key"), "node").select(
-        "node", F.col("set_key").alias("wanted")
+    named = nodes.join(classes.select("node", "first", "set_key"), "node").select(
+        "node", "first", F.col("set_key").alias("wanted")
     )
-    source = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("first"), F.col(text_col).alias("text"))
 
     def collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -225,7 +226,7 @@ def sets_of(
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())], ["node", "members"]
             )
 
-    sets = source.join(named, "node").mapInArrow(collect_sets, "node long, members binary")
+    sets = source.join(named, "first").mapInArrow(collect_sets, "node long, members binary")
     # Repeated rows of a document give its set again.
     return stored(sets.dropDuplicates(["node"]), "sets")
 
@@ -396,15 +397,18 @@ def near_duplicates(
 
     Documents are linked when 100 * intersection >= percent * union of their sets;
     component_id is the smallest id reachable. Null and empty texts have no set, are linked
-    with nothing and kept. Rows of one id are one document. Rows with a null id take no part
-    in links; they get the component of equal sets, if any, and are kept if there is none.
+    with nothing and kept. Rows of one id are one document: their sets are linked. Rows with a
+    null id take no part in links; they get the component of equal sets, if any, and are kept
+    if there is none.
     """
     prepare(docs.sparkSession)
     signed = stored(signatures(docs, words, id_col, text_col), "signatures")
     classes = stored(
         signed.where("set_key is not null and doc_id is not null")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"), F.max("registers").alias("registers")),
+        .agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n_shingles"), F.max("registers").alias("registers"))
+        # Written once, so the numbers stay: rows of one id may have several sets.
+        .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
     keys = F.expr(
@@ -421,29 +425,90 @@ def near_duplicates(
     labels = components(verified(likely, sets_of(named, *exact), percent))
     opened = open_members(members, classes, labels)
     sets = sets_of(opened.select("node").distinct(), *exact)
-    joined = components(remaining_links(opened, classes, sets, percent))
-
-    component = (
-        classes.join(labels, "node", "left")
-        .select("set_key", F.coalesce("component", "node").alias("_component"))
-        .join(joined.select(F.col("node").alias("_component"), "component"), "_component", "left")
-        .select("set_key", F.coalesce("component", "_component").alias("_component"))
+    by_component = classes.join(labels, "node", "left").select(
+        "set_key", "first", F.coalesce("component", "node").alias("_component")
+    )
+    same_id = id_links(signed, by_component)
+    joined = components(remaining_links(opened, classes, sets, percent).union(same_id))
+    found = by_component.join(joined.withColumnRenamed("node", "_component"), "_component", "left").select(
+        "set_key", "first", F.coalesce("component", "_component").alias("_component")
     )
-    # Rows of one id but different sets reach each other's components through the id.
+    smallest = found.groupBy("_component").agg(F.min("first").alias("_smallest"))
+    component = found.join(smallest, "_component").select("set_key", "_smallest")
     return signed.join(component, "set_key", "left").select(
         "doc_id",
         "n_shingles",
-        F.coalesce("_component", "doc_id").alias("component_id"),
-        F.coalesce(
-            F.col("doc_id") == F.coalesce("_component", "doc_id"), F.col("_component").isNull()
-        ).alias("kept"),
+        F.coalesce("_smallest", "doc_id").alias("component_id"),
+        F.coalesce(F.col("doc_id") == F.coalesce("_smallest", "doc_id"), F.col("_smallest").isNull()).alias("kept"),
     )
 
 
-def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that stay: one of each component, all columns."""
+def id_links(signed: DataFrame, by_component: DataFrame) -> DataFrame:
+    """(a, b): components of the different sets that rows of one id have."""
+    own = signed.where("doc_id is not null and set_key is not null")
+    several = (
+        own.groupBy("doc_id").agg(F.min("set_key").alias("_low"), F.max("set_key").alias("_high")).where("_low <> _high")
+    )
+    keys = own.join(several, "doc_id").select("_low", "set_key").distinct()
+    of = by_component.select("set_key", "_component")
+    return (
+        keys.join(of.withColumnsRenamed({"set_key": "_low", "_component": "a"}), "_low")
+        .join(of.withColumnRenamed("_component", "b"), "set_key")
+        .select("a", "b").where("a <> b").distinct()
+    )
+
+
+def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents that stay: one row of each component, all columns.
+
+    Of rows of one kept id the least in the order of all columns stays. Rows without an id stay
+    if no row with an id has their set, one of each set; so do all without words.
+    """
+    groups = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     gone = (
-        near_duplicates(docs, id_col=id_col, **options).where("not kept and doc_id is not null")
-        .select(F.col("doc_id").alias("_gone")).distinct()
+        groups.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
+    )
+    named = docs.where(F.col(id_col).isNotNull()).join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    kept = named
+    # Few ids repeat, if any. Only then are other rows told from theirs.
+    repeated = stored(
+        docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
+        .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id"),
+        "repeated",
     )
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    if not repeated.isEmpty():
+        same = named[id_col] == repeated["_id"]
+        rest = [c for c in docs.columns if c != id_col]
+        once = (
+            named.join(repeated, same, "left_semi").groupBy(id_col).agg(F.min(F.struct(*rest)).alias("_row"))
+            .select(*[F.col(c) if c == id_col else F.col("_row")[c].alias(c) for c in docs.columns])
+        )
+        kept = named.join(repeated, same, "left_anti").union(once)
+    without = docs.where(F.col(id_col).isNull())
+    if not without.isEmpty():
+        kept = kept.union(unnamed(docs, id_col, text_col, options.get("words", 5)))
+    return kept
+
+
+def unnamed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """Rows without an id that stay: one of each set that no row with an id has, and those
+    without a set."""
+    without = docs.where(F.col(id_col).isNull())
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        hashes = WordHashes()
+        for batch in batches:
+            sets = [document_set(t, hashes, words) for t in texts_of(batch, text_col)]
+            keys = pa.array([xxhash.xxh3_128_digest(s) if len(s) else None for s in sets], pa.binary())
+            yield batch.append_column("_set_key", keys)
+
+    schema = T.StructType([*without.schema.fields, T.StructField("_set_key", T.BinaryType())])
+    rows = stored(without.mapInArrow(keyed, schema), "unnamed")
+    own = signatures(docs.where(F.col(id_col).isNotNull()), words, id_col, text_col)
+    known = own.where("set_key is not null").select(F.col("set_key").alias("_set_key")).distinct()
+    new = rows.where("_set_key is not null").join(known, "_set_key", "left_anti")
+    columns = docs.columns
+    once = new.groupBy("_set_key").agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
+    return rows.where("_set_key is null").select(*columns).union(once)

@@ -570,6 +570,17 @@ def test_near_duplicates_of_untidy_rows(untidy, nothing):
     assert neardup.near_duplicates(nothing).count() == 0
 
 
+def test_sets_of_one_id_are_linked(spark):
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    near = lambda words, n: " ".join([*words[:-1], f"x{n}"])
+    rows = [(1, " ".join(a)), (2, " ".join(b)), (2, near(a, 1)), (3, near(b, 2)), (4, near(a, 3)), (5, "one two three"), (5, "one two three"), (None, "one two three"), (None, "lone words here"), (None, "lone words here"), (None, None), (6, "six")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.component_id) for r in neardup.near_duplicates(frame, words=2).collect()}
+    assert found == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 5), (6, 6), (None, 5), (None, None)}
+    left = Counter(map(tuple, neardup.deduplicated(frame, words=2).collect()))
+    assert left == Counter([(1, " ".join(a)), (5, "one two three"), (6, "six"), (None, "lone words here"), (None, None)])
+
+
 # ---- 7 URL filters -------------------------------------------------------------
 def test_url_filter_query(spark, sf, duckdb_con):
     assert compare(queries.op7_url_filters(spark, sf), duckdb_con, queries.statements()["op7_url_filters"]) is None
