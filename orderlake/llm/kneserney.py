@@ -14,8 +14,9 @@ b(w): in how many different pairs w is second, B: their sum, V: the distinct tok
 discounts D for counts of 1, 2 and 3 or more come from the counts of counts; unknown words
 share the last term.
 
-Orders above two repeat this on n-grams. An n-gram's hash mixes the place of its first n - 1
-words among the (n-1)-grams with the id of its last word, so it is undone in the same way.
+Orders above two repeat this on n-grams. An n-gram's key is the place of its first n - 1 words
+among the (n-1)-grams and the id of its last word, unmixed: the n-grams of one context lie side
+by side, so sums over a context are read off them and need no array of their own.
 The highest order uses counts c; each lower one uses a(g), in how many different (n+1)-grams
 g is the end, or its count if it starts with the start mark, which nothing precedes:
 
@@ -32,6 +33,7 @@ import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -76,9 +78,10 @@ def unmix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
 
 
-def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
-    """The shard of each hash; ascending hashes have ascending shards."""
-    return (((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+def shard_of(hashes: np.ndarray, shards: int, contexts: int = 1 << 32) -> np.ndarray:
+    """The shard of each hash; ascending hashes have ascending shards. Keys that begin with a
+    context's place are dealt by it, out of so many ``contexts``."""
+    return ((hashes >> np.uint64(32)) * np.uint64(shards) // np.uint64(contexts)).astype(np.int64)
 
 
 def counted(hashes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -94,9 +97,11 @@ def counted(hashes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nd
     return hashes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def dealt(hashes: np.ndarray, counts: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+def dealt(
+    hashes: np.ndarray, counts: np.ndarray, shards: int, contexts: int = 1 << 32
+) -> Iterator[pa.RecordBatch]:
     """A row (shard, hashes, counts) for each shard that has some of the sorted hashes."""
-    ends = np.searchsorted(shard_of(hashes, shards), np.arange(shards + 1))
+    ends = np.searchsorted(shard_of(hashes, shards, contexts), np.arange(shards + 1))
     rows = [
         (s, hashes[a:b].tobytes(), counts[a:b].astype("<u4").tobytes())
         for s, (a, b) in enumerate(zip(ends[:-1], ends[1:]))
@@ -129,8 +134,8 @@ def write_array(folder: str, values: np.ndarray) -> str:
 class SortedCounts:
     """Counts by hash in shards of sorted arrays, mapped into memory."""
 
-    def __init__(self, shards: int, rows: list[tuple[int, int, str, str]]):
-        self.shards = shards
+    def __init__(self, shards: int, rows: list[tuple[int, int, str, str]], contexts: int = 1 << 32):
+        self.shards, self.contexts = shards, contexts
         self.sizes = np.zeros(shards, np.int64)
         self.paths: dict[int, tuple[str, str]] = {}
         for shard, n, hashes, counts in rows:
@@ -163,7 +168,7 @@ class SortedCounts:
         order = np.argsort(hashes)
         ordered = hashes[order]
         place, count = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        ends = np.searchsorted(shard_of(ordered, self.shards), np.arange(self.shards + 1))
+        ends = np.searchsorted(shard_of(ordered, self.shards, self.contexts), np.arange(self.shards + 1))
         for shard in np.flatnonzero((np.diff(ends) > 0) & (self.sizes > 0)).tolist():
             a, b = ends[shard], ends[shard + 1]
             keys, counts = self.opened(shard)
@@ -174,7 +179,9 @@ class SortedCounts:
         return place, count
 
 
-def merged(blocks: DataFrame, folder: str, shards: int) -> tuple[SortedCounts, np.ndarray]:
+def merged(
+    blocks: DataFrame, folder: str, shards: int, contexts: int = 1 << 32
+) -> tuple[SortedCounts, np.ndarray]:
     """Merge dealt blocks into shard files; the arrays and the counts of counts 1 to 4.
 
     A pair that is very frequent was counted in each task before, so it is one entry of a
@@ -206,7 +213,8 @@ def merged(blocks: DataFrame, folder: str, shards: int) -> tuple[SortedCounts, n
         "shards",
     ).collect()
     few = np.sum([r["few"] for r in told], axis=0) if told else np.zeros(4, np.int64)
-    return SortedCounts(shards, [(r["shard"], r["n"], r["hashes"], r["counts"]) for r in told]), np.asarray(few)
+    rows = [(r["shard"], r["n"], r["hashes"], r["counts"]) for r in told]
+    return SortedCounts(shards, rows, contexts), np.asarray(few)
 
 
 def discounts(few: np.ndarray) -> np.ndarray:
@@ -249,16 +257,38 @@ class RangeArrays:
 class Step:
     """The n-grams of one order of a model above two.
 
-    ``before`` has in how many longer n-grams each is the end, None for the highest order;
-    ``contexts`` by the n-gram without its last word: how many words follow with a count of
-    1, 2 and 3 or more, and the sum of their counts.
+    ``before`` has in how many longer n-grams each is the end, None for the highest order.
+    ``contexts`` has for each word as a context how many words follow with a count of 1, 2 and
+    3 or more, and the sum of their counts. It is None above order 2, where the n-grams of one
+    context lie side by side and are summed up when they are asked for.
     """
 
     grams: SortedCounts
     before: RangeArrays | None
-    contexts: RangeArrays
+    contexts: RangeArrays | None
     discounts: np.ndarray
 
+    def follow(self, contexts: np.ndarray) -> np.ndarray:
+        """The row of ``contexts`` for each of ascending distinct contexts."""
+        if self.contexts is not None:
+            return self.contexts.get(contexts)
+        grams, out = self.grams, np.zeros((len(contexts), 4), np.int64)
+        keys = contexts.astype(np.uint64) << np.uint64(32)
+        ends = np.searchsorted(shard_of(keys, grams.shards, grams.contexts), np.arange(grams.shards + 1))
+        for shard in np.flatnonzero((np.diff(ends) > 0) & (grams.sizes > 0)).tolist():
+            own, counts = grams.opened(shard)
+            asked = keys[ends[shard] : ends[shard + 1]]
+            first = np.searchsorted(own, asked)
+            lengths = np.searchsorted(own, asked + np.uint64(1 << 32)) - first
+            for lo, hi in slices(lengths.tolist(), BUFFER):
+                at = offsets_of(lengths[lo:hi])
+                places = np.repeat(first[lo:hi] - at[:-1], lengths[lo:hi]) + np.arange(at[-1])
+                n = self.adjusted(grams.starts[shard] + places, counts[places].astype(np.int64))
+                row = np.repeat(np.arange(ends[shard] + lo, ends[shard] + hi), lengths[lo:hi])
+                np.add.at(out, (row, np.minimum(n, 3) - 1), 1)
+                np.add.at(out, (row, 3), n)
+        return out
+
     def adjusted(self, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return adjusted(self.before, places, counts)
 
@@ -294,6 +324,11 @@ def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix64((first << np.uint64(32)) | second)
 
 
+def gram_keys(order: int, context: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The keys of n-grams. Pairs are mixed; longer ones sort by their context's place."""
+    return pair_keys(context, last) if order == 2 else (context << np.uint64(32)) | last
+
+
 def sequences(hashes: list[np.ndarray], find) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(contexts, tokens, counts, offsets) of texts one after the other, each with its end;
     the end's count is set to -1."""
@@ -319,10 +354,10 @@ def walked(
     that ends there; -1 for what a text or training does not have. After the last order, the
     n-grams before each token alone."""
     prefix = np.where(contexts == UNKNOWN, -1, contexts.astype(np.int64))
-    for known in grams:
+    for order, known in enumerate(grams, 2):
         place, count = np.full(len(tokens), -1, np.int64), np.zeros(len(tokens), np.int64)
         ask = np.flatnonzero((prefix >= 0) & (tokens != UNKNOWN))
-        place[ask], count[ask] = known.find(pair_keys(prefix[ask].astype(np.uint64), tokens[ask]))
+        place[ask], count[ask] = known.find(gram_keys(order, prefix[ask].astype(np.uint64), tokens[ask]))
         yield prefix, place, count
         prefix = np.roll(place, 1)
         prefix[at[:-1]] = -1
@@ -331,12 +366,11 @@ def walked(
 
 def ends_of(grams: list[SortedCounts], keys: np.ndarray) -> np.ndarray:
     """The n-gram without its first word, for hashes of the order after those of ``grams``."""
-    packed = unmix64(keys)
-    last = packed & UNKNOWN
     if not grams:
-        return last.astype(np.int64)
-    shorter = ends_of(grams[:-1], grams[-1].key_at((packed >> np.uint64(32)).astype(np.int64)))
-    return grams[-1].find(pair_keys(shorter.astype(np.uint64), last))[0]
+        return (unmix64(keys) & UNKNOWN).astype(np.int64)
+    last = keys & UNKNOWN
+    shorter = ends_of(grams[:-1], grams[-1].key_at((keys >> np.uint64(32)).astype(np.int64)))
+    return grams[-1].find(gram_keys(len(grams) + 1, shorter.astype(np.uint64), last))[0]
 
 
 def adjusted(before: RangeArrays | None, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -393,8 +427,13 @@ def summed(spark, grams: SortedCounts, emit, folder: str, size: int, width: int)
     return arrays
 
 
-def longer_grams(texts: DataFrame, words: SortedCounts, grams: list[SortedCounts], folder: str, shards: int) -> SortedCounts:
-    """Counts of the n-grams of the order after those of ``grams``."""
+def longer_grams(
+    texts: DataFrame, words: SortedCounts, grams: list[SortedCounts], folder: str, shards: int
+) -> tuple[SortedCounts, np.ndarray]:
+    """Counts of the n-grams of the order after those of ``grams``, and their counts of counts."""
+    contexts_known = max(1, int(grams[-1].sizes.sum()))
+    if contexts_known >= 1 << 32:
+        raise ValueError("more than 2^32 n-grams of an order")
 
     def find(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         place, count = words.find(x)
@@ -404,7 +443,7 @@ def longer_grams(texts: DataFrame, words: SortedCounts, grams: list[SortedCounts
         contexts, tokens, _, at = sequences(held, find)
         *_, (prefix, _, _) = walked(grams, contexts, tokens, at)
         own = np.flatnonzero(prefix >= 0)
-        return pair_keys(prefix[own].astype(np.uint64), tokens[own])
+        return gram_keys(len(grams) + 2, prefix[own].astype(np.uint64), tokens[own])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held, size, seen = WordHashes(), [], 0, []
@@ -416,23 +455,24 @@ def longer_grams(texts: DataFrame, words: SortedCounts, grams: list[SortedCounts
                     seen.append(keys(held))
                     held, size = [], 0
                     if sum(map(len, seen)) >= BUFFER:
-                        yield from dealt(*counted(np.concatenate(seen)), shards)
+                        yield from dealt(*counted(np.concatenate(seen)), shards, contexts_known)
                         seen = []
         if held:
             seen.append(keys(held))
         if seen:
-            yield from dealt(*counted(np.concatenate(seen)), shards)
+            yield from dealt(*counted(np.concatenate(seen)), shards, contexts_known)
 
-    if int(grams[-1].sizes.sum()) >= 1 << 32:
-        raise ValueError("more than 2^32 n-grams of an order")
-    return merged(texts.mapInArrow(count, "shard int, hashes binary, counts binary"), folder, shards)[0]
+    blocks = texts.mapInArrow(count, "shard int, hashes binary, counts binary")
+    return merged(blocks, folder, shards, contexts_known)
 
 
 def steps_of(texts: DataFrame, words: SortedCounts, pairs: SortedCounts, folder: str, shards: int, order: int) -> list[Step]:
     """The orders from 2 to ``order``."""
-    spark, grams, out = texts.sparkSession, [pairs], []
+    spark, grams, few, out = texts.sparkSession, [pairs], [None], []
     while len(grams) < order - 1:
-        grams.append(longer_grams(texts, words, grams, f"{folder}/grams{len(grams) + 2}", shards))
+        longest, counts = longer_grams(texts, words, grams, f"{folder}/grams{len(grams) + 2}", shards)
+        grams.append(longest)
+        few.append(counts)
     size = int(words.sizes.sum()) + FIRST_WORD
     for k, own in enumerate(grams):
         before = None
@@ -444,19 +484,25 @@ def steps_of(texts: DataFrame, words: SortedCounts, pairs: SortedCounts, folder:
 
             before = summed(spark, longer, count_before, f"{folder}/before{k + 2}", int(own.sizes.sum()), 1)
 
-        def follow(shard: int, own=own, before=before, size=size) -> tuple[np.ndarray, np.ndarray]:
+        def follow(shard: int, own=own, before=before, size=size, pairs=not k) -> tuple[np.ndarray, np.ndarray]:
             keys, counts = (np.array(x) for x in own.opened(shard))
             n = adjusted(before, own.starts[shard] + np.arange(len(keys)), counts.astype(np.int64))
-            first = (unmix64(keys) >> np.uint64(32)) * np.uint64(4)
             # The counts of counts 1 to 4 go to a row after those of all contexts.
             few = np.uint64(4 * size) + n[n < 5].astype(np.uint64) - np.uint64(1)
+            if not pairs:
+                return counted(few)
+            first = (unmix64(keys) >> np.uint64(32)) * np.uint64(4)
             entries = [first + np.minimum(n, 3).astype(np.uint64) - np.uint64(1), first + np.uint64(3), few]
             amounts = [np.ones(len(n), np.int64), n, np.ones(len(few), np.int64)]
             return counted(np.concatenate(entries), np.concatenate(amounts))
 
-        contexts = summed(spark, own, follow, f"{folder}/follow{k + 2}", size + 1, 4)
-        out.append(Step(own, before, contexts, discounts(contexts.get(np.array([size]))[0])))
-        size = int(own.sizes.sum())
+        if k and before is None:
+            out.append(Step(own, None, None, discounts(few[k])))
+            continue
+        # Above pairs only the counts of counts are summed up here.
+        contexts = size if not k else 0
+        sums = summed(spark, own, partial(follow, size=contexts), f"{folder}/follow{k + 2}", contexts + 1, 4)
+        out.append(Step(own, before, None if k else sums, discounts(sums.get(np.array([contexts]))[0])))
     return out
 
 
@@ -655,7 +701,7 @@ def order_log_probabilities(
     for step, (prefix, place, count) in zip(model.steps, walked([s.grams for s in model.steps], contexts, tokens, at)):
         has = np.flatnonzero(prefix >= 0)
         ids, back = np.unique(prefix[has], return_inverse=True)
-        follow = step.contexts.get(ids)[back]
+        follow = step.follow(ids)[back]
         has, follow = has[follow[:, 3] > 0], follow[follow[:, 3] > 0]
         n, d = np.zeros(len(has), np.int64), step.discounts
         found = np.flatnonzero(place[has] >= 0)
