@@ -29,7 +29,7 @@ from orderlake.session import new_scratch_dir
 END_ID, VOCABULARY_SIZE = 2, 50_257
 MAX_BITS = 16
 BLOCK_IDS, STRETCH = 1 << 18, 128
-TEXT_CHUNK = 2_000_000
+TEXT_CHUNK = 4_000_000
 MAGIC = b"HUF1"
 
 

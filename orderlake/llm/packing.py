@@ -27,7 +27,7 @@ from orderlake.llm.tokens import encoder, vocabulary
 
 CAPACITY, END_ID = 4096, 1
 # Characters that a worker encodes at a time.
-TEXT_CHUNK = 2_000_000
+TEXT_CHUNK = 4_000_000
 
 
 def tokenized_pieces(

@@ -3,6 +3,7 @@
 import binascii
 import hashlib
 import math
+import random
 import re
 import time
 from collections import Counter, defaultdict
@@ -150,6 +151,7 @@ def test_word_by_word_ids_are_the_librarys(texts):
     odd = [
         "", "a", " a", "a ", "  a b", "a\nb", "a\n\nb c.", "x'll don't 's", "It's o'clock.\nThe ½ end", "é áb é.",
         "<|endoftext|> a<|endoftext|>", "tab\tb c d  e", "日本語。 テスト", "12 3.4, 5!?", "a\x1cb c", "İstanbul. ǅ",
+        "a\r\nb.\r\nc", "İ. x", "\u0958. x", "\n\n\nA, b.\n\nC!\n", "\n", "a\n\n", "\nA\n\n\n", "a\xa0 b", "dogs'. it's,",
         "a.\n b", "..,, ..", "é.\nÉ", "a.b, c!\nD", "a ́b", "x  ", " ", ". a", ", ,", "a .b", "a  b",
     ]
     for name, spaced in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
@@ -161,6 +163,17 @@ def test_word_by_word_ids_are_the_librarys(texts):
                 assert [np.frombuffer(x, "<u4").tolist() for x in encode(part)] == [whole(t) for t in part]
 
 
+def test_ids_of_random_texts_are_the_librarys():
+    draw = random.Random(5)
+    parts = list("  \n\taBxés'.,-1½_#\r") + ["İ", "\u0301", "日", "\u0958", "\x1c", "foo", "Bar,", "12.", "it's", "\n\n"]
+    everything = ["".join(draw.choices(parts, k=draw.randrange(14))) for _ in range(4000)]
+    for name, spaced in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        encode, whole = tokens.Encoder(tokens.vocabulary(name), spaced, most=200_000), whole_encoder(name)
+        for lo in range(0, len(everything), 200):
+            part = everything[lo : lo + 200]
+            assert [np.frombuffer(x, "<u4").tolist() for x in encode(part)] == [whole(t) for t in part]
+
+
 def check_packing(rows, expected):
     """rows: (doc_id, piece, start, length, crc, sequence, offset)."""
     pieces = Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
