@@ -32,12 +32,14 @@ from orderlake.llm.common import (
     prepare,
     shingle_hashes,
     slices,
+    stored,
     texts_of,
     words_of,
 )
+from orderlake.llm.wacz import file_system
 
 WORDS, THRESHOLD, HASHES = 5, 0.8, 64
-# Shingles of the items that a pass over the documents searches for at most.
+# Shingles of the items that a pass over the documents searches for, about.
 BLOCK_SHINGLES = 2_000_000
 SMALLEST = 16
 # Items of at most so many shingles are looked up exactly.
@@ -99,6 +101,7 @@ def run_places(counts: np.ndarray) -> np.ndarray:
 
 # An item's id, its distinct shingles and how many words each has.
 Item = tuple[int, np.ndarray, int]
+ITEM_COLUMNS = ["item_id", "length", "n", "shingles"]
 
 
 def places(hashes: np.ndarray, bits: np.uint64) -> np.ndarray:
@@ -197,24 +200,47 @@ class Items:
         return out
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, words: int) -> Iterator[list[Item]]:
-    """Benchmark items with their distinct shingles, in blocks of a bounded number of them."""
-    hashes, block, size = WordHashes(), [], 0
-    for row in items.select(id_col, text_col).orderBy(id_col, text_col).toLocalIterator():
-        if row[0] is None or row[1] is None:
-            continue
-        own = hashes(words_of(row[1]))
-        if not len(own):
-            continue
-        length = min(words, len(own))
-        shingles = np.unique(shingle_hashes(own, length))
-        if block and size + len(shingles) > BLOCK_SHINGLES:
-            yield block
-            block, size = [], 0
-        block.append((row[0], shingles, length))
-        size += len(shingles)
-    if block:
-        yield block
+def item_blocks(items: DataFrame, id_col: str, text_col: str, words: int) -> list[str]:
+    """Files of the benchmark items with their distinct shingles, about BLOCK_SHINGLES in
+    each. Items are hashed in tasks and written to the shared scratch folder; the driver
+    sees a number and the files' names."""
+    spark = items.sparkSession
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            rows = []
+            for item, text in zip(column(batch, "item_id"), texts_of(batch)):
+                own = hashes(words_of(text))
+                if len(own):
+                    length = min(words, len(own))
+                    shingles = np.unique(shingle_hashes(own, length))
+                    rows.append((item, length, len(shingles), shingles.tobytes()))
+            cols = list(zip(*rows)) or [()] * 4
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ITEM_COLUMNS)
+
+    source = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
+    known = source.where("item_id is not null and text is not null")
+    one = stored(known.mapInArrow(hashed, "item_id long, length int, n long, shingles binary"), "items")
+    total = one.agg(F.sum("n")).first()[0]
+    if not total:
+        return []
+    # Rows are dealt in turn, so repeated items do not meet in one block.
+    return sorted(stored(one.repartition(math.ceil(total / BLOCK_SHINGLES)), "item-blocks").inputFiles())
+
+
+def read_block(path: str) -> list[Item]:
+    """The items of a file."""
+    import pyarrow.parquet as pq
+
+    files, place = file_system(path)
+    with files.open_input_file(place) as file:
+        table = pq.read_table(file, columns=["item_id", "length", "shingles"])
+    return [
+        (item, np.frombuffer(raw, np.uint64), length)
+        for item, length, raw in zip(*(table[c].to_pylist() for c in ("item_id", "length", "shingles")))
+    ]
 
 
 def contained_items(
@@ -232,8 +258,8 @@ def contained_items(
     item of which the document has at least ``threshold`` of the distinct shingles. An item
     of fewer than ``words`` words is a single shingle: its words one after the other.
 
-    The items are the stated query set: they go to the workers in blocks of at most
-    ``BLOCK_SHINGLES`` shingles, each a pass over the documents, and nothing is shuffled.
+    The items are the stated query set: workers read them from files of about
+    ``BLOCK_SHINGLES`` shingles, each a pass over the documents, which are not shuffled.
     Words are split at white space, A-Z lower-cased. Documents or items that are null or
     have no words match nothing; so do items without an id. Repeated documents and items are
     searched row by row. No items or documents: an empty frame.
@@ -244,10 +270,10 @@ def contained_items(
     schema = "doc_id long, item_id long, matched long, item_shingles long, containment double"
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     out = spark.createDataFrame([], schema)
-    for block in item_blocks(items, item_id_col, item_text_col, words):
+    for path in item_blocks(items, item_id_col, item_text_col, words):
 
-        def search(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            index, hashes = Items(block, factors, words, threshold), WordHashes()
+        def search(batches: Iterator[pa.RecordBatch], path=path) -> Iterator[pa.RecordBatch]:
+            index, hashes = Items(read_block(path), factors, words, threshold), WordHashes()
             for batch in batches:
                 rows = []
                 ids, texts = column(batch, "id"), texts_of(batch)
