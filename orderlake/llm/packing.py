@@ -180,11 +180,13 @@ def with_fields(schema: T.StructType, **added: T.DataType) -> T.StructType:
 def pack(pieces: DataFrame, *, length_col: str = "length", capacity: int = CAPACITY) -> DataFrame:
     """The rows of ``pieces`` with ``sequence_id`` and ``offset`` (both long).
 
-    Sequences hold at most ``capacity`` units and have no gaps from offset 0; all columns
-    stay; none may have the name of a new one. Lengths must be between 1 and ``capacity``; rows of null length get null places.
-    An empty frame stays empty. Equal rows are pieces of their own.
+    Sequences hold at most ``capacity`` units and have no gaps from offset 0. All columns
+    stay, but for those with the name of a new one, which it replaces. Lengths must be
+    between 1 and ``capacity``; rows of null length get null places. An empty frame stays
+    empty. Equal rows are pieces of their own.
     """
     spark = pieces.sparkSession
+    pieces = pieces.drop("sequence_id", "offset")
     prepare(spark)
     schema = with_fields(pieces.schema, _split=T.IntegerType(), _at=T.LongType())
     at_length = pieces.schema.names.index(length_col)

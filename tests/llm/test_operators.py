@@ -213,6 +213,9 @@ def test_packing_of_untidy_rows(untidy, nothing):
     held = packing.pack(untidy.withColumn("length", F.when(F.col("doc_id") > 3, F.lit(4096))))
     assert set(untidy.columns) <= set(held.columns)
     assert all((r.length is None) == (r.sequence_id is None) for r in held.collect())
+    again = packing.pack(held.select("doc_id", "length", "Offset", F.lit("x").alias("sequence_id")))
+    assert sorted(again.columns) == ["doc_id", "length", "offset", "sequence_id"]
+    assert {r.offset for r in again.collect()} == {None, 0}
 
 
 def test_plan_uses_exact_complements():
