@@ -120,3 +120,11 @@ def test_sketched_customers_are_close(spark, sf, duckdb_con):
     exact = contract.queries()["agg_dash_kpi"](spark, sf).collect()[0]
     assert estimate.total_revenue == exact.total_revenue
     assert abs(estimate.unique_customers - exact.unique_customers) <= 0.05 * exact.unique_customers + 1
+
+
+def test_facts_are_joined_with_the_columns_of_their_query(spark, sf):
+    for name in ("agg_category_order_total", "agg_category", "agg_segment_line"):
+        plan = contract.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "customer_name" not in plan and "silver-order_items" in plan
+    # Nothing stores the wide table for a query that sums a few of its columns.
+    assert not any(name == "silver-fact_orders" for _, _, name in frames._layers)
