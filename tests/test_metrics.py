@@ -128,3 +128,26 @@ def test_facts_are_joined_with_the_columns_of_their_query(spark, sf):
         assert "customer_name" not in plan and "silver-order_items" in plan
     # Nothing stores the wide table for a query that sums a few of its columns.
     assert not any(name == "silver-fact_orders" for _, _, name in frames._layers)
+
+
+def test_order_parts_of_facts_are_the_order_facts(spark, sf):
+    orders = sales(spark).select(*model.ORDER_COLUMNS)
+    # A record that came twice, an order without a number and one without lines.
+    orders = orders.unionByName(orders.filter("order_id = 1")).unionByName(
+        orders.filter("order_id = 4").withColumn("order_id", F.lit(None).cast("bigint"))
+    )
+    items = cents(
+        spark.createDataFrame(
+            [(10, 1, 5, 1, 1.0), (11, 1, 6, 2, 1.0), (20, 2, 5, None, 1.0), (30, 3, None, 1, 1.0), (90, None, 5, 1, 1.0)],
+            "item_id bigint, order_id bigint, product_id bigint, quantity int, unit_price double",
+        ),
+        "unit_price",
+    ).withColumns({"line_total": F.col("unit_price"), "line_calc_valid": F.lit(True)})
+    products = spark.createDataFrame(
+        [(5, "Pen", "Books", True)], "product_id bigint, product_name string, product_category string, product_active boolean"
+    )
+    facts = model.line_facts(orders, items, products)
+    key = lambda df: sorted(map(str, model.order_grain(df).collect()))
+    assert facts.count() == 8 and key(facts) == key(orders)
+    read = contract.queries()["agg_segment_order"](spark, sf).inputFiles()
+    assert read and all("silver-order_facts" in f for f in read)
