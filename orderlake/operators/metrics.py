@@ -67,6 +67,23 @@ def customer_months(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
+def line_months(fact: DataFrame) -> DataFrame:
+    """Completed facts summed per line, one row per customer, segment and month.
+
+    The line-grain counterpart of ``customer_months``: ``rows`` is the number of facts.
+    """
+    return (
+        completed(fact)
+        .groupBy("customer_id", "customer_segment", "order_year", "order_month", "status")
+        .agg(
+            F.sum("total_amount").alias("total_amount"),
+            F.count("order_id").alias("orders"),
+            F.count("customer_id").alias("rows"),
+            F.max("order_date").alias("order_date"),
+        )
+    )
+
+
 def _with_average(df: DataFrame, total: str, n: str, name: str = "avg_order_value") -> DataFrame:
     return df.withColumn(name, avg_money(F.col(total), F.col(n)))
 
@@ -204,13 +221,13 @@ def gold_dashboard(
     keys = ["order_year", "order_month", "customer_segment", "value_segment"]
     # A customer's month is one row before the join, whatever the number of orders,
     # so distinct customers are simply rows and a hot customer is a few rows.
+    sales = completed(_order_rows(fact, grain))
     per_customer = (
-        completed(_order_rows(fact, grain))
-        .groupBy("customer_id", *keys[:3])
+        sales.groupBy("customer_id", *keys[:3])
         .agg(
             F.sum("total_amount").alias("amount"),
             F.sum("orders").alias("orders"),
-            F.count("customer_id").alias("rows"),
+            (F.sum("rows") if "rows" in sales.columns else F.count("customer_id")).alias("rows"),
         )
     )
     customers = F.count("customer_id") if distinct_customers else F.sum("rows")

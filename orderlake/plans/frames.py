@@ -152,6 +152,12 @@ def fact(spark: SparkSession, d: str) -> DataFrame:
     return build_fact(spark, d)
 
 
+def line_months(spark: SparkSession, d: str) -> DataFrame:
+    return stored(
+        spark, d, "silver-line_months", lambda: metrics.line_months(fact(spark, d))
+    )
+
+
 def customer_months(spark: SparkSession, d: str) -> DataFrame:
     return stored(
         spark,

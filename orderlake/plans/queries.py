@@ -571,9 +571,9 @@ def snk_fact_refresh(spark: SparkSession, d: str) -> DataFrame:
 
 
 def agg_gold_line(spark: SparkSession, d: str) -> DataFrame:
-    fact = frames.fact(spark, d)
-    rfm = metrics.customer_rfm(fact, AS_OF, grain="line")
-    return report(metrics.gold_dashboard(fact, rfm, grain="line", distinct_customers=False))
+    months = frames.line_months(spark, d)
+    rfm = metrics.customer_rfm(months, AS_OF, grain="line")
+    return report(metrics.gold_dashboard(months, rfm, grain="line", distinct_customers=False))
 
 
 def agg_item_preagg(spark: SparkSession, d: str) -> DataFrame:

@@ -151,3 +151,17 @@ def test_order_parts_of_facts_are_the_order_facts(spark, sf):
     assert facts.count() == 8 and key(facts) == key(orders)
     read = contract.queries()["agg_segment_order"](spark, sf).inputFiles()
     assert read and all("silver-order_facts" in f for f in read)
+
+
+def test_rfm_and_gold_agree_between_lines_and_their_months(spark):
+    as_of = dt.date(2024, 2, 1)
+    lines = sales(spark).unionByName(sales(spark).withColumn("order_id", F.lit(None).cast("bigint")))
+    lines = lines.unionByName(sales(spark).filter("customer_id = 2").withColumn("customer_segment", F.lit(None).cast("string")))
+    lines = lines.unionByName(sales(spark).withColumn("status", F.lit("pending")))
+    months = metrics.line_months(lines)
+    assert months.count() == 4
+    key = lambda df: sorted(map(str, (tuple(r) for r in frames.report(df).collect())))
+    rfm, of_months = (metrics.customer_rfm(x, as_of, grain="line") for x in (lines, months))
+    assert key(rfm) == key(of_months)
+    gold = lambda df: metrics.gold_dashboard(df, rfm, grain="line", distinct_customers=False)
+    assert key(gold(lines)) == key(gold(months)) and {r.customer_count for r in gold(months).collect()} == {1, 2, 4}
