@@ -210,8 +210,9 @@ def _staged_events(spark: SparkSession, events: DataFrame) -> str:
 
 def _order_stream(spark: SparkSession, d: str) -> DataFrame:
     """A month of order events as a stream: a backfill, taken as one batch."""
-    path = _staged_events(spark, supplied.order_events(spark, d))
-    return stack.order_source(streaming_session(spark), "file", path, files_per_trigger=None)
+    events = supplied.order_events(spark, d)
+    path = _staged_events(spark, events)
+    return stack.order_source(streaming_session(spark, events.count()), "file", path, files_per_trigger=None)
 
 
 def _run_to_parquet(spark: SparkSession, stream: DataFrame) -> DataFrame:

@@ -33,6 +33,10 @@ def build_session(app_name: str = "orderlake", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+# Rows of a backfill for each state partition: a trailing window of twelve steps holds each
+# up to twelve times.
+STATE_ROWS = 100_000
+
 _local_roots: dict[str, str] = {}
 
 
@@ -58,16 +62,20 @@ def new_scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def streaming_session(spark: SparkSession) -> SparkSession:
+def streaming_session(spark: SparkSession, backfill_rows: int = 0) -> SparkSession:
     """A session of the same application for stateful streams.
 
     State partitions are fixed by the checkpoint and never coalesced, so there are
-    no more of them than cores; batch queries keep the caller's setting.
+    no more of them than cores; batch queries keep the caller's setting. A backfill taken
+    as one batch is known in size: it gets as many as keep a task's rows below a bound.
     """
     session = spark.newSession()
     zone = "spark.sql.session.timeZone"
     partitions = "spark.sql.shuffle.partitions"
     session.conf.set(zone, spark.conf.get(zone))
     cores = spark.sparkContext.defaultParallelism
-    session.conf.set(partitions, str(min(cores, int(spark.conf.get(partitions)))))
+    own = min(cores, int(spark.conf.get(partitions)))
+    session.conf.set(partitions, str(max(own, -(-backfill_rows // STATE_ROWS))))
+    # One bound for all state stores of an executor, however many partitions it holds.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     return session

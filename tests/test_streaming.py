@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from orderlake import schemas
+from orderlake import schemas, session
 from orderlake.sources import readers
 from orderlake.streaming import sinks, stack
 from orderlake.streaming import transforms as T
@@ -200,3 +200,10 @@ def test_source_choice(spark):
         stack.order_source(spark, "file")
     with pytest.raises(ValueError):
         stack.order_source(spark, "smoke")
+
+
+def test_state_of_a_backfill_is_split_by_its_rows(spark):
+    partitions = lambda rows: int(session.streaming_session(spark, rows).conf.get("spark.sql.shuffle.partitions"))
+    assert partitions(0) == partitions(session.STATE_ROWS) == min(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for rows in (6_000_000, 36_000_000):
+        assert rows / partitions(rows) <= session.STATE_ROWS
