@@ -10,8 +10,6 @@ customer months, whose sums merge: they never read orders.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,8 +46,11 @@ def _existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 
 
 def _within(months: list[tuple[int, int]]) -> Column:
-    """Rows of some months; a filter on partition columns."""
-    return reduce(or_, [(F.col(MONTH[0]) == y) & (F.col(MONTH[1]) == m) for y, m in months], F.lit(False))
+    """Rows of some months; a filter on partition columns.
+
+    Names each column once: below it, a month may be an expression that parses a date.
+    """
+    return (F.col(MONTH[0]) * 100 + F.col(MONTH[1])).isin([y * 100 + m for y, m in months])
 
 
 def _replace_months(df: DataFrame, path: str, months: list[tuple[int, int]]) -> DataFrame:
