@@ -53,17 +53,16 @@ def _within(months: list[tuple[int, int]]) -> Column:
     return (F.col(MONTH[0]) * 100 + F.col(MONTH[1])).isin([y * 100 + m for y, m in months])
 
 
-def _replace_months(df: DataFrame, path: str, months: list[tuple[int, int]]) -> DataFrame:
-    """Write the months' rows in place of what the table had of them; the rows as stored."""
-    spark = df.sparkSession
-    # The old files may be among the inputs: the rows are complete before any goes.
-    rows = _stored(df, "months")
-    filled = {tuple(r) for r in rows.select(*MONTH).distinct().collect()}
-    writers.write_by_month(rows, path)
-    files = Files(spark, path)
+def _replace_months(df: DataFrame, path: str, months: list[tuple[int, int]], of: DataFrame) -> None:
+    """Write the months' rows in place of what the table had of them; ``of`` has their months.
+
+    The table's old files must not be among the inputs.
+    """
+    filled = {tuple(r) for r in of.select(*MONTH).distinct().collect()}
+    writers.write_by_month(df, path)
+    files = Files(df.sparkSession, path)
     for year, month in set(months) - filled:
         files.delete(f"{path}/{MONTH[0]}={year}/{MONTH[1]}={month}")
-    return rows
 
 
 def _clean_orders(raw: DataFrame) -> DataFrame:
@@ -122,14 +121,16 @@ def refresh(
         .unionByName(changed)
         .unionByName(unnumbered.filter(_within(months)))
     )
-    rows = _replace_months(now, orders_path, months)
+    # The old files are among the inputs: the rows are complete before any goes.
+    rows = _stored(now, "months")
+    _replace_months(rows, orders_path, months, of=rows)
     heads = _stored(model.order_facts(rows, dimensions.customers), "order-facts")
-    own_items = raw_items.join(heads.select("order_id").distinct(), "order_id", "left_semi")
-    lines = enrich.canonical_items(enrich.clean_order_items(own_items))
-    _replace_months(model.line_facts(heads, lines, dimensions.products), f"{silver}/fact_orders", months)
-    _replace_months(
-        metrics.customer_months(rows, dimensions.customers), f"{silver}/customer_months", months
-    )
+    # Every head has a fact, and its join takes no other order's lines.
+    lines = enrich.canonical_items(enrich.clean_order_items(raw_items))
+    facts = model.line_facts(heads, lines, dimensions.products)
+    _replace_months(facts, f"{silver}/fact_orders", months, of=heads)
+    sales = _stored(metrics.customer_months(rows, dimensions.customers), "customer-months")
+    _replace_months(sales, f"{silver}/customer_months", months, of=sales)
     all_months = spark.read.parquet(f"{silver}/customer_months")
     rfm = metrics.customer_rfm(all_months, as_of)
     writers.write_gold(metrics.gold_dashboard(all_months, rfm, customer_sketch=True), f"{lake}/gold")
