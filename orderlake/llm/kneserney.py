@@ -5,7 +5,8 @@ their sorted counts to shards by hash, and a task merges a shard into two flat f
 64-bit hashes and their counts. Workers map these files into memory and look up a batch in
 hash order, so a file is walked from front to back and its pages are shared by all workers
 of a machine. Word ids are places in the sorted hashes of words; a pair's hash is an
-invertible mix of its two ids, so pairs never collide.
+invertible mix of its two ids, so pairs never collide. It has no more bits than two ids need,
+and blocks on their way to a shard hold compressed differences of sorted hashes.
 
     p(w | v) = max(c(vw) - D(c(vw)), 0) / c(v) + gamma(v) p(w)
     p(w)     = max(b(w) - D'(b(w)), 0) / B + gamma' / (V + 1)
@@ -16,7 +17,8 @@ share the last term.
 
 Orders above two repeat this on n-grams. An n-gram's key is the place of its first n - 1 words
 among the (n-1)-grams and the id of its last word, unmixed: the n-grams of one context lie side
-by side, so sums over a context are read off them and need no array of their own.
+by side, so sums over a context are read off them and need no array of their own. Only contexts
+with many n-grams have theirs summed up beforehand: each batch asks for those.
 The highest order uses counts c; each lower one uses a(g), in how many different (n+1)-grams
 g is the end, or its count if it starts with the start mark, which nothing precedes:
 
@@ -41,10 +43,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm.common import (
+    MIX_A,
+    MIX_B,
     WordHashes,
     column,
     crc_mod,
-    mix64,
+    mix64,  # noqa: F401  # what unmix64 undoes
     offsets_of,
     prepare,
     runs,
@@ -62,6 +66,8 @@ BUFFER = 4_000_000
 # Characters whose tokens are looked up together.
 CHUNK = 4_000_000
 HELD_OUT = 10
+# N-grams of a context above which its sums are kept, and the count from which a byte is too few.
+HEAVY, MANY = 32, 255
 # Spark's setting that removes a query's shuffle files when the query ends.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -78,6 +84,32 @@ def unmix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Ascending integers as their number and the compressed byte planes of their differences."""
+    steps = np.diff(values.astype("<u8"), prepend=np.uint64(0))
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def packed_counts(counts: np.ndarray) -> bytes:
+    planes = np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(counts).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(block: bytes, width: int = 8) -> np.ndarray:
+    n = int.from_bytes(block[:8], "little")
+    planes = np.frombuffer(pa.decompress(block[8:], n * width, "zstd"), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel()
+
+
+def unpacked_values(block: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(block), dtype=np.uint64)
+
+
+def unpacked_counts(block: bytes) -> np.ndarray:
+    return unpacked(block, 4)
+
+
 def shard_of(hashes: np.ndarray, shards: int, contexts: int = 1 << 32) -> np.ndarray:
     """The shard of each hash; ascending hashes have ascending shards. Keys that begin with a
     context's place are dealt by it, out of so many ``contexts``."""
@@ -103,7 +135,7 @@ def dealt(
     """A row (shard, hashes, counts) for each shard that has some of the sorted hashes."""
     ends = np.searchsorted(shard_of(hashes, shards, contexts), np.arange(shards + 1))
     rows = [
-        (s, hashes[a:b].tobytes(), counts[a:b].astype("<u4").tobytes())
+        (s, packed(hashes[a:b]), packed_counts(counts[a:b]))
         for s, (a, b) in enumerate(zip(ends[:-1], ends[1:]))
         if b > a
     ]
@@ -131,26 +163,54 @@ def write_array(folder: str, values: np.ndarray) -> str:
     return path
 
 
+def write_counts(folder: str, counts: np.ndarray) -> str:
+    """Write counts as bytes, and the places and values of those that a byte can't hold."""
+    path = write_array(folder, np.minimum(counts, MANY).astype(np.uint8))
+    many = np.flatnonzero(counts >= MANY)
+    np.column_stack([many, counts[many]]).astype("<u8").tofile(f"{path}.many")
+    return path
+
+
+class Counts:
+    """Counts that ``write_counts`` wrote, mapped into memory."""
+
+    def __init__(self, path: str):
+        self.few = np.memmap(path, np.uint8, "r")
+        self.places, self.many = np.fromfile(f"{path}.many", "<u8").reshape(-1, 2).astype(np.int64).T
+
+    def __getitem__(self, places: np.ndarray) -> np.ndarray:
+        out = self.few[places].astype(np.int64)
+        more = np.flatnonzero(out == MANY)
+        out[more] = self.many[np.searchsorted(self.places, places[more])]
+        return out
+
+    def all(self) -> np.ndarray:
+        out = np.array(self.few, np.int64)
+        out[self.places] = self.many
+        return out
+
+
 class SortedCounts:
-    """Counts by hash in shards of sorted arrays, mapped into memory."""
+    """Counts by hash in shards of sorted arrays, mapped into memory. ``bits``: of a word id in
+    the hashes of pairs."""
 
-    def __init__(self, shards: int, rows: list[tuple[int, int, str, str]], contexts: int = 1 << 32):
-        self.shards, self.contexts = shards, contexts
+    def __init__(self, shards: int, rows: list[tuple[int, int, str, str]], contexts: int = 1 << 32, bits: int = 32):
+        self.shards, self.contexts, self.bits = shards, contexts, bits
         self.sizes = np.zeros(shards, np.int64)
         self.paths: dict[int, tuple[str, str]] = {}
         for shard, n, hashes, counts in rows:
             self.sizes[shard] = n
             self.paths[shard] = hashes, counts
         self.starts = offsets_of(self.sizes)
-        self.maps: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.maps: dict[int, tuple[np.ndarray, Counts]] = {}
 
     def __getstate__(self):
         return {**self.__dict__, "maps": {}}
 
-    def opened(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
+    def opened(self, shard: int) -> tuple[np.ndarray, Counts]:
         if shard not in self.maps:
             a, b = self.paths[shard]
-            self.maps[shard] = np.memmap(a, "<u8", "r"), np.memmap(b, "<u4", "r")
+            self.maps[shard] = np.memmap(a, "<u8", "r"), Counts(b)
         return self.maps[shard]
 
     def key_at(self, places: np.ndarray) -> np.ndarray:
@@ -180,7 +240,7 @@ class SortedCounts:
 
 
 def merged(
-    blocks: DataFrame, folder: str, shards: int, contexts: int = 1 << 32
+    blocks: DataFrame, folder: str, shards: int, contexts: int = 1 << 32, bits: int = 32
 ) -> tuple[SortedCounts, np.ndarray]:
     """Merge dealt blocks into shard files; the arrays and the counts of counts 1 to 4.
 
@@ -192,13 +252,13 @@ def merged(
         for shard, parts in runs(batches, "shard"):
             hashes, counts = [], []
             for part in parts:
-                hashes += [np.frombuffer(x, "<u8") for x in column(part, "hashes")]
-                counts += [np.frombuffer(x, "<u4") for x in column(part, "counts")]
+                hashes += map(unpacked_values, column(part, "hashes"))
+                counts += map(unpacked_counts, column(part, "counts"))
             keys, totals = counted(np.concatenate(hashes), np.concatenate(counts).astype(np.int64))
             if len(totals) and totals.max() >= 1 << 32:
                 raise ValueError("a count exceeds 32 bits")
             few = np.bincount(np.minimum(totals, 5), minlength=6)[1:5]
-            values = [shard, len(keys), write_array(folder, keys), write_array(folder, totals.astype("<u4")), few.tolist()]
+            values = [shard, len(keys), write_array(folder, keys), write_counts(folder, totals), few.tolist()]
             kinds = [pa.int32(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([v], k) for v, k in zip(values, kinds)], ["shard", "n", "hashes", "counts", "few"]
@@ -214,7 +274,7 @@ def merged(
     ).collect()
     few = np.sum([r["few"] for r in told], axis=0) if told else np.zeros(4, np.int64)
     rows = [(r["shard"], r["n"], r["hashes"], r["counts"]) for r in told]
-    return SortedCounts(shards, rows, contexts), np.asarray(few)
+    return SortedCounts(shards, rows, contexts, bits), np.asarray(few)
 
 
 def discounts(few: np.ndarray) -> np.ndarray:
@@ -260,13 +320,15 @@ class Step:
     ``before`` has in how many longer n-grams each is the end, None for the highest order.
     ``contexts`` has for each word as a context how many words follow with a count of 1, 2 and
     3 or more, and the sum of their counts. It is None above order 2, where the n-grams of one
-    context lie side by side and are summed up when they are asked for.
+    context lie side by side and are summed up when they are asked for, or before if they are
+    many: ``heavy`` has a file of (context, sums) for each shard.
     """
 
     grams: SortedCounts
     before: RangeArrays | None
     contexts: RangeArrays | None
     discounts: np.ndarray
+    heavy: dict[int, str] = field(default_factory=dict)
 
     def follow(self, contexts: np.ndarray) -> np.ndarray:
         """The row of ``contexts`` for each of ascending distinct contexts."""
@@ -280,18 +342,54 @@ class Step:
             asked = keys[ends[shard] : ends[shard + 1]]
             first = np.searchsorted(own, asked)
             lengths = np.searchsorted(own, asked + np.uint64(1 << 32)) - first
-            for lo, hi in slices(lengths.tolist(), BUFFER):
-                at = offsets_of(lengths[lo:hi])
-                places = np.repeat(first[lo:hi] - at[:-1], lengths[lo:hi]) + np.arange(at[-1])
-                n = self.adjusted(grams.starts[shard] + places, counts[places].astype(np.int64))
-                row = np.repeat(np.arange(ends[shard] + lo, ends[shard] + hi), lengths[lo:hi])
-                np.add.at(out, (row, np.minimum(n, 3) - 1), 1)
-                np.add.at(out, (row, 3), n)
+            many = np.flatnonzero(lengths > HEAVY)
+            if len(many):
+                known = np.fromfile(self.heavy[shard], "<u8").reshape(-1, 5)
+                at = np.searchsorted(known[:, 0], contexts[ends[shard] + many].astype(np.uint64))
+                out[ends[shard] + many] = known[at, 1:]
+            few = np.flatnonzero((lengths > 0) & (lengths <= HEAVY))
+            if len(few):
+                out[ends[shard] + few] = self.sums(shard, first[few], lengths[few])
         return out
 
     def adjusted(self, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return adjusted(self.before, places, counts)
 
+    def sums(self, shard: int, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """How many n-grams of each run of a shard have a count of 1, 2 and 3 or more, and
+        the sum of their counts."""
+        counts, out = self.grams.opened(shard)[1], np.zeros((len(first), 4), np.int64)
+        for lo, hi in slices(lengths.tolist(), BUFFER):
+            at = offsets_of(lengths[lo:hi])
+            places = np.repeat(first[lo:hi] - at[:-1], lengths[lo:hi]) + np.arange(at[-1])
+            n = self.adjusted(self.grams.starts[shard] + places, counts[places])
+            for i, x in enumerate((n == 1, n == 2, n > 2, n)):
+                out[lo:hi, i] = np.add.reduceat(x, at[:-1], dtype=np.int64)
+        return out
+
+    def heavy_sums(self, spark, folder: str) -> dict[int, str]:
+        """A file of the sums of each shard's contexts with more than ``HEAVY`` n-grams."""
+
+        def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for shard in column(batch, "shard"):
+                    contexts = np.array(self.grams.opened(shard)[0]) >> np.uint64(32)
+                    first = np.flatnonzero(np.diff(contexts, prepend=contexts[0] + np.uint64(1)))
+                    lengths = np.diff(np.append(first, len(contexts)))
+                    first, lengths = first[lengths > HEAVY], lengths[lengths > HEAVY]
+                    sums = self.sums(shard, first, lengths).astype("<u8")
+                    path = write_array(folder, np.column_stack([contexts[first], sums]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([shard], pa.int32()), pa.array([path], pa.string())], ["shard", "path"]
+                    )
+
+        if not self.grams.paths:
+            return {}
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        names = spark.createDataFrame([(s,) for s in self.grams.paths], "shard int").repartition(partitions)
+        told = stored(names.mapInArrow(write, "shard int, path string"), "heavy").collect()
+        return {r["shard"]: r["path"] for r in told}
+
 
 @dataclass
 class Model:
@@ -320,13 +418,30 @@ class Model:
         return np.where(place < 0, int(UNKNOWN), place + FIRST_WORD).astype(np.uint64), count
 
 
-def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix64((first << np.uint64(32)) | second)
+def pair_keys(first: np.ndarray, second: np.ndarray, bits: int = 32) -> np.ndarray:
+    """An invertible mix of two ids of so many bits, in the upper bits of the key."""
+    half, unused = np.uint64(bits), np.uint64(64 - 2 * bits)
+    mask = np.uint64((1 << 2 * bits) - 1)
+    x = (first << half) | second
+    for factor in (MIX_A, MIX_B):
+        x = ((x ^ (x >> half)) * factor) & mask
+    return (x ^ (x >> half)) << unused
+
 
+def pairs_of(keys: np.ndarray, bits: int = 32) -> tuple[np.ndarray, np.ndarray]:
+    """The two ids of each key."""
+    half, unused = np.uint64(bits), np.uint64(64 - 2 * bits)
+    mask = np.uint64((1 << 2 * bits) - 1)
+    x = keys >> unused
+    for factor in (_INVERSE_B, _INVERSE_A):
+        x = ((x ^ (x >> half)) * factor) & mask
+    x = x ^ (x >> half)
+    return x >> half, x & np.uint64((1 << bits) - 1)
 
-def gram_keys(order: int, context: np.ndarray, last: np.ndarray) -> np.ndarray:
+
+def gram_keys(order: int, context: np.ndarray, last: np.ndarray, bits: int = 32) -> np.ndarray:
     """The keys of n-grams. Pairs are mixed; longer ones sort by their context's place."""
-    return pair_keys(context, last) if order == 2 else (context << np.uint64(32)) | last
+    return pair_keys(context, last, bits) if order == 2 else (context << np.uint64(32)) | last
 
 
 def sequences(hashes: list[np.ndarray], find) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -357,20 +472,22 @@ def walked(
     for order, known in enumerate(grams, 2):
         place, count = np.full(len(tokens), -1, np.int64), np.zeros(len(tokens), np.int64)
         ask = np.flatnonzero((prefix >= 0) & (tokens != UNKNOWN))
-        place[ask], count[ask] = known.find(gram_keys(order, prefix[ask].astype(np.uint64), tokens[ask]))
+        place[ask], count[ask] = known.find(
+            gram_keys(order, prefix[ask].astype(np.uint64), tokens[ask], known.bits)
+        )
         yield prefix, place, count
         prefix = np.roll(place, 1)
         prefix[at[:-1]] = -1
     yield prefix, np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
-def ends_of(grams: list[SortedCounts], keys: np.ndarray) -> np.ndarray:
+def ends_of(grams: list[SortedCounts], keys: np.ndarray, bits: int) -> np.ndarray:
     """The n-gram without its first word, for hashes of the order after those of ``grams``."""
     if not grams:
-        return (unmix64(keys) & UNKNOWN).astype(np.int64)
+        return pairs_of(keys, bits)[1].astype(np.int64)
     last = keys & UNKNOWN
-    shorter = ends_of(grams[:-1], grams[-1].key_at((keys >> np.uint64(32)).astype(np.int64)))
-    return grams[-1].find(gram_keys(len(grams) + 1, shorter.astype(np.uint64), last))[0]
+    shorter = ends_of(grams[:-1], grams[-1].key_at((keys >> np.uint64(32)).astype(np.int64)), bits)
+    return grams[-1].find(gram_keys(len(grams) + 1, shorter.astype(np.uint64), last, bits))[0]
 
 
 def adjusted(before: RangeArrays | None, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -399,7 +516,7 @@ def summed(spark, grams: SortedCounts, emit, folder: str, size: int, width: int)
         ends = np.searchsorted(entry // np.uint64(width * step), np.arange(partitions + 1))
         for r in np.flatnonzero(np.diff(ends)).tolist():
             x, y = ends[r], ends[r + 1]
-            values = [r, entry[x:y].tobytes(), n[x:y].astype("<u4").tobytes()]
+            values = [r, packed(entry[x:y]), packed_counts(n[x:y])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([v], k) for v, k in zip(values, (pa.int32(), pa.binary(), pa.binary()))],
                 ["shard", "hashes", "counts"],
@@ -410,7 +527,7 @@ def summed(spark, grams: SortedCounts, emit, folder: str, size: int, width: int)
             table = np.zeros(width * (min(size, (r + 1) * step) - r * step), np.int64)
             for part in parts:
                 for x, n in zip(column(part, "hashes"), column(part, "counts")):
-                    table[np.frombuffer(x, "<u8").astype(np.int64) - width * r * step] += np.frombuffer(n, "<u4")
+                    table[unpacked_values(x).astype(np.int64) - width * r * step] += unpacked_counts(n)
             if table.max() >= 1 << 32:
                 raise ValueError("a count exceeds 32 bits")
             path = write_array(folder, table.astype("<u4"))
@@ -480,29 +597,33 @@ def steps_of(texts: DataFrame, words: SortedCounts, pairs: SortedCounts, folder:
             shorter, longer = grams[: k + 1], grams[k + 1]
 
             def count_before(shard: int, shorter=shorter, longer=longer) -> tuple[np.ndarray, np.ndarray]:
-                return counted(ends_of(shorter, np.array(longer.opened(shard)[0])).astype(np.uint64))
+                return counted(
+                    ends_of(shorter, np.array(longer.opened(shard)[0]), shorter[0].bits).astype(np.uint64)
+                )
 
             before = summed(spark, longer, count_before, f"{folder}/before{k + 2}", int(own.sizes.sum()), 1)
 
         def follow(shard: int, own=own, before=before, size=size, pairs=not k) -> tuple[np.ndarray, np.ndarray]:
-            keys, counts = (np.array(x) for x in own.opened(shard))
-            n = adjusted(before, own.starts[shard] + np.arange(len(keys)), counts.astype(np.int64))
+            keys, counts = own.opened(shard)
+            n = adjusted(before, own.starts[shard] + np.arange(len(keys)), counts.all())
             # The counts of counts 1 to 4 go to a row after those of all contexts.
             few = np.uint64(4 * size) + n[n < 5].astype(np.uint64) - np.uint64(1)
             if not pairs:
                 return counted(few)
-            first = (unmix64(keys) >> np.uint64(32)) * np.uint64(4)
+            first = pairs_of(np.array(keys), own.bits)[0] * np.uint64(4)
             entries = [first + np.minimum(n, 3).astype(np.uint64) - np.uint64(1), first + np.uint64(3), few]
             amounts = [np.ones(len(n), np.int64), n, np.ones(len(few), np.int64)]
             return counted(np.concatenate(entries), np.concatenate(amounts))
 
         if k and before is None:
             out.append(Step(own, None, None, discounts(few[k])))
-            continue
-        # Above pairs only the counts of counts are summed up here.
-        contexts = size if not k else 0
-        sums = summed(spark, own, partial(follow, size=contexts), f"{folder}/follow{k + 2}", contexts + 1, 4)
-        out.append(Step(own, before, None if k else sums, discounts(sums.get(np.array([contexts]))[0])))
+        else:
+            # Above pairs only the counts of counts are summed up here.
+            contexts = size if not k else 0
+            sums = summed(spark, own, partial(follow, size=contexts), f"{folder}/follow{k + 2}", contexts + 1, 4)
+            out.append(Step(own, before, None if k else sums, discounts(sums.get(np.array([contexts]))[0])))
+        if k:
+            out[-1].heavy = out[-1].heavy_sums(spark, f"{folder}/heavy{k + 2}")
     return out
 
 
@@ -544,6 +665,10 @@ def _train(docs: DataFrame, folder: str | None, text_col: str, order: int) -> Mo
 
     documents = docs.count()
     words, _ = merged(texts.mapInArrow(count_words, block), f"{folder}/words", shards)
+    total = int(words.sizes.sum()) + FIRST_WORD
+    bits = (total - 1).bit_length()
+    if bits > 32:
+        raise ValueError("more than 2^32 words")
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held, size, seen = WordHashes(), [], 0, []
@@ -558,19 +683,18 @@ def _train(docs: DataFrame, folder: str | None, text_col: str, order: int) -> Mo
                 size += len(held[-1]) + 1
                 if size >= BUFFER // 8:
                     contexts, tokens, _, _ = sequences(held, find)
-                    seen.append(pair_keys(contexts, tokens))
+                    seen.append(pair_keys(contexts, tokens, bits))
                     held, size = [], 0
                     if sum(map(len, seen)) >= BUFFER:
                         yield from dealt(*counted(np.concatenate(seen)), shards)
                         seen = []
         if held:
             contexts, tokens, _, _ = sequences(held, find)
-            seen.append(pair_keys(contexts, tokens))
+            seen.append(pair_keys(contexts, tokens, bits))
         if seen:
             yield from dealt(*counted(np.concatenate(seen)), shards)
 
-    pairs, few = merged(texts.mapInArrow(count_pairs, block), f"{folder}/pairs", shards)
-    total = int(words.sizes.sum()) + FIRST_WORD
+    pairs, few = merged(texts.mapInArrow(count_pairs, block), f"{folder}/pairs", shards, bits=bits)
     contexts, seconds, second_few = context_arrays(docs, pairs, f"{folder}/contexts", total, partitions)
     return Model(
         words, pairs, contexts, documents, words_total(docs, words) + documents, discounts(few),
@@ -588,7 +712,7 @@ def words_total(docs: DataFrame, words: SortedCounts) -> int:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = [int(np.fromfile(p, "<u4").sum(dtype=np.int64)) for p in column(batch, "path")]
+            n = [int(Counts(p).all().sum()) for p in column(batch, "path")]
             yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], ["n"])
 
     return spark.createDataFrame(paths, "path string").mapInArrow(add, "n long").agg(F.sum("n")).first()[0]
@@ -612,10 +736,10 @@ def context_arrays(
         entry, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             for a, b in zip(column(batch, "hashes"), column(batch, "counts")):
-                keys, counts = unmix64(np.fromfile(a, "<u8")), np.minimum(np.fromfile(b, "<u4"), 3)
-                first = (keys >> np.uint64(32)) * np.uint64(4) + counts.astype(np.uint64) - np.uint64(1)
-                second = (keys & UNKNOWN) * np.uint64(4) + np.uint64(3)
-                new, times = counted(np.concatenate([first, second]))
+                counts = np.minimum(Counts(b).few, 3).astype(np.uint64)
+                first, second = pairs_of(np.fromfile(a, "<u8"), pairs.bits)
+                first = first * np.uint64(4) + counts - np.uint64(1)
+                new, times = counted(np.concatenate([first, second * np.uint64(4) + np.uint64(3)]))
                 entry, n = counted(np.concatenate([entry, new]), np.concatenate([n, times]))
         ends = np.searchsorted(entry // np.uint64(4 * step), np.arange(ranges + 1))
         for r in np.flatnonzero(np.diff(ends)).tolist():
@@ -623,8 +747,8 @@ def context_arrays(
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r], pa.int32()),
-                    pa.array([entry[x:y].tobytes()], pa.binary()),
-                    pa.array([n[x:y].astype("<u4").tobytes()], pa.binary()),
+                    pa.array([packed(entry[x:y])], pa.binary()),
+                    pa.array([packed_counts(n[x:y])], pa.binary()),
                 ],
                 ["shard", "hashes", "counts"],
             )
@@ -634,8 +758,7 @@ def context_arrays(
             table = np.zeros(4 * (min(size, (r + 1) * step) - r * step), np.int64)
             for part in parts:
                 for x, n in zip(column(part, "hashes"), column(part, "counts")):
-                    at = np.frombuffer(x, "<u8").astype(np.int64) - 4 * r * step
-                    table[at] += np.frombuffer(n, "<u4")
+                    table[unpacked_values(x).astype(np.int64) - 4 * r * step] += unpacked_counts(n)
             seconds = np.bincount(np.minimum(table[3::4], 5), minlength=6)[1:].tolist()
             path = write_array(folder, table.astype("<u4"))
             yield pa.RecordBatch.from_arrays(
@@ -678,7 +801,7 @@ def log_probabilities(model: Model, contexts: np.ndarray, tokens: np.ndarray, co
     n = np.zeros(len(tokens), np.int64)
     ask = np.flatnonzero(seen & ~unknown)
     if len(ask):
-        n[ask] = model.pairs.find(pair_keys(contexts[ask], tokens[ask]))[1]
+        n[ask] = model.pairs.find(pair_keys(contexts[ask], tokens[ask], model.pairs.bits))[1]
     higher = np.where(n > 0, (n - d[np.minimum(n, 3)]) / np.maximum(context_counts, 1), 0.0)
     return np.log10(higher + gamma * lower)
 

@@ -517,6 +517,50 @@ def test_mix_is_undone():
     assert (kneserney.unmix64(kneserney.mix64(x)) == x).all()
 
 
+@pytest.mark.parametrize("bits", [1, 2, 7, 21, 32])
+def test_pairs_are_read_off_their_keys(bits):
+    rng = np.random.default_rng(bits)
+    first, second = (rng.integers(0, 1 << bits, 1000, dtype=np.uint64) for _ in range(2))
+    keys = kneserney.pair_keys(first, second, bits)
+    assert [x.tolist() for x in kneserney.pairs_of(keys, bits)] == [first.tolist(), second.tolist()]
+    assert len(set(keys.tolist())) == len(set(zip(first.tolist(), second.tolist())))
+
+
+def test_blocks_hold_few_bytes_for_each_pair():
+    rng = np.random.default_rng(5)
+    first, second = (np.minimum(rng.zipf(1.2, 10**6), 1 << 20).astype(np.uint64) for _ in range(2))
+    keys, counts = kneserney.counted(kneserney.pair_keys(first, second, 21))
+    blocks = list(kneserney.dealt(keys, counts, 20))
+    assert sum(b.nbytes for b in blocks) < 6 * len(keys)
+    back = [
+        np.concatenate([unpack(x) for b in blocks for x in b[name].to_pylist()])
+        for name, unpack in (("hashes", kneserney.unpacked_values), ("counts", kneserney.unpacked_counts))
+    ]
+    assert (back[0] == keys).all() and (back[1] == counts).all()
+
+
+def test_frequent_contexts_are_summed_up_once(spark, tmp_path):
+    # "a b" goes before 300 words, one of them 400 times: more than a byte holds.
+    lines = [f"a b w{i} c" for i in range(300)] + ["a b w0 d"] * 399
+    train = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    model = kneserney.train(train, f"file:{tmp_path}", order=3)
+    step = model.steps[-1]
+    grams = int(step.grams.sizes.sum())
+    assert sum(f.stat().st_size for f in (tmp_path / "grams3").iterdir()) <= 9 * grams + 16 * 8
+    asked = []
+    read = step.sums
+    step.sums = lambda shard, first, lengths: asked.append(int(lengths.sum())) or read(shard, first, lengths)
+    found = step.follow(np.arange(int(step.grams.contexts)))
+    # Contexts: n-grams with a count of 1, 2, 3 or more, and all counts.
+    assert [299, 0, 1, 699] in found.tolist()
+    assert found[:, :3].sum() == grams
+    assert sum(asked) == grams - 300
+    p = slow_order([tokens_of(t) for t in lines], 3)
+    for row in kneserney.scored(train.where("doc_id in (0, 1, 300)"), model).collect():
+        line = ["<s>", *tokens_of(lines[row.doc_id])]
+        assert row.score == pytest.approx(sum(math.log10(p(line[max(0, i - 2) : i], line[i])) for i in range(1, len(line))))
+
+
 # ---- 6 near-duplicates ---------------------------------------------------------
 def brute_components(docs, k, percent=80):
     sets = {}
