@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import itertools
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -151,3 +153,17 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object,
 
 
 BatchMap = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidied(work: BatchMap) -> BatchMap:
+    """The map, which at its end gives the memory it has freed back to the system. Spark keeps
+    workers for later tasks, and idle ones count against their executor with all they hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            # Of glibc; others have no such call.
+            getattr(ctypes.CDLL(None), "malloc_trim", int)(0)
+
+    return run

@@ -34,6 +34,7 @@ from orderlake.llm.common import (
     slices,
     stored,
     texts_of,
+    tidied,
     words_of,
 )
 from orderlake.llm.wacz import file_system
@@ -206,6 +207,7 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, words: int) -> lis
     sees a number and the files' names."""
     spark = items.sparkSession
 
+    @tidied
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
@@ -272,6 +274,7 @@ def contained_items(
     out = spark.createDataFrame([], schema)
     for path in item_blocks(items, item_id_col, item_text_col, words):
 
+        @tidied
         def search(batches: Iterator[pa.RecordBatch], path=path) -> Iterator[pa.RecordBatch]:
             index, hashes = Items(read_block(path), factors, words, threshold), WordHashes()
             for batch in batches:

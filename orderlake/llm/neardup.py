@@ -38,6 +38,7 @@ from orderlake.llm.common import (
     slices,
     stored,
     texts_of,
+    tidied,
     words_of,
 )
 from orderlake.llm.decontam import multipliers
@@ -103,6 +104,7 @@ def likely_similarity(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.nda
 def signatures(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, n_shingles, set_key, registers); key and registers of an empty set are null."""
 
+    @tidied
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -172,6 +174,7 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
     """(a, b) of the pairs whose similarity is likely near the threshold or above."""
     floor = percent / 100 - MARGIN
 
+    @tidied
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -211,6 +214,7 @@ def sets_of(
     )
     source = docs.select(F.col(id_col).cast("long").alias("first"), F.col(text_col).alias("text"))
 
+    @tidied
     def collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -234,6 +238,7 @@ def sets_of(
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union on full sets, stored."""
 
+    @tidied
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [
@@ -302,6 +307,7 @@ def remaining_links(opened: DataFrame, classes: DataFrame, sets: DataFrame, perc
     )
     floor = percent / 100 - MARGIN
 
+    @tidied
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile_now, tile = None, Tile(floor, percent)
         for batch in batches:
@@ -495,6 +501,7 @@ def unnamed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFram
     without a set."""
     without = docs.where(F.col(id_col).isNull())
 
+    @tidied
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.common import column, prepare, slices, stored, texts_of
+from orderlake.llm.common import column, prepare, slices, stored, texts_of, tidied
 from orderlake.llm.tokens import encoder, vocabulary
 
 CAPACITY, END_ID = 4096, 1
@@ -49,6 +49,7 @@ def tokenized_pieces(
     path = vocabulary_path or vocabulary("word_bpe_49k.json")
     end = np.array([end_id], "<u4").tobytes()
 
+    @tidied
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, spaced=False)
         for batch in batches:
@@ -191,6 +192,7 @@ def pack(pieces: DataFrame, *, length_col: str = "length", capacity: int = CAPAC
     schema = with_fields(pieces.schema, _split=T.IntegerType(), _at=T.LongType())
     at_length = pieces.schema.names.index(length_col)
 
+    @tidied
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -240,6 +242,7 @@ def pack(pieces: DataFrame, *, length_col: str = "length", capacity: int = CAPAC
     out_schema = with_fields(pieces.schema, sequence_id=T.LongType(), offset=T.LongType())
     columns, width = [F.col(f"`{c}`") for c in pieces.columns], len(pieces.columns)
 
+    @tidied
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stride = int(counts.max()) + 1
         keys = slots["length"] * stride + slots["rank"]

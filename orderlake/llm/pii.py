@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import column, prepare, texts_of
+from orderlake.llm.common import column, prepare, texts_of, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -225,6 +225,7 @@ def personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("plain", pa.bool_())])
     )
 
+    @tidied
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("kind", "start", "end", "plain")
         for batch in batches:
@@ -257,6 +258,7 @@ def redacted(docs: DataFrame, *, text_col: str = "text", length_col: str | None
     at = schema.names.index(text_col)
     length_at = schema.names.index(length_col) if length_col else None
 
+    @tidied
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [None if t is None else redacted_text(t) for t in batch.column(at).to_pylist()]

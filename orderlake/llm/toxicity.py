@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import column, crc_mod, prepare, texts_of
+from orderlake.llm.common import column, crc_mod, prepare, texts_of, tidied
 
 WORD = re.compile(r"\w+")
 # Labelled texts that the model is fitted on at most: those with the smallest hashes of ids.
@@ -189,6 +189,7 @@ def train(
     if not n1 or not n0:
         return Model()
 
+    @tidied
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
@@ -220,6 +221,7 @@ def train(
     )
     model = Model({r["piece"]: r["ratio"] for r in rows})
 
+    @tidied
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -254,6 +256,7 @@ def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
     prepare(docs.sparkSession)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
+    @tidied
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, passages = [], []
@@ -280,10 +283,12 @@ def accepted(docs: DataFrame, model: Model, *, text_col: str = "text", threshold
     prepare(docs.sparkSession)
     at = docs.schema.names.index(text_col)
 
+    @tidied
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = (t or "" for t in batch.column(at).to_pylist())
             calm = [probability(features(t, model), model) < threshold for t in texts]
             yield batch.filter(pa.array(calm, pa.bool_()))
+        model.known.clear()
 
     return docs.mapInArrow(keep, docs.schema)

@@ -3,14 +3,18 @@
 import binascii
 import hashlib
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from compare import compare
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -561,6 +565,63 @@ def test_frequent_contexts_are_summed_up_once(spark, tmp_path):
         assert row.score == pytest.approx(sum(math.log10(p(line[max(0, i - 2) : i], line[i])) for i in range(1, len(line))))
 
 
+# ---- Workers -------------------------------------------------------------------
+WORKER = """
+import re, sys
+import numpy as np, pyarrow as pa
+from pyspark import cloudpickle
+
+def held():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()).group(1)) / 1024
+
+def batches():
+    rng = np.random.default_rng(1)
+    for _ in range(4):
+        texts = [" ".join(map(str, rng.integers(0, 10**6, 500).tolist())) for _ in range(1000)]
+        batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(texts)], ["id", "text"])
+        # As Spark hands them over.
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema) as stream:
+            stream.write_batch(batch)
+        yield pa.ipc.open_stream(sink.getvalue()).read_next_batch()
+
+work = cloudpickle.load(open(sys.argv[1], "rb"))
+began = held()
+for batch in work(batches()):
+    pass
+del batch
+print(held() - began)
+"""
+
+
+class Captured:
+    """In place of a frame: keeps the function that is mapped over it."""
+
+    def __init__(self, docs):
+        self.schema, self.sparkSession = docs.schema, docs.sparkSession
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, work, _):
+        self.work = work
+
+
+@pytest.mark.parametrize("stage", ["signatures", "accepted"])
+def test_idle_workers_hold_little_memory(spark, documents, tmp_path, stage):
+    captured = Captured(documents.select("doc_id", "text"))
+    if stage == "signatures":
+        neardup.signatures(captured, 5, "doc_id", "text")
+    else:
+        toxicity.accepted(captured, toxicity.Model({"bad": 1.0}))
+    (tmp_path / "work").write_bytes(cloudpickle.dumps(captured.work))
+    done = subprocess.run(
+        [sys.executable, "-c", WORKER, str(tmp_path / "work")],
+        capture_output=True, text=True, check=True, env={**os.environ, "PYTHONPATH": os.pathsep.join(sys.path)},
+    )
+    assert float(done.stdout) < 40
+
+
 # ---- 6 near-duplicates ---------------------------------------------------------
 def brute_components(docs, k, percent=80):
     sets = {}
