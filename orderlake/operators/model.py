@@ -83,17 +83,21 @@ def line_facts(orders: DataFrame, items: DataFrame, products: DataFrame) -> Data
 
     ``orders`` is read twice, so it should be a stored table, or its join runs twice.
     The outer join is spelled as matched lines plus orders without lines: unlike a
-    left join, the inner join lets a hot order be split on the item side.
+    left join, the inner join lets a hot order be split on the item side. Both joins
+    take the same numbered orders, which are therefore shuffled once.
     """
     usable = items.filter(F.col("quantity").isNotNull() & F.col("unit_price").isNotNull())
     with_lines = usable.select("order_id").filter(F.col("order_id").isNotNull()).distinct()
     catalogue = unique_dimension(products, "product_id")
+    numbered = orders.filter(F.col("order_id").isNotNull())
     lines = (
-        orders.join(usable.drop("item_id"), "order_id")
+        numbered.join(usable.drop("item_id"), "order_id")
         .join(catalogue, "product_id", "left")
         .select(*FACT_COLUMNS)
     )
-    bare = orders.join(with_lines, "order_id", "left_anti")
+    bare = numbered.join(with_lines, "order_id", "left_anti").unionByName(
+        orders.filter(F.col("order_id").isNull())
+    )
     return lines.unionByName(bare, allowMissingColumns=True).select(*FACT_COLUMNS)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,6 +64,28 @@ def new_scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# For work that writes table after table: a query's shuffle files go when it ends, not with some
+# later garbage collection. A task that writes few folders keeps their files open side by side;
+# sorting its wide rows by folder would spill them. Beyond so many folders it sorts the rest.
+BULK_CONF = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
+}
+
+
+@contextmanager
+def bulk_settings(spark: SparkSession) -> Iterator[None]:
+    """The session with ``BULK_CONF``, and as it was afterwards."""
+    before = {key: spark.conf.get(key, None) for key in BULK_CONF}
+    for key, value in BULK_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def streaming_session(spark: SparkSession, backfill_rows: int = 0) -> SparkSession:
     """A session of the same application for stateful streams.
 

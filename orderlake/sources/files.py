@@ -23,6 +23,10 @@ class Files:
             return []
         return [s.getPath().getName() for s in self._fs.listStatus(self._path(folder))]
 
+    def size(self, path: str) -> int:
+        """Bytes of a file, or of all files below a folder."""
+        return self._fs.getContentSummary(self._path(path)).getLength()
+
     def read(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:
@@ -42,5 +46,13 @@ class Files:
         if not self._fs.rename(self._path(partial), self._path(path)):
             raise OSError(f"cannot write {path}")
 
+    def make(self, folder: str) -> None:
+        self._fs.mkdirs(self._path(folder))
+
+    def move(self, path: str, to: str) -> None:
+        self.make(to.rpartition("/")[0])
+        if not self._fs.rename(self._path(path), self._path(to)):
+            raise OSError(f"cannot move {path} to {to}")
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)

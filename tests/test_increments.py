@@ -6,7 +6,7 @@ import os
 import pytest
 
 from orderlake import schemas
-from orderlake.operators import enrich
+from orderlake.operators import enrich, model
 from orderlake.plans import increments
 
 AS_OF = dt.date(2024, 6, 1)
@@ -106,3 +106,41 @@ def test_many_months_are_one_expression(spark):
     # A filter that repeats the columns repeats what they are made of, here two hundred times.
     assert kept._jdf.queryExecution().optimizedPlan().toString().count("order_month") < 10
     assert rows.filter(increments._within([])).count() == 0
+
+
+def test_facts_in_parts_are_the_same_facts(spark, tmp_path, known, monkeypatch):
+    whole, parted = str(tmp_path / "whole"), str(tmp_path / "parted")
+    joined, line_facts = [], increments.model.line_facts
+    monkeypatch.setattr(increments.model, "line_facts", lambda *a: joined.append(1) or line_facts(*a))
+    for arrival in (("a", *FIRST), ("b", *SECOND)):
+        take(spark, whole, *arrival, known)
+    assert len(joined) == 2
+    # Stored lines of several times what is joined at once.
+    monkeypatch.setattr(increments.Files, "size", lambda *_: 3 * increments.LINE_BYTES - 1)
+    for arrival in (("a", *FIRST), ("b", *SECOND)):
+        take(spark, parted, *arrival, known)
+    assert len(joined) == 8
+    assert tables(spark, parted) == tables(spark, whole)
+    assert not [name for name in os.listdir(f"{parted}/silver") if name.endswith("-staged")]
+
+
+def test_orders_of_facts_are_shuffled_once(spark, known):
+    rows = spark.createDataFrame(FIRST[0], schemas.ORDERS)
+    heads = model.order_facts(enrich.canonical_orders(enrich.clean_orders(rows)), known.customers)
+    lines = enrich.canonical_items(enrich.clean_order_items(spark.createDataFrame(FIRST[1], schemas.ORDER_ITEMS)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = model.line_facts(heads, lines, known.products)
+        assert sorted(str(r.order_id) for r in facts.collect()) == ["1", "2", "3", "7", "None"]
+        plan = facts._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "ReusedExchange" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_refresh_leaves_nothing_but_the_lake(spark, tmp_path, known):
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    settings = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.maxConcurrentOutputFileWriters")
+    before = set(os.listdir(scratch)), [spark.conf.get(s, None) for s in settings]
+    take(spark, str(tmp_path / "lake"), "a", *FIRST, known)
+    assert (set(os.listdir(scratch)), [spark.conf.get(s, None) for s in settings]) == before
