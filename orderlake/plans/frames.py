@@ -64,6 +64,15 @@ def _bronze(spark: SparkSession, d: str, name: str, adapt: Callable) -> DataFram
     return stored(spark, d, f"bronze-{name}", lambda: adapt(spark, d, _spread_table))
 
 
+def incoming_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Raw orders for a lake that stores them as its own bronze."""
+    return supplied.raw_orders(spark, d, _spread_table)
+
+
+def incoming_items(spark: SparkSession, d: str) -> DataFrame:
+    return supplied.raw_order_items(spark, d, _spread_table)
+
+
 def raw_orders(spark: SparkSession, d: str) -> DataFrame:
     return _bronze(spark, d, "orders", supplied.raw_orders)
 

@@ -101,6 +101,9 @@ def _fact_parts(heads: DataFrame, raw_items: DataFrame, products: DataFrame, n:
 
 
 def _clean_orders(raw: DataFrame) -> DataFrame:
+    # Columns after the last of these can only tell apart records that are cleaned alike.
+    last = max(raw.columns.index(c) for c in ("order_id", "customer_id", "order_date", "status", "total_amount"))
+    raw = raw.select(*raw.columns[: last + 1])
     raw = dedupe.drop_duplicates_by_key(raw, ["order_id"], keep_unkeyed=True)
     return enrich.canonical_orders(enrich.clean_orders(raw)).filter(F.col("is_valid_order") == 1)
 

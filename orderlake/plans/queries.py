@@ -552,7 +552,8 @@ def agg_gold(spark: SparkSession, d: str) -> DataFrame:
 def _refreshed(spark: SparkSession, d: str) -> str:
     """A lake that took the older orders and their lines first, then the newer ones."""
     lake = new_scratch_dir(spark, "lake")
-    orders, items = frames.raw_orders(spark, d), frames.raw_items(spark, d)
+    # Read twice and stored once, as the lake's bronze.
+    orders, items = frames.incoming_orders(spark, d), frames.incoming_items(spark, d)
     known = increments.Dimensions(frames.customers(spark, d), frames.products(spark, d))
     older = F.col("last_updated") < "1998-01-01"
     # Some lines come with the newer orders, and some of those belong to older ones.

@@ -5,9 +5,10 @@ import os
 
 import pytest
 
+import __spark_entry__ as contract
 from orderlake import schemas
 from orderlake.operators import enrich, model
-from orderlake.plans import increments
+from orderlake.plans import frames, increments
 
 AS_OF = dt.date(2024, 6, 1)
 
@@ -144,3 +145,24 @@ def test_a_refresh_leaves_nothing_but_the_lake(spark, tmp_path, known):
     before = set(os.listdir(scratch)), [spark.conf.get(s, None) for s in settings]
     take(spark, str(tmp_path / "lake"), "a", *FIRST, known)
     assert (set(os.listdir(scratch)), [spark.conf.get(s, None) for s in settings]) == before
+
+
+def test_raw_rows_of_a_refresh_are_stored_once(spark, sf, monkeypatch):
+    monkeypatch.setattr(frames, "_layers", {})
+    gold = {tuple(r) for r in contract.queries()["agg_gold_refresh"](spark, sf).collect()}
+    stored = {name for _, _, name in frames._layers}
+    assert stored and not {"bronze-orders", "bronze-order_items"} & stored
+    assert gold == {tuple(r) for r in contract.queries()["agg_gold"](spark, sf).collect()}
+
+
+def test_only_columns_that_choose_a_record_are_compared(spark):
+    columns = [f.split()[0] for f in schemas.ORDERS.split(", ")]
+    copies = [(1, 1, d, s, 9.0, w, x) for d in ("2024-01-05", "20240104") for s in ("completed", "pending") for w in "ab" for x in "yx"]
+    raw = spark.createDataFrame([*copies, order(None, "2024-02-09"), order(None, "2024-02-09")], schemas.ORDERS)
+    for ordered, read in ((columns, False), (["order_id", "last_updated", *columns[1:6]], True)):
+        cleaned = increments._clean_orders(raw.select(*ordered))
+        assert [(r.order_id, str(r.order_date), r.status) for r in cleaned.orderBy("order_id").collect()] == [
+            (None, "2024-02-09", "completed"), (None, "2024-02-09", "completed"), (1, "2024-01-05", "completed")
+        ]
+        chosen = [x for x in cleaned._jdf.queryExecution().sparkPlan().toString().splitlines() if "min(struct" in x]
+        assert chosen and all(("last_updated" in x) == read for x in chosen)
